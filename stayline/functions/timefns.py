@@ -56,9 +56,15 @@ def epoch_seconds(ts) -> Column:
                      US_PER_SECOND)
 
 
+def epoch_us(ts) -> Column:
+    """Microseconds since 1970 for either timestamp flavour."""
+    return F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"),
+                            _c(ts).cast("timestamp_ntz"))
+
+
 def time_bucket(ts, seconds: int) -> Column:
-    """Coarse time bucket id; equal timestamps always share a bucket."""
-    return floor_div(epoch_seconds(ts), int(seconds))
+    """Time bucket id of width ``seconds``; equal timestamps share a bucket."""
+    return floor_div(epoch_us(ts), int(seconds) * US_PER_SECOND)
 
 
 def add_hours(ts, hours) -> Column:
