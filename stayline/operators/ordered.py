@@ -87,3 +87,29 @@ def row_number_within(df: DataFrame, keys: list[str], ts: str, tiebreak: list[st
     per_b = per_b.withColumn("__off", F.coalesce(F.sum("__n").over(wb), F.lit(0))).drop("__n")
     out = d.join(per_b, on=keys + [_B], how="left")
     return out.withColumn(name, (F.col("__r_in") + F.col("__off")).cast("int")).drop("__r_in", "__off", _B)
+
+
+def scan_agg_within(df: DataFrame, keys: list[str], ts: str, value: str, agg: str = "min",
+                    following: bool = True, tiebreak: list[str] | None = None, name: str = "scan",
+                    bucket_seconds: int = 86400) -> DataFrame:
+    """For every row, ``agg`` (min or max) of ``value`` over the rows of the
+    same key strictly after it (``following``) or strictly before it in
+    (ts, *tiebreak) order — e.g. "earliest end among stays that start after
+    this one ends".  Rows with a NULL ``value`` act as pure queries.
+
+    The in-bucket part is a window over (key, bucket); the rest combines the
+    per-bucket aggregates of later (earlier) buckets, so no key is ever
+    ordered in a single task."""
+    tiebreak = tiebreak or []
+    fn = {"min": F.min, "max": F.max}[agg]
+    comb = {"min": F.least, "max": F.greatest}[agg]
+    d = with_bucket(df, ts, bucket_seconds)
+    w = Window.partitionBy(*keys, _B).orderBy(*[F.col(c) for c in [ts] + tiebreak])
+    frame = w.rowsBetween(1, Window.unboundedFollowing) if following else w.rowsBetween(Window.unboundedPreceding, -1)
+    d = d.withColumn("__in", fn(value).over(frame))
+    per_b = d.groupBy(*keys, _B).agg(fn(value).alias("__bagg"))
+    wb = Window.partitionBy(*keys).orderBy(_B)
+    wb = wb.rowsBetween(1, Window.unboundedFollowing) if following else wb.rowsBetween(Window.unboundedPreceding, -1)
+    per_b = per_b.withColumn("__across", fn("__bagg").over(wb)).drop("__bagg")
+    out = d.join(per_b, on=keys + [_B], how="left")
+    return out.withColumn(name, comb(F.col("__in"), F.col("__across"))).drop("__in", "__across", _B)
