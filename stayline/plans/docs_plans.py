@@ -1 +1,67 @@
-"""placeholder"""
+"""Note operators bound to ``documents.text``: whole texts, every document."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from stayline.operators import notes as N
+from stayline.plans.registry import register
+from stayline.sources.tables import table
+
+_MARK = ("regexp_replace(regexp_replace(text, '\\.\\s+([A-Z][^A-Z])', '.' || chr(1) || '\\1', 'g'), "
+         "'(\\s)-\\s+([^\\s-])', '\\1-' || chr(1) || '\\2', 'g')")
+_SENTS = f"list_filter(list_transform(string_split({_MARK}, chr(1)), lambda x: trim(replace(x, chr(10), ' '))), lambda x: length(x) > 0)"
+
+
+def docs(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", "text")
+
+
+@register("note_blocks", """
+SELECT doc_id, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS block_idx, unnest(l) AS block FROM (
+  SELECT doc_id, string_split(regexp_replace(regexp_replace(regexp_replace(text, '---+', chr(10) || chr(10) || '-----' || chr(10) || chr(10), 'g'),
+         '___+', chr(10) || chr(10) || '_____' || chr(10) || chr(10), 'g'), '\\n\\n+', chr(10) || chr(10), 'g'), chr(10) || chr(10)) AS l
+  FROM documents)""")
+def q_note_blocks(spark, sf):
+    """Rulers isolated, blank-line blocks exploded with their position."""
+    d = docs(spark, sf)
+    return N.explode_indexed(d, ["doc_id"], N.blocks(F.col("text")), "block_idx", "block")
+
+
+@register("note_sentences", f"""
+SELECT doc_id, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS sent_idx, unnest(l) AS sentence
+FROM (SELECT doc_id, {_SENTS} AS l FROM documents)""")
+def q_note_sentences(spark, sf):
+    """N07 + N09: rule-based sentence split of every whole document."""
+    d = docs(spark, sf)
+    return N.explode_indexed(d, ["doc_id"], N.sentences(F.col("text")), "sent_idx", "sentence")
+
+
+@register("note_flat", f"""
+SELECT doc_id, array_to_string({_SENTS}, chr(10)) || chr(10) AS text FROM documents""")
+def q_note_flat(spark, sf):
+    """Each note rewritten as one flattened sentence per line."""
+    d = docs(spark, sf)
+    return d.select("doc_id", N.flattened_note(F.col("text")).alias("text"))
+
+
+@register("note_deid", """
+SELECT doc_id, CAST(len(regexp_extract_all(text, '(?i)\\[\\*\\*.{0,15}.*?\\*\\*\\]')) AS INTEGER) AS n_deid FROM documents""")
+def q_note_deid(spark, sf):
+    """Number of de-identification spans per note."""
+    d = docs(spark, sf)
+    return d.select("doc_id", F.size(N.deid_spans(F.col("text"))).alias("n_deid"))
+
+
+@register("note_segments")
+def q_note_segments(spark, sf):
+    """Header / separator / enumeration / inline-title segmentation
+    (per-note rule walk under mapInPandas; no SQL form)."""
+    return N.segment_notes(docs(spark, sf))
+
+
+@register("segment_sentences")
+def q_segment_sentences(spark, sf):
+    """Segments of every note, each split into flattened sentences."""
+    seg = N.segment_notes(docs(spark, sf))
+    return N.note_sentences(seg, ["doc_id", "seg_idx"])
