@@ -113,3 +113,32 @@ def scan_agg_within(df: DataFrame, keys: list[str], ts: str, value: str, agg: st
     per_b = per_b.withColumn("__across", fn("__bagg").over(wb)).drop("__bagg")
     out = d.join(per_b, on=keys + [_B], how="left")
     return out.withColumn(name, comb(F.col("__in"), F.col("__across"))).drop("__in", "__across", _B)
+
+
+def global_cumsum(df: DataFrame, order_cols: list[str], sum_cols: dict[str, str],
+                  num_partitions: int | None = None, inclusive: bool = True) -> DataFrame:
+    """Running sums over a total order of the whole table, without a single-
+    task window: range-partition on the order, sum each partition, turn the
+    (one row per partition) totals into offsets, then add a per-partition
+    running sum.  ``sum_cols`` maps output name → column to sum.  Rows with
+    equal order values should be pre-aggregated (ties have no defined order)."""
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    d = df.repartitionByRange(n, *order_cols).withColumn("__pid", F.spark_partition_id())
+    tot = d.groupBy("__pid").agg(*[F.sum(c).alias(f"__t_{o}") for o, c in sum_cols.items()])
+    wo = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    off = tot.select("__pid", *[F.coalesce(F.sum(f"__t_{o}").over(wo), F.lit(0)).alias(f"__o_{o}")
+                                for o in sum_cols])
+    d = d.join(F.broadcast(off), "__pid", "left")  # one row per partition
+    wp = Window.partitionBy("__pid").orderBy(*order_cols)
+    wp = wp.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    for o, c in sum_cols.items():
+        d = d.withColumn(o, F.col(f"__o_{o}") + F.coalesce(F.sum(c).over(wp), F.lit(0)))
+    return d.drop("__pid", *[f"__o_{o}" for o in sum_cols])
+
+
+def global_row_number(df: DataFrame, order_cols: list[str], name: str = "rn",
+                      num_partitions: int | None = None) -> DataFrame:
+    """ROW_NUMBER() OVER (ORDER BY order_cols) for the whole table, distributed."""
+    d = df.withColumn("__one", F.lit(1).cast("long"))
+    return global_cumsum(d, order_cols, {name: "__one"}, num_partitions).drop("__one")

@@ -1 +1,114 @@
-"""placeholder"""
+"""Splits, labels and baseline models bound to ``documents`` + ``labels``.
+
+Features are derived per document by Spark (length, words, sentences,
+blocks, de-identification spans, share of upper-case letters and digits,
+language one-hot); the label is ``labels.quality``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from stayline.operators import models as MD
+from stayline.operators import notes as N
+from stayline.operators.splits import kfold, subject_split
+from stayline.plans.registry import register, rounded
+from stayline.sources.tables import table
+
+# The language categories for the one-hot features.
+LANGS = ("en", "de", "fr", "es")
+FEATURES = ["n_chars", "n_words", "n_sentences", "n_blocks", "n_deid", "upper_share", "digit_share"] + \
+    [f"lang_{x}" for x in LANGS]
+
+
+def doc_features(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id", "text", "lang", "n_chars")
+    t = F.col("text")
+    letters = F.length(F.regexp_replace(t, r"[^A-Za-z]", ""))
+    d = d.select(
+        "doc_id", F.col("n_chars").cast("double").alias("n_chars"),
+        F.size(F.split(F.trim(t), r"\s+")).cast("double").alias("n_words"),
+        F.size(N.sentences(t)).cast("double").alias("n_sentences"),
+        F.size(N.blocks(t)).cast("double").alias("n_blocks"),
+        F.size(N.deid_spans(t)).cast("double").alias("n_deid"),
+        F.when(letters > 0, F.length(F.regexp_replace(t, r"[^A-Z]", "")) / letters).otherwise(0.0).alias("upper_share"),
+        F.when(F.length(t) > 0, F.length(F.regexp_replace(t, r"[^0-9]", "")) / F.length(t)).otherwise(0.0)
+        .alias("digit_share"),
+        *[F.when(F.col("lang") == x, 1.0).otherwise(0.0).alias(f"lang_{x}") for x in LANGS])
+    lab = table(spark, sf, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
+    return d.join(lab, "doc_id", "inner")
+
+
+def split_docs(spark, sf):
+    return subject_split(doc_features(spark, sf), "doc_id", seed=7, strata="label")
+
+
+@register("doc_split")
+def q_doc_split(spark, sf):
+    """Exact stratified 70/10/20 split of labelled documents by hashed id."""
+    return split_docs(spark, sf).select("doc_id", "label", "split")
+
+
+@register("doc_folds")
+def q_doc_folds(spark, sf):
+    """Grouped 5-fold assignment."""
+    return kfold(doc_features(spark, sf).select("doc_id", "label"), "doc_id", 5, seed=3)
+
+
+@register("class_weights", """
+WITH c AS (SELECT CAST(quality AS DOUBLE) AS label, count(*) AS nc FROM labels JOIN documents USING (doc_id) GROUP BY 1),
+t AS (SELECT sum(nc) AS n, count(*) AS k FROM c)
+SELECT label, round(n / (k * nc), 6) AS weight FROM c, t""")
+def q_class_weights(spark, sf):
+    """Balanced class weights n / (k · n_c)."""
+    w = MD.class_weights(doc_features(spark, sf).select("label"), "label")
+    return rounded(w.distinct())
+
+
+@register("auroc_exact", """
+WITH s AS (SELECT d.n_chars AS score, l.quality AS y FROM documents d JOIN labels l USING (doc_id)),
+g AS (SELECT score, sum(y) AS p, sum(1 - y) AS n FROM s GROUP BY score),
+c AS (SELECT *, coalesce(sum(n) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb FROM g)
+SELECT round(sum(p * (nb + 0.5 * n)) / (sum(p) * sum(n)), 6) AS auroc, CAST(sum(p) AS BIGINT) AS n_pos,
+       CAST(sum(n) AS BIGINT) AS n_neg FROM c""")
+def q_auroc_exact(spark, sf):
+    """Exact AUROC of document length as a quality score (rank-sum form)."""
+    d = table(spark, sf, "documents").select("doc_id", F.col("n_chars").alias("score"))
+    lab = table(spark, sf, "labels").select("doc_id", F.col("quality").alias("y"))
+    return rounded(MD.exact_auroc(d.join(lab, "doc_id"), "score", "y"))
+
+
+def _fit_eval(spark, sf, kind, **params):
+    d = split_docs(spark, sf)
+    train = d.filter(F.col("split") != "test")
+    test = d.filter(F.col("split") == "test")
+    model = MD.fit_classifier(train, FEATURES, kind, seed=11, **params)
+    return model, model.transform(test)
+
+
+@register("model_logreg")
+def q_model_logreg(spark, sf):
+    """M10 + M16: logistic regression, test-split metrics."""
+    _, pred = _fit_eval(spark, sf, "logreg")
+    return MD.binary_metrics(pred)
+
+
+@register("model_forest")
+def q_model_forest(spark, sf):
+    """M11 + M17: random forest feature importances."""
+    model, _ = _fit_eval(spark, sf, "forest", numTrees=50)
+    return spark.createDataFrame(MD.feature_importance(model, FEATURES), "feature string, importance double")
+
+
+@register("model_gbt")
+def q_model_gbt(spark, sf):
+    """M12 + M16: gradient-boosted trees, confusion matrix on the test split."""
+    _, pred = _fit_eval(spark, sf, "gbt", maxIter=30)
+    return MD.confusion(pred)
+
+
+@register("model_mlp")
+def q_model_mlp(spark, sf):
+    """M14 + M16: one-hidden-layer perceptron, test-split metrics."""
+    _, pred = _fit_eval(spark, sf, "mlp", hidden=8, maxIter=100)
+    return MD.binary_metrics(pred)
