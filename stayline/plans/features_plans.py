@@ -227,3 +227,172 @@ def q_blood_gas(spark, sf):
         F.when(prob > SC.SPECIMEN_THRESHOLD, F.lit("ART.")).alias("specimen_pred"),
         SC.aado2(F.col("po2"), F.col("pco2"), none, F.col("fio2_chartevents")).alias("aado2_calc"),
         SC.pf_ratio(F.col("po2"), none, F.col("fio2_chartevents")).alias("pao2fio2ratio")))
+
+
+# ------------------------------------------------------------- D23 design matrix
+DM_W, DM_W_EXTRA = 4, 24
+DM_VARS = ("click_mean", "view_mean")
+
+
+def design_matrix(grid, targets, stay: str, cols, w: int = DM_W, w_extra: int = DM_W_EXTRA):
+    """Rows of hours t-(W+W_extra) .. t around each stay's target
+    hour t; ``early`` = more than W hours before t.  first/last over the
+    whole window → ``_first_early``/``_last_early``; over the late part →
+    ``_first``, ``_last``, ``_min``, ``_max``, ``_sum`` (sum of nothing = 0).
+    One range-filtered join and one aggregation."""
+    m = w + w_extra
+    d = grid.join(targets, stay).filter(F.col("hours_in").between(F.col("t") - m, F.col("t")))
+    late = (F.col("t") - F.col("hours_in")) <= w
+    aggs = []
+    for c in cols:
+        nn = F.col(c).isNotNull()
+        aggs += [F.min_by(F.col(c), F.when(nn & late, F.col("hours_in"))).alias(f"{c}_first"),
+                 F.min_by(F.col(c), F.when(nn, F.col("hours_in"))).alias(f"{c}_first_early"),
+                 F.max_by(F.col(c), F.when(nn & late, F.col("hours_in"))).alias(f"{c}_last"),
+                 F.max_by(F.col(c), F.when(nn, F.col("hours_in"))).alias(f"{c}_last_early"),
+                 F.min(F.when(late, F.col(c))).alias(f"{c}_min"), F.max(F.when(late, F.col(c))).alias(f"{c}_max"),
+                 F.coalesce(F.sum(F.when(late, F.col(c))), F.lit(0.0)).alias(f"{c}_sum")]
+    return d.groupBy(stay).agg(*aggs)
+
+
+def _dm_sql() -> str:
+    m = DM_W + DM_W_EXTRA
+    cols = []
+    for c in DM_VARS:
+        late = f"(t - hours_in) <= {DM_W}"
+        cols += [f"round(arg_min({c}, hours_in) FILTER (WHERE {c} IS NOT NULL AND {late}), 6) AS {c}_first",
+                 f"round(arg_min({c}, hours_in) FILTER (WHERE {c} IS NOT NULL), 6) AS {c}_first_early",
+                 f"round(arg_max({c}, hours_in) FILTER (WHERE {c} IS NOT NULL AND {late}), 6) AS {c}_last",
+                 f"round(arg_max({c}, hours_in) FILTER (WHERE {c} IS NOT NULL), 6) AS {c}_last_early",
+                 f"round(min({c}) FILTER (WHERE {late}), 6) AS {c}_min",
+                 f"round(max({c}) FILTER (WHERE {late}), 6) AS {c}_max",
+                 f"round(coalesce(sum({c}) FILTER (WHERE {late}), 0.0), 6) AS {c}_sum"]
+    return EP.SQL_WIDE + f""",
+tg AS (SELECT user_id, max_hours // 2 AS t FROM s)
+SELECT w.user_id, {', '.join(cols)}
+FROM w JOIN tg USING (user_id) WHERE w.hours_in BETWEEN t - {m} AND t GROUP BY w.user_id"""
+
+
+@register("design_matrix", _dm_sql())
+def q_design_matrix(spark, sf):
+    """D23 (M09, J17): look-back design matrix at the middle hour of every stay."""
+    w, s = EP.wide_grid(spark, sf)
+    targets = s.select("user_id", F.floor(F.col("max_hours") / 2).cast("bigint").alias("t"))
+    return rounded(design_matrix(w, targets, "user_id", DM_VARS))
+
+
+def random_times(stays, stay: str, end_hours: str, death_hours: str | None = None, t_before: float | None = None,
+                 seed: int = 111, name: str = "t"):
+    """Window end drawn uniformly in [0, end - T) per stay (floor,
+    negatives → 0), end = discharge or earlier death; the draw is a hash of
+    (stay, seed) so it never depends on partitioning."""
+    end = F.col(end_hours)
+    if death_hours is not None:
+        end = F.when(F.col(death_hours).isNotNull() & (F.col(death_hours) < end), F.col(death_hours)).otherwise(end)
+    span = end - F.lit(t_before) if t_before is not None else end
+    t = F.floor(uniform(seed, stay) * span)
+    return stays.withColumn(name, F.greatest(t, F.lit(0)).cast("bigint"))
+
+
+@register("random_design_matrix")
+def q_random_design_matrix(spark, sf):
+    """D23 (M08, F32, F33): design matrix at a random hour ≥ 6 h before the end
+    of each stay (death = first error event, if earlier)."""
+    w, s = EP.wide_grid(spark, sf)
+    ev = EP.events(spark, sf)
+    first_err = ev.filter(F.col("event_type") == "error").groupBy("user_id").agg(F.min("ts").alias("__d"))
+    st = s.join(first_err, "user_id", "left").select(
+        "user_id", F.col("max_hours").cast("double").alias("end_h"),
+        (F.timestamp_diff("MICROSECOND", F.col("intime"), F.col("__d")) / HOUR_US).alias("death_h"))
+    tg = random_times(st, "user_id", "end_h", "death_h", t_before=6.0).select("user_id", "t")
+    return rounded(design_matrix(w, tg, "user_id", DM_VARS).join(tg, "user_id"))
+
+
+# ------------------------------------------------------------- D29 task table
+TASK_WINDOW, TASK_GAP = 24, 6
+
+
+def _task_sql() -> str:
+    imp = ("round(coalesce(last_value(click_mean IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY hours_in "
+           "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), avg(click_mean) OVER (PARTITION BY user_id), "
+           "(SELECT avg(click_mean) FROM x24)), 6)")
+    piv = ", ".join(f"max(v) FILTER (WHERE hours_in = {h}) AS click_mean_h{h}" for h in range(TASK_WINDOW))
+    return EP.SQL_WIDE + f""",
+el AS (SELECT user_id, max_hours, intime FROM s WHERE max_hours > {TASK_WINDOW + TASK_GAP}),
+x24 AS (SELECT w.user_id, w.hours_in, w.click_mean FROM w JOIN el USING (user_id) WHERE w.hours_in < {TASK_WINDOW}),
+imp AS (SELECT user_id, hours_in, {imp} AS v FROM x24)
+SELECT imp.user_id, CAST(CASE WHEN el.max_hours / 24.0 > 3 THEN 1 ELSE 0 END AS INTEGER) AS los_3,
+       CAST(CASE WHEN el.max_hours / 24.0 > 7 THEN 1 ELSE 0 END AS INTEGER) AS los_7,
+       CAST(hour(el.intime) AS INTEGER) AS abs_hour0, {piv}
+FROM imp JOIN el USING (user_id) GROUP BY imp.user_id, el.max_hours, el.intime"""
+
+
+@register("task_table", _task_sql())
+def q_task_table(spark, sf):
+    """D29 (P16, F29, M06, A32, F09): eligible stays (> 24 + 6 h), first 24 h
+    imputed and flattened hour by hour, LOS > 3 / > 7 day labels."""
+    w, s = EP.wide_grid(spark, sf)
+    el = s.filter(F.col("max_hours") > TASK_WINDOW + TASK_GAP).select("user_id", "max_hours", "intime")
+    x = w.join(el.select("user_id"), "user_id", "left_semi").filter(F.col("hours_in") < TASK_WINDOW)
+    imp = simple_impute(x.select("user_id", "hours_in", "click_mean", "click_count"), ["user_id"], ["click"])
+    piv = imp.groupBy("user_id").agg(*[F.max(F.when(F.col("hours_in") == h, F.col("click_mean")))
+                                       .alias(f"click_mean_h{h}") for h in range(TASK_WINDOW)])
+    los = F.col("max_hours") / 24.0
+    out = piv.join(el, "user_id").select(
+        "user_id", F.when(los > 3, 1).otherwise(0).cast("int").alias("los_3"),
+        F.when(los > 7, 1).otherwise(0).cast("int").alias("los_7"),
+        F.hour("intime").cast("int").alias("abs_hour0"), *[f"click_mean_h{h}" for h in range(TASK_WINDOW)])
+    return rounded(out)
+
+
+# ------------------------------------------------------------- D22 modelling table
+@register("model_table", EP.SQL_IND + """,
+a AS (SELECT user_id, count(*) AS n_events, round(avg(value), 6) AS mean_value FROM events GROUP BY user_id),
+ns AS (SELECT user_id, ts AS charttime, CASE WHEN event_type IN ('purchase', 'click') THEN 1 ELSE 0 END AS flag FROM events),
+vd0 AS (SELECT user_id, charttime, flag,
+               CASE WHEN flag = 1 THEN lag(charttime) OVER (PARTITION BY user_id, flag ORDER BY charttime) END AS lagt FROM ns),
+vd1 AS (SELECT *, CASE WHEN charttime - lagt > INTERVAL 8 HOUR THEN 1 ELSE 0 END AS newvent FROM vd0),
+vd2 AS (SELECT *, CASE WHEN flag = 1 THEN sum(newvent) OVER (PARTITION BY user_id ORDER BY charttime) END AS vn FROM vd1),
+ss AS (SELECT user_id, vn, date_diff('microsecond', min(charttime), max(charttime)) / 3600000000.0 AS h
+       FROM vd2 GROUP BY user_id, vn HAVING min(charttime) != max(charttime) AND max(flag) = 1),
+b AS (SELECT user_id, count(*) AS n_sessions, round(sum(h), 6) AS session_hours FROM ss GROUP BY user_id),
+c AS (SELECT user_id, sum(purchase_on) AS purchase_hours, count(*) AS n_hours FROM ind GROUP BY user_id)
+SELECT * FROM a JOIN b USING (user_id) JOIN c USING (user_id)""")
+def q_model_table(spark, sf):
+    """D22 (J11, A08, A34): N-way inner join of per-stay feature tables on the stay key."""
+    from functools import reduce
+    ev = EP.events(spark, sf)
+    a = ev.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_events"), F.avg("value").alias("mean_value"))
+    sess = gap_sessions(ev.withColumn("flag", F.when(F.col("event_type").isin(*EP.SESSION_TYPES), 1).otherwise(0)),
+                        "user_id", "ts", "flag", 8.0)
+    b = sess.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_sessions"), F.sum("duration_hours").alias("session_hours"))
+    c = EP.indicator_grid(spark, sf).groupBy("user_id").agg(F.sum("purchase_on").cast("long").alias("purchase_hours"),
+                                                              F.count(F.lit(1)).alias("n_hours"))
+    return rounded(reduce(lambda x, y: x.join(y, "user_id", "inner"), [a, b, c]))
+
+
+# ------------------------------------------------------------- U01 / P05 / S19
+@register("measurement_union", """
+WITH chart AS (SELECT user_id, ts, event_type, value FROM events WHERE event_type <> 'error'),
+lab AS (SELECT DISTINCT user_id, ts, event_type, value FROM events
+        WHERE event_type = 'error' AND value IS DISTINCT FROM 0),
+u AS (SELECT * FROM chart UNION ALL SELECT * FROM lab)
+SELECT event_type, count(*) AS n, round(avg(value), 6) AS mean FROM u GROUP BY event_type""")
+def q_measurement_union(spark, sf):
+    """U01 (P05): chart rows UNION ALL de-duplicated lab rows (null-safe exclusion)."""
+    ev = EP.events(spark, sf).select("user_id", "ts", "event_type", "value")
+    chart = ev.filter(F.col("event_type") != "error")
+    lab = ev.filter((F.col("event_type") == "error") & ~F.col("value").eqNullSafe(0)).distinct()
+    u = chart.unionByName(lab)
+    return rounded(u.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean")))
+
+
+@register("seen_items", """
+SELECT p_partkey, p_name, p_brand FROM part
+WHERE p_partkey IN (SELECT l_partkey FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE o_orderstatus = 'F')""")
+def q_seen_items(spark, sf):
+    """S19 (S04): the item dictionary restricted to items seen in the cohort's events (semi join)."""
+    o = table(spark, sf, "orders").filter(F.col("o_orderstatus") == "F").select(F.col("o_orderkey").alias("l_orderkey"))
+    seen = table(spark, sf, "lineitem").select("l_orderkey", F.col("l_partkey").alias("p_partkey")) \
+        .join(o, "l_orderkey", "left_semi").select("p_partkey")
+    return table(spark, sf, "part").select("p_partkey", "p_name", "p_brand").join(seen, "p_partkey", "left_semi")
