@@ -10,10 +10,28 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 200_000
 
 
+def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """True when ``df`` provably holds at most ``max_rows`` rows."""
+    n = getattr(df, "_stayline_rows", None)
+    if n is None:
+        n = df.limit(max_rows + 1).count()
+    return n <= max_rows
+
+
 def small_dim(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Broadcast-hint ``df`` if it holds at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows, so it is cheap for real
-    dimension tables and bounded for anything else."""
-    n = df.limit(max_rows + 1).count()
+    Tables built from local data carry their exact row count (no job);
+    otherwise the check reads at most ``max_rows + 1`` rows, so it is cheap
+    for real dimension tables and bounded for anything else."""
+    n = getattr(df, "_stayline_rows", None)
+    if n is None:
+        n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def local_dim(spark, rows: list, schema: str) -> DataFrame:
+    """A parameter table from local rows; its size is known exactly."""
+    df = spark.createDataFrame(rows, schema)
+    df._stayline_rows = len(rows)
+    return df

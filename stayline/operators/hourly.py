@@ -15,7 +15,7 @@ from stayline.functions.numbers import nan_to_null, to_number
 from stayline.functions.ranges import apply_variable_limits
 from stayline.functions.timefns import floor_hours, hours_in
 from stayline.functions.units import standardize_units
-from stayline.operators.dims import small_dim
+from stayline.operators.dims import is_small
 
 ID_COLS = ["subject_id", "hadm_id", "icustay_id"]
 ITEM_COLS = ["itemid", "label", "LEVEL1", "LEVEL2"]
@@ -61,10 +61,12 @@ def prepare_measurements(X: DataFrame, stays: DataFrame, var_map: DataFrame | No
     x = x.filter(F.col("hours_in") <= F.col("max_hours"))
     if var_map is not None:
         vm = var_map.select(F.col("ITEMID").cast("string").alias("__item"), "LEVEL1", "LEVEL2")
-        x = x.join(small_dim(vm), F.col("itemid").cast("string") == F.col("__item"), "left").drop("__item")
+        vm = F.broadcast(vm) if is_small(var_map) else vm
+        x = x.join(vm, F.col("itemid").cast("string") == F.col("__item"), "left").drop("__item")
     if items is not None:
         it = items.select(F.col("itemid").cast("string").alias("__item"), "label")
-        x = x.join(small_dim(it), F.col("itemid").cast("string") == F.col("__item"), "left").drop("__item")
+        it = F.broadcast(it) if is_small(items) else it
+        x = x.join(it, F.col("itemid").cast("string") == F.col("__item"), "left").drop("__item")
     if apply_units and "LEVEL1" in x.columns:
         unit = F.col("valueuom") if "valueuom" in x.columns else F.lit(None).cast("string")
         x = x.withColumn("value", standardize_units(F.col("value"), F.col("LEVEL1"), unit))

@@ -15,6 +15,7 @@ from stayline.functions.ranges import cleaning_report
 from stayline.functions.timefns import add_hours, floor_hours
 from stayline.operators import hourly as H
 from stayline.operators.asof import asof_backward, value_at_hour
+from stayline.operators.dims import local_dim
 from stayline.operators.features import label_features
 from stayline.operators.impute import simple_impute
 from stayline.operators.intervals import bolus_intervals, hourly_indicators, interval_hours, next_start_end
@@ -55,11 +56,11 @@ def stays(ev: DataFrame) -> DataFrame:
 
 
 def ranges_df(spark) -> DataFrame:
-    return spark.createDataFrame(RANGES, RANGE_SCHEMA)
+    return local_dim(spark, RANGES, RANGE_SCHEMA)
 
 
 def var_map(spark) -> DataFrame:
-    return spark.createDataFrame([(v, v, v) for v in VARIABLES], "ITEMID string, LEVEL1 string, LEVEL2 string")
+    return local_dim(spark, [(v, v, v) for v in VARIABLES], "ITEMID string, LEVEL1 string, LEVEL2 string")
 
 
 def measurements(spark, sf, clean: bool = True) -> tuple[DataFrame, DataFrame]:

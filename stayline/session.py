@@ -17,6 +17,10 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Small inputs: keep post-shuffle parallelism at the core count instead of
+    # merging tiny partitions into one or two tasks.  Large inputs are not
+    # affected (their partitions are far above this size).
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
 }
 
 
