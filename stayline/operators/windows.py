@@ -96,3 +96,27 @@ def to_sequence(grid: DataFrame, stay: str, cols: list[str], max_len: int | None
             padded = F.concat(F.col(c), F.array_repeat(F.lit(pad).cast("double"), F.lit(max_len)))
             out = out.withColumn(c, F.slice(padded, 1, max_len))
     return out
+
+
+def sample_windows(grid: DataFrame, stay: str, cols: list[str], size: int = 6) -> DataFrame:
+    """Per stay and start hour, the next ``size`` hourly values of each column
+    as arrays (the X part of a sliding sample)."""
+    w = Window.partitionBy(stay).orderBy("hours_in").rowsBetween(0, size - 1)
+    out = grid.select(stay, F.col("hours_in").alias("start_hour"),
+                      *[F.collect_list(c).over(w).alias(f"{c}_win") for c in cols])
+    return out
+
+
+def one_hot_label(df: DataFrame, label: str, n_classes: int, prefix: str = "label_") -> DataFrame:
+    """class id → indicator columns."""
+    for k in range(n_classes):
+        df = df.withColumn(f"{prefix}{k}", (F.col(label) == k).cast("int"))
+    return df
+
+
+def flatten_sample(static_cols: list[str], array_cols: list[str]) -> Column:
+    """Static values once, then every windowed series, as one ML vector."""
+    from pyspark.ml.functions import array_to_vector
+    parts = [F.array(*[F.col(c).cast("double") for c in static_cols])] + \
+        [F.transform(F.col(c), lambda x: x.cast("double")) for c in array_cols]
+    return array_to_vector(F.concat(*parts))

@@ -19,7 +19,7 @@ from stayline.operators.dims import local_dim
 from stayline.operators.features import label_features
 from stayline.operators.impute import simple_impute
 from stayline.operators.intervals import bolus_intervals, hourly_indicators, interval_hours, next_start_end
-from stayline.operators.sessions import gap_sessions
+from stayline.operators.sessions import flag_any, gap_sessions
 from stayline.operators import stats as S
 from stayline.operators.windows import binary_labels, rolling_lookback, to_sequence, transition_labels
 from stayline.plans.registry import register, rounded
@@ -219,7 +219,8 @@ def q_sparse_variables(spark, sf):
 
 @register("gap_sessions", """
 WITH ns AS (SELECT user_id, ts AS charttime,
-                   CASE WHEN event_type IN ('purchase', 'click') THEN 1 ELSE 0 END AS flag FROM events),
+                   max(CASE WHEN event_type IN ('purchase', 'click') THEN 1 ELSE 0 END) AS flag
+            FROM events GROUP BY user_id, ts),
 vd0 AS (SELECT user_id, charttime, flag,
                CASE WHEN flag = 1 THEN lag(charttime) OVER (PARTITION BY user_id, flag ORDER BY charttime) END AS lagt
         FROM ns),
@@ -233,9 +234,11 @@ SELECT user_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY vn) AS INT
 FROM vd2 GROUP BY user_id, vn
 HAVING min(charttime) != max(charttime) AND max(flag) = 1""")
 def q_gap_sessions(spark, sf):
-    """D09 (A31, W03, W04, A06, W05, F04): sessions of flagged events split by gaps > 8 h."""
-    ev = events(spark, sf).withColumn("flag", F.when(F.col("event_type").isin(*SESSION_TYPES), 1).otherwise(0))
-    return rounded(gap_sessions(ev, STAY, "ts", "flag", 8.0))
+    """D09 (A31, W03, W04, A06, W05, F04): a therapy flag per time point
+    (MAX over its rows), then sessions of flagged points split by gaps > 8 h."""
+    ev = events(spark, sf)
+    pts = flag_any(ev, [STAY, "ts"], {"session": F.col("event_type").isin(*SESSION_TYPES)})
+    return rounded(gap_sessions(pts, STAY, "ts", "flag", 8.0))
 
 
 _IND = [f"{t}_on" for t in INTERVAL_TYPES] + [f"{BOLUS_TYPE}_bolus"]

@@ -396,3 +396,75 @@ def q_seen_items(spark, sf):
     seen = table(spark, sf, "lineitem").select("l_orderkey", F.col("l_partkey").alias("p_partkey")) \
         .join(o, "l_orderkey", "left_semi").select("p_partkey")
     return table(spark, sf, "part").select("p_partkey", "p_name", "p_brand").join(seen, "p_partkey", "left_semi")
+
+
+# ------------------------------------------------------------- M18 duration sweep
+SWEEP_HOURS = (8, 24, 48, 72, 96, 120, 144)
+
+
+@register("duration_sweep", EP._with(EP.SQL_STAYS) + """
+SELECT s.user_id, """ + ", ".join(
+    f"count(e.value) FILTER (WHERE e.ts <= s.intime + INTERVAL {d} HOUR) AS n_{d}h, "
+    f"round(avg(e.value) FILTER (WHERE e.ts <= s.intime + INTERVAL {d} HOUR), 6) AS mean_{d}h"
+    for d in SWEEP_HOURS) + """
+FROM s JOIN events e ON e.user_id = s.user_id AND e.ts >= s.intime - INTERVAL 6 HOUR
+ AND e.ts <= s.intime + INTERVAL """ + str(max(SWEEP_HOURS)) + """ HOUR
+GROUP BY s.user_id""")
+def q_duration_sweep(spark, sf):
+    """Features for observation windows of 8 … 144 h in ONE scan — the
+    widest window is joined once and each duration is a conditional aggregate."""
+    ev = EP.events(spark, sf)
+    s = EP.stays(ev).select("user_id", "intime")
+    d = ev.join(s, "user_id").filter(F.col("ts").between(add_hours("intime", -6), add_hours("intime", max(SWEEP_HOURS))))
+    aggs = []
+    for h in SWEEP_HOURS:
+        v = F.when(F.col("ts") <= add_hours("intime", h), F.col("value"))
+        aggs += [F.count(v).alias(f"n_{h}h"), F.avg(v).alias(f"mean_{h}h")]
+    return rounded(d.groupBy("user_id").agg(*aggs))
+
+
+# ------------------------------------------------------------- D26 / J25 wide durations
+DURATION_TYPES = ("purchase", "error", "signup", "view")
+
+
+@register("wide_durations", EP._with(EP.SQL_STAYS) + """,
+nx AS (SELECT user_id, event_type, ts,
+              coalesce(lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id), ts) AS nts FROM events),
+du AS (SELECT user_id, event_type, sum(date_diff('microsecond', ts, nts)) / 3600000000.0 AS h FROM nx GROUP BY user_id, event_type)
+SELECT s.user_id, """ + ", ".join(f"round(d_{t}.h, 6) AS {t}_hours" for t in DURATION_TYPES) + """
+FROM s """ + " ".join(f"LEFT JOIN (SELECT user_id, h FROM du WHERE event_type = '{t}') d_{t} ON d_{t}.user_id = s.user_id"
+                      for t in DURATION_TYPES))
+def q_wide_durations(spark, sf):
+    """Per-stay total duration of each interval type, attached by a
+    chain of left joins (stays without that type keep NULL)."""
+    from functools import reduce
+    from stayline.operators.intervals import next_start_end
+    ev = EP.events(spark, sf).select("user_id", "event_id", "event_type", "ts")
+    nx = next_start_end(ev, ["user_id"], "ts", tiebreak=["event_id"], name="nts")
+    du = nx.groupBy("user_id", "event_type").agg(
+        (F.sum(F.timestamp_diff("MICROSECOND", F.col("ts"), F.col("nts"))) / HOUR_US).alias("h"))
+    s = EP.stays(EP.events(spark, sf)).select("user_id")
+    parts = [du.filter(F.col("event_type") == t).select("user_id", F.col("h").alias(f"{t}_hours")) for t in DURATION_TYPES]
+    return rounded(reduce(lambda a, b: a.join(b, "user_id", "left"), parts, s))
+
+
+# ------------------------------------------------------------- J16 collapse events
+@register("collapse_events", """
+WITH c AS (SELECT user_id, ts, value AS click FROM events WHERE event_type = 'click'),
+v AS (SELECT user_id, ts, value AS view FROM events WHERE event_type = 'view'),
+p AS (SELECT user_id, ts, value AS purchase FROM events WHERE event_type = 'purchase'),
+k AS (SELECT user_id, ts FROM c UNION SELECT user_id, ts FROM v UNION SELECT user_id, ts FROM p)
+SELECT k.user_id, k.ts, round(max(c.click), 6) AS click, round(max(v.view), 6) AS view, round(max(p.purchase), 6) AS purchase
+FROM k LEFT JOIN c USING (user_id, ts) LEFT JOIN v USING (user_id, ts) LEFT JOIN p USING (user_id, ts)
+GROUP BY k.user_id, k.ts""")
+def q_collapse_events(spark, sf):
+    """Several event tables merged on (stay, time) — as one union and one
+    aggregation instead of a chain of outer joins."""
+    ev = EP.events(spark, sf)
+    tabs = {t: ev.filter(F.col("event_type") == t).select("user_id", "ts", F.col("value").alias(t))
+            for t in ("click", "view", "purchase")}
+    u = None
+    for t, d in tabs.items():
+        d = d.select("user_id", "ts", F.lit(t).alias("__t"), F.col(t).alias("__v"))
+        u = d if u is None else u.unionByName(d)
+    return rounded(u.groupBy("user_id", "ts").agg(*[F.max(F.when(F.col("__t") == t, F.col("__v"))).alias(t) for t in tabs]))

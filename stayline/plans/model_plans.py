@@ -78,8 +78,20 @@ def q_auroc_exact(spark, sf):
     return rounded(MD.exact_auroc(d.join(lab, "doc_id"), "score", "y"))
 
 
-def _fit_eval(spark, sf, kind, **params):
-    d = split_docs(spark, sf)
+def _persisted_split(spark, sf):
+    """Iterative learners read their input many times: keep the (derived,
+    labelled, split) table in memory/disk for the duration of one fit."""
+    from pyspark import StorageLevel
+    return split_docs(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _local(df):
+    """Materialise a tiny result so the persisted inputs can be released."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+
+
+def _fit_eval(spark, sf, kind, d=None, **params):
+    d = d if d is not None else split_docs(spark, sf)
     train = d.filter(F.col("split") != "test")
     test = d.filter(F.col("split") == "test")
     model = MD.fit_classifier(train, FEATURES, kind, seed=11, **params)
@@ -89,26 +101,109 @@ def _fit_eval(spark, sf, kind, **params):
 @register("model_logreg")
 def q_model_logreg(spark, sf):
     """M10 + M16: logistic regression, test-split metrics."""
-    _, pred = _fit_eval(spark, sf, "logreg")
-    return MD.binary_metrics(pred)
+    d = _persisted_split(spark, sf)
+    try:
+        _, pred = _fit_eval(spark, sf, "logreg", d)
+        return MD.binary_metrics(pred)
+    finally:
+        d.unpersist()
 
 
 @register("model_forest")
 def q_model_forest(spark, sf):
     """M11 + M17: random forest feature importances."""
-    model, _ = _fit_eval(spark, sf, "forest", numTrees=50)
-    return spark.createDataFrame(MD.feature_importance(model, FEATURES), "feature string, importance double")
+    d = _persisted_split(spark, sf)
+    try:
+        model, _ = _fit_eval(spark, sf, "forest", d, numTrees=50)
+        return spark.createDataFrame(MD.feature_importance(model, FEATURES), "feature string, importance double")
+    finally:
+        d.unpersist()
 
 
 @register("model_gbt")
 def q_model_gbt(spark, sf):
     """M12 + M16: gradient-boosted trees, confusion matrix on the test split."""
-    _, pred = _fit_eval(spark, sf, "gbt", maxIter=30)
-    return MD.confusion(pred)
+    d = _persisted_split(spark, sf)
+    try:
+        _, pred = _fit_eval(spark, sf, "gbt", d, maxIter=30)
+        return _local(MD.confusion(pred))
+    finally:
+        d.unpersist()
 
 
 @register("model_mlp")
 def q_model_mlp(spark, sf):
     """M14 + M16: one-hidden-layer perceptron, test-split metrics."""
-    _, pred = _fit_eval(spark, sf, "mlp", hidden=8, maxIter=100)
-    return MD.binary_metrics(pred)
+    d = _persisted_split(spark, sf)
+    try:
+        _, pred = _fit_eval(spark, sf, "mlp", d, hidden=8, maxIter=100)
+        return MD.binary_metrics(pred)
+    finally:
+        d.unpersist()
+
+
+@register("transition_samples")
+def q_transition_samples(spark, sf):
+    """D30 (W10, M06, M19, F27): labelled sliding samples with imputed feature
+    windows and the intervention window flattened into one vector."""
+    from stayline.operators.impute import simple_impute
+    from stayline.operators.windows import flatten_sample, one_hot_label, sample_windows, transition_labels
+    from stayline.plans import events_plans as EP
+    ind = EP.indicator_grid(spark, sf)
+    w, s = EP.wide_grid(spark, sf)
+    imp = simple_impute(w.select("user_id", "hours_in", "click_mean", "click_count"), ["user_id"], ["click"])
+    g = ind.join(imp, ["user_id", "hours_in"])
+    lab = transition_labels(g, "user_id", "purchase_on", keep_window=False)
+    win = sample_windows(g, "user_id", ["click_mean", "purchase_on"], 6)
+    st = EP.events(spark, sf).groupBy("user_id").agg(F.count(F.lit(1)).alias("n_events"))
+    d = lab.join(win, ["user_id", "start_hour"]).join(st, "user_id")
+    d = one_hot_label(d, "label", 4)
+    return d.select("user_id", "start_hour", "label", *[f"label_{k}" for k in range(4)],
+                    flatten_sample(["n_events"], ["click_mean_win", "purchase_on_win"]).alias("features"))
+
+
+@register("model_lasso")
+def q_model_lasso(spark, sf):
+    """M13 (M04 folds): L1 regression with the penalty picked by 5-fold CV."""
+    d = _persisted_split(spark, sf)
+    try:
+        cv = MD.lasso_cv(d.filter(F.col("split") != "test"), FEATURES, "label", folds=3, seed=5)
+        best = cv.bestModel.stages[-1]
+        nz = int(sum(1 for v in best.coefficients.toArray() if abs(v) > 0))
+        return spark.createDataFrame([(float(best.getRegParam()), float(min(cv.avgMetrics)), nz)],
+                                     "reg_param double, cv_rmse double, n_nonzero int")
+    finally:
+        d.unpersist()
+
+
+@register("model_search")
+def q_model_search(spark, sf):
+    """Random hyper-parameter search on dev AUROC, refit on train + dev, test metrics."""
+    d = _persisted_split(spark, sf)
+    try:
+        train, dev, test = (d.filter(F.col("split") == x) for x in ("train", "dev", "test"))
+        model, (auc, params) = MD.random_search(train, dev, FEATURES, "forest",
+                                                {"numTrees": [20, 50], "maxDepth": [3, 5, 8]}, n_iter=3, seed=2)
+        m = MD.binary_metrics(model.transform(test))
+        return _local(m.unionByName(spark.createDataFrame([("dev_auroc", float(auc))], "metric string, value double")))
+    finally:
+        d.unpersist()
+
+
+@register("missing_importance")
+def q_missing_importance(spark, sf):
+    """D32 (A15, M17, J26, W14, O06): feature importance joined with missing
+    shares, average-ranked, and the quadrant (missing ≥ 0.1, high rank) flagged."""
+    from stayline.operators import stats as S
+    d = _persisted_split(spark, sf)
+    try:
+        miss = S.null_counts(d, {c: c for c in FEATURES}).withColumnRenamed("variable", "feature")
+        n = d.count()
+        model, _ = _fit_eval(spark, sf, "forest", d, numTrees=30)
+        imp = spark.createDataFrame(MD.feature_importance(model, FEATURES), "feature string, importance double")
+        j = imp.join(miss, "feature").withColumn("missing_share", F.col("n_null") / F.lit(float(max(n, 1))))
+        j = S.average_rank(j, "importance", "importance_rank")
+        return _local(j.withColumn("quadrant", (F.col("missing_share") >= 0.1)
+                                   & (F.col("importance_rank") >= 0.65 * len(FEATURES))))
+    finally:
+        d.unpersist()

@@ -347,3 +347,85 @@ def q_conformed_orders(spark, sf):
     """Conform a table to a JSON schema spec (missing numeric fields → 0, cast, key order)."""
     o = table(spark, sf, "orders")
     return rounded(conform(o, schema_from_spec(ORDERS_SPEC), ORDERS_SPEC.get("primaryKey")))
+
+
+# The template parameters bound into the cohort SQL.
+TEMPLATE_PARAMS = {"min_age": 0.0, "unit": "AUTOMOBILE", "stay_table": "orders"}
+COHORT_SQL = """
+SELECT o.o_custkey AS subject_id, o.o_orderkey AS icustay_id, o.o_orderdate AS intime, c.c_acctbal AS age
+FROM IDENTIFIER(:stay_table) o JOIN customer c ON c.c_custkey = o.o_custkey
+WHERE c.c_mktsegment NOT LIKE :unit AND c.c_acctbal >= :min_age
+"""
+
+
+@register("templated_cohort", f"""
+SELECT o.o_custkey AS subject_id, o.o_orderkey AS icustay_id, o.o_orderdate AS intime, round(c.c_acctbal, 6) AS age
+FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
+WHERE c.c_mktsegment NOT LIKE '{TEMPLATE_PARAMS['unit']}' AND c.c_acctbal >= {TEMPLATE_PARAMS['min_age']}""")
+def q_templated_cohort(spark, sf):
+    """SQL text with bound named parameters over registered tables."""
+    from stayline.sources.querier import run_sql
+    tables = {"orders": table(spark, sf, "orders"), "customer": table(spark, sf, "customer")}
+    return rounded(run_sql(spark, COHORT_SQL, params=TEMPLATE_PARAMS, tables=tables))
+
+
+COHORT_LIMIT = 100
+
+
+@register("cohort_first_n", SQL_STATICS + f"""
+SELECT subject_id, icustay_id, intime, readmission_30 FROM cohort ORDER BY subject_id, icustay_id LIMIT {COHORT_LIMIT}""")
+def q_cohort_first_n(spark, sf):
+    """The ``ORDER BY subject_id LIMIT n`` sample cohort (a top-k; keys added for determinism)."""
+    from stayline.operators.cohort import first_rows
+    d = statics(spark, sf).select("subject_id", "icustay_id", "intime", "readmission_30")
+    return first_rows(d, ["subject_id", "icustay_id"], COHORT_LIMIT)
+
+
+@register("censor_hours", "WITH " + SQL_STAYS + """,
+cz AS (SELECT l_orderkey AS icustay_id, min(l_shipdate) FILTER (WHERE l_linestatus = 'O') AS censortime,
+              sum(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END) AS n_censor FROM lineitem GROUP BY l_orderkey)
+SELECT st2.icustay_id, CAST(CASE WHEN st2.o_orderstatus = 'F' THEN 1 ELSE 0 END AS INTEGER) AS hospital_expire_flag,
+  CAST(ceil(date_diff('microsecond', intime, dischtime) / 3600000000.0) AS BIGINT) AS dischtime_hours,
+  CAST(ceil(date_diff('microsecond', intime, deathtime) / 3600000000.0) AS BIGINT) AS deathtime_hours,
+  CAST(ceil(date_diff('microsecond', intime, censortime) / 3600000000.0) AS BIGINT) AS censortime_hours,
+  CAST(CASE WHEN n_censor > 0 THEN 1 ELSE 0 END AS INTEGER) AS censored
+FROM st2 LEFT JOIN cz USING (icustay_id)""")
+def q_censor_hours(spark, sf):
+    """Mortality label; discharge, death and earliest
+    censor times as ceil hours after entry; censor flag from a count > 0."""
+    from stayline.functions.timefns import ceil_hours
+    s = stays(spark, sf)
+    li = table(spark, sf, "lineitem")
+    o = F.col("l_linestatus") == "O"
+    cz = li.groupBy(F.col("l_orderkey").alias("icustay_id")).agg(
+        F.min(F.when(o, F.col("l_shipdate"))).alias("censortime"), F.sum(flag(o)).alias("n_censor"))
+    d = s.join(cz, "icustay_id", "left")
+    return d.select("icustay_id", flag(F.col("o_orderstatus") == "F").alias("hospital_expire_flag"),
+                    ceil_hours("intime", "dischtime").alias("dischtime_hours"),
+                    ceil_hours("intime", "deathtime").alias("deathtime_hours"),
+                    ceil_hours("intime", "censortime").alias("censortime_hours"),
+                    flag(F.col("n_censor") > 0).alias("censored"))
+
+
+@register("ttest_by_band", """
+WITH d AS (SELECT CASE WHEN c_acctbal / 100 > 0 AND c_acctbal / 100 < 45 THEN '0-45'
+                       WHEN c_acctbal / 100 > 45 AND c_acctbal / 100 < 65 THEN '45-65'
+                       WHEN c_acctbal / 100 > 65 AND c_acctbal / 100 < 90 THEN '65-90'
+                       WHEN c_acctbal / 100 > 90 AND c_acctbal / 100 < 500 THEN '90-500' END AS band,
+                  o.o_orderstatus AS g, o.o_totalprice / 1000.0 AS v
+           FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey WHERE o.o_orderstatus IN ('F', 'O')),
+m AS (SELECT band, count(v) FILTER (WHERE g = 'F') AS n_a, avg(v) FILTER (WHERE g = 'F') AS mean_a,
+             var_samp(v) FILTER (WHERE g = 'F') AS var_a, count(v) FILTER (WHERE g = 'O') AS n_b,
+             avg(v) FILTER (WHERE g = 'O') AS mean_b, var_samp(v) FILTER (WHERE g = 'O') AS var_b
+      FROM d GROUP BY band)
+SELECT band, n_a, round(mean_a, 6) AS mean_a, round(var_a, 6) AS var_a, n_b, round(mean_b, 6) AS mean_b,
+       round(var_b, 6) AS var_b,
+       round((mean_a - mean_b) / sqrt(((n_a - 1) * var_a + (n_b - 1) * var_b) / (n_a + n_b - 2) * (1.0 / n_a + 1.0 / n_b)), 6) AS t,
+       CAST(n_a + n_b - 2 AS DOUBLE) AS dof
+FROM m""")
+def q_ttest_by_band(spark, sf):
+    """D25 (F23, A27): the same comparison inside strict "age" bands (boundary values in no band)."""
+    o = table(spark, sf, "orders").select("o_custkey", "o_orderstatus", (F.col("o_totalprice") / 1000.0).alias("v"))
+    c = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"),
+                                            age_band_strict(F.col("c_acctbal") / 100).alias("band"))
+    return rounded(S.ttest_ind(o.join(c, "o_custkey"), "o_orderstatus", "v", "F", "O", by=["band"]))
