@@ -173,3 +173,8 @@ def save_numerics(stays: DataFrame, X: DataFrame, items: DataFrame | None, var_m
         stats = sparse_variable_stats(hourly_long(M, group_by_level2, id_cols), grid, min_percent)
         wide = drop_sparse(wide, stats)
     return wide
+
+
+def lower_columns(df: DataFrame) -> DataFrame:
+    """P20: lower-case every column label."""
+    return df.toDF(*[c.lower() for c in df.columns])

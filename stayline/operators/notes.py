@@ -220,3 +220,15 @@ def segment_notes(notes: DataFrame, key: str = "doc_id", text: str = "text") ->
 def note_sentences(segments: DataFrame, keys: list[str], text: str = "segment") -> DataFrame:
     """N07-N09 on each segment: (keys, sent_idx, sentence)."""
     return explode_indexed(segments, keys, sentences(F.col(text)), "sent_idx", "sentence")
+
+
+def notes_in_stays(notes: DataFrame, stays: DataFrame, join_key: str = "hadm_id") -> DataFrame:
+    """J23 + P08: notes joined to their stays, kept when the note's date OR its
+    time is not after the stay's end (a NULL in one side is tolerated); notes
+    marked as errors are dropped."""
+    d = notes.join(stays.select(join_key, "icustay_id", "outtime"), join_key, "inner")
+    if "iserror" in notes.columns:
+        d = d.filter(F.col("iserror").isNull())
+    bound = F.coalesce(F.col("chartdate") <= F.col("outtime"), F.lit(False)) | \
+        F.coalesce(F.col("charttime") <= F.col("outtime"), F.lit(False))
+    return d.filter(bound).drop("outtime")

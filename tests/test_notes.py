@@ -41,3 +41,14 @@ def test_sentence_split(spark):
     df = spark.createDataFrame([("Pt is stable. He ate.\nVitals - 120 over 80. USA trip. ",)], "t string")
     got = df.select(sentences(F.col("t"))).first()[0]
     assert got == ["Pt is stable.", "He ate.", "Vitals -", "120 over 80. USA trip."]  # no break before USA
+
+
+def test_notes_in_stays_time_bound(spark):
+    from datetime import datetime
+    from stayline.operators.notes import notes_in_stays
+    notes = spark.createDataFrame(
+        [(1, datetime(2100, 1, 1), None, None, "a"), (1, None, datetime(2100, 1, 3), None, "b"),
+         (1, datetime(2100, 1, 9), datetime(2100, 1, 9), None, "c"), (1, datetime(2100, 1, 1), None, 1, "d")],
+        "hadm_id long, chartdate timestamp_ntz, charttime timestamp_ntz, iserror int, text string")
+    stays = spark.createDataFrame([(1, 10, datetime(2100, 1, 5))], "hadm_id long, icustay_id long, outtime timestamp_ntz")
+    assert sorted(r.text for r in notes_in_stays(notes, stays).collect()) == ["a", "b"]
