@@ -105,22 +105,26 @@ def hourly_wide(M: DataFrame, grid: DataFrame, variables: list[str],
                 group_by_level2: bool = True, id_cols=ID_COLS) -> DataFrame:
     """Dense wide table: every grid hour, ``<v>_mean``, ``<v>_std``, ``<v>_count``.
 
-    Measurements and grid rows are unioned and aggregated once by
-    (stay, hour), so hours without data come out with count 0 and NULL
-    mean/std without a separate reindex join (J14 + F30)."""
-    m = (M.filter(_keys_present(group_by_level2))
-         .select(*id_cols, "hours_in", variable_key(group_by_level2).alias("variable"), "value"))
+    The long aggregate (one row per stay, variable and hour) is unioned with
+    the grid rows and pivoted in one grouped aggregation on (stay, hour):
+    Spark's pivot indexes each row's variable into its slot (constant work per
+    row, whatever the number of variables), grid-only hours come out with
+    NULLs, and counts are then 0-filled (J14 + F30) without a reindex join."""
+    return long_to_wide(hourly_long(M, group_by_level2, id_cols), grid, variables, id_cols)
+
+
+def long_to_wide(long: DataFrame, grid: DataFrame, variables: list[str], id_cols=ID_COLS) -> DataFrame:
     g = grid.select(*id_cols, "hours_in", F.lit(None).cast("string").alias("variable"),
-                    F.lit(None).cast("double").alias("value"))
-    u = m.unionByName(g)
-    aggs = []
+                    F.lit(None).cast("double").alias("mean"), F.lit(None).cast("double").alias("std"),
+                    F.lit(None).cast("bigint").alias("count"))
+    u = long.select(*id_cols, "hours_in", "variable", "mean", "std", "count").unionByName(g)
+    w = (u.groupBy(*id_cols, "hours_in").pivot("variable", list(variables))
+         .agg(F.first("mean").alias("mean"), F.first("std").alias("std"), F.first("count").alias("count")))
+    cols = [*id_cols, "hours_in"]
     for v in variables:
-        x = F.when(F.col("variable") == F.lit(v), F.col("value"))
-        aggs += [F.avg(x).alias(f"{v}_mean"), F.stddev_samp(x).alias(f"{v}_std"),
-                 F.count(x).alias(f"{v}_count")]
-    # Only hours that exist on the grid survive: measurements were already
-    # limited to 0..max_hours, and a grid row exists for each of those.
-    return u.groupBy(*id_cols, "hours_in").agg(*aggs)
+        cols += [F.col(f"`{v}_mean`").alias(f"{v}_mean"), F.col(f"`{v}_std`").alias(f"{v}_std"),
+                 F.coalesce(F.col(f"`{v}_count`"), F.lit(0).cast("bigint")).alias(f"{v}_count")]
+    return w.select(*cols)
 
 
 def sparse_variable_stats(long: DataFrame, grid: DataFrame, min_percent: float) -> DataFrame:
