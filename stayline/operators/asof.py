@@ -2,10 +2,10 @@
 
 Spark SQL has no as-of join.  Joining every left row to every right row of
 its key and keeping the latest would emit all pairs of a stay; instead both
-sides are unioned and one window per (key, tolerance-sized time bucket) carries
-the latest right row forward.  Each right row is copied into its own bucket
-and the next one, which is exactly the reach of ``[t - tolerance, t]``, so no
-pairs are produced and a hot key is spread over its time buckets.
+sides are unioned and one window per (key, time bucket) carries the latest right row forward.
+Each right row is copied into its own bucket and the following ones up to
+the reach of ``[t - tolerance, t]``, so no pairs are produced and a hot key
+is spread over its time buckets.
 """
 
 from __future__ import annotations
@@ -18,12 +18,18 @@ from stayline.functions.timefns import US_PER_SECOND, diff_us, time_bucket
 
 def asof_backward(left: DataFrame, right: DataFrame, by: list[str], left_ts: str, right_ts: str,
                   tolerance_seconds: int, right_cols: list[str], prefix: str,
-                  tiebreak: list[str] | None = None) -> DataFrame:
+                  tiebreak: list[str] | None = None, bucket_seconds: int | None = None) -> DataFrame:
     """For each left row, the right row of the same ``by`` key with the largest
     ``right_ts`` in ``[left_ts - tolerance, left_ts]`` (inclusive both ends);
     ties on time go to the largest ``tiebreak`` values.  Left rows without a
-    candidate keep NULLs (left join).  Output: left columns + ``prefix+c``."""
+    candidate keep NULLs (left join).  Output: left columns + ``prefix+c``.
+
+    ``bucket_seconds`` (default: the tolerance) sets the window partition
+    width; a smaller width splits a very dense key further, at the price of
+    copying each right row into ``ceil(tolerance / width) + 1`` buckets."""
     tiebreak = tiebreak or []
+    width = int(bucket_seconds or tolerance_seconds)
+    copies = -(-int(tolerance_seconds) // width)
     tol_us = int(tolerance_seconds) * US_PER_SECOND
     lcols = left.columns
     lpay = F.struct(*[F.col(c) for c in lcols])
@@ -31,12 +37,12 @@ def asof_backward(left: DataFrame, right: DataFrame, by: list[str], left_ts: str
     tb = F.lit(None).cast("double")
 
     L = left.select(*[F.col(k) for k in by], F.col(left_ts).alias("__t"), F.lit(1).alias("__kind"),
-                    time_bucket(left_ts, tolerance_seconds).alias("__b"),
+                    time_bucket(left_ts, width).alias("__b"),
                     lpay.alias("__l"), F.lit(None).cast(right.select(rpay).schema[0].dataType).alias("__r"),
                     *[tb.alias(f"__tb{i}") for i in range(len(tiebreak))])
-    rb = time_bucket(right_ts, tolerance_seconds)
+    rb = time_bucket(right_ts, width)
     R = right.select(*[F.col(k) for k in by], F.col(right_ts).alias("__t"), F.lit(0).alias("__kind"),
-                     F.explode(F.array(rb, rb + 1)).alias("__b"),
+                     F.explode(F.sequence(rb, rb + copies)).alias("__b"),
                      F.lit(None).cast(left.select(lpay).schema[0].dataType).alias("__l"), rpay.alias("__r"),
                      *[F.col(c).cast("double").alias(f"__tb{i}") for i, c in enumerate(tiebreak)])
     u = L.unionByName(R).filter(F.col("__t").isNotNull())

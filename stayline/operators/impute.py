@@ -6,9 +6,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def global_means_from_long(long: DataFrame, variables: list[str], stay: list[str],
+                           train: DataFrame | None = None) -> DataFrame:
+    """Training-set mean of each variable's hourly means, read from the long
+    (stay, variable, hour) table: its rows are exactly the non-NULL grid cells,
+    so this equals the mean over the wide grid without a second pass over it."""
+    src = long if train is None else long.join(train.select(*stay).distinct(), stay, "left_semi")
+    return src.agg(*[F.avg(F.when(F.col("variable") == v, F.col("mean"))).alias(f"__g_{v}") for v in variables])
+
+
 def simple_impute(wide: DataFrame, stay: list[str], variables: list[str],
                   train: DataFrame | None = None, final_fill: float | None = None,
-                  absent_value: float = 100.0) -> DataFrame:
+                  absent_value: float = 100.0, global_means: DataFrame | None = None) -> DataFrame:
     """For each variable ``v`` (columns ``v_mean``, ``v_count``):
 
     * ``v_mean``: forward fill within the stay, then the stay mean, then the
@@ -17,11 +26,17 @@ def simple_impute(wide: DataFrame, stay: list[str], variables: list[str],
     * ``v_time_since_measured``: hours since the last measured hour of the
       same stay, ``absent_value`` before the first one (computed per stay; the
       source's running sum crosses stay borders).
+
+    ``global_means`` (one row, columns ``__g_<v>``, e.g. from
+    ``global_means_from_long``) avoids a second pass over ``wide``.
     """
     w_run = Window.partitionBy(*stay).orderBy("hours_in").rowsBetween(Window.unboundedPreceding, 0)
     w_stay = Window.partitionBy(*stay)
-    src = wide if train is None else wide.join(train.select(*stay).distinct(), stay, "left_semi")
-    gm = src.agg(*[F.avg(f"{v}_mean").alias(f"__g_{v}") for v in variables])
+    if global_means is not None:
+        gm = global_means
+    else:
+        src = wide if train is None else wide.join(train.select(*stay).distinct(), stay, "left_semi")
+        gm = src.agg(*[F.avg(f"{v}_mean").alias(f"__g_{v}") for v in variables])
     out = wide.crossJoin(F.broadcast(gm))  # a single row of global means
     cols = [*stay, "hours_in"]
     for v in variables:

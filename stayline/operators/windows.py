@@ -87,7 +87,8 @@ def to_sequence(grid: DataFrame, stay: str, cols: list[str], max_len: int | None
                 pad: float = 0.0) -> DataFrame:
     """Per-stay ordered hour slices (X05); optional pad/truncate to ``max_len``."""
     row = F.struct(F.col("hours_in"), *[F.col(c) for c in cols])
-    g = grid.groupBy(stay).agg(F.array_sort(F.collect_list(row)).alias("__rows"))
+    src = grid if max_len is None else grid.filter(F.col("hours_in") < max_len)  # never collect what is cut
+    g = src.groupBy(stay).agg(F.array_sort(F.collect_list(row)).alias("__rows"))
     def field(c):
         return lambda r: r.getField(c)
     out = g.select(stay, *[F.transform("__rows", field(c)).alias(c) for c in cols])

@@ -17,7 +17,7 @@ from stayline.operators import hourly as H
 from stayline.operators.asof import asof_backward, value_at_hour
 from stayline.operators.dims import local_dim
 from stayline.operators.features import label_features
-from stayline.operators.impute import simple_impute
+from stayline.operators.impute import global_means_from_long, simple_impute
 from stayline.operators.intervals import bolus_intervals, hourly_indicators, interval_hours, next_start_end
 from stayline.operators.sessions import flag_any, gap_sessions
 from stayline.operators import stats as S
@@ -83,6 +83,14 @@ def wide_grid(spark, sf) -> tuple[DataFrame, DataFrame]:
     return H.hourly_wide(M, H.hour_grid(s, ID), VARIABLES, True, ID), s
 
 
+def long_and_wide(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The long table and the wide grid built from that same DataFrame, so a
+    plan using both shares (reuses) the long aggregation's shuffle."""
+    M, s = measurements(spark, sf)
+    long = H.hourly_long(M, True, ID)
+    return long, H.long_to_wide(long, H.hour_grid(s, ID), VARIABLES, ID), s
+
+
 def indicator_grid(spark, sf) -> DataFrame:
     ev = events(spark, sf)
     s = stays(ev)
@@ -375,8 +383,9 @@ def _impute_sql() -> str:
 @register("impute_grid", _impute_sql())
 def q_impute_grid(spark, sf):
     """M06 (W08, A22, F28, W09): forward fill → stay mean → global mean, mask, time since measured."""
-    w, _ = wide_grid(spark, sf)
-    return rounded(simple_impute(w, ID, VARIABLES))
+    long, w, _ = long_and_wide(spark, sf)
+    gm = global_means_from_long(long, VARIABLES, ID)
+    return rounded(simple_impute(w, ID, VARIABLES, global_means=gm))
 
 
 @register("rolling_lookback", SQL_WIDE + """

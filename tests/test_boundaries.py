@@ -86,6 +86,8 @@ def test_asof_against_brute_force(spark):
     L = spark.createDataFrame(left, "id long, k long, t timestamp_ntz")
     R = spark.createDataFrame(right, "k long, t timestamp_ntz, v double")
     got = {r.id: (r.r_t, r.r_v) for r in asof_backward(L, R, ["k"], "t", "t", 7200, ["v"], "r_", ["v"]).collect()}
+    fine = {r.id: (r.r_t, r.r_v) for r in asof_backward(L, R, ["k"], "t", "t", 7200, ["v"], "r_", ["v"], 1700).collect()}
+    assert fine == got
     for i, k, t in left:
         if t is None:
             assert got[i] == (None, None)
