@@ -103,13 +103,17 @@ def scan_agg_within(df: DataFrame, keys: list[str], ts: str, value: str, agg: st
     tiebreak = tiebreak or []
     fn = {"min": F.min, "max": F.max}[agg]
     comb = {"min": F.least, "max": F.greatest}[agg]
+    # "Strictly after in ascending order" is "strictly before in descending
+    # order": always use a growing (UNBOUNDED PRECEDING .. -1) frame, which
+    # Spark evaluates incrementally; an UNBOUNDED FOLLOWING frame would be
+    # recomputed for every row (quadratic in the partition size).
+    def order(cols):
+        return [F.col(c).desc() if following else F.col(c).asc() for c in cols]
     d = with_bucket(df, ts, bucket_seconds)
-    w = Window.partitionBy(*keys, _B).orderBy(*[F.col(c) for c in [ts] + tiebreak])
-    frame = w.rowsBetween(1, Window.unboundedFollowing) if following else w.rowsBetween(Window.unboundedPreceding, -1)
-    d = d.withColumn("__in", fn(value).over(frame))
+    w = Window.partitionBy(*keys, _B).orderBy(*order([ts] + tiebreak))
+    d = d.withColumn("__in", fn(value).over(w.rowsBetween(Window.unboundedPreceding, -1)))
     per_b = d.groupBy(*keys, _B).agg(fn(value).alias("__bagg"))
-    wb = Window.partitionBy(*keys).orderBy(_B)
-    wb = wb.rowsBetween(1, Window.unboundedFollowing) if following else wb.rowsBetween(Window.unboundedPreceding, -1)
+    wb = Window.partitionBy(*keys).orderBy(*order([_B])).rowsBetween(Window.unboundedPreceding, -1)
     per_b = per_b.withColumn("__across", fn("__bagg").over(wb)).drop("__bagg")
     out = d.join(per_b, on=keys + [_B], how="left")
     return out.withColumn(name, comb(F.col("__in"), F.col("__across"))).drop("__in", "__across", _B)
