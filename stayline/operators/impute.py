@@ -49,3 +49,16 @@ def simple_impute(wide: DataFrame, stay: list[str], variables: list[str],
         tsm = F.coalesce((F.col("hours_in") - last_seen).cast("double"), F.lit(absent_value))
         cols += [filled.alias(f"{v}_mean"), mask.alias(f"{v}_mask"), tsm.alias(f"{v}_time_since_measured")]
     return out.select(*cols)
+
+
+def standardize_time_since(df: DataFrame, cols: list[str], absent_value: float = 100.0) -> DataFrame:
+    """Time-since-measured columns with the 'never measured' marker set to
+    0, then scaled by the population mean and std (numpy's ddof=0)."""
+    d = df
+    for c in cols:
+        d = d.withColumn(c, F.when(F.col(c) == absent_value, 0.0).otherwise(F.col(c)))
+    st = d.agg(*[F.avg(c).alias(f"__mu_{c}") for c in cols], *[F.stddev_pop(c).alias(f"__sd_{c}") for c in cols])
+    d = d.crossJoin(F.broadcast(st))  # one-row table
+    for c in cols:
+        d = d.withColumn(c, (F.col(c) - F.col(f"__mu_{c}")) / F.col(f"__sd_{c}"))
+    return d.drop(*[f"__mu_{c}" for c in cols], *[f"__sd_{c}" for c in cols])

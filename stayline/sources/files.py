@@ -79,3 +79,15 @@ def column_listing(spark: SparkSession, df: DataFrame) -> DataFrame:
 
 def exists_dir(path: str) -> bool:
     return os.path.exists(path)
+
+
+def write_summary_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """A small report (one row per variable) as a single CSV file."""
+    df.coalesce(1).write.mode(mode).option("header", True).csv(path)
+
+
+def sorted_output(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Key columns first, the rest sorted by name, rows sorted by key
+    (a range-partitioned global sort, done only at the sink)."""
+    rest = sorted(c for c in df.columns if c not in keys)
+    return df.select(*keys, *rest).orderBy(*keys)

@@ -71,3 +71,24 @@ def test_t_p_value():
     # two-sided p for t=2.0, df=10 is 0.0733880 (Student t table)
     assert abs(t_two_sided_p(2.0, 10) - 0.07338803) < 1e-6
     assert abs(t_two_sided_p(0.0, 5) - 1.0) < 1e-12
+
+
+def test_hot_key_is_split_by_time_bucket(spark):
+    """A key holding most rows is spread over (key, bucket) partitions."""
+    from stayline.operators.sessions import gap_sessions
+    rows = [(1 if i % 3 else 2, T0 + timedelta(minutes=7 * i), 1) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k long, ts timestamp_ntz, flag int")
+    out = gap_sessions(df, "k", "ts", "flag", 8.0, bucket_seconds=3600)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "__b" in plan and "hashpartitioning(k" in plan
+    # same answer as one partition per key (bucket wider than the data)
+    one = gap_sessions(df, "k", "ts", "flag", 8.0, bucket_seconds=10 ** 8)
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, one.collect()))
+
+
+def test_standardize_time_since(spark):
+    from stayline.operators.impute import standardize_time_since
+    df = spark.createDataFrame([(100.0,), (2.0,), (4.0,)], "t double")
+    got = [r.t for r in standardize_time_since(df, ["t"]).collect()]
+    vals = np.array([0.0, 2.0, 4.0])
+    assert np.allclose(sorted(got), sorted((vals - vals.mean()) / vals.std()))
