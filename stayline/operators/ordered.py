@@ -122,18 +122,31 @@ def scan_agg_within(df: DataFrame, keys: list[str], ts: str, value: str, agg: st
 def global_cumsum(df: DataFrame, order_cols: list[str], sum_cols: dict[str, str],
                   num_partitions: int | None = None, inclusive: bool = True) -> DataFrame:
     """Running sums over a total order of the whole table, without a single-
-    task window: range-partition on the order, sum each partition, turn the
-    (one row per partition) totals into offsets, then add a per-partition
-    running sum.  ``sum_cols`` maps output name → column to sum.  Rows with
-    equal order values should be pre-aggregated (ties have no defined order)."""
+    task window.  Rows are cut into value ranges of the first order column
+    (boundaries from ``percentile_approx``: at most n-1 numbers, read once and
+    frozen as literals), each range is summed, the per-range totals become
+    offsets, and a running sum inside each range finishes the job.  A row's
+    range is a pure function of the row, so both uses of the ranged rows and
+    any recomputed task (e.g. after an executor loss) agree on it.
+    ``sum_cols`` maps output name → column to sum; rows tied on the whole
+    order should be pre-aggregated (ties have no defined order)."""
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    d = df.repartitionByRange(n, *order_cols).withColumn("__pid", F.spark_partition_id())
+    first = order_cols[0]
+    if n > 1:
+        probs = [i / n for i in range(1, n)]
+        # A sketch's result can depend on merge order, so it is read once and
+        # frozen; n-1 numbers, bounded by the partition count.
+        cuts = df.agg(F.percentile_approx(first, probs, 10000)).first()[0] or []
+        arr = F.array(*[F.lit(c) for c in sorted(set(cuts))]) if cuts else F.array().cast("array<double>")
+        d = df.withColumn("__pid", F.size(F.filter(arr, lambda b: b < F.col(first))))
+    else:
+        d = df.withColumn("__pid", F.lit(0))
     tot = d.groupBy("__pid").agg(*[F.sum(c).alias(f"__t_{o}") for o, c in sum_cols.items()])
-    wo = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    wo = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)  # over n rows only
     off = tot.select("__pid", *[F.coalesce(F.sum(f"__t_{o}").over(wo), F.lit(0)).alias(f"__o_{o}")
                                 for o in sum_cols])
-    d = d.join(F.broadcast(off), "__pid", "left")  # one row per partition
+    d = d.join(F.broadcast(off), "__pid", "left")  # one row per range
     wp = Window.partitionBy("__pid").orderBy(*order_cols)
     wp = wp.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
     for o, c in sum_cols.items():

@@ -92,3 +92,13 @@ def test_standardize_time_since(spark):
     got = [r.t for r in standardize_time_since(df, ["t"]).collect()]
     vals = np.array([0.0, 2.0, 4.0])
     assert np.allclose(sorted(got), sorted((vals - vals.mean()) / vals.std()))
+
+
+def test_stratified_split_is_exact_per_stratum(spark):
+    rows = [(i, i % 3 == 0) for i in range(2000)]
+    df = spark.createDataFrame(rows, "doc long, y boolean")
+    out = subject_split(df, "doc", seed=9, strata="y")
+    got = {(r.y, r.split): r.n for r in out.groupBy("y", "split").agg(F.count("*").alias("n")).collect()}
+    for y, n in ((True, 667), (False, 1333)):
+        tr, dv = round(0.7 * n), round(0.8 * n) - round(0.7 * n)
+        assert got[(y, "train")] == tr and got[(y, "dev")] == dv and got[(y, "test")] == n - tr - dv
