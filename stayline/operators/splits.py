@@ -12,19 +12,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayline.functions.hashing import bucket, uniform
-from stayline.operators.ordered import global_row_number
+from stayline.operators.ordered import global_cumsum, global_row_number
 
 
 def _ranked(keys_df: DataFrame, key: str, seed: int, strata: str | None = None) -> DataFrame:
+    """Rank of every key by (hash, key), within its stratum when given, plus
+    the stratum size ``__n``.  Strata are class labels (a handful of values):
+    one running count per level over the same hash order, so no stratum is
+    ranked in a single task."""
     d = keys_df.withColumn("__h", uniform(seed, key))
-    order = ([strata] if strata else []) + ["__h", key]
-    d = global_row_number(d, order, "__r")
-    if strata:
-        first = d.groupBy(strata).agg(F.min("__r").alias("__r0"), F.count(F.lit(1)).alias("__n"))
-        d = d.join(first, strata).withColumn("__r", F.col("__r") - F.col("__r0") + 1).drop("__r0")
-    else:
-        d = d.crossJoin(F.broadcast(d.agg(F.count(F.lit(1)).alias("__n"))))  # one-row table
-    return d
+    if not strata:
+        d = global_row_number(d, ["__h", key], "__r")
+        return d.crossJoin(F.broadcast(d.agg(F.count(F.lit(1)).alias("__n"))))  # one-row table
+    levels = [r[0] for r in keys_df.select(strata).distinct().collect()]
+    ind = {f"__c{i}": F.when(F.col(strata).eqNullSafe(F.lit(v)), 1).otherwise(0).cast("long")
+           for i, v in enumerate(levels)}
+    d = d.withColumns(ind)
+    d = global_cumsum(d, ["__h", key], {f"__r{i}": f"__c{i}" for i in range(len(levels))})
+    rank = None
+    for i, v in enumerate(levels):
+        cond = F.col(strata).eqNullSafe(F.lit(v))
+        rank = F.when(cond, F.col(f"__r{i}")) if rank is None else rank.when(cond, F.col(f"__r{i}"))
+    d = d.withColumn("__r", rank).drop(*ind, *[f"__r{i}" for i in range(len(levels))])
+    sizes = d.groupBy(strata).agg(F.count(F.lit(1)).alias("__n"))
+    return d.join(F.broadcast(sizes), d[strata].eqNullSafe(sizes[strata])).drop(sizes[strata])
 
 
 def subject_split(df: DataFrame, key: str, fractions=(("train", 0.7), ("dev", 0.1), ("test", 0.2)),
