@@ -103,7 +103,7 @@ def q_model_logreg(spark, sf):
     """M10 + M16: logistic regression, test-split metrics."""
     d = _persisted_split(spark, sf)
     try:
-        _, pred = _fit_eval(spark, sf, "logreg", d)
+        _, pred = _fit_eval(spark, sf, "logreg", d, maxIter=30)
         return MD.binary_metrics(pred)
     finally:
         d.unpersist()
@@ -136,7 +136,7 @@ def q_model_mlp(spark, sf):
     """M14 + M16: one-hidden-layer perceptron, test-split metrics."""
     d = _persisted_split(spark, sf)
     try:
-        _, pred = _fit_eval(spark, sf, "mlp", d, hidden=8, maxIter=100)
+        _, pred = _fit_eval(spark, sf, "mlp", d, hidden=8, maxIter=50)
         return MD.binary_metrics(pred)
     finally:
         d.unpersist()
