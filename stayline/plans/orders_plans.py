@@ -20,6 +20,7 @@ from stayline.operators.codes import ordered_codes
 from stayline.operators.cohort import (CohortParams, cohort_filter, latest_per, mortality_flags,
                                        readmission_30, stay_ordinals, with_max_hours)
 from stayline.plans.registry import register, rounded
+from stayline.session import materialize as materialize_table
 from stayline.sources.schema import conform, schema_from_spec
 from stayline.sources.tables import table
 
@@ -29,7 +30,11 @@ DISCHARGE_AFTER_DAYS = 2
 DIED_WITHIN_SECONDS = 3 * 86400
 
 
-def stays(spark, sf) -> DataFrame:
+def stays(spark, sf, materialize: bool = False) -> DataFrame:
+    """One row per stay.  ``materialize`` writes it once to the shared
+    checkpoint folder for plans that read it many times (ordinals, both
+    readmission scans, joins): otherwise each use would re-aggregate the
+    line items of every order."""
     o = table(spark, sf, "orders")
     li = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
         F.count(F.lit(1)).alias("n_lines"),
@@ -43,7 +48,7 @@ def stays(spark, sf) -> DataFrame:
                  "o_totalprice")
     d = d.withColumn("admittime", F.col("intime")).withColumn(
         "dischtime", F.col("outtime") + F.make_dt_interval(days=F.lit(DISCHARGE_AFTER_DAYS)))
-    return d
+    return materialize_table(d, "stays") if materialize else d
 
 
 def patients(spark, sf) -> DataFrame:
@@ -55,7 +60,7 @@ def patients(spark, sf) -> DataFrame:
 
 
 def statics(spark, sf, filtered: bool = True) -> DataFrame:
-    s = stays(spark, sf)
+    s = stays(spark, sf, materialize=True)
     s = stay_ordinals(s, "subject_id", "intime", "hospstay_seq").withColumn("icustay_seq", F.col("hospstay_seq"))
     s = readmission_30(s)
     d = s.join(patients(spark, sf), "subject_id", "inner")
@@ -118,7 +123,7 @@ SELECT st.subject_id, st.icustay_id, st.intime, st.outtime, CAST(coalesce(f.read
 FROM st LEFT JOIN f USING (icustay_id)""")
 def q_readmission_30(spark, sf):
     """30-day readmission flag with the "next stay = earliest outtime" rule."""
-    s = stays(spark, sf).select("subject_id", "icustay_id", "intime", "outtime")
+    s = stays(spark, sf, materialize=True).select("subject_id", "icustay_id", "intime", "outtime")
     return readmission_30(s)
 
 

@@ -25,10 +25,15 @@ DEFAULT_CONF = {
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
-                  app_name: str = "stayline", extra: dict | None = None) -> SparkSession:
-    """Local/test session.  On a cluster the submitter's session is used instead."""
+                  app_name: str = "stayline", extra: dict | None = None,
+                  driver_memory: str = "16g") -> SparkSession:
+    """Local/test session.  On a cluster the submitter's session is used instead.
+
+    In local mode the driver JVM runs every task, so its heap is the only
+    memory setting that matters."""
     b = SparkSession.builder.master(master).appName(app_name)
     conf = dict(DEFAULT_CONF)
+    conf["spark.driver.memory"] = driver_memory
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
@@ -60,3 +65,15 @@ def cut_lineage(df, eager: bool = True):
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` once as parquet under the shared checkpoint folder and read
+    it back: later uses scan a columnar table (pruned, filter push-down)
+    instead of recomputing the lineage, and the data survives executor loss."""
+    import uuid
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/stayline-{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
