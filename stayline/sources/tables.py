@@ -9,8 +9,19 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Lazy parquet scan; Catalyst prunes columns and pushes filters into it."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Lazy parquet scan; Catalyst prunes columns and pushes filters into it.
+
+    A scan only splits at row-group boundaries; when a table yields fewer
+    input partitions than the cluster has cores (e.g. a small file with one
+    row group), every per-row step before the first shuffle would run in
+    that many tasks.  Such scans get a round-robin repartition to the default
+    parallelism (projections and filters still push below it).  Large tables
+    already have many splits and are left alone."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    want = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        df = df.repartition(want)
+    return df
 
 
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
