@@ -18,10 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     parallelism (projections and filters still push below it).  Large tables
     already have many splits and are left alone."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    want = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        df = df.repartition(want)
-    return df
+    try:
+        want = spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access (e.g. a remote client)
+        return df
+    return df.repartition(want) if splits < want else df
 
 
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
