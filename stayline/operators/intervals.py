@@ -23,19 +23,29 @@ def bolus_intervals(df: DataFrame, time_col: str = "charttime") -> DataFrame:
     return df.withColumn("starttime", F.col(time_col)).withColumn("endtime", F.col(time_col))
 
 
-def interval_hours(intervals: DataFrame, stays: DataFrame, stay: str, name: str,
-                   start: str = "starttime", end: str = "endtime") -> DataFrame:
+def interval_hours(intervals: DataFrame, stays: DataFrame, stay: str, name: str | None,
+                   start: str = "starttime", end: str = "endtime", name_col: str | None = None) -> DataFrame:
     """(stay, hours_in, name) for every hour an interval touches.
 
     Only intervals that start and end inside the stay are used (P07), hours
     run floor((start-intime)/1h) .. floor((end-intime)/1h) inclusive."""
     s = stays.select(stay, F.col("intime").alias("__in"), F.col("outtime").alias("__out"))
-    d = intervals.select(stay, start, end).join(s, stay, "inner")
+    label = F.col(name_col) if name_col else F.lit(name)
+    d = intervals.select(stay, start, end, label.alias("__iv")).join(s, stay, "inner")
     d = d.filter(F.col(start).between(F.col("__in"), F.col("__out"))
                  & F.col(end).between(F.col("__in"), F.col("__out")))
     sh, eh = floor_hours("__in", start), floor_hours("__in", end)
     d = d.filter(eh >= sh)
-    return d.select(stay, F.explode(F.sequence(sh, eh)).alias("hours_in"), F.lit(name).alias("__iv"))
+    return d.select(stay, F.explode(F.sequence(sh, eh)).alias("hours_in"), "__iv")
+
+
+def hourly_indicators_from(grid: DataFrame, stay: str, expanded: DataFrame, names: list[str]) -> DataFrame:
+    """Like ``hourly_indicators`` for one expanded table whose ``__iv``
+    column names the intervention (one join to the stays for all of them)."""
+    g = grid.select(stay, "hours_in", F.lit(None).cast("string").alias("__iv"))
+    u = g.unionByName(expanded.select(stay, "hours_in", "__iv"))
+    aggs = [F.max(F.when(F.col("__iv") == nm, 1).otherwise(0)).cast("int").alias(nm) for nm in names]
+    return u.groupBy(stay, "hours_in").agg(*aggs)
 
 
 def hourly_indicators(grid: DataFrame, stay: str, parts: dict[str, DataFrame]) -> DataFrame:

@@ -18,7 +18,7 @@ from stayline.operators.asof import asof_backward, value_at_hour
 from stayline.operators.dims import local_dim
 from stayline.operators.features import label_features
 from stayline.operators.impute import global_means_from_long, simple_impute
-from stayline.operators.intervals import bolus_intervals, hourly_indicators, interval_hours, next_start_end
+from stayline.operators.intervals import bolus_intervals, hourly_indicators_from, interval_hours, next_start_end
 from stayline.operators.sessions import flag_any, gap_sessions
 from stayline.operators import stats as S
 from stayline.operators.windows import binary_labels, rolling_lookback, to_sequence, transition_labels
@@ -92,15 +92,19 @@ def long_and_wide(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 
 def indicator_grid(spark, sf) -> DataFrame:
+    """All interventions expanded in one pass: the typed intervals and the
+    boluses are unioned first, so the stays are joined and exploded once."""
     ev = events(spark, sf)
     s = stays(ev)
     nx = next_start_end(ev.select(STAY, "event_id", "event_type", "ts"), [STAY], "ts",
                         tiebreak=["event_id"], name="endtime").withColumnRenamed("ts", "starttime")
-    parts = {f"{t}_on": interval_hours(nx.filter(F.col("event_type") == t), s, STAY, f"{t}_on")
-             for t in INTERVAL_TYPES}
-    bol = bolus_intervals(ev.filter(F.col("event_type") == BOLUS_TYPE).select(STAY, "ts"), "ts")
-    parts[f"{BOLUS_TYPE}_bolus"] = interval_hours(bol, s, STAY, f"{BOLUS_TYPE}_bolus")
-    return hourly_indicators(H.hour_grid(s, ID), STAY, parts)
+    iv = nx.filter(F.col("event_type").isin(*INTERVAL_TYPES)).select(
+        STAY, "starttime", "endtime", F.concat(F.col("event_type"), F.lit("_on")).alias("name"))
+    bol = bolus_intervals(ev.filter(F.col("event_type") == BOLUS_TYPE).select(STAY, "ts"), "ts").select(
+        STAY, "starttime", "endtime", F.lit(f"{BOLUS_TYPE}_bolus").alias("name"))
+    expanded = interval_hours(iv.unionByName(bol), s, STAY, None, name_col="name")
+    names = [f"{t}_on" for t in INTERVAL_TYPES] + [f"{BOLUS_TYPE}_bolus"]
+    return hourly_indicators_from(H.hour_grid(s, ID), STAY, expanded, names)
 
 
 # ---------------------------------------------------------------- oracle SQL
