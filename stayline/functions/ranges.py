@@ -48,10 +48,10 @@ def join_ranges(df: DataFrame, ranges: DataFrame, var_col: str) -> DataFrame:
 def apply_variable_limits(df: DataFrame, ranges: DataFrame, var_col: str = "LEVEL2",
                           value_col: str = "value") -> DataFrame:
     """Clean ``value_col``; variables without a range row pass through."""
+    cols = [c for c in df.columns if c != value_col]
     d = join_ranges(df, ranges, var_col)
-    d = d.withColumn(value_col, F.when(F.col(value_col).isNull(), F.col(value_col))
-                     .otherwise(cleaned_value(F.col(value_col))))
-    return d.drop(*RANGE_COLS)
+    v = F.col(value_col)
+    return d.select(*cols, F.when(v.isNull(), v).otherwise(cleaned_value(v)).alias(value_col))
 
 
 def cleaning_report(df: DataFrame, ranges: DataFrame, var_col: str = "LEVEL2",

@@ -51,3 +51,15 @@ def standardize_units(value: Column, name: Column, unit: Column,
             needs = needs | F.coalesce(r.range_check(v), F.lit(False))
         v = F.when(contains_ci(name, r.name) & needs, r.convert(v)).otherwise(v)
     return v
+
+
+def apply_unit_rules(df, value: str, name: str, unit: str | None, rules=UNIT_CONVERSIONS):
+    """The same cascade on a DataFrame, one projection per rule: each rule
+    reads the previous rule's column instead of re-embedding the whole
+    expression, so the plan stays linear in the number of rules (nesting the
+    CASE expressions would grow it geometrically)."""
+    u = F.col(unit) if unit else F.lit(None).cast("string")
+    cols = [c for c in df.columns if c != value]
+    for r in rules:
+        df = df.select(*cols, standardize_units(F.col(value), F.col(name), u, (r,)).alias(value))
+    return df

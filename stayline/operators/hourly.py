@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from stayline.functions.numbers import nan_to_null, to_number
 from stayline.functions.ranges import apply_variable_limits
 from stayline.functions.timefns import floor_hours, hours_in
-from stayline.functions.units import standardize_units
+from stayline.functions.units import apply_unit_rules
 from stayline.operators.dims import is_small
 
 ID_COLS = ["subject_id", "hadm_id", "icustay_id"]
@@ -52,24 +52,27 @@ def prepare_measurements(X: DataFrame, stays: DataFrame, var_map: DataFrame | No
     """
     vtype = dict(X.dtypes)["value"]
     val = to_number("value") if vtype == "string" else nan_to_null(F.col("value").cast("double"))
-    x = X.withColumn("value", val)
-    s = (stays if "max_hours" in stays.columns else with_max_hours(stays))
+    keep = [c for c in X.columns if c not in ("intime", "max_hours", "value")]
+    s = stays if "max_hours" in stays.columns else with_max_hours(stays)
     s = s.select(stay_key, F.col("intime").alias("__intime"), "max_hours")
-    x = x.drop(*[c for c in ("intime", "max_hours") if c in x.columns])
-    x = x.join(s, stay_key, "inner")
-    x = x.withColumn("hours_in", hours_in("__intime", time_col)).drop("__intime")
-    x = x.filter(F.col("hours_in") <= F.col("max_hours"))
+    x = X.select(*keep, val.alias("value")).join(s, stay_key, "inner")
+    cols = keep + ["value", "hours_in"]
+    x = (x.select(*keep, "value", "max_hours", hours_in("__intime", time_col).alias("hours_in"))
+         .filter(F.col("hours_in") <= F.col("max_hours")))
     if var_map is not None:
-        vm = var_map.select(F.col("ITEMID").cast("string").alias("__item"), "LEVEL1", "LEVEL2")
+        vm = var_map.select(F.col("ITEMID").cast("string").alias("__vm_item"), "LEVEL1", "LEVEL2")
         vm = F.broadcast(vm) if is_small(var_map) else vm
-        x = x.join(vm, F.col("itemid").cast("string") == F.col("__item"), "left").drop("__item")
+        x = x.join(vm, F.col("itemid").cast("string") == F.col("__vm_item"), "left")
+        cols += ["LEVEL1", "LEVEL2"]
     if items is not None:
-        it = items.select(F.col("itemid").cast("string").alias("__item"), "label")
+        it = items.select(F.col("itemid").cast("string").alias("__it_item"), "label")
         it = F.broadcast(it) if is_small(items) else it
-        x = x.join(it, F.col("itemid").cast("string") == F.col("__item"), "left").drop("__item")
-    if apply_units and "LEVEL1" in x.columns:
-        unit = F.col("valueuom") if "valueuom" in x.columns else F.lit(None).cast("string")
-        x = x.withColumn("value", standardize_units(F.col("value"), F.col("LEVEL1"), unit))
+        x = x.join(it, F.col("itemid").cast("string") == F.col("__it_item"), "left")
+        cols += ["label"]
+    x = x.select(*cols)
+    if apply_units and var_map is not None:
+        unit = "valueuom" if "valueuom" in keep else None
+        x = apply_unit_rules(x, "value", "LEVEL1", unit)
     if apply_var_limit and var_ranges is not None:
         x = apply_variable_limits(x, var_ranges, "LEVEL2", "value")
     return x

@@ -55,12 +55,21 @@ def stays(ev: DataFrame) -> DataFrame:
     return H.with_max_hours(s)
 
 
+_DIMS: dict = {}
+
+
 def ranges_df(spark) -> DataFrame:
-    return local_dim(spark, RANGES, RANGE_SCHEMA)
+    key = (id(spark), "ranges")
+    if key not in _DIMS:
+        _DIMS[key] = local_dim(spark, RANGES, RANGE_SCHEMA)
+    return _DIMS[key]
 
 
 def var_map(spark) -> DataFrame:
-    return local_dim(spark, [(v, v, v) for v in VARIABLES], "ITEMID string, LEVEL1 string, LEVEL2 string")
+    key = (id(spark), "var_map")
+    if key not in _DIMS:
+        _DIMS[key] = local_dim(spark, [(v, v, v) for v in VARIABLES], "ITEMID string, LEVEL1 string, LEVEL2 string")
+    return _DIMS[key]
 
 
 def measurements(spark, sf, clean: bool = True) -> tuple[DataFrame, DataFrame]:

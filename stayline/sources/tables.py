@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+_SPLITS: dict[str, int] = {}  # input splits per path, planned once per process
+_SCANS: dict[tuple, DataFrame] = {}  # one scan DataFrame per (session, path)
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -17,10 +20,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     that many tasks.  Such scans get a round-robin repartition to the default
     parallelism (projections and filters still push below it).  Large tables
     already have many splits and are left alone."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _SCANS:
+        _SCANS[key] = _scan(spark, path)
+    return _SCANS[key]
+
+
+def _scan(spark: SparkSession, path: str) -> DataFrame:
+    """The same DataFrame object serves every read of a path in a session, so
+    plans that read a table several times share one scan relation (and
+    Spark can reuse its exchanges)."""
+    df = spark.read.parquet(path)
     try:
         want = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
+        if path not in _SPLITS:
+            _SPLITS[path] = df.rdd.getNumPartitions()
+        splits = _SPLITS[path]
     except Exception:  # sessions without RDD access (e.g. a remote client)
         return df
     return df.repartition(want) if splits < want else df
