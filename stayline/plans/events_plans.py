@@ -59,14 +59,14 @@ _DIMS: dict = {}
 
 
 def ranges_df(spark) -> DataFrame:
-    key = (id(spark), "ranges")
+    key = (spark.sparkContext.applicationId, id(spark), "ranges")
     if key not in _DIMS:
         _DIMS[key] = local_dim(spark, RANGES, RANGE_SCHEMA)
     return _DIMS[key]
 
 
 def var_map(spark) -> DataFrame:
-    key = (id(spark), "var_map")
+    key = (spark.sparkContext.applicationId, id(spark), "var_map")
     if key not in _DIMS:
         _DIMS[key] = local_dim(spark, [(v, v, v) for v in VARIABLES], "ITEMID string, LEVEL1 string, LEVEL2 string")
     return _DIMS[key]

@@ -21,7 +21,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     parallelism (projections and filters still push below it).  Large tables
     already have many splits and are left alone."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
+    key = (spark.sparkContext.applicationId, id(spark), path)
     if key not in _SCANS:
         _SCANS[key] = _scan(spark, path)
     return _SCANS[key]
