@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-_SPLITS: dict[str, int] = {}  # input splits per path, planned once per process
 _SCANS: dict[tuple, DataFrame] = {}  # one scan DataFrame per (session, path)
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -14,34 +13,19 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Lazy parquet scan; Catalyst prunes columns and pushes filters into it.
 
-    A scan only splits at row-group boundaries; when a table yields fewer
-    input partitions than the cluster has cores (e.g. a small file with one
-    row group), every per-row step before the first shuffle would run in
-    that many tasks.  Such scans get a round-robin repartition to the default
-    parallelism (projections and filters still push below it).  Large tables
-    already have many splits and are left alone."""
+    The same DataFrame object serves every read of a path in a session, so
+    plans that read a table several times share one scan relation (and Spark
+    can reuse its exchanges).  Scans are not repartitioned: measured on the
+    provided single-row-group files, an extra round-robin shuffle per scan
+    cost more than the parallelism it bought, and large tables split into
+    many tasks on their own (``spark.sql.files.maxPartitionBytes``)."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     key = (spark.sparkContext.applicationId, id(spark), path)
     if key not in _SCANS:
-        _SCANS[key] = _scan(spark, path)
+        _SCANS[key] = spark.read.parquet(path)
     return _SCANS[key]
 
 
-def _scan(spark: SparkSession, path: str) -> DataFrame:
-    """The same DataFrame object serves every read of a path in a session, so
-    plans that read a table several times share one scan relation (and
-    Spark can reuse its exchanges)."""
-    df = spark.read.parquet(path)
-    try:
-        want = spark.sparkContext.defaultParallelism
-        if path not in _SPLITS:
-            _SPLITS[path] = df.rdd.getNumPartitions()
-        splits = _SPLITS[path]
-    except Exception:  # sessions without RDD access (e.g. a remote client)
-        return df
-    return df.repartition(want) if splits < want else df
-
-
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
     """Temp views so SQL text (S01/S02) can name the tables directly."""
     for n in names:
