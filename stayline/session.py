@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -40,27 +41,57 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    prepare(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    The cluster names a shared folder there; we only pick our own (a fresh
-    scratch folder) when the setting is absent, as in local tests.
-    """
+    """The shared checkpoint folder that the cluster names in
+    ``spark.checkpoint.dir``.  Only a local master (tests) may do without the
+    setting and gets a scratch folder; on a cluster a missing folder is an
+    error, as executors would each write to their own disk."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="stayline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        conf_dir = tempfile.mkdtemp(prefix="stayline-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
+_SHIPPED: set[str] = set()  # applications that have the package
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers (once per
+    application), so that jobs run from any folder."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="stayline-pkg-"), "stayline.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
+
+
+def prepare(spark: SparkSession) -> None:
+    """What a submitted session needs before a query: the shared folder, the
+    package on the workers, and UTC timestamps."""
+    ensure_checkpoint_dir(spark)
+    ship_package(spark)
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def cut_lineage(df, eager: bool = True):
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
