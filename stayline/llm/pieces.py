@@ -23,8 +23,8 @@ WHITE_SPACE = ("\\t-\\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202
 CONTRACTIONS = r"'(?:[stmd]|re|ve|ll)"
 
 #: Characters of text that one encoding round holds, and encoded pieces that a worker remembers.
-ROUND_CHARS = 8_000_000
-CACHE_PIECES = 400_000
+ROUND_CHARS = 4_000_000
+CACHE_PIECES = 300_000
 
 
 @functools.cache
