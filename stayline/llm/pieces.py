@@ -171,6 +171,14 @@ def _offsets(sizes: np.ndarray) -> np.ndarray:
     return out
 
 
+def spaced(text: str | None) -> str:
+    """The text with a space for every ASCII white-space character."""
+    text = text or ""
+    for c in "\n\t\r\x0b\x0c":
+        text = text.replace(c, " ")
+    return text
+
+
 def rounds(texts: list[str | None], chars: int = ROUND_CHARS):
     """(first, last) slices of a batch with about ``chars`` characters each."""
     start, size = 0, 0
