@@ -42,7 +42,7 @@ class Fence:
 
 FENCES = (
     Fence("symbol_share", 4.0, 0.05),
-    Fence("word_length", 4.0, 0.75, lower=True),
+    Fence("word_length", 4.0, 1.0, lower=True),
     Fence("dup_line_share", 4.0, 0.1),
 )
 
@@ -169,7 +169,10 @@ def filter_documents(docs: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     t = t.select(*[F.col(c).alias(f"__q_{c}") for c in t.columns])
     j = measure(docs, "__q_").join(t, docs["lang"].eqNullSafe(t["__q_lang"])
                                    & docs["source"].eqNullSafe(t["__q_source"]), "left")
-    return j.filter(~base_failed("__q_") & _passes("__q_", "__q_")).select(*[docs[c] for c in docs.columns])
+    # One term over both sides of the join: split at an AND, its left part would be
+    # moved below the measures and repeat them.
+    out = F.greatest(base_failed("__q_").cast("int"), (~_passes("__q_", "__q_")).cast("int"))
+    return j.filter(out == 0).select(*[docs[c] for c in docs.columns])
 
 
 @register("op10_quality_rules")
