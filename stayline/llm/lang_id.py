@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stayline.llm.common import documents
-from stayline.llm.pieces import _Memory, rounds
+from stayline.llm.pieces import _Memory, rounds, spaced
 from stayline.llm.registry import register
 
 UNKNOWN = "und"
@@ -69,7 +69,6 @@ SCRIPTS = (
 _SCRIPT_STARTS = [c for c, _ in SCRIPTS]
 
 _LETTERS = re.compile(r"[^\W\d_]+")
-_SPACES = str.maketrans({c: " " for c in "\t\n\x0b\x0c\r"})
 
 
 def script(c: str) -> str:
@@ -89,29 +88,35 @@ def grams(word: str) -> list[str]:
 @dataclass(frozen=True)
 class Model:
     langs: tuple[str, ...]
-    likelihood: dict[str, np.ndarray]  # gram: log-likelihood per language
-    unseen: np.ndarray  # of a gram that the language lacks
+    rows: dict[str, int]  # gram: its row in ``likelihood``
+    likelihood: np.ndarray  # log-likelihood per language; the last row is that of an unseen gram
     scripts: tuple[frozenset[str], ...]  # by language
 
-    def score(self, token: str) -> np.ndarray:
-        """Letters of the token, then a score per language, the best one 0."""
-        out = np.zeros(len(self.langs) + 1, np.float32)
-        words = runs(token)
-        if not words:
-            return out
-        out[0] = sum(map(len, words))
-        total, get, unseen = np.zeros(len(self.langs)), self.likelihood.get, self.unseen
-        for w in words:
-            total += sum([get(g, unseen) for g in grams(w)])
-        total /= len(GRAM_SIZES)  # grams of several sizes say the same thing
-        of = max(words, key=len)[0]
-        fits = np.array([script(of) in s for s in self.scripts])
-        if fits.any():
-            total[~fits] = -np.inf
-            total -= total.max()
-        else:
-            total[:] = 0
-        out[1:] = np.maximum(total, -MOST_AGAINST)
+    def score(self, tokens: list[str]) -> np.ndarray:
+        """Per token: its letters, then a score per language, the best one 0."""
+        out = np.zeros((len(tokens), len(self.langs) + 1), np.float32)
+        get, unseen = self.rows.get, len(self.likelihood) - 1
+        at, starts, owners, fits, known = [], [], [], [], {}
+        for i, token in enumerate(tokens):
+            words = runs(token)
+            if not words:
+                continue
+            out[i, 0] = sum(map(len, words))
+            owners.append(i)
+            starts.append(len(at))
+            for w in words:
+                at += [get(g, unseen) for g in grams(w)]
+            of = script(max(words, key=len)[0])
+            if of not in known:
+                known[of] = [of in s for s in self.scripts]
+            fits.append(known[of])
+        if owners:
+            # Grams of several sizes say the same thing.
+            total = np.add.reduceat(self.likelihood[at], starts) / len(GRAM_SIZES)
+            fits = np.array(fits)
+            total[~fits & fits.any(axis=1, keepdims=True)] = -np.inf
+            total[~fits.any(axis=1)] = 0
+            out[owners, 1:] = np.maximum(total - total.max(axis=1, keepdims=True), -MOST_AGAINST)
         return out
 
 
@@ -206,7 +211,8 @@ def learn(labelled: DataFrame, docs: int = SAMPLE_DOCS, max_grams: int = MAX_GRA
             counts.setdefault(g, np.zeros(len(langs)))[i] += n
     total = sum(counts.values(), np.zeros(len(langs))) + 0.5 * (len(counts) + 1)
     scripts = tuple(frozenset(s for s, n in x.items() if n >= SCRIPT_SHARE * sum(x.values())) for x in letters)
-    return Model(langs, {g: np.log((c + 0.5) / total) for g, c in counts.items()}, np.log(0.5 / total), scripts)
+    seen = np.array([*counts.values(), np.zeros(len(langs))])
+    return Model(langs, {g: i for i, g in enumerate(counts)}, np.log((seen + 0.5) / total).astype(np.float32), scripts)
 
 
 # ---------------------------------------------------------------- labelling
@@ -225,11 +231,11 @@ def label_spans(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
         width = len(m.langs) + 1
 
         def labelled(texts):
-            words = pc.split_pattern(pa.array([(t or "").translate(_SPACES) for t in texts], pa.large_string()), " ")
+            words = pc.split_pattern(pa.array(list(map(spaced, texts)), pa.large_string()), " ")
             first = words.offsets.to_numpy()
             coded = words.flatten().dictionary_encode()
             at, tokens = coded.indices.to_numpy(), coded.dictionary.to_pylist()
-            known = memory.fill(tokens, lambda new: [m.score(t).tobytes() for t in new])
+            known = memory.fill(tokens, lambda new: [x.tobytes() for x in m.score(new)])
             table = np.frombuffer(b"".join(map(known.__getitem__, tokens)), np.float32).reshape(-1, width)
             size = np.fromiter(map(len, tokens), np.int64, len(tokens))
             return [spans_of(size[at[i:j]], table[at[i:j]], m.langs) for i, j in zip(first[:-1], first[1:], strict=True)]
