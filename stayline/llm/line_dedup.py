@@ -371,15 +371,16 @@ def clean(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with column ``removed`` (array of first, last, in order) and
     ``clean_text``: the text without the lines of the later copies."""
     runs = repeated_runs(docs, min_words).groupBy(F.col("doc_id").alias("__id"), F.col("th").alias("__th")).agg(
-        F.array_sort(F.collect_list(F.struct("first", "last"))).alias("removed"))  # runs of one document
-    d = docs.withColumn("__h", F.xxhash64(text_of()))
+        F.array_sort(F.collect_list(F.struct("first", "last"))).alias("__runs"))  # runs of one document
+    taken = ("removed", "clean_text")
+    d = docs.select(*[docs[c] for c in docs.columns if c.lower() not in taken]).withColumn("__h", F.xxhash64(text_of()))
     d = d.join(runs, d["doc_id"].eqNullSafe(runs["__id"]) & (d["__h"] == runs["__th"]), "left")
     none = F.array().cast("array<struct<first:bigint,last:bigint>>")
-    d = d.withColumn("removed", F.coalesce("removed", none))
+    d = d.withColumn("removed", F.coalesce("__runs", none))
     kept = F.filter(F.split(text_of(), "\n"), lambda l, i: ~F.exists(
         F.col("removed"), lambda r: (i >= r["first"]) & (i <= r["last"])))
     return d.withColumn("clean_text", F.when(F.size("removed") > 0, F.array_join(kept, "\n")).otherwise(text_of())).drop(
-        "__id", "__th", "__h")
+        "__id", "__th", "__h", "__runs")
 
 
 @register("op6_line_dedup")

@@ -17,7 +17,8 @@ them are alive together at the rank of their own merge.
 
 Defined results: a null text is an empty one (no ids, decoded ''); repeated
 rows are encoded alike; an empty table gives an empty result; extra columns
-pass through ``encode`` and ``decode`` unchanged."""
+pass through ``encode`` and ``decode`` unchanged, but for one of the result's
+name, which the result replaces."""
 
 from __future__ import annotations
 
@@ -157,13 +158,17 @@ def _file(spark, path: str):
         return spark.sparkContext.broadcast(f.read())
 
 
-def _with(df: DataFrame, drop: tuple[str, ...], name: str, kind: T.DataType) -> T.StructType:
-    return T.StructType([f for f in df.schema.fields if f.name not in drop] + [T.StructField(name, kind)])
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` without columns of these names, which a result takes (in any case of letters)."""
+    taken = {n.lower() for n in names}
+    return df.select(*[df[c] for c in df.columns if c.lower() not in taken])
 
 
 def encode(df: DataFrame, tokenizer_path: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """``df`` with column ``ids`` (array of int): the whole text's token ids."""
     content = _file(df.sparkSession, tokenizer_path)
+    df = without(df, ids)
+    schema = T.StructType([*df.schema.fields]).add(ids, T.ArrayType(T.IntegerType()))
 
     def run(batches):
         enc = _encoder(content.value)
@@ -172,25 +177,29 @@ def encode(df: DataFrame, tokenizer_path: str, text: str = "text", ids: str = "i
             for i, j in rounds(texts):
                 lists = id_lists(*enc.encode(texts[i:j]))
                 yield pa.RecordBatch.from_arrays([*b.slice(i, j - i).columns, lists], [*b.schema.names, ids])
-    return df.mapInArrow(run, _with(df, (), ids, T.ArrayType(T.IntegerType())))
+    return df.mapInArrow(run, schema)
 
 
 def decode(df: DataFrame, tokenizer_path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """``df`` with column ``decoded``: the text of the ids (null ids: null)."""
     content = _file(df.sparkSession, tokenizer_path)
+    df = without(df, decoded)
+    schema = T.StructType([*df.schema.fields]).add(decoded, T.StringType())
 
     def run(batches):
         m = model(content.value)
         for b in batches:
             texts = [None if x is None else m.decode(x) for x in b.column(ids).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], [*b.schema.names, decoded])
-    return df.mapInArrow(run, _with(df, (), decoded, T.StringType()))
+    return df.mapInArrow(run, schema)
 
 
 def encode_decode(df: DataFrame, tokenizer_path: str, text: str = "text") -> DataFrame:
     """``df`` without ``text``, with ``ids`` and ``decoded``: both directions in one pass over the rows."""
     content = _file(df.sparkSession, tokenizer_path)
-    schema = _with(df, (text,), "ids", T.ArrayType(T.IntegerType())).add("decoded", T.StringType())
+    df = without(df, "ids", "decoded")
+    schema = T.StructType([f for f in df.schema.fields if f.name != text]).add(
+        "ids", T.ArrayType(T.IntegerType())).add("decoded", T.StringType())
 
     def run(batches):
         m, enc = model(content.value), _encoder(content.value)
