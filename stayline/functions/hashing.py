@@ -9,14 +9,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-TWO_53 = float(2 ** 53)
+#: Hexadecimal digits of the md5 that make a draw: 52 bits.
+DIGITS = 13
 
 
 def uniform(seed: int, *keys) -> Column:
-    """Uniform [0, 1) from xxhash64 of the keys and the seed."""
-    cols = [F.col(k) if isinstance(k, str) else k for k in keys]
-    h = F.xxhash64(F.lit(int(seed)), *cols)
-    return F.pmod(h, F.lit(2 ** 53)).cast("double") / F.lit(TWO_53)
+    """Uniform [0, 1): the first 52 bits of the md5 of ``seed|key|...`` (keys as text)."""
+    cols = [(F.col(k) if isinstance(k, str) else k).cast("string") for k in keys]
+    digest = F.md5(F.concat_ws("|", F.lit(str(int(seed))), *cols).cast("binary"))
+    return F.conv(F.substring(digest, 1, DIGITS), 16, 10).cast("bigint").cast("double") / F.lit(float(16 ** DIGITS))
+
+
+def uniform_sql(seed: int, *keys: str) -> str:
+    """The same draw in DuckDB SQL."""
+    text = " || '|' || ".join([f"'{int(seed)}'", *[f"CAST({k} AS VARCHAR)" for k in keys]])
+    return f"(CAST(CAST('0x' || substr(md5({text}), 1, {DIGITS}) AS BIGINT) AS DOUBLE) / {float(16 ** DIGITS)!r})"
 
 
 def bucket(n: int, seed: int, *keys) -> Column:

@@ -38,10 +38,8 @@ def range_flags(v: Column) -> dict[str, Column]:
 
 def join_ranges(df: DataFrame, ranges: DataFrame, var_col: str) -> DataFrame:
     """Left-join the range row of each variable (case-insensitive name)."""
-    from stayline.operators.dims import is_small
     r = ranges.select(F.lower(F.col("VARIABLE")).alias("__rvar"),
                       *[F.col(c).cast("double").alias(c) for c in RANGE_COLS])
-    r = F.broadcast(r) if is_small(ranges) else r
     return df.join(r, F.lower(F.col(var_col)) == F.col("__rvar"), "left").drop("__rvar")
 
 

@@ -41,6 +41,8 @@ def asof_backward(left: DataFrame, right: DataFrame, by: list[str], left_ts: str
                     lpay.alias("__l"), F.lit(None).cast(right.select(rpay).schema[0].dataType).alias("__r"),
                     *[tb.alias(f"__tb{i}") for i in range(len(tiebreak))])
     rb = time_bucket(right_ts, width)
+    for k in by:  # a NULL key matches nothing
+        right = right.filter(F.col(k).isNotNull())
     R = right.select(*[F.col(k) for k in by], F.col(right_ts).alias("__t"), F.lit(0).alias("__kind"),
                      F.explode(F.sequence(rb, rb + copies)).alias("__b"),
                      F.lit(None).cast(left.select(lpay).schema[0].dataType).alias("__l"), rpay.alias("__r"),

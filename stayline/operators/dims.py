@@ -1,37 +1,32 @@
-"""Dimension-table helpers: broadcast only behind a proven size bound."""
+"""Dimension-table helpers.
+
+No join is forced to broadcast: a parameter table made from local rows has a
+known size, so the optimizer broadcasts it by itself; larger or derived tables
+are left to its size estimates and to adaptive execution.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only when it has at most this many rows; larger
-# inputs fall back to a shuffle join that AQE may still convert at run time.
-MAX_BROADCAST_ROWS = 200_000
-
+#: Parts that every key's rows are spread over by ``salted_join``.
+SALTS = 16
 
-def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` provably holds at most ``max_rows`` rows."""
-    n = getattr(df, "_stayline_rows", None)
-    if n is None:
-        n = df.limit(max_rows + 1).count()
-    return n <= max_rows
 
+def local_dim(spark, rows: list, schema: str) -> DataFrame:
+    """A parameter table from local rows; its size is known exactly."""
+    return spark.createDataFrame(rows, schema)
 
-def small_dim(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast-hint ``df`` if it holds at most ``max_rows`` rows.
-
-    Tables built from local data carry their exact row count (no job);
-    otherwise the check reads at most ``max_rows + 1`` rows, so it is cheap
-    for real dimension tables and bounded for anything else."""
-    n = getattr(df, "_stayline_rows", None)
-    if n is None:
-        n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
 
+def salted_join(rows: DataFrame, dim: DataFrame, key: str, spread: list[str], how: str = "inner",
+                salts: int = SALTS) -> DataFrame:
+    """``rows`` joined to ``dim`` (one row per key) with each key's rows spread
+    over ``salts`` tasks by a hash of ``spread``.
 
-def local_dim(spark, rows: list, schema: str) -> DataFrame:
-    """A parameter table from local rows; its size is known exactly."""
-    df = spark.createDataFrame(rows, schema)
-    df._stayline_rows = len(rows)
-    return df
+    The rows come out partitioned by (key, salt), so an aggregation by the key
+    that follows first sums up each part and then shuffles those partial
+    results: one hot key is never one task's whole work."""
+    part = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
+    copies = dim.withColumn("__salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
+    return rows.withColumn("__salt", part).join(copies, [key, "__salt"], how).drop("__salt")

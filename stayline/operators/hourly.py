@@ -15,7 +15,7 @@ from stayline.functions.numbers import nan_to_null, to_number
 from stayline.functions.ranges import apply_variable_limits
 from stayline.functions.timefns import floor_hours, hours_in
 from stayline.functions.units import apply_unit_rules
-from stayline.operators.dims import is_small
+from stayline.operators.dims import salted_join
 
 ID_COLS = ["subject_id", "hadm_id", "icustay_id"]
 ITEM_COLS = ["itemid", "label", "LEVEL1", "LEVEL2"]
@@ -55,18 +55,16 @@ def prepare_measurements(X: DataFrame, stays: DataFrame, var_map: DataFrame | No
     keep = [c for c in X.columns if c not in ("intime", "max_hours", "value")]
     s = stays if "max_hours" in stays.columns else with_max_hours(stays)
     s = s.select(stay_key, F.col("intime").alias("__intime"), "max_hours")
-    x = X.select(*keep, val.alias("value")).join(s, stay_key, "inner")
+    x = salted_join(X.select(*keep, val.alias("value")), s, stay_key, [time_col, "itemid"])
     cols = keep + ["value", "hours_in"]
     x = (x.select(*keep, "value", "max_hours", hours_in("__intime", time_col).alias("hours_in"))
          .filter(F.col("hours_in") <= F.col("max_hours")))
     if var_map is not None:
         vm = var_map.select(F.col("ITEMID").cast("string").alias("__vm_item"), "LEVEL1", "LEVEL2")
-        vm = F.broadcast(vm) if is_small(var_map) else vm
         x = x.join(vm, F.col("itemid").cast("string") == F.col("__vm_item"), "left")
         cols += ["LEVEL1", "LEVEL2"]
     if items is not None:
         it = items.select(F.col("itemid").cast("string").alias("__it_item"), "label")
-        it = F.broadcast(it) if is_small(items) else it
         x = x.join(it, F.col("itemid").cast("string") == F.col("__it_item"), "left")
         cols += ["label"]
     x = x.select(*cols)
@@ -97,7 +95,8 @@ def hourly_long(M: DataFrame, group_by_level2: bool = True, id_cols=ID_COLS) ->
     """mean / sample std / count per (stay, variable, hour).
 
     NULL group keys are dropped (unmapped items), single observations give a
-    NULL std; partial aggregation runs map-side before the shuffle."""
+    NULL std.  The measurements come from a salted join, so every stay is
+    aggregated in parts before the shuffle on (stay, variable, hour)."""
     m = M.filter(_keys_present(group_by_level2)).withColumn("variable", variable_key(group_by_level2))
     return (m.groupBy(*id_cols, "variable", "hours_in")
             .agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),

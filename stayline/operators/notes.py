@@ -1,26 +1,25 @@
 """Note segmentation and sentence splitting (D08: N01-N10).
 
-Native Spark expressions do the bulk: ruler isolation and block split (N01),
-de-identification spans (N08), rule-based sentence starts (N07) and
-flattening (N09).  The header / list / inline-title rules (N02-N06) walk a
-note's segments in order and rewrite them as they go, so they run as one
-plain-Python function per note inside ``mapInPandas`` — Spark partitions the
-notes, each task handles whole notes in Arrow batches.
+All rules are column expressions.  The segmentation rules (N01-N06) put a mark
+at every place where a segment begins and the note is split at the marks;
+numbered items and one-line answers, which depend on their neighbours, are
+decided on the array of pieces with higher-order functions.
 """
 
 from __future__ import annotations
 
-import re
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Patterns of the rules.
 DEID_PATTERN = r"(?i)\[\*\*.{0,15}.*?\*\*\]"
 SENT_BREAK = "\u0001"
-TITLE_STOPWORDS = frozenset({"of", "on", "or"})
-NOT_A_TITLE = "Disp"
+SEGMENT_BREAK = "\u0002"
+# The header lines that open a note, and the title words that may be lower-case.
+HEADER_LINES = (("Admission Date:", "Discharge Date:"), ("Date of Birth:", "Sex:"))
+# A title: words that begin with a capital, "of", "on", "or" or a remark in
+# parentheses, up to a colon; "Disp:" is none.
+TITLE = r"(?!Disp[ ]*:)\p{Lu}[^\s:]*(?:[ \t]+(?:of|on|or|\([^):\n]*\)|\p{Lu}[^\s:]*))*[ \t]*:"
 
 
 # ------------------------------------------------------------ native part
@@ -42,9 +41,10 @@ def deid_spans(text: Column) -> Column:
 
 
 def mark_sentence_starts(text: Column) -> Column:
-    """A sentence starts after '.' + space before a title-case token, and
-    after a stand-alone '-' before a token that is not another '-'."""
-    t = F.regexp_replace(text, r"\.\s+([A-Z][^A-Z])", "." + SENT_BREAK + "$1")
+    """A sentence starts after '.' + space before a title-case token (a
+    capital of any script and something else), and after a stand-alone '-'
+    before a token that is not another '-'."""
+    t = F.regexp_replace(text, r"\.\s+(\p{Lu}\P{Lu})", "." + SENT_BREAK + "$1")
     return F.regexp_replace(t, r"(\s)-\s+([^\s-])", "$1-" + SENT_BREAK + "$2")
 
 
@@ -66,155 +66,71 @@ def flattened_note(text: Column) -> Column:
     return F.concat(F.array_join(sentences(text), "\n"), F.lit("\n"))
 
 
-# ------------------------------------------------------- per-note rule walk
-_INLINE = re.compile(r"^([a-zA-Z ]+:) ")
-_HEADER_CAND = re.compile(r"(?:^|\n)([A-Z][^\n:]+:)")
-_PARENS = re.compile(r"\([^)]*?\)")
-_ITEM = re.compile(r"\n\s*(\d+)\.")
-_ADMIT = re.compile(r"(Admission Date:) (.*) (Discharge Date:) (.*)")
-_BIRTH = re.compile(r"(Date of Birth:) (.*) (Sex:) (.*)")
-
-
-def is_title(text: str) -> bool:
-    """A header like ``Past Medical History:`` — ends in ':' and every word
-    outside parentheses, except of/on/or, starts upper-case; not ``Disp:``."""
-    if not text.endswith(":"):
-        return False
-    body = _PARENS.sub("", text[:-1])
-    words_ok = all(w in TITLE_STOPWORDS or w[0].isupper() for w in body.split())
-    return words_ok and body != NOT_A_TITLE
-
-
-def is_inline_title(line: str) -> bool:
-    m = _INLINE.search(line)
-    return bool(m) and is_title(m.group(1))
-
-
-def _split_leading_headers(segs: list[str]) -> tuple[list[str], list[str]]:
-    """N02: 'Admission Date: .. Discharge Date: ..' then 'Date of Birth: .. Sex: ..'
-    as the first block(s) become four parts each (only the matched line is kept)."""
-    out: list[str] = []
-    for pat in (_ADMIT, _BIRTH):
-        if segs:
-            m = pat.match(segs[0])
-            if m:
-                out.extend(g.strip() for g in m.groups())
-                segs = segs[1:]
-    return out, segs
-
-
-def _split_headers(seg: str) -> list[str]:
-    """Cut a block at each title-like line start into prefix / header / rest."""
-    out: list[str] = []
-    heads = [h.strip() for h in _HEADER_CAND.findall(seg) if is_title(h.strip())]
-    rest = seg
-    for h in heads:
-        at = rest.find(h)
-        if at < 0:
-            continue
-        before, rest = rest[:at].strip(), rest[at + len(h):].strip()
-        if before:
-            out.append(before)
-        out.append(h)
-    if rest:
-        out.append(rest.strip())
-    return out
-
-
-def _split_keep(seg: str, sep_line: str) -> list[str]:
-    """Split on a separator line, keeping the separator as its own segment."""
-    pieces = seg.split("\n" + sep_line + "\n")
-    out = [pieces[0]]
-    for p in pieces[1:]:
-        out += [sep_line, p]
-    return out
-
-
-def _split_enumeration(seg: str) -> list[str]:
-    """Consecutive numbered items 'k.', 'k+1.', ... each start a segment."""
-    if not _ITEM.search("\n" + seg):
-        return [seg]
-    s = "\n" + seg
-    first = int(_ITEM.search(s).group(1))
-    last = first
-    while re.search(r"\n\s*%d\." % last, s):
-        last += 1
-    last -= 1
-    if last < 1 or last == first:
-        return [s]
-    out = []
-    for _ in range(first, last + 1):
-        m = re.search(r"(\n\s*\d+\.)", s)
-        if m is None:
-            break
-        cut = s.index(m.group(1))
-        head, s = s[:cut].strip(), s[cut:].strip()
-        if head:
-            out.append(head)
-    if s:
-        out.append(s)
-    return out
-
-
-def _split_inline_titles(seg: str) -> list[str]:
-    """A line starting 'Title: value' opens a new segment."""
-    out, buf = [], []
-    for line in seg.split("\n"):
-        if is_inline_title(line) and buf:
-            out.append("\n".join(buf))
-            buf = []
-        buf.append(line)
-    if buf:
-        out.append("\n".join(buf))
-    return out
-
-
-def _join_one_line_answers(segs: list[str]) -> list[str]:
-    """A one-line non-title right after a title, followed by a title or
-    the end, is glued to that title ("A A' B" → "AA' B")."""
-    out: list[str] = []
-    n = len(segs)
-    for i, s in enumerate(segs):
-        glue = (i > 0 and "\n" not in s and is_title(segs[i - 1]) and not is_title(s)
-                and (i == n - 1 or is_title(segs[i + 1])))
-        if glue:
-            out[-1] = segs[i - 1] + " " + s
-        else:
-            out.append(s)
-    return out
-
-
-def segment_note(text: str) -> list[str]:
-    """All segmentation rules (N01-N06) for one note, in order."""
-    t = re.sub(r"---+", "\n\n-----\n\n", text)
-    t = re.sub(r"___+", "\n\n_____\n\n", t)
-    t = re.sub(r"\n\n+", "\n\n", t)
-    segs = t.split("\n\n")
-    segs_out, segs = _split_leading_headers(segs)
-    for seg in segs:
-        segs_out.extend(_split_headers(seg))
-    stages = (lambda s: _split_keep(s, "_____"), lambda s: _split_keep(s, "-----"),
-              _split_enumeration, _split_inline_titles)
-    for stage in stages:
-        segs_out = [p for s in segs_out for p in stage(s)]
-    return _join_one_line_answers(segs_out)
-
-
-SEGMENT_SCHEMA = "doc_id long, seg_idx int, segment string"
-
-
-def _segment_batches(batches):
-    for pdf in batches:
-        rows = [(d, i, s) for d, t in zip(pdf["doc_id"], pdf["text"]) if t is not None
-                for i, s in enumerate(segment_note(str(t)))]
-        yield pd.DataFrame(rows, columns=["doc_id", "seg_idx", "segment"]).astype({"doc_id": "int64", "seg_idx": "int32"})
+# ------------------------------------------------------------ segments
+def is_title(segment: Column) -> Column:
+    """Whether a whole segment is a title (``Past Medical History:``)."""
+    return segment.rlike("^" + TITLE + "$")
+
+
+def mark_headers(text: Column) -> Column:
+    """The note's opening lines ``Admission Date: a Discharge Date: b`` and
+    ``Date of Birth: c Sex: d`` (in this order, either may be missing) become
+    four parts each."""
+    blank = r"\A((?:[^\x02\n]*\x02)*\s*)"
+    for first, second in HEADER_LINES:
+        line = blank + f"({first})([^\\n]*?)({second})([^\\n]*)"
+        text = F.regexp_replace(text, line, SEGMENT_BREAK.join(["$1$2", "$3", "$4", "$5", ""]))
+    return text
+
+
+def mark_titles(text: Column) -> Column:
+    """A title at the start of a line is a part of its own, and what follows it another one."""
+    return F.regexp_replace(text, "(?m)^[ \\t]*(" + TITLE + ")", SEGMENT_BREAK + "$1" + SEGMENT_BREAK)
+
+
+def split_items(part: Column) -> Column:
+    """Lines that begin with a number and a period start a part of their
+    own where the number follows on the one before or the next follows on it."""
+    pieces = F.split(F.regexp_replace(part, r"(?m)^([ \t]*[0-9]+\.)", SEGMENT_BREAK + "$1"), SEGMENT_BREAK)
+    numbers = F.transform(pieces, lambda p: F.regexp_extract(p, r"\A[ \t]*([0-9]{1,9})\.", 1).try_cast("int"))
+    pairs = F.arrays_zip(pieces.alias("p"), numbers.alias("k"),
+                         F.concat(F.array(F.lit(None).cast("int")), F.slice(numbers, 1, F.size(numbers) - 1)).alias("before"),
+                         F.concat(F.slice(numbers, 2, F.size(numbers)), F.array(F.lit(None).cast("int"))).alias("after"))
+
+    def placed(acc: Column, x: Column) -> Column:
+        starts = F.coalesce(x["k"] == x["before"] + 1, F.lit(False)) | F.coalesce(x["after"] == x["k"] + 1, F.lit(False))
+        return F.concat(acc, F.when(starts, F.lit(SEGMENT_BREAK)).otherwise(F.lit("")), x["p"])
+    return F.split(F.aggregate(pairs, F.lit(""), placed), SEGMENT_BREAK)
+
+
+def join_answers(parts: Column) -> Column:
+    """A one-line part after a title rejoins it, if a title or the note's end follows."""
+    nothing = F.array(F.lit(None).cast("string"))
+    near = F.arrays_zip(parts.alias("p"), F.concat(nothing, F.slice(parts, 1, F.greatest(F.size(parts) - 1, F.lit(0)))).alias("before"),
+                        F.concat(F.slice(parts, 2, F.size(parts)), nothing).alias("after"))
+    flagged = F.transform(near, lambda x: F.struct(
+        x["p"].alias("p"), x["before"].alias("before"),
+        (F.coalesce(is_title(x["before"]), F.lit(False)) & ~is_title(x["p"]) & ~x["p"].contains("\n")
+         & F.coalesce(is_title(x["after"]), F.lit(True))).alias("answer")))
+    # An answer takes its title's place; the title before it goes.
+    kept = F.filter(F.arrays_zip(flagged.alias("x"), F.concat(
+        F.slice(F.transform(flagged, lambda x: x["answer"]), 2, F.size(flagged)), F.array(F.lit(False))).alias("taken")),
+        lambda z: ~z["taken"] & z["x"]["p"].isNotNull())  # no parts: one empty row
+    return F.transform(kept, lambda z: F.when(z["x"]["answer"], F.concat(z["x"]["before"], F.lit(" "), z["x"]["p"]))
+                       .otherwise(z["x"]["p"]))
 
 
 def segment_notes(notes: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """N01-N06 per note under ``mapInPandas``; output (key, seg_idx, segment)."""
-    d = notes.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    out = d.mapInPandas(_segment_batches, SEGMENT_SCHEMA)
-    return out.withColumnRenamed("doc_id", key) if key != "doc_id" else out
+    """(key, seg_idx, segment).  A NULL note has no segments, and
+    neither has one of white space only.  The steps are columns of their own,
+    as each refers to the one before several times."""
+    marked = mark_titles(mark_headers(isolate_rulers(F.col(text))))
+    d = notes.select(F.col(key), F.split(marked, SEGMENT_BREAK + "|\n\n").alias("__parts"))
+    d = d.withColumn("__parts", F.flatten(F.transform("__parts", split_items)))
+    d = d.withColumn("__parts", F.filter(F.transform("__parts", lambda p: F.regexp_replace(p, r"\A\s+|\s+\z", "")),
+                                         lambda p: p != ""))
+    d = d.withColumn("__parts", join_answers(F.col("__parts")))
+    return explode_indexed(d, [key], F.col("__parts"), "seg_idx", "segment")
 
 
 def note_sentences(segments: DataFrame, keys: list[str], text: str = "segment") -> DataFrame:

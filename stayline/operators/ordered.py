@@ -26,6 +26,18 @@ def _cols(xs):
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
+def _with_bucket_rows(d: DataFrame, per_bucket: DataFrame, keys: list[str]) -> DataFrame:
+    """``d`` with the columns of its (key, bucket) row; a NULL key or time is a
+    key or bucket like any other, as it is to a window."""
+    on = [*keys, _B]
+    r = per_bucket.select(*[F.col(c).alias(f"__on_{i}") for i, c in enumerate(on)],
+                          *[c for c in per_bucket.columns if c not in on])
+    cond = F.lit(True)
+    for i, c in enumerate(on):
+        cond = cond & d[c].eqNullSafe(r[f"__on_{i}"])
+    return d.join(r, cond, "left").drop(*[f"__on_{i}" for i in range(len(on))])
+
+
 def with_bucket(df: DataFrame, ts: str, bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     return df.withColumn(_B, time_bucket(ts, bucket_seconds))
 
@@ -51,7 +63,7 @@ def lag_within(df: DataFrame, keys: list[str], ts: str, cols: list[str],
     wb = Window.partitionBy(*keys).orderBy(F.col(_B).desc() if descending else F.col(_B).asc())
     last = last.withColumn("__bucket_prev", F.lag("__last").over(wb)).drop("__last")
 
-    out = d.join(last, on=keys + [_B], how="left")
+    out = _with_bucket_rows(d, last, keys)
     prev = F.coalesce(F.col("__in_prev"), F.col("__bucket_prev"))
     for c in cols:
         out = out.withColumn(prefix + c, prev.getField(c))
@@ -67,10 +79,11 @@ def dense_rank_within(df: DataFrame, keys: list[str], ts: str, name: str = "rank
     d = with_bucket(df, ts, bucket_seconds)
     w_in = Window.partitionBy(*keys, _B).orderBy(F.col(ts))
     d = d.withColumn("__r_in", F.dense_rank().over(w_in))
-    per_b = d.groupBy(*keys, _B).agg(F.count_distinct(ts).alias("__nd"))
+    per_b = d.groupBy(*keys, _B).agg(
+        (F.count_distinct(ts) + F.max(F.col(ts).isNull().cast("int"))).alias("__nd"))  # NULL is a value of its own
     wb = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
     per_b = per_b.withColumn("__off", F.coalesce(F.sum("__nd").over(wb), F.lit(0))).drop("__nd")
-    out = d.join(per_b, on=keys + [_B], how="left")
+    out = _with_bucket_rows(d, per_b, keys)
     return out.withColumn(name, (F.col("__r_in") + F.col("__off")).cast("int")).drop("__r_in", "__off", _B)
 
 
@@ -85,7 +98,7 @@ def row_number_within(df: DataFrame, keys: list[str], ts: str, tiebreak: list[st
     wb = (Window.partitionBy(*keys).orderBy(F.col(_B).desc() if descending else F.col(_B).asc())
           .rowsBetween(Window.unboundedPreceding, -1))
     per_b = per_b.withColumn("__off", F.coalesce(F.sum("__n").over(wb), F.lit(0))).drop("__n")
-    out = d.join(per_b, on=keys + [_B], how="left")
+    out = _with_bucket_rows(d, per_b, keys)
     return out.withColumn(name, (F.col("__r_in") + F.col("__off")).cast("int")).drop("__r_in", "__off", _B)
 
 
@@ -115,10 +128,23 @@ def scan_agg_within(df: DataFrame, keys: list[str], ts: str, value: str, agg: st
     per_b = d.groupBy(*keys, _B).agg(fn(value).alias("__bagg"))
     wb = Window.partitionBy(*keys).orderBy(*order([_B])).rowsBetween(Window.unboundedPreceding, -1)
     per_b = per_b.withColumn("__across", fn("__bagg").over(wb)).drop("__bagg")
-    out = d.join(per_b, on=keys + [_B], how="left")
+    out = _with_bucket_rows(d, per_b, keys)
     return out.withColumn(name, comb(F.col("__in"), F.col("__across"))).drop("__in", "__across", _B)
 
 
+def _count_below(cuts: Column, v: Column) -> Column:
+    """How many elements of the sorted array ``cuts`` are less than ``v``; a NULL is below all."""
+    step = F.struct(F.lit(0).alias("lo"), F.size(cuts).alias("hi"))
+
+    def halve(s, _):
+        mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+        less = (s["lo"] < s["hi"]) & (F.get(cuts, mid) < v)
+        return F.struct(F.when(less, mid + 1).otherwise(s["lo"]).alias("lo"),
+                        F.when(less | (s["lo"] >= s["hi"]), s["hi"]).otherwise(mid).alias("hi"))
+    rounds = F.sequence(F.lit(0), F.ceil(F.log2(F.size(cuts) + 2)).cast("int"))
+    return F.when(v.isNull(), 0).otherwise(F.aggregate(rounds, step, halve, lambda s: s["lo"]))
+
+
 def global_cumsum(df: DataFrame, order_cols: list[str], sum_cols: dict[str, str],
                   num_partitions: int | None = None, inclusive: bool = True) -> DataFrame:
     """Running sums over a total order of the whole table, without a single-
@@ -139,7 +165,8 @@ def global_cumsum(df: DataFrame, order_cols: list[str], sum_cols: dict[str, str]
         # frozen; n-1 numbers, bounded by the partition count.
         cuts = df.agg(F.percentile_approx(first, probs, 10000)).first()[0] or []
         arr = F.array(*[F.lit(c) for c in sorted(set(cuts))]) if cuts else F.array().cast("array<double>")
-        d = df.withColumn("__pid", F.size(F.filter(arr, lambda b: b < F.col(first))))
+        # Binary search in the sorted cuts: how many lie below the value.
+        d = df.withColumn("__pid", _count_below(arr, F.col(first)))
     else:
         d = df.withColumn("__pid", F.lit(0))
     tot = d.groupBy("__pid").agg(*[F.sum(c).alias(f"__t_{o}") for o, c in sum_cols.items()])

@@ -20,7 +20,7 @@ from stayline.functions.timefns import US_PER_HOUR, diff_us, duration_hours, tim
 
 def gap_sessions(df: DataFrame, stay: str, ts: str, flag: str | None = None,
                  gap_hours: float = 8.0, bucket_seconds: int = 3600,
-                 num_col: str = "ventnum") -> DataFrame:
+                 num_col: str = "session_no") -> DataFrame:
     """Return (stay, num_col, starttime, endtime, duration_hours, n_points)."""
     gap_us = int(gap_hours * US_PER_HOUR)
     x = df if flag is None else df.filter(F.col(flag) == 1)

@@ -21,18 +21,22 @@ def _adjacent(arr: Column, pred) -> Column:
         F.exists(idx, lambda i: pred(F.element_at(arr, i), F.element_at(arr, i + 1))))
 
 
+def _cut(d: DataFrame, max_len: int | None) -> DataFrame:
+    return d if max_len is None else d.filter(F.col("hours_in") < max_len)
+
+
 def transition_labels(grid: DataFrame, stay: str, flag: str, slice_size: int = 6, gap: int = 6,
-                      pred: int = 4, max_len: int = 240, keep_window: bool = True) -> DataFrame:
+                      pred: int = 4, max_len: int | None = None, keep_window: bool = True) -> DataFrame:
     """Sliding samples with the ONSET / CONTROL / ON / WEAN label.
 
     Sample start t runs over ``range(length - slice - gap - pred)`` with
-    ``length`` the stay's full hour count; hours from ``max_len`` on are cut,
-    so windows near the cut are truncated.  Rules in order: any change in the
+    ``length`` the stay's full hour count.  With ``max_len`` hours from there
+    on are cut, so windows near the cut are truncated.  Rules in order: any change in the
     gap window drops the sample; a constant prediction window is CONTROL (0s)
     or ON (1s); a rise is ONSET; a fall is WEAN."""
     w_all = Window.partitionBy(stay)
     d = grid.select(stay, "hours_in", F.col(flag).cast("int").alias("__y"))
-    d = d.withColumn("__len", F.count(F.lit(1)).over(w_all)).filter(F.col("hours_in") < max_len)
+    d = _cut(d.withColumn("__len", F.count(F.lit(1)).over(w_all)), max_len)
     w = Window.partitionBy(stay).orderBy("hours_in")
     x = F.collect_list("__y").over(w.rowsBetween(0, slice_size - 1))
     g = F.collect_list("__y").over(w.rowsBetween(slice_size, slice_size + gap - 1))
@@ -57,11 +61,11 @@ def transition_labels(grid: DataFrame, stay: str, flag: str, slice_size: int = 6
 
 
 def binary_labels(grid: DataFrame, stay: str, flag: str, slice_size: int = 6, gap: int = 6,
-                  pred: int = 4, max_len: int = 240) -> DataFrame:
+                  pred: int = 4, max_len: int | None = None) -> DataFrame:
     """Binary variant: drop when the gap window holds a 1, else label = max of prediction window."""
     w_all = Window.partitionBy(stay)
     d = grid.select(stay, "hours_in", F.col(flag).cast("int").alias("__y"))
-    d = d.withColumn("__len", F.count(F.lit(1)).over(w_all)).filter(F.col("hours_in") < max_len)
+    d = _cut(d.withColumn("__len", F.count(F.lit(1)).over(w_all)), max_len)
     w = Window.partitionBy(stay).orderBy("hours_in")
     d = d.withColumn("__gmax", F.max("__y").over(w.rowsBetween(slice_size, slice_size + gap - 1)))
     d = d.withColumn("__pmax", F.max("__y").over(w.rowsBetween(slice_size + gap, slice_size + gap + pred - 1)))
@@ -103,9 +107,13 @@ def sample_windows(grid: DataFrame, stay: str, cols: list[str], size: int = 6) -
     """Per stay and start hour, the next ``size`` hourly values of each column
     as arrays (the X part of a sliding sample)."""
     w = Window.partitionBy(stay).orderBy("hours_in").rowsBetween(0, size - 1)
-    out = grid.select(stay, F.col("hours_in").alias("start_hour"),
-                      *[F.collect_list(c).over(w).alias(f"{c}_win") for c in cols])
-    return out
+    # Collected as structs: a list of bare values would leave out NULL hours.
+    rows = F.collect_list(F.struct(*cols)).over(w)
+
+    def field(c):
+        return F.transform("__rows", lambda r: r.getField(c)).alias(f"{c}_win")
+    out = grid.select(stay, F.col("hours_in").alias("start_hour"), rows.alias("__rows"))
+    return out.select(stay, "start_hour", *[field(c) for c in cols])
 
 
 def one_hot_label(df: DataFrame, label: str, n_classes: int, prefix: str = "label_") -> DataFrame:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stayline.operators import notes as N
 from stayline.plans.registry import register
 from stayline.sources.tables import table
 
-_MARK = ("regexp_replace(regexp_replace(text, '\\.\\s+([A-Z][^A-Z])', '.' || chr(1) || '\\1', 'g'), "
+_MARK = ("regexp_replace(regexp_replace(text, '\\.\\s+(\\p{Lu}\\P{Lu})', '.' || chr(1) || '\\1', 'g'), "
          "'(\\s)-\\s+([^\\s-])', '\\1-' || chr(1) || '\\2', 'g')")
 _SENTS = f"list_filter(list_transform(string_split({_MARK}, chr(1)), lambda x: trim(replace(x, chr(10), ' '))), lambda x: length(x) > 0)"
 
@@ -53,15 +54,54 @@ def q_note_deid(spark, sf):
     return d.select("doc_id", F.size(N.deid_spans(F.col("text"))).alias("n_deid"))
 
 
-@register("note_segments")
+# Notes with headers, rulers, lists and inline titles, made of the conversations:
+# one note per conversation, its turns in order as a titled section, a ruled
+# list, or a title with a one-line answer.  The oracle states the segments that
+# such a note has by construction.
+_TURNS = """
+WITH turn AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS k,
+         'Said ' || trim(regexp_replace(regexp_replace(coalesce(text, ''), '[:_-]', '', 'g'), '\\s+', ' ', 'g')) AS said
+  FROM conversations),
+part AS (
+  SELECT conv_id, -1 AS k, 0 AS i, 'Admission Date: A' || conv_id AS segment FROM turn WHERE k = 0
+  UNION ALL SELECT conv_id, -1, 1, 'Discharge Date: D' || conv_id FROM turn WHERE k = 0
+  UNION ALL SELECT conv_id, k, 0, 'History of Illness:' FROM turn WHERE k % 3 = 0
+  UNION ALL SELECT conv_id, k, 1, trim(said) || chr(10) || 'and more' FROM turn WHERE k % 3 = 0
+  UNION ALL SELECT conv_id, k, 0, '-----' FROM turn WHERE k % 3 = 1
+  UNION ALL SELECT conv_id, k, 1, '1. ' || trim(said) FROM turn WHERE k % 3 = 1
+  UNION ALL SELECT conv_id, k, 2, '2. done' FROM turn WHERE k % 3 = 1
+  UNION ALL SELECT conv_id, k, 0, 'Status on Leaving: ' || trim(said) FROM turn WHERE k % 3 = 2),
+seg AS (SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY k, i) - 1 AS INTEGER) AS seg_idx, segment FROM part)"""
+
+
+def notes_of_conversations(spark, sf):
+    """(conv_id, text): see above."""
+    t = table(spark, sf, "conversations")
+    w = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    said = F.trim(F.regexp_replace(F.regexp_replace(F.coalesce("text", F.lit("")), "[:_-]", ""), r"\s+", " "))
+    d = t.select("conv_id", (F.row_number().over(w) - 1).alias("k"), F.trim(F.concat(F.lit("Said "), said)).alias("said"))
+    body = (F.when(F.col("k") % 3 == 0, F.concat(F.lit("History of Illness:\n"), "said", F.lit("\nand more\n")))
+            .when(F.col("k") % 3 == 1, F.concat(F.lit("------\n1. "), "said", F.lit("\n2. done\n\n")))
+            .otherwise(F.concat(F.lit("Status on Leaving: "), "said", F.lit("\n\n"))))
+    rows = d.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("k", body.alias("b")))).alias("t"))
+    head = F.concat(F.lit("Admission Date: A"), F.col("conv_id").cast("string"),
+                    F.lit(" Discharge Date: D"), F.col("conv_id").cast("string"), F.lit("\n\n"))
+    return rows.select("conv_id", F.concat(head, F.array_join(F.transform("t", lambda x: x["b"]), "")).alias("text"))
+
+
+@register("note_segments", _TURNS + "\nSELECT conv_id, seg_idx, segment FROM seg")
 def q_note_segments(spark, sf):
-    """Header / separator / enumeration / inline-title segmentation
-    (per-note rule walk under mapInPandas; no SQL form)."""
-    return N.segment_notes(docs(spark, sf))
+    """Header, ruler, list and inline-title segmentation of the conversations' notes."""
+    return N.segment_notes(notes_of_conversations(spark, sf), "conv_id")
 
 
-@register("segment_sentences")
+_SEG_SENTS = _SENTS.replace("regexp_replace(text,", "regexp_replace(segment,")
+
+
+@register("segment_sentences", _TURNS + f"""
+SELECT conv_id, seg_idx, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS sent_idx, unnest(l) AS sentence
+FROM (SELECT conv_id, seg_idx, {_SEG_SENTS} AS l FROM seg)""")
 def q_segment_sentences(spark, sf):
     """Segments of every note, each split into flattened sentences."""
-    seg = N.segment_notes(docs(spark, sf))
-    return N.note_sentences(seg, ["doc_id", "seg_idx"])
+    return N.note_sentences(N.segment_notes(notes_of_conversations(spark, sf), "conv_id"), ["conv_id", "seg_idx"])

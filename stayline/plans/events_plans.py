@@ -15,7 +15,7 @@ from stayline.functions.ranges import cleaning_report
 from stayline.functions.timefns import add_hours, floor_hours
 from stayline.operators import hourly as H
 from stayline.operators.asof import asof_backward, value_at_hour
-from stayline.operators.dims import local_dim
+from stayline.operators.dims import local_dim, salted_join
 from stayline.operators.features import label_features
 from stayline.operators.impute import global_means_from_long, simple_impute
 from stayline.operators.intervals import bolus_intervals, hourly_indicators_from, interval_hours, next_start_end
@@ -239,21 +239,20 @@ def q_sparse_variables(spark, sf):
 
 
 @register("gap_sessions", """
-WITH ns AS (SELECT user_id, ts AS charttime,
-                   max(CASE WHEN event_type IN ('purchase', 'click') THEN 1 ELSE 0 END) AS flag
-            FROM events GROUP BY user_id, ts),
-vd0 AS (SELECT user_id, charttime, flag,
-               CASE WHEN flag = 1 THEN lag(charttime) OVER (PARTITION BY user_id, flag ORDER BY charttime) END AS lagt
-        FROM ns),
-vd1 AS (SELECT *, CASE WHEN charttime - lagt > INTERVAL 8 HOUR THEN 1 ELSE 0 END AS newvent FROM vd0),
-vd2 AS (SELECT *, CASE WHEN flag = 1 THEN sum(newvent) OVER (PARTITION BY user_id ORDER BY charttime) END AS vn
-        FROM vd1)
-SELECT user_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY vn) AS INTEGER) AS ventnum,
-       min(charttime) AS starttime, max(charttime) AS endtime,
-       round(date_diff('microsecond', min(charttime), max(charttime)) / 3600000000.0, 6) AS duration_hours,
-       count(*) AS n_points
-FROM vd2 GROUP BY user_id, vn
-HAVING min(charttime) != max(charttime) AND max(flag) = 1""")
+WITH therapy AS (SELECT DISTINCT user_id, ts FROM events WHERE event_type IN ('purchase', 'click')),
+opened AS (  -- time points without another one in the 8 hours before them
+  SELECT t.user_id, t.ts, NOT EXISTS (
+    SELECT 1 FROM therapy p WHERE p.user_id = t.user_id AND p.ts < t.ts AND t.ts <= p.ts + INTERVAL 8 HOUR) AS opens
+  FROM therapy t),
+spans AS (
+  SELECT o.user_id, o.starttime, max(t.ts) AS endtime, count(*) AS n_points
+  FROM (SELECT user_id, ts AS starttime, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS following
+        FROM opened WHERE opens) o
+  JOIN therapy t ON t.user_id = o.user_id AND t.ts >= o.starttime AND (o.following IS NULL OR t.ts < o.following)
+  GROUP BY o.user_id, o.starttime)
+SELECT user_id, CAST(rank() OVER (PARTITION BY user_id ORDER BY starttime) AS INTEGER) AS session_no, starttime, endtime,
+       round(date_diff('microsecond', starttime, endtime) / 3600000000.0, 6) AS duration_hours, n_points
+FROM spans WHERE endtime > starttime""")
 def q_gap_sessions(spark, sf):
     """D09 (A31, W03, W04, A06, W05, F04): a therapy flag per time point
     (MAX over its rows), then sessions of flagged points split by gaps > 8 h."""
@@ -289,8 +288,7 @@ def q_hourly_interventions(spark, sf):
 
 
 @register("transition_labels", SQL_IND + """,
-cut AS (SELECT * FROM (SELECT user_id, hours_in, purchase_on, count(*) OVER (PARTITION BY user_id) AS len
-                     FROM ind) WHERE hours_in < 240),
+cut AS (SELECT user_id, hours_in, purchase_on, count(*) OVER (PARTITION BY user_id) AS len FROM ind),
 lw AS (SELECT user_id, hours_in, len,
         """ + ", ".join(f"lead(purchase_on, {k}) OVER (PARTITION BY user_id ORDER BY hours_in) AS y{k}"
                          for k in range(6, 16)) + """
@@ -301,7 +299,7 @@ lc AS (SELECT user_id, hours_in,
          (""" + " OR ".join(f"coalesce(y{k} = 1 AND y{k + 1} = 0, false)" for k in range(12, 15)) + """) AS fall,
          y13 IS NOT NULL AS some_diff,
          greatest(""" + ", ".join(f"coalesce(y{k}, -1)" for k in range(12, 16)) + """) AS pmax
-       FROM lw WHERE hours_in < 240 AND hours_in < len - 16)
+       FROM lw WHERE hours_in < len - 16)
 SELECT user_id, hours_in AS start_hour, label FROM (
   SELECT user_id, hours_in, CAST(CASE WHEN gchange THEN NULL
        WHEN some_diff AND NOT rise AND NOT fall AND pmax = 0 THEN 1
@@ -313,14 +311,13 @@ def q_transition_labels(spark, sf):
 
 
 @register("binary_labels", SQL_IND + """,
-cut AS (SELECT * FROM (SELECT user_id, hours_in, purchase_on, count(*) OVER (PARTITION BY user_id) AS len
-                     FROM ind) WHERE hours_in < 240),
+cut AS (SELECT user_id, hours_in, purchase_on, count(*) OVER (PARTITION BY user_id) AS len FROM ind),
 lw AS (SELECT user_id, hours_in, len,
         max(purchase_on) OVER (PARTITION BY user_id ORDER BY hours_in ROWS BETWEEN 6 FOLLOWING AND 11 FOLLOWING) AS gmax,
         max(purchase_on) OVER (PARTITION BY user_id ORDER BY hours_in ROWS BETWEEN 12 FOLLOWING AND 15 FOLLOWING) AS pmax
        FROM cut)
 SELECT user_id, hours_in AS start_hour, pmax AS label FROM lw
-WHERE hours_in < 240 AND hours_in < len - 16 AND gmax != 1 AND pmax IS NOT NULL""")
+WHERE hours_in < len - 16 AND gmax != 1 AND pmax IS NOT NULL""")
 def q_binary_labels(spark, sf):
     """W10 binary variant: drop if the gap holds the intervention, label = horizon max."""
     return binary_labels(indicator_grid(spark, sf), STAY, "purchase_on")
@@ -376,7 +373,7 @@ def q_first_last_features(spark, sf):
     window intime - 6 h .. intime + 24 h."""
     ev = events(spark, sf)
     s = stays(ev).select(STAY, "intime")
-    d = ev.join(s, STAY).filter(F.col("ts").between(add_hours("intime", -FEATURE_LOOKBACK_H),
+    d = salted_join(ev, s, STAY, ["event_id"]).filter(F.col("ts").between(add_hours("intime", -FEATURE_LOOKBACK_H),
                                                      add_hours("intime", FEATURE_DURATION_H)))
     return rounded(label_features(d, [STAY], "event_type", VARIABLES, "value", "ts", _FEAT_STATS))
 

@@ -11,6 +11,7 @@ from stayline.functions.numbers import round_numeric
 from stayline.functions.timefns import add_hours, interval_day_part, interval_hour_part
 from stayline.operators.asof import asof_backward
 from stayline.operators.cohort import stay_ordinals
+from stayline.operators.dims import salted_join
 from stayline.operators.features import full_outer_coalesce, label_features
 from stayline.operators.impute import simple_impute
 from stayline.operators.ordered import dense_rank_within, lag_within
@@ -84,21 +85,20 @@ def q_height_history(spark, sf):
 
 # ------------------------------------------------------------- D12 weight durations
 @register("weight_durations", "WITH " + EP.SQL_STAYS.strip().rstrip(",").split("grid AS")[0].rstrip().rstrip(",") + """,
-wt AS (SELECT event_id, user_id, ts AS charttime, CASE WHEN event_type = 'purchase' THEN 'admit' ELSE 'daily' END AS weight_type,
-              value AS weight FROM events WHERE event_type IN ('purchase', 'signup') AND value IS NOT NULL),
-w1 AS (SELECT *, row_number() OVER (PARTITION BY user_id, weight_type ORDER BY charttime, event_id) AS rn FROM wt),
-w2 AS (SELECT w1.user_id, w1.event_id, s.intime, s.outtime, weight_type,
-              CASE WHEN weight_type = 'admit' AND rn = 1 THEN s.intime - INTERVAL 6 HOUR ELSE charttime END AS starttime, weight
-       FROM w1 JOIN s USING (user_id)),
-w3 AS (SELECT user_id, event_id, intime, starttime,
-              coalesce(lead(starttime) OVER (PARTITION BY user_id ORDER BY starttime, event_id), outtime + INTERVAL 2 HOUR) AS endtime,
-              weight, weight_type FROM w2),
-fx AS (SELECT user_id, intime - INTERVAL 2 HOUR AS starttime, starttime AS endtime, weight, weight_type
-       FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY starttime, event_id) AS rn FROM w3)
-       WHERE rn = 1 AND intime < starttime)
-SELECT user_id, starttime, endtime, round(weight, 6) AS weight, weight_type FROM w3
+reading AS (  -- each weight counts from its time on, a stay's first admission weight from six hours before entry
+  SELECT e.user_id, e.event_id, s.intime, s.outtime, e.value AS weight,
+         CASE e.event_type WHEN 'purchase' THEN 'admit' ELSE 'daily' END AS weight_type,
+         CASE WHEN e.event_id = arg_min(e.event_id, (e.ts, e.event_id)) FILTER (WHERE e.event_type = 'purchase')
+                   OVER (PARTITION BY e.user_id) THEN s.intime - INTERVAL 6 HOUR ELSE e.ts END AS valid_from
+  FROM events e JOIN s USING (user_id) WHERE e.event_type IN ('purchase', 'signup') AND e.value IS NOT NULL),
+placed AS (
+  SELECT *, lead(valid_from) OVER o AS following, first_value(event_id) OVER o AS first_id
+  FROM reading WINDOW o AS (PARTITION BY user_id ORDER BY valid_from, event_id))
+SELECT user_id, valid_from AS starttime, coalesce(following, outtime + INTERVAL 2 HOUR) AS endtime,
+       round(weight, 6) AS weight, weight_type FROM placed
 UNION ALL
-SELECT user_id, starttime, endtime, round(weight, 6) AS weight, weight_type FROM fx""")
+SELECT user_id, intime - INTERVAL 2 HOUR, valid_from, round(weight, 6), weight_type
+FROM placed WHERE event_id = first_id AND valid_from > intime""")
 def q_weight_durations(spark, sf):
     """D12 (W07, W06, J08, U02): weight validity intervals with the admit weight
     moved before entry and a back-filled first interval."""
@@ -348,14 +348,14 @@ def q_task_table(spark, sf):
 # ------------------------------------------------------------- D22 modelling table
 @register("model_table", EP.SQL_IND + """,
 a AS (SELECT user_id, count(*) AS n_events, round(avg(value), 6) AS mean_value FROM events GROUP BY user_id),
-ns AS (SELECT user_id, ts AS charttime, CASE WHEN event_type IN ('purchase', 'click') THEN 1 ELSE 0 END AS flag FROM events),
-vd0 AS (SELECT user_id, charttime, flag,
-               CASE WHEN flag = 1 THEN lag(charttime) OVER (PARTITION BY user_id, flag ORDER BY charttime) END AS lagt FROM ns),
-vd1 AS (SELECT *, CASE WHEN charttime - lagt > INTERVAL 8 HOUR THEN 1 ELSE 0 END AS newvent FROM vd0),
-vd2 AS (SELECT *, CASE WHEN flag = 1 THEN sum(newvent) OVER (PARTITION BY user_id ORDER BY charttime) END AS vn FROM vd1),
-ss AS (SELECT user_id, vn, date_diff('microsecond', min(charttime), max(charttime)) / 3600000000.0 AS h
-       FROM vd2 GROUP BY user_id, vn HAVING min(charttime) != max(charttime) AND max(flag) = 1),
-b AS (SELECT user_id, count(*) AS n_sessions, round(sum(h), 6) AS session_hours FROM ss GROUP BY user_id),
+therapy AS (SELECT DISTINCT user_id, ts FROM events WHERE event_type IN ('purchase', 'click')),
+gaps AS (SELECT user_id, ts, ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS gap,
+                lead(ts) OVER (PARTITION BY user_id ORDER BY ts) - ts AS next_gap FROM therapy),
+-- A session's hours are the sum of its inner gaps; it counts if it has one.
+b AS (SELECT user_id, count(*) FILTER (WHERE (gap IS NULL OR gap > INTERVAL 8 HOUR) AND next_gap <= INTERVAL 8 HOUR) AS n_sessions,
+             round(sum(CASE WHEN gap <= INTERVAL 8 HOUR THEN date_diff('microsecond', ts - gap, ts) END) / 3600000000.0, 6)
+               AS session_hours
+      FROM gaps GROUP BY user_id HAVING n_sessions > 0),
 c AS (SELECT user_id, sum(purchase_on) AS purchase_hours, count(*) AS n_hours FROM ind GROUP BY user_id)
 SELECT * FROM a JOIN b USING (user_id) JOIN c USING (user_id)""")
 def q_model_table(spark, sf):
@@ -415,7 +415,8 @@ def q_duration_sweep(spark, sf):
     widest window is joined once and each duration is a conditional aggregate."""
     ev = EP.events(spark, sf)
     s = EP.stays(ev).select("user_id", "intime")
-    d = ev.join(s, "user_id").filter(F.col("ts").between(add_hours("intime", -6), add_hours("intime", max(SWEEP_HOURS))))
+    d = salted_join(ev, s, "user_id", ["event_id"]).filter(
+        F.col("ts").between(add_hours("intime", -6), add_hours("intime", max(SWEEP_HOURS))))
     aggs = []
     for h in SWEEP_HOURS:
         v = F.when(F.col("ts") <= add_hours("intime", h), F.col("value"))
@@ -435,17 +436,16 @@ SELECT s.user_id, """ + ", ".join(f"round(d_{t}.h, 6) AS {t}_hours" for t in DUR
 FROM s """ + " ".join(f"LEFT JOIN (SELECT user_id, h FROM du WHERE event_type = '{t}') d_{t} ON d_{t}.user_id = s.user_id"
                       for t in DURATION_TYPES))
 def q_wide_durations(spark, sf):
-    """Per-stay total duration of each interval type, attached by a
-    chain of left joins (stays without that type keep NULL)."""
-    from functools import reduce
+    """Per-stay total duration of each interval type (NULL where a
+    stay has none)."""
     from stayline.operators.intervals import next_start_end
     ev = EP.events(spark, sf).select("user_id", "event_id", "event_type", "ts")
     nx = next_start_end(ev, ["user_id"], "ts", tiebreak=["event_id"], name="nts")
-    du = nx.groupBy("user_id", "event_type").agg(
-        (F.sum(F.timestamp_diff("MICROSECOND", F.col("ts"), F.col("nts"))) / HOUR_US).alias("h"))
+    us = F.timestamp_diff("MICROSECOND", F.col("ts"), F.col("nts"))
+    hours = [(F.sum(F.when(F.col("event_type") == t, us)) / HOUR_US).alias(f"{t}_hours") for t in DURATION_TYPES]
+    du = nx.groupBy("user_id").agg(*hours)  # one conditional sum per type instead of a join per type
     s = EP.stays(EP.events(spark, sf)).select("user_id")
-    parts = [du.filter(F.col("event_type") == t).select("user_id", F.col("h").alias(f"{t}_hours")) for t in DURATION_TYPES]
-    return rounded(reduce(lambda a, b: a.join(b, "user_id", "left"), parts, s))
+    return rounded(s.join(du, "user_id", "left"))
 
 
 # ------------------------------------------------------------- J16 collapse events

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from stayline.functions.hashing import uniform_sql
 from stayline.operators import models as MD
 from stayline.operators import notes as N
 from stayline.operators.splits import kfold, subject_split
@@ -43,13 +44,24 @@ def split_docs(spark, sf):
     return subject_split(doc_features(spark, sf), "doc_id", seed=7, strata="label")
 
 
-@register("doc_split")
+_LABELLED = "SELECT doc_id, CAST(quality AS DOUBLE) AS label FROM documents JOIN labels USING (doc_id)"
+
+
+@register("doc_split", f"""
+WITH d AS ({_LABELLED}),
+k AS (SELECT DISTINCT doc_id, label, {uniform_sql(7, 'doc_id')} AS h FROM d),
+r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY h, doc_id) AS r, count(*) OVER (PARTITION BY label) AS n FROM k)
+SELECT doc_id, label, CASE WHEN r <= round_even(n * 0.7, 0) THEN 'train' WHEN r <= round_even(n * 0.8, 0) THEN 'dev'
+                           ELSE 'test' END AS split
+FROM d JOIN r USING (doc_id, label)""")
 def q_doc_split(spark, sf):
     """Exact stratified 70/10/20 split of labelled documents by hashed id."""
     return split_docs(spark, sf).select("doc_id", "label", "split")
 
 
-@register("doc_folds")
+@register("doc_folds", f"""
+WITH d AS ({_LABELLED})
+SELECT doc_id, label, CAST(floor({uniform_sql(3, 'doc_id')} * 5) AS INTEGER) AS fold FROM d""")
 def q_doc_folds(spark, sf):
     """Grouped 5-fold assignment."""
     return kfold(doc_features(spark, sf).select("doc_id", "label"), "doc_id", 5, seed=3)
@@ -103,7 +115,7 @@ def q_model_logreg(spark, sf):
     """M10 + M16: logistic regression, test-split metrics."""
     d = _persisted_split(spark, sf)
     try:
-        _, pred = _fit_eval(spark, sf, "logreg", d, maxIter=30)
+        _, pred = _fit_eval(spark, sf, "logreg", d)
         return MD.binary_metrics(pred)
     finally:
         d.unpersist()
@@ -114,7 +126,7 @@ def q_model_forest(spark, sf):
     """M11 + M17: random forest feature importances."""
     d = _persisted_split(spark, sf)
     try:
-        model, _ = _fit_eval(spark, sf, "forest", d, numTrees=50)
+        model, _ = _fit_eval(spark, sf, "forest", d)
         return spark.createDataFrame(MD.feature_importance(model, FEATURES), "feature string, importance double")
     finally:
         d.unpersist()
@@ -125,7 +137,7 @@ def q_model_gbt(spark, sf):
     """M12 + M16: gradient-boosted trees, confusion matrix on the test split."""
     d = _persisted_split(spark, sf)
     try:
-        _, pred = _fit_eval(spark, sf, "gbt", d, maxIter=30)
+        _, pred = _fit_eval(spark, sf, "gbt", d)
         return _local(MD.confusion(pred))
     finally:
         d.unpersist()
@@ -136,7 +148,7 @@ def q_model_mlp(spark, sf):
     """M14 + M16: one-hidden-layer perceptron, test-split metrics."""
     d = _persisted_split(spark, sf)
     try:
-        _, pred = _fit_eval(spark, sf, "mlp", d, hidden=8, maxIter=50)
+        _, pred = _fit_eval(spark, sf, "mlp", d)
         return MD.binary_metrics(pred)
     finally:
         d.unpersist()
@@ -167,7 +179,9 @@ def q_model_lasso(spark, sf):
     """M13 (M04 folds): L1 regression with the penalty picked by 5-fold CV."""
     d = _persisted_split(spark, sf)
     try:
-        cv = MD.lasso_cv(d.filter(F.col("split") != "test"), FEATURES, "label", folds=3, seed=5)
+        # Folds by hashed document, as in doc_folds.
+        folded = kfold(d.filter(F.col("split") != "test"), "doc_id", 5, seed=3)
+        cv = MD.lasso_cv(folded, FEATURES, "label", folds=5, seed=5, fold_col="fold")
         best = cv.bestModel.stages[-1]
         nz = int(sum(1 for v in best.coefficients.toArray() if abs(v) > 0))
         return spark.createDataFrame([(float(best.getRegParam()), float(min(cv.avgMetrics)), nz)],
@@ -183,7 +197,7 @@ def q_model_search(spark, sf):
     try:
         train, dev, test = (d.filter(F.col("split") == x) for x in ("train", "dev", "test"))
         model, (auc, params) = MD.random_search(train, dev, FEATURES, "forest",
-                                                {"numTrees": [20, 50], "maxDepth": [3, 5, 8]}, n_iter=3, seed=2)
+                                                {"numTrees": [20, 50, 100], "maxDepth": [3, 5, 8]}, n_iter=15, seed=2)
         m = MD.binary_metrics(model.transform(test))
         return _local(m.unionByName(spark.createDataFrame([("dev_auroc", float(auc))], "metric string, value double")))
     finally:
@@ -199,7 +213,7 @@ def q_missing_importance(spark, sf):
     try:
         miss = S.null_counts(d, {c: c for c in FEATURES}).withColumnRenamed("variable", "feature")
         n = d.count()
-        model, _ = _fit_eval(spark, sf, "forest", d, numTrees=30)
+        model, _ = _fit_eval(spark, sf, "forest", d)
         imp = spark.createDataFrame(MD.feature_importance(model, FEATURES), "feature string, importance double")
         j = imp.join(miss, "feature").withColumn("missing_share", F.col("n_null") / F.lit(float(max(n, 1))))
         j = S.average_rank(j, "importance", "importance_rank")

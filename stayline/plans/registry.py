@@ -82,7 +82,7 @@ def decimal_rounding(sql: str) -> str:
         out.append(sql[i:j])
         if len(args) == 2 and args[1].strip() == str(DECIMALS):
             inner = decimal_rounding(args[0])
-            out.append(f"CAST(round(CAST({inner} AS DECIMAL(38, 9)), {DECIMALS}) AS DOUBLE)")
+            out.append(f"coalesce(CAST(round(TRY_CAST({inner} AS DECIMAL(38, 9)), {DECIMALS}) AS DOUBLE), {inner})")
         else:
             out.append("round(" + ", ".join(decimal_rounding(a) for a in args) + ")")
         i = k + 1
@@ -93,8 +93,9 @@ def round_half_away(x: Column, decimals: int = DECIMALS) -> Column:
     floating sums taken in different orders), then half-up to ``decimals``
     on the exact decimal.  Means of 2-decimal data over 32, 160, … rows sit
     exactly on a 6-decimal half, where rounding the raw double would follow
-    the noise."""
-    return F.round(x.try_cast("decimal(38,9)"), decimals).cast("double")
+    the noise.  Values that no such decimal holds (infinity, NaN, 1e30) pass
+    through unchanged."""
+    return F.coalesce(F.round(x.try_cast("decimal(38,9)"), decimals).cast("double"), x)
 
 
 def rounded(df: DataFrame, decimals: int = DECIMALS) -> DataFrame:

@@ -32,7 +32,7 @@ def test_gap_sessions_boundaries(spark):
             (2, h(0), 0), (2, h(1), 0)]                  # never flagged
     df = spark.createDataFrame(rows, "stay long, ts timestamp_ntz, flag int")
     for b in (60, 3600, 86400):
-        out = {(r.stay, r.ventnum): (r.starttime, r.endtime) for r in gap_sessions(df, "stay", "ts", "flag", 8.0, b).collect()}
+        out = {(r.stay, r.session_no): (r.starttime, r.endtime) for r in gap_sessions(df, "stay", "ts", "flag", 8.0, b).collect()}
         assert out == {(1, 1): (h(0), h(8)), (1, 2): (h(30), h(31))}, b
 
 

@@ -4,6 +4,7 @@ import random
 from datetime import datetime, timedelta
 
 import numpy as np
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -37,17 +38,76 @@ def test_lag_and_ranks_match_plain_windows(spark):
         assert got == exp, b
 
 
-def test_exact_percentiles_with_refinement(spark):
+def test_exact_percentiles(spark):
     rnd = np.random.default_rng(0)
-    vals = np.concatenate([rnd.normal(size=3000), np.full(500, 0.25)])
-    df = spark.createDataFrame([(int(i % 2), float(v)) for i, v in enumerate(vals)], "g int, v double")
-    for limit in (100, 10_000_000):
-        got = {(r.g, r.q): r.value for r in exact_percentiles(df, ["g"], "v", [0.0, 0.5, 0.99, 1.0],
-                                                              exact_limit=limit, fanout=8).collect()}
-        for g in (0, 1):
-            x = vals[np.arange(len(vals)) % 2 == g]
-            for q in (0.0, 0.5, 0.99, 1.0):
-                assert abs(got[(g, q)] - np.quantile(x, q)) < 1e-12, (limit, g, q)
+    vals = np.concatenate([rnd.normal(size=3000), np.full(500, 0.25), rnd.lognormal(0, 40, 500), [1e308, -1e308]])
+    df = spark.createDataFrame([(int(i % 2) or None, float(v)) for i, v in enumerate(vals)], "g int, v double")
+    qs = [0.0, 0.5, 0.99, 1.0]
+    got = {(r.g, r.q): r.value for r in exact_percentiles(df, ["g"], "v", qs).collect()}
+    for g in (None, 1):  # a NULL key is a group
+        x = vals[np.arange(len(vals)) % 2 == (g or 0)]
+        for q in qs:
+            assert got[(g, q)] == pytest.approx(np.quantile(x, q), rel=1e-12), (g, q)
+    inf = float("inf")
+    d = spark.createDataFrame([(inf,), (-inf,), (1.0,), (2.0,), (3.0,), (None,)], "v double")
+    assert [r.value for r in exact_percentiles(d, [], "v", [0.0, 0.5, 1.0]).orderBy("q").collect()] == [-inf, 2.0, inf]
+
+
+def test_bucketed_windows_keep_null_keys_and_times(spark):
+    from datetime import datetime
+    rows = [(1, None, None), (2, None, datetime(2020, 1, 1)), (3, 1, None), (4, 1, datetime(2020, 1, 1)), (5, 1, datetime(2020, 1, 2))]
+    df = spark.createDataFrame(rows, "id long, k int, ts timestamp_ntz")
+    w = Window.partitionBy("k").orderBy("ts")
+    want = {r.id: (r.a, r.b) for r in df.withColumn("a", F.dense_rank().over(w)).withColumn(
+        "b", F.row_number().over(Window.partitionBy("k").orderBy("ts", "id"))).collect()}
+    got = row_number_within(dense_rank_within(df, ["k"], "ts", "a"), ["k"], "ts", ["id"], "b")
+    assert {r.id: (r.a, r.b) for r in got.collect()} == want
+
+
+def test_asof_matches_no_null_key(spark):
+    from datetime import datetime
+    from stayline.operators.asof import asof_backward
+    t = datetime(2020, 1, 1)
+    left = spark.createDataFrame([(1, None, t), (2, 5, t)], "id long, k int, ts timestamp_ntz")
+    right = spark.createDataFrame([(None, t, 7.0), (5, t, 8.0)], "k int, ts timestamp_ntz, v double")
+    got = {r.id: r.r_v for r in asof_backward(left, right, ["k"], "ts", "ts", 3600, ["v"], "r_").collect()}
+    assert got == {1: None, 2: 8.0}
+
+
+def test_sample_windows_keep_null_hours(spark):
+    from stayline.operators.windows import sample_windows
+    df = spark.createDataFrame([(1, h, None if h % 2 else float(h)) for h in range(5)], "s int, hours_in int, v double")
+    got = {r.start_hour: r.v_win for r in sample_windows(df, "s", ["v"], 3).collect()}
+    assert got == {0: [0.0, None, 2.0], 1: [None, 2.0, None], 2: [2.0, None, 4.0], 3: [None, 4.0], 4: [4.0]}
+
+
+def test_salted_join_aggregates_a_hot_key_in_parts(spark):
+    from stayline.operators.dims import salted_join
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.range(2000).selectExpr("IF(id < 1900, 1, id) AS k", "id", "double(id) AS v")
+        dim = spark.range(2000).selectExpr("id AS k", "id * 2 AS x")
+        d = salted_join(rows, dim, "k", ["id"]).groupBy("k").agg(F.sum("v").alias("v"), F.max("x").alias("x"))
+        plan = d._jdf.queryExecution().executedPlan().toString()
+        joined = plan.index("SortMergeJoin")
+        assert plan[:joined].count("Exchange hashpartitioning(k#") >= 1  # between the join and the final aggregate
+        got = {r.k: (r.v, r.x) for r in d.collect()}
+        assert got[1] == (sum(range(1900)), 2) and got[1950] == (1950.0, 3900) and len(got) == 101
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_rounding_passes_on_what_no_decimal_holds(spark):
+    from stayline.plans.registry import rounded
+    d = spark.createDataFrame([(float("inf"),), (1e30,), (0.1234565,), (None,)], "v double")
+    assert [r.v for r in rounded(d).collect()] == [float("inf"), 1e30, 0.123457, None]
+
+
+def test_session_zone_is_utc(spark):
+    from stayline.session import prepare
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    prepare(spark)
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
 
 
 def test_global_cumsum(spark):

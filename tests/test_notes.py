@@ -2,17 +2,22 @@
 
 from pyspark.sql import functions as F
 
-from stayline.operators.notes import is_title, segment_note, sentences
+from stayline.operators.notes import is_title, segment_notes, sentences
 
 
-def test_rulers_headers_lists_inline_titles():
+def segments(spark, text):
+    d = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    return [r.segment for r in segment_notes(d).orderBy("seg_idx").collect()]
+
+
+def test_rulers_headers_lists_inline_titles(spark):
     text = ("Admission Date: 2100-01-01 Discharge Date: 2100-01-05\n\n"
             "Date of Birth: 2050-01-01 Sex: F\n\n"
             "Chief Complaint: chest pain\n\n"
             "History of Present Illness:\nfell at home.\n-----\nMedications on Admission:\n"
             "1. Aspirin\n2. Lasix\n3. Metoprolol\n\n"
             "Building: West\nCampus: East side\n\nDisp:\nnone")
-    segs = segment_note(text)
+    segs = segments(spark, text)
     # leading header lines split into parts, then one-line answers rejoin their title
     assert segs[:4] == ["Admission Date: 2100-01-01", "Discharge Date: 2100-01-05",
                         "Date of Birth: 2050-01-01", "Sex: F"]
@@ -23,24 +28,33 @@ def test_rulers_headers_lists_inline_titles():
     assert segs[12:] == ["Building: West", "Campus:", "East side", "Disp:\nnone"]
 
 
-def test_one_line_answer_rejoins_title():
-    segs = segment_note("Indication:\n\nSource of embolism.\n\nHR (bpm):\n\n80")
-    assert segs == ["Indication: Source of embolism.", "HR (bpm): 80"]
+def test_one_line_answer_rejoins_title(spark):
+    assert segments(spark, "Indication:\n\nSource of embolism.\n\nHR (bpm):\n\n80") == [
+        "Indication: Source of embolism.", "HR (bpm): 80"]
+
+
+def test_lists_need_consecutive_numbers(spark):
+    assert segments(spark, "intro\n1. a\n2. b\n4. c\n7. d\n8. e") == ["intro", "1. a", "2. b\n4. c", "7. d", "8. e"]
+    assert segments(spark, "dose\n5. alone") == ["dose\n5. alone"]
+
+
+def test_empty_notes_have_no_segments(spark):
+    assert segments(spark, None) == [] and segments(spark, " \n\n ") == []
 
 
-def test_is_title_rules():
-    assert is_title("Past Medical History:")
-    assert is_title("History of Present Illness:")
-    assert is_title("BP (mm Hg):")
-    assert not is_title("Disp:")
-    assert not is_title("the end:")
-    assert not is_title("No colon")
+def test_is_title_rules(spark):
+    want = {"Past Medical History:": True, "History of Present Illness:": True, "BP (mm Hg):": True, "Évolution:": True,
+            "Disp:": False, "the end:": False, "No colon": False, "Two: parts": False}
+    d = spark.createDataFrame([(t,) for t in want], "t string").select("t", is_title(F.col("t")).alias("y"))
+    assert {r.t: r.y for r in d.collect()} == want
 
 
 def test_sentence_split(spark):
     df = spark.createDataFrame([("Pt is stable. He ate.\nVitals - 120 over 80. USA trip. ",)], "t string")
     got = df.select(sentences(F.col("t"))).first()[0]
     assert got == ["Pt is stable.", "He ate.", "Vitals -", "120 over 80. USA trip."]  # no break before USA
+    df = spark.createDataFrame([("Il est stable. Élodie va bien.",)], "t string")
+    assert df.select(sentences(F.col("t"))).first()[0] == ["Il est stable.", "Élodie va bien."]
 
 
 def test_notes_in_stays_time_bound(spark):
