@@ -100,6 +100,33 @@ def class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
     return df.join(F.broadcast(w), label, "left")  # one row per class
 
 
+def fit_multiclass(train: DataFrame, label: str = "label", weight: str | None = None):
+    """Multinomial logistic regression on a ``features`` vector, scaled."""
+    lr = LogisticRegression(labelCol=label, featuresCol="__scaled", maxIter=100, family="multinomial")
+    if weight:
+        lr.setWeightCol(weight)
+    return Pipeline(stages=[StandardScaler(inputCol="features", outputCol="__scaled", withMean=True), lr]).fit(train)
+
+
+def class_report(pred: DataFrame, label: str = "label") -> DataFrame:
+    """Class (null: macro mean), n, precision, recall, f1 and exact
+    one-against-rest AUROC.  One row per class: the class ids are the labels."""
+    p = pred.select(F.col(label).cast("int").alias("y"), F.col("prediction").cast("int").alias("z"),
+                    vector_to_array("probability").alias("p"))
+    classes = sorted(r[0] for r in p.select("y").distinct().collect())  # the classes of the model
+    rows = []
+    for c in classes:
+        y, z = F.col("y") == c, F.col("z") == c
+        n = p.agg(F.count_if(y).alias("n"), F.count_if(z).alias("m"), F.count_if(y & z).alias("hit")).first()
+        auroc = exact_auroc(p.select(F.get("p", F.lit(c)).alias("s"), y.cast("int").alias("y")), "s", "y").first()["auroc"]
+        prec, rec = n["hit"] / n["m"] if n["m"] else 0.0, n["hit"] / n["n"]
+        rows.append((c, n["n"], prec, rec, 2 * prec * rec / (prec + rec) if prec + rec else 0.0, auroc))
+    if rows:
+        mean = [sum(r[i] for r in rows if r[i] is not None) / len(rows) for i in (2, 3, 4, 5)]
+        rows.append((None, sum(r[1] for r in rows), *mean))
+    return pred.sparkSession.createDataFrame(rows, "class int, n long, precision double, recall double, f1 double, auroc double")
+
+
 def feature_importance(model, features: list[str]) -> list[tuple[str, float]]:
     """Importances (trees) or coefficients (linear), sorted by magnitude."""
     last = model.stages[-1]

@@ -153,6 +153,7 @@ def ttest_ind(df: DataFrame, group: str, value: str, a, b, by: list[str] | None
     pv = m.groupBy(*by).agg(
         *[F.max(F.when(F.col(group) == g, F.col(x))).alias(f"{x}_{s}")
           for g, s in ((a, "a"), (b, "b")) for x in ("n", "mean", "var")])
+    pv = pv.withColumns({n: F.coalesce(n, F.lit(0)) for n in ("n_a", "n_b")})  # a group without rows
     na, nb = F.col("n_a").cast("double"), F.col("n_b").cast("double")
     sp2 = ((na - 1) * F.col("var_a") + (nb - 1) * F.col("var_b")) / (na + nb - 2)
     t = (F.col("mean_a") - F.col("mean_b")) / F.sqrt(sp2 * (1 / na + 1 / nb))

@@ -74,12 +74,15 @@ def binary_labels(grid: DataFrame, stay: str, flag: str, slice_size: int = 6, ga
     return d.select(stay, F.col("hours_in").alias("start_hour"), F.col("__pmax").alias("label"))
 
 
-def rolling_lookback(grid: DataFrame, stay: str, cols: list[str], hours: int = 4) -> DataFrame:
-    """Features over hours ``t-hours .. t`` at every hour (W11): last non-NULL,
-    min, max and sum of each column, via a RANGE frame on ``hours_in``."""
+def rolling_lookback(grid: DataFrame, stay: str, cols: list[str], hours: int = 4, first: bool = False) -> DataFrame:
+    """Features over hours ``t-hours .. t`` at every hour (W11): last non-NULL
+    (with ``first`` the first one too), min, max and sum of each column, via a
+    RANGE frame on ``hours_in``."""
     w = Window.partitionBy(stay).orderBy("hours_in").rangeBetween(-hours, 0)
     out = grid
     for c in cols:
+        if first:
+            out = out.withColumn(f"{c}_first", F.first(c, ignorenulls=True).over(w))
         out = (out.withColumn(f"{c}_last", F.last(c, ignorenulls=True).over(w))
                .withColumn(f"{c}_min", F.min(c).over(w))
                .withColumn(f"{c}_max", F.max(c).over(w))
@@ -124,8 +127,7 @@ def one_hot_label(df: DataFrame, label: str, n_classes: int, prefix: str = "labe
 
 
 def flatten_sample(static_cols: list[str], array_cols: list[str]) -> Column:
-    """Static values once, then every windowed series, as one ML vector."""
-    from pyspark.ml.functions import array_to_vector
+    """Static values once, then every windowed series, as one array."""
     parts = [F.array(*[F.col(c).cast("double") for c in static_cols])] + \
         [F.transform(F.col(c), lambda x: x.cast("double")) for c in array_cols]
-    return array_to_vector(F.concat(*parts))
+    return F.concat(*parts)

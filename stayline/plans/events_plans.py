@@ -22,7 +22,7 @@ from stayline.operators.intervals import bolus_intervals, hourly_indicators_from
 from stayline.operators.sessions import flag_any, gap_sessions
 from stayline.operators import stats as S
 from stayline.operators.windows import binary_labels, rolling_lookback, to_sequence, transition_labels
-from stayline.plans.registry import register, rounded
+from stayline.plans.registry import ORACLE, register, rounded  # noqa: F401
 from stayline.sources.tables import table
 
 STAY = "user_id"
@@ -362,7 +362,7 @@ def _feature_sql() -> str:
                  f"round(avg(e.value) {f}, 6) AS {v}_avg"]
     return _with(SQL_STAYS) + f"""
 SELECT s.user_id, {', '.join(cols)}
-FROM s JOIN events e ON e.user_id = s.user_id
+FROM s LEFT JOIN events e ON e.user_id = s.user_id
  AND e.ts BETWEEN s.intime - INTERVAL {FEATURE_LOOKBACK_H} HOUR AND s.intime + INTERVAL {FEATURE_DURATION_H} HOUR
 GROUP BY s.user_id"""
 
@@ -375,7 +375,8 @@ def q_first_last_features(spark, sf):
     s = stays(ev).select(STAY, "intime")
     d = salted_join(ev, s, STAY, ["event_id"]).filter(F.col("ts").between(add_hours("intime", -FEATURE_LOOKBACK_H),
                                                      add_hours("intime", FEATURE_DURATION_H)))
-    return rounded(label_features(d, [STAY], "event_type", VARIABLES, "value", "ts", _FEAT_STATS))
+    found = label_features(d, [STAY], "event_type", VARIABLES, "value", "ts", _FEAT_STATS)
+    return rounded(s.select(STAY).join(found, STAY, "left"))  # stays without a value in the window are kept
 
 
 def _impute_sql() -> str:

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stayline.functions import scores as SC
-from stayline.functions.hashing import uniform
+from stayline.functions.hashing import uniform, uniform_sql
 from stayline.functions.numbers import round_numeric
 from stayline.functions.timefns import add_hours, interval_day_part, interval_hour_part
 from stayline.operators.asof import asof_backward
@@ -255,7 +255,7 @@ def design_matrix(grid, targets, stay: str, cols, w: int = DM_W, w_extra: int =
     return d.groupBy(stay).agg(*aggs)
 
 
-def _dm_sql() -> str:
+def _dm_sql(targets: str = "SELECT user_id, max_hours // 2 AS t FROM s", extra: str = "") -> str:
     m = DM_W + DM_W_EXTRA
     cols = []
     for c in DM_VARS:
@@ -268,9 +268,9 @@ def _dm_sql() -> str:
                  f"round(max({c}) FILTER (WHERE {late}), 6) AS {c}_max",
                  f"round(coalesce(sum({c}) FILTER (WHERE {late}), 0.0), 6) AS {c}_sum"]
     return EP.SQL_WIDE + f""",
-tg AS (SELECT user_id, max_hours // 2 AS t FROM s)
-SELECT w.user_id, {', '.join(cols)}
-FROM w JOIN tg USING (user_id) WHERE w.hours_in BETWEEN t - {m} AND t GROUP BY w.user_id"""
+tg AS ({targets})
+SELECT w.user_id, {', '.join(cols)}{extra}
+FROM w JOIN tg USING (user_id) WHERE w.hours_in BETWEEN t - {m} AND t GROUP BY w.user_id{extra}"""
 
 
 @register("design_matrix", _dm_sql())
@@ -294,7 +294,11 @@ def random_times(stays, stay: str, end_hours: str, death_hours: str | None = Non
     return stays.withColumn(name, F.greatest(t, F.lit(0)).cast("bigint"))
 
 
-@register("random_design_matrix")
+@register("random_design_matrix", _dm_sql(f"""
+  SELECT user_id, CAST(greatest(floor({uniform_sql(111, 's.user_id')} * (
+    CASE WHEN d.h < s.max_hours THEN d.h ELSE CAST(s.max_hours AS DOUBLE) END - 6.0)), 0) AS BIGINT) AS t
+  FROM s LEFT JOIN (SELECT e.user_id, min(date_diff('microsecond', s.intime, e.ts)) / 3600000000.0 AS h
+                    FROM events e JOIN s USING (user_id) WHERE e.event_type = 'error' GROUP BY e.user_id) d USING (user_id)""", ", t"))
 def q_random_design_matrix(spark, sf):
     """D23 (M08, F32, F33): design matrix at a random hour ≥ 6 h before the end
     of each stay (death = first error event, if earlier)."""

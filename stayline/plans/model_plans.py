@@ -12,8 +12,11 @@ from pyspark.sql import functions as F
 from stayline.functions.hashing import uniform_sql
 from stayline.operators import models as MD
 from stayline.operators import notes as N
+from stayline.operators.impute import simple_impute
 from stayline.operators.splits import kfold, subject_split
-from stayline.plans.registry import register, rounded
+from stayline.operators.windows import flatten_sample, one_hot_label, sample_windows, transition_labels
+from stayline.plans import events_plans as EP
+from stayline.plans.registry import register, round_half_away, rounded
 from stayline.sources.tables import table
 
 # The language categories for the one-hot features.
@@ -154,17 +157,31 @@ def q_model_mlp(spark, sf):
         d.unpersist()
 
 
-@register("transition_samples")
+def _transition_samples_sql() -> str:
+    grid = EP.SQL_IND[len("WITH ") + len(EP.SQL_STAYS):]  # the indicator grid after the shared stays and hours
+    w = "(PARTITION BY user_id ORDER BY hours_in ROWS BETWEEN CURRENT ROW AND 5 FOLLOWING)"
+    fill = "(PARTITION BY user_id ORDER BY hours_in ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    labels = EP.ORACLE["transition_labels"].split("cut AS", 1)[1]
+    return f"""{EP.SQL_WIDE}{grid},
+imp AS (SELECT user_id, hours_in, coalesce(last_value(click_mean IGNORE NULLS) OVER {fill},
+               avg(click_mean) OVER (PARTITION BY user_id), (SELECT avg(click_mean) FROM w)) AS click FROM w),
+win AS (SELECT user_id, hours_in AS start_hour, list(round(click, 6)) OVER {w} AS a, list(CAST(purchase_on AS DOUBLE)) OVER {w} AS b
+        FROM imp JOIN ind USING (user_id, hours_in)),
+lab AS (WITH cut AS{labels}),
+st AS (SELECT user_id, CAST(count(*) AS DOUBLE) AS n_events FROM events GROUP BY user_id)
+SELECT user_id, start_hour, label, {', '.join(f"CAST(label = {k} AS INTEGER) AS label_{k}" for k in range(4))},
+       list_concat([n_events], list_concat(a, b)) AS features
+FROM lab JOIN win USING (user_id, start_hour) JOIN st USING (user_id)"""
+
+
+@register("transition_samples", _transition_samples_sql())
 def q_transition_samples(spark, sf):
     """D30 (W10, M06, M19, F27): labelled sliding samples with imputed feature
-    windows and the intervention window flattened into one vector."""
-    from stayline.operators.impute import simple_impute
-    from stayline.operators.windows import flatten_sample, one_hot_label, sample_windows, transition_labels
-    from stayline.plans import events_plans as EP
+    windows and the intervention window flattened into one array."""
     ind = EP.indicator_grid(spark, sf)
     w, s = EP.wide_grid(spark, sf)
     imp = simple_impute(w.select("user_id", "hours_in", "click_mean", "click_count"), ["user_id"], ["click"])
-    g = ind.join(imp, ["user_id", "hours_in"])
+    g = ind.join(imp.withColumn("click_mean", round_half_away(F.col("click_mean"))), ["user_id", "hours_in"])
     lab = transition_labels(g, "user_id", "purchase_on", keep_window=False)
     win = sample_windows(g, "user_id", ["click_mean", "purchase_on"], 6)
     st = EP.events(spark, sf).groupBy("user_id").agg(F.count(F.lit(1)).alias("n_events"))

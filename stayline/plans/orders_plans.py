@@ -20,7 +20,6 @@ from stayline.operators.codes import ordered_codes
 from stayline.operators.cohort import (CohortParams, cohort_filter, latest_per, mortality_flags,
                                        readmission_30, stay_ordinals, with_max_hours)
 from stayline.plans.registry import register, rounded
-from stayline.session import materialize as materialize_table
 from stayline.sources.schema import conform, schema_from_spec
 from stayline.sources.tables import table
 
@@ -30,11 +29,8 @@ DISCHARGE_AFTER_DAYS = 2
 DIED_WITHIN_SECONDS = 3 * 86400
 
 
-def stays(spark, sf, materialize: bool = False) -> DataFrame:
-    """One row per stay.  ``materialize`` writes it once to the shared
-    checkpoint folder for plans that read it many times (ordinals, both
-    readmission scans, joins): otherwise each use would re-aggregate the
-    line items of every order."""
+def stays(spark, sf) -> DataFrame:
+    """One row per stay."""
     o = table(spark, sf, "orders")
     li = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
         F.count(F.lit(1)).alias("n_lines"),
@@ -46,9 +42,8 @@ def stays(spark, sf, materialize: bool = False) -> DataFrame:
                  (F.col("o_orderdate") + F.make_dt_interval(days=n.cast("int"))).alias("outtime"),
                  n.cast("double").alias("los_icu"), "deathtime", "o_orderpriority", "o_orderstatus",
                  "o_totalprice")
-    d = d.withColumn("admittime", F.col("intime")).withColumn(
+    return d.withColumn("admittime", F.col("intime")).withColumn(
         "dischtime", F.col("outtime") + F.make_dt_interval(days=F.lit(DISCHARGE_AFTER_DAYS)))
-    return materialize_table(d, "stays") if materialize else d
 
 
 def patients(spark, sf) -> DataFrame:
@@ -60,7 +55,7 @@ def patients(spark, sf) -> DataFrame:
 
 
 def statics(spark, sf, filtered: bool = True) -> DataFrame:
-    s = stays(spark, sf, materialize=True)
+    s = stays(spark, sf)
     s = stay_ordinals(s, "subject_id", "intime", "hospstay_seq").withColumn("icustay_seq", F.col("hospstay_seq"))
     s = readmission_30(s)
     d = s.join(patients(spark, sf), "subject_id", "inner")
@@ -124,7 +119,7 @@ SELECT st.subject_id, st.icustay_id, st.intime, st.outtime, CAST(coalesce(f.read
 FROM st LEFT JOIN f USING (icustay_id)""")
 def q_readmission_30(spark, sf):
     """30-day readmission flag with the "next stay = earliest outtime" rule."""
-    s = stays(spark, sf, materialize=True).select("subject_id", "icustay_id", "intime", "outtime")
+    s = stays(spark, sf).select("subject_id", "icustay_id", "intime", "outtime")
     return readmission_30(s)
 
 
@@ -198,16 +193,14 @@ def q_latest_stay(spark, sf):
 @register("ordered_codes", """
 SELECT o.o_orderkey AS icustay_id, o.o_custkey AS subject_id, o.o_orderkey AS hadm_id,
        list(CAST(l.l_partkey AS VARCHAR) ORDER BY l.l_linenumber, l.l_partkey) AS icd9_codes
-FROM lineitem l LEFT JOIN part p ON p.p_partkey = l.l_partkey
-  JOIN orders o ON o.o_orderkey = l.l_orderkey
+FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
 WHERE l.l_linenumber IS NOT NULL
 GROUP BY o.o_orderkey, o.o_custkey""")
 def q_ordered_codes(spark, sf):
     """D07 (J22, A05): per stay, the code list ordered by sequence number."""
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
-    part = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"))
     o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("subject_id"))
-    d = li.join(part, "l_partkey", "left").join(o, "l_orderkey", "inner")
+    d = li.join(o, "l_orderkey", "inner")
     d = d.withColumnRenamed("l_orderkey", "icustay_id").withColumn("hadm_id", F.col("icustay_id"))
     return ordered_codes(d, ["icustay_id", "subject_id", "hadm_id"], "l_partkey", "l_linenumber", ["l_partkey"])
 
