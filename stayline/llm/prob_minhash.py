@@ -12,11 +12,13 @@ component with probability J_P.  A text's processes stop as soon as the next
 arrivals come later than everything the signature holds.
 
 Signatures are cut into bands.  In every bucket of a band the texts are
-compared with two of them (the least and the greatest id), exactly; what these
-stars leave in different components of one bucket is compared in full, so
-that every pair of a bucket is either compared or already linked, while a group
-of copies or near copies never becomes all its pairs.  Classes are the
-connected components of the pairs whose exact J_P reaches the threshold.
+compared, exactly, with its hub: the text that meets most others.  What this
+leaves in different components of one bucket is compared too, but for pairs
+that an upper bound of the similarity, from counts of shingles per hash cell,
+rules out; so every pair of a bucket is compared, already linked, or known to
+be dissimilar, while a group of copies or near copies never becomes all its
+pairs.  Classes are the connected components of the pairs whose exact J_P
+reaches the threshold.
 
 Bands: 30 of 5 components find a pair of similarity 0.8 with probability
 1 - (1 - 0.8 ** 5) ** 30 = 0.999993.
@@ -36,7 +38,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,11 +52,10 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS = 30
 ROWS = 5
+#: Cells whose counts bound what two texts share.
+CELLS = 256
 #: Rounds of arrivals between two looks at which texts are done, after the first few.
 LOOK_EVERY = 8
-#: Stars are tried again while the pairs left to compare in full are more than this many per text.
-FULL_PAIRS = 20
-MOST_STARS = 8
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
@@ -203,66 +204,95 @@ def verify(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
                                                  np.frombuffer(xb, np.uint64), np.frombuffer(wb, np.uint32)) >= threshold)
             keep = pa.array(found, pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column("a").filter(keep), b.column("b").filter(keep)], ["a", "b"])
-    joined = pairs.join(side("b"), "b").join(side("a"), "a")
+    joined = pairs.hint("merge").join(side("b"), "b").hint("merge").join(side("a"), "a")
     return joined.select("a", "b", "xa", "wa", "xb", "wb").mapInArrow(run, pairs.select("a", "b").schema)
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, class_id (the least id of the class) and links (similar texts
-    found for it) for every row of ``docs`` (doc_id, text)."""
+    """doc_id and class_id (the least id of the class) for every row of ``docs`` (doc_id, text)."""
     signed = materialize(sign(docs, bands, rows), "signed")
     # Rows with the same words become one node, named by its least id.
     nodes = materialize(signed.filter("words IS NOT NULL AND doc_id IS NOT NULL").groupBy("words").agg(
         F.min("doc_id").alias("id"), F.min_by("buckets", "doc_id").alias("buckets")), "nodes")
     members = nodes.select("id", F.explode("buckets").alias("bucket"))
-    ends = members.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo <> hi")
-    stars = members.join(ends, "bucket")
-    pairs = (stars.filter("id <> lo").select(F.col("lo").alias("a"), F.col("id").alias("b"))
-             .unionByName(stars.filter("id <> hi").select(F.col("id").alias("a"), F.col("hi").alias("b"))).distinct())
-    pairs = materialize(pairs, "pairs")
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # A bucket's hub is its text that meets most others in all its buckets: of a family of copies, the source.
+    met = members.join(sizes, "bucket").groupBy("id").agg(F.sum("n").alias("met"), F.collect_list("bucket").alias("buckets"))
+    met = materialize(met.select("id", "met", F.explode("buckets").alias("bucket")), "met")  # at most one per band
+    hubs = met.groupBy("bucket").agg(F.max("met").alias("met"), F.max_by("id", F.struct("met", "id")).alias("hub"))
+    pairs = materialize(met.join(hubs.select("bucket", "hub"), "bucket").filter("id <> hub").select(
+        F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct(), "pairs")
     # Only texts that share a bucket with another one are read again.
-    wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    sets = materialize(weighted_shingles(docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi"))
-                       .dropDuplicates(["doc_id"]), "sets")
-    tried = pairs
+    wanted = met.select(F.col("id").alias("doc_id")).distinct()
+    sets = materialize(weighted_shingles(docs.select("doc_id", "text").join(wanted.hint("merge"), "doc_id", "left_semi")
+                                         .dropDuplicates(["doc_id"])), "sets")
     links = materialize(verify(pairs, sets, threshold), "links")
-    n_nodes = nodes.count()
-    for star in range(MOST_STARS + 1):
-        comp = components(links)
-        d = members.join(comp, "id", "left").select("bucket", "id", F.coalesce("comp", "id").alias("comp"))
-        # Buckets of two have been compared whole.
-        mixed_ = d.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("c0"),
-                                         F.max("comp").alias("c1")).filter("c0 <> c1 AND n > 2").select("bucket", "n")
-        left = materialize(d.join(mixed_, "bucket"), "mixed")
-        major = (left.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("k"))
-                 .groupBy("bucket").agg(F.max_by("comp", F.struct("k", "comp")).alias("major")))
-        left = left.join(major, "bucket")
-        strays = left.filter("comp <> major")
-        full = strays.agg(F.sum("n")).first()[0] or 0
-        if not full:
-            break
-        if star < MOST_STARS and full > FULL_PAIRS * n_nodes:
-            # A star around another member of each bucket.
-            hub = left.groupBy("bucket").agg(F.min_by(F.struct("id", "comp"), F.xxhash64("id", F.lit(star))).alias("hub"))
-            more = left.join(hub, "bucket").filter("comp <> hub.comp").select("id", F.col("hub.id").alias("other"))
-        else:
-            other = left.select("bucket", F.col("id").alias("other"), F.col("comp").alias("other_comp"))
-            more = strays.join(other, "bucket").filter("comp <> other_comp").select("id", "other")
-        more = more.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
-        more = materialize(more.join(tried, ["a", "b"], "left_anti"), "pairs")
-        found = materialize(verify(more, sets, threshold), "links")
-        links = links.unionByName(found)
-        if star == MOST_STARS or full <= FULL_PAIRS * n_nodes:
-            comp = components(links)
-            break
-        tried = tried.unionByName(more)
-    degree = (links.select(F.col("a").alias("id")).unionByName(links.select(F.col("b").alias("id")))
-              .groupBy("id").agg(F.count(F.lit(1)).alias("links")))
-    named = nodes.select("words", "id").join(comp, "id", "left").join(degree, "id", "left").select(
-        "words", F.coalesce("comp", "id").alias("class_id"), F.coalesce("links", F.lit(0).cast("long")).alias("links"))
+    comp = components(links)
+    more = _across(met, comp, sets, threshold)
+    if more is not None:
+        found = materialize(verify(more.join(pairs, ["a", "b"], "left_anti"), sets, threshold), "links")
+        if not found.isEmpty():
+            comp = components(links.unionByName(found))
+    named = nodes.select("words", "id").join(comp, "id", "left").select("words", F.coalesce("comp", "id").alias("class_id"))
     d = signed.select("doc_id", "words").join(named, "words", "left")
-    return d.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id"),
-                    F.coalesce("links", F.lit(0).cast("long")).alias("links"))
+    return d.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id"))
+
+
+def _across(met: DataFrame, comp: DataFrame, sets: DataFrame, threshold: float) -> DataFrame | None:
+    """Pairs (a, b) of one bucket that stand in different components and can
+    still be similar: texts outside a bucket's largest component against the
+    others in it, as far as ``may_be_similar`` does not rule them out."""
+    d = met.select("bucket", "id").join(comp, "id", "left").select("bucket", "id", F.coalesce("comp", "id").alias("comp"))
+    # Buckets of two have been compared whole.
+    several = d.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("c0"), F.max("comp").alias("c1")
+                                      ).filter("c0 <> c1 AND n > 2").select("bucket")
+    d = materialize(d.join(several, "bucket"), "across")
+    if d.isEmpty():
+        return None
+    d = materialize(d.join(counted_cells(sets).withColumnRenamed("doc_id", "id"), "id"), "across")
+    major = (d.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("k"))
+             .groupBy("bucket").agg(F.max_by("comp", F.struct("k", "comp")).alias("major")))
+    text = F.struct("total", "n", "cells")
+    strays = d.join(major, "bucket").filter("comp <> major").select(
+        "bucket", F.col("id").alias("s_id"), F.col("comp").alias("s_comp"), text.alias("s"))
+    others = d.select("bucket", "id", "comp", text.alias("o"))
+    found = strays.join(others.hint("merge"), (strays["bucket"] == others["bucket"]) & (F.col("s_comp") != F.col("comp"))
+                        & may_be_similar("s", "o", threshold))
+    return materialize(found.select(F.least("s_id", "id").alias("a"), F.greatest("s_id", "id").alias("b")).distinct(), "pairs")
+
+
+def counted_cells(sets: DataFrame) -> DataFrame:
+    """doc_id, total weight, n (shingles) and how many of them fall into each of ``CELLS`` cells by their hash."""
+    doc_id = next(f for f in sets.schema.fields if f.name == "doc_id")
+    schema = T.StructType([doc_id, T.StructField("total", T.LongType()), T.StructField("n", T.LongType()),
+                           T.StructField("cells", T.ArrayType(T.IntegerType()))])
+
+    def run(batches):
+        for b in batches:
+            x = [np.frombuffer(v, np.uint64) for v in b.column("shingles").to_pylist()]
+            n = [len(v) for v in x]
+            cell = (mixed(np.concatenate(x)) % np.uint64(CELLS)).astype(np.int64)
+            cells = np.bincount(np.repeat(np.arange(len(x)), n) * CELLS + cell, minlength=len(x) * CELLS)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), pa.array([int(np.frombuffer(v, np.uint32).sum()) for v in b.column("weights").to_pylist()]),
+                 pa.array(n, pa.int64()), pa.ListArray.from_arrays(
+                     pa.array(np.arange(len(x) + 1, dtype=np.int32) * CELLS), pa.array(cells.astype(np.int32)))],
+                ["doc_id", "total", "n", "cells"])
+    return sets.mapInArrow(run, schema)
+
+
+def may_be_similar(a: str, b: str, threshold: float) -> Column:
+    """An upper bound of J_P reaches the threshold, for structs (total, n, cells).
+
+    Two texts share at most the sum over the cells of the lesser count, so each
+    has at least ``own`` shingles that the other lacks.  With x y / (u y + v x)
+    concave, J_P <= 1 / (1 + own_a / (total_a - own_a) + own_b / (total_b - own_b));
+    without repeats this is the bound on the plain Jaccard."""
+    def odds(t: str, shared: Column) -> Column:
+        own = F.col(f"{t}.n") - shared
+        return own / F.nullif(F.col(f"{t}.total") - own, F.lit(0))
+    return F.aggregate(F.zip_with(f"{a}.cells", f"{b}.cells", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y,
+                       lambda n: F.coalesce(odds(a, n) + odds(b, n) <= 1 / threshold - 1 + 1e-9, F.lit(False)))
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
