@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stayline.llm.common import documents, text_of, words_of
+from stayline.llm.common import documents, shuffle_parts, text_of, words_of
 from stayline.llm.registry import register
 from stayline.session import materialize
 
@@ -104,7 +104,7 @@ def slots(sources: DataFrame) -> DataFrame:
     runs = sources.filter("slots > 0").select(
         "source_no", "blocks", "slots", "slot_base", "all_slots",
         F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / RUN))).alias("run"))
-    d = runs.repartition("source_no", "run").select(
+    d = runs.repartition(shuffle_parts(sources.sparkSession), "source_no", "run").select(
         "source_no", "blocks", "slot_base", "all_slots", F.explode(F.sequence(
             F.col("run") * RUN, F.least((F.col("run") + 1) * RUN, F.col("slots")) - 1)).alias("j"))
     epoch = F.floor(F.col("j") / F.col("blocks")).cast("long")
@@ -130,7 +130,8 @@ def mix(docs: DataFrame) -> DataFrame:
     placed = packed(sized, sources)
     uses = slots(sources).groupBy("source_no", "block").agg(F.count(F.lit(1)).alias("uses"))
     key = ["source_no", "start", "doc_id", "size", "source_size", "target"]
-    got = (document_blocks(placed).join(uses, ["source_no", "block"], "left")
+    # Merged, as the optimizer takes the few rows that expand to all slots for a small table.
+    got = (document_blocks(placed).join(uses.hint("merge"), ["source_no", "block"], "left")
            .groupBy(*key).agg(F.coalesce(F.sum(F.col("words") * F.col("uses")), F.lit(0)).alias("taken")))
     out = ["doc_id", "size", "source_size", "target", "taken"]
     none = placed.filter("size = 0").withColumn("taken", F.lit(0).cast("long"))
