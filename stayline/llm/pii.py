@@ -150,7 +150,7 @@ def fold_glyphs(text: str) -> list[Edit]:
     return [(m.start(), m.end(), table[m.group()]) for m in pattern.finditer(text)]
 
 
-_LETTER_DIGIT = re.compile(r"(?<=[0-9.])[OoIl](?=[0-9])|(?<=[0-9])[OoIl](?=[.0-9])")
+_LETTER_DIGIT = re.compile(r"(?<=[0-9])[OoIl](?=[. -]?[0-9])|(?<=[0-9][. -])[OoIl](?=[0-9])")
 
 
 def fold_letter_digits(text: str) -> list[Edit]:
