@@ -142,7 +142,7 @@ def mix_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes their words, to the
     nearest whole number of copies (0 to ``MOST``), columns unchanged."""
     m = mix(docs).groupBy(F.col("doc_id").alias("__mix_id")).agg(
-        F.round(F.sum("taken") / F.sum("size")).cast("int").alias("__copies")).filter("__copies > 0")
+        F.round(F.try_divide(F.sum("taken"), F.sum("size"))).cast("int").alias("__copies")).filter("__copies > 0")
     d = docs.join(m, docs["doc_id"].eqNullSafe(m["__mix_id"]))
     d = d.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
     return d.select(*[docs[c] for c in docs.columns])
