@@ -5,16 +5,17 @@ that is indexed is the concatenation of the stretches of lines that occur more
 than once, numbered in document order (``at``; ``end`` is the number of the
 last line of the stretch).
 
-*Prefix doubling.*  ``rank`` of a position orders it by its first ``2 ** k``
-lines.  Each round joins the rank ``2 ** k`` lines further on, counts the
-distinct (rank, next rank) pairs, sorts those by range and gives every
-position of an undecided class its place within the class.  Positions whose
-class is down to one, or has reached the stretch's end, take no more part.  A
-position keeps its ranks of all rounds.
+*Prefix doubling*, three doublings in a round: ``rank`` of a position orders it
+by its first ``8 ** k`` lines.  A round joins the ranks 1 to 7 times ``8 ** k``
+lines further on, counts the distinct tuples of these eight ranks, sorts those
+by range and gives every position of an undecided class its place within the
+class.  Positions whose class is down to one, or has reached the stretch's
+end, take no more part.  A position keeps its tuples of all rounds.
 
 *Longest common prefixes* of neighbours in the suffix array are read from the
-highest level at which their ranks agree; what lies beyond is looked up at the
-positions that many lines further on, again level by level.
+first place where their tuples differ; what lies beyond it is less than one
+step of that round, and is looked up that many lines further on in the tuples
+of the rounds before.
 
 *Intervals.*  A pass over each sorted range, in both directions, keeps the
 stack of open LCP intervals with the earliest position in each, and finds for
@@ -46,31 +47,37 @@ from stayline.llm.registry import register
 from stayline.session import materialize
 
 MIN_WORDS = 50
+#: Ranks that a round puts together.
+STEP = 8
 _WHOLE = 1 << 62
 
 Steps = list[tuple[int, int]]  # (common lines, earliest position), longest first
 
 
-def in_order(df: DataFrame, cols: list[Column | str], fn: Callable[[pa.Table, int], pa.Table], schema: str) -> DataFrame:
-    """``fn(rows, range number)`` over the sorted rows of each range of ``cols``;
-    written, so that a repeated task cannot see other ranges."""
+def in_order(df: DataFrame, cols: list[str], fn: Callable[[pa.Table, int], pa.Table], schema: str,
+             within: list[str] | None = None) -> DataFrame:
+    """``fn(rows, range number)`` over the rows of each range of ``cols``, sorted
+    by those and ``within``; written, so that a repeated task cannot see other ranges."""
     def run(batches):
         got = [b for b in batches if b.num_rows]
         if got:
             yield from fn(pa.Table.from_batches(got).combine_chunks(), TaskContext.get().partitionId()).to_batches()
     n = shuffle_parts(df.sparkSession)
-    return materialize(df.repartitionByRange(n, *cols).sortWithinPartitions(*cols).mapInArrow(run, schema), "ordered")
+    return materialize(df.repartitionByRange(n, *cols).sortWithinPartitions(*cols, *(within or [])).mapInArrow(run, schema), "ordered")
 
 
 def _column(t: pa.Table, name: str) -> np.ndarray:
     return t.column(name).to_numpy()
 
 
-def _before(counted: DataFrame, part: str, n: str) -> DataFrame:
-    """(part, before): the sum of ``n`` over earlier ranges; one row per range."""
-    w = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    return counted.groupBy(part).agg(F.sum(n).alias("__n")).select(
-        F.col(part), F.coalesce(F.sum("__n").over(w), F.lit(0)).cast("long").alias("before"))
+def starts(ordered: DataFrame, total: Column) -> DataFrame:
+    """(part, before): the sum over earlier ranges of ``total``, which each
+    range's last row (``tail``) holds; one row per range."""
+    rows, before, out = ordered.filter("tail").select("part", total.alias("n")).collect(), 0, []
+    for r in sorted(rows, key=lambda r: r["part"]):
+        out.append((r["part"], before))
+        before += r["n"]
+    return F.broadcast(ordered.sparkSession.createDataFrame(out, "part long, before long"))
 
 
 # ---------------------------------------------------------------- positions
@@ -93,10 +100,10 @@ def positions(docs: DataFrame) -> DataFrame:
     def cumulated(t, part):
         n = _column(t, "n")
         return pa.table({"h1": t.column("h1"), "h2": t.column("h2"), "n": n, "cum": np.cumsum(n) - n,
-                         "part": np.full(len(n), part)})
+                         "part": np.full(len(n), part), "tail": np.arange(len(n)) == len(n) - 1})
     repeated = lines.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    ids = in_order(repeated, ["h1", "h2"], cumulated, "h1 long, h2 long, n long, cum long, part long")
-    ids = ids.join(F.broadcast(_before(ids, "part", "n")), "part").select(  # one row per range
+    ids = in_order(repeated, ["h1", "h2"], cumulated, "h1 long, h2 long, n long, cum long, part long, tail boolean")
+    ids = ids.join(starts(ids, F.col("cum") + F.col("n")), "part").select(
         "h1", "h2", (F.col("before") + F.col("cum")).alias("rank"))
     here = lines.join(ids, ["h1", "h2"]).drop("h1", "h2").dropDuplicates(["doc_id", "th", "idx"])
     here = here.withColumn("key", F.xxhash64("doc_id", "th"))
@@ -106,24 +113,19 @@ def positions(docs: DataFrame) -> DataFrame:
         n = len(key)
         first = np.ones(n, bool)
         first[1:] = (key[1:] != key[:-1]) | (seq[1:] != seq[:-1] + 1)
-        starts = np.flatnonzero(first)
+        begin = np.flatnonzero(first)
         which = np.cumsum(first) - 1
         cum = np.cumsum(words)
-        return pa.table({"part": np.full(n, part), "i": np.arange(n), "last": np.append(starts[1:], n)[which] - 1,
+        return pa.table({"part": np.full(n, part), "i": np.arange(n), "last": np.append(begin[1:], n)[which] - 1,
                          "doc_id": t.column("doc_id"), "th": t.column("th"), "idx": _column(t, "idx").astype(np.int64),
-                         "words": words, "upto": cum - (cum - words)[starts][which], "rank": t.column("rank")})
+                         "words": words, "upto": cum - (cum - words)[begin][which], "rank": t.column("rank"),
+                         "tail": np.arange(n) == n - 1})
     kind = docs.schema["doc_id"].dataType.simpleString()
-    # A document's lines are in one range: the ranges are those of its key, the order within is that of its lines.
-    n = shuffle_parts(docs.sparkSession)
-
-    def run(batches):
-        got = [b for b in batches if b.num_rows]
-        if got:
-            yield from stretches(pa.Table.from_batches(got).combine_chunks(), TaskContext.get().partitionId()).to_batches()
-    p = materialize(here.repartitionByRange(n, "doc_id", "th").sortWithinPartitions("doc_id", "th", "seq").mapInArrow(
-        run, f"part long, i long, last long, doc_id {kind}, th long, idx long, words long, upto long, rank long"), "stretches")
-    off = _before(p.withColumn("one", F.lit(1)), "part", "one")
-    return materialize(p.join(F.broadcast(off), "part").select(  # one row per range
+    # Ranges of documents, so that a document's lines are in one range.
+    p = in_order(here, ["doc_id", "th"], stretches, f"part long, i long, last long, doc_id {kind}, th long, idx long, "
+                                                    "words long, upto long, rank long, tail boolean", ["seq"])
+    off = starts(p, F.col("i") + 1)
+    return materialize(p.join(off, "part").select(
         (F.col("before") + F.col("i")).alias("at"), (F.col("before") + F.col("last")).alias("end"),
         "doc_id", "th", "idx", "words", "upto", "rank"), "positions")
 
@@ -131,129 +133,140 @@ def positions(docs: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- ranks
 
 def doubled(pos: DataFrame) -> DataFrame:
-    """at, end and ranks (array: by the first 1, 2, 4, ... lines) of every position of ``pos`` (at, end, rank)."""
-    active = pos.select("at", "end", F.array("rank").alias("ranks"))
+    """at, end, rank and tuples (the eight ranks of each round, in one array)
+    of every position of ``pos`` (at, end, rank)."""
+    active = pos.select("at", "end", "rank", F.array().cast("array<bigint>").alias("tuples"))
     done: DataFrame | None = None
-    step = 1
+    span = 1
+    nexts = [f"n{j}" for j in range(1, STEP)]
     while True:
         state = active if done is None else active.unionByName(done)
-        further = state.select(F.col("at").alias("to"), F.element_at("ranks", -1).alias("r"))
-        here = active.withColumn("to", F.when(F.col("at") + step <= F.col("end"), F.col("at") + step))
-        # Positions at their stretch's end look nothing up.
-        looked = here.filter("to IS NOT NULL").join(further, "to").unionByName(
-            here.filter("to IS NULL").withColumn("r", F.lit(-1).cast("long")))
-        looked = materialize(looked.select("at", "end", "ranks", F.element_at("ranks", -1).alias("rank"),
-                                           F.col("r").alias("next")), "looked")
+        steps = F.least(F.lit(STEP - 1), F.floor((F.col("end") - F.col("at")) / span))
+        near = active.filter(F.col("at") + span <= F.col("end")).select(
+            "at", F.explode(F.sequence(F.lit(1).cast("long"), steps)).alias("j"))
+        near = (near.withColumn("to", F.col("at") + F.col("j") * span)
+                .join(state.select(F.col("at").alias("to"), F.col("rank").alias("r")), "to")
+                .groupBy("at").agg(*[F.max(F.when(F.col("j") == j, F.col("r"))).alias(f"n{j}") for j in range(1, STEP)]))
+        looked = materialize(active.join(near, "at", "left").fillna(-1, nexts), "looked")
+        keys = ["rank", *nexts]
 
         def placed(t, part):
             rank, n = _column(t, "rank"), _column(t, "n")
             cum = np.cumsum(n) - n
             first = np.ones(len(rank), bool)
             first[1:] = rank[1:] != rank[:-1]
-            return pa.table({"part": np.full(len(rank), part), "rank": rank, "next": t.column("next"), "n": n,
-                             "place": cum - cum[np.flatnonzero(first)][np.cumsum(first) - 1]})
-        pairs = looked.groupBy("rank", "next").agg(F.count(F.lit(1)).alias("n"))
-        o = in_order(pairs, ["rank", "next"], placed, "part long, rank long, next long, n long, place long")
-        # A class that goes on from earlier ranges starts after its members there.
-        w = Window.partitionBy("rank").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-        carry = o.groupBy("part", "rank").agg(F.sum("n").alias("c")).select(
-            "part", "rank", F.coalesce(F.sum("c").over(w), F.lit(0)).alias("carry")).filter("carry > 0")
-        o = o.join(carry, ["part", "rank"], "left").select(
-            "rank", "next", "n", (F.col("rank") + F.col("place") + F.coalesce("carry", F.lit(0))).alias("new"))
-        looked = looked.join(o, ["rank", "next"]).select(
-            "at", "end", F.concat("ranks", F.array("new")).alias("ranks"), "next", "n")
-        looked = materialize(looked, "ranks")
-        over = looked.filter("n = 1 OR next < 0").select("at", "end", "ranks")
-        active = looked.filter("n > 1 AND next >= 0").select("at", "end", "ranks")
+            which = np.cumsum(first) - 1
+            place = cum - cum[np.flatnonzero(first)][which]
+            # The members of the range's first and last class, for those that go on over its border.
+            edge = np.zeros(len(rank), bool)
+            edge[-1] = True
+            edge[np.flatnonzero(which == 0)[-1]] = True
+            return pa.table({"part": np.full(len(rank), part), **{k: t.column(k) for k in keys}, "n": n, "place": place,
+                             "edge": edge})
+        kinds = ", ".join(f"{k} long" for k in keys)
+        o = in_order(looked.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), keys, placed,
+                     f"part long, {kinds}, n long, place long, edge boolean")
+        o = o.join(_carried(o), ["part", "rank"], "left").select(
+            *keys, "n", (F.col("rank") + F.col("place") + F.coalesce("carry", F.lit(0))).alias("new"))
+        looked = materialize(looked.join(o, keys).select(
+            "at", "end", F.col("new").alias("rank"), F.concat("tuples", F.array(*keys)).alias("tuples"), "n",
+            F.col(nexts[-1]).alias("far")), "ranks")
+        cols = ["at", "end", "rank", "tuples"]
+        over = looked.filter("n = 1 OR far < 0").select(cols)
+        active = looked.filter("n > 1 AND far >= 0").select(cols)
         done = over if done is None else done.unionByName(over)
         if active.isEmpty():
             return done
-        step *= 2
+        span *= STEP
 
 
-# ---------------------------------------------------------------- common prefixes
+def _carried(o: DataFrame) -> DataFrame:
+    """(part, rank, carry): of a class that goes on from earlier ranges, its
+    members there.  Two rows per range are read, and at most one is returned."""
+    rows = o.filter("edge").select("part", "rank", (F.col("place") + F.col("n")).alias("n")).collect()
+    out, last, members = [], None, 0
+    for r in sorted(rows, key=lambda r: (r["part"], r["rank"])):
+        if r["rank"] == last:
+            out.append((r["part"], last, members))
+            members += r["n"]
+        else:
+            last, members = r["rank"], r["n"]
+    return F.broadcast(o.sparkSession.createDataFrame(out, "part long, rank long, carry long"))
 
-def _reach(top: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(lines, level still to refine below): what agreement up to level ``top`` (-1: none) proves with ``left`` lines left."""
-    size = np.where(top < 0, 0, np.left_shift(np.int64(1), np.maximum(top, 0)))
-    # Equal ranks beyond the end mean equal up to the end.
-    ended = size > left
-    return np.where(ended, left, size), np.where(ended | (top < 1), 0, top)
 
+# ---------------------------------------------------------------- common prefixes
 
 def neighbours(ranked: DataFrame) -> DataFrame:
     """The suffix array: part, i, at, with lcp to the position before it (0 for the very first)."""
-    kind = "part long, i long, at long, end long, prev long, prev_end long, lcp long, level long, edge array<long>"
+    kind = "part long, i long, at long, end long, prev long, lcp long, level long, edge array<long>"
 
     def compared(t, part):
         at, end = _column(t, "at"), _column(t, "end")
-        lists = t.column("ranks").combine_chunks()
+        lists = t.column("tuples").combine_chunks()
         if isinstance(lists, pa.ChunkedArray):
             lists = lists.chunk(0)
         off, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
-        size = np.diff(off)
-        n = len(at)
-        top, same = np.full(n, -1), np.ones(n, bool)
-        same[0] = False
+        size, n = np.diff(off), len(at)
+        common = np.minimum(size, np.roll(size, 1))
+        differ = np.full(n, -1)
         for k in range(int(size.max())):
-            a, b = off[:-1] + k, off[:-1] + k
-            fits = (size > k) & (np.roll(size, 1) > k) & same
-            rows = np.flatnonzero(fits)
-            same = np.zeros(n, bool)
-            same[rows] = flat[a[rows]] == flat[b[rows - 1]]
-            top[same] = k
-            if not same.any():
-                break
-        lcp, level = _reach(top, end - at + 1)
-        prev, prev_end = np.roll(at, 1), np.roll(end, 1)
-        edge = [flat[off[j]:off[j + 1]].tolist() if j in (0, n - 1) else None for j in range(n)]
+            rows = np.flatnonzero((differ < 0) & (k < common) & (np.arange(n) > 0))
+            differ[rows[flat[off[rows] + k] != flat[off[rows - 1] + k]]] = k
+        here, before = np.full(n, -1), np.full(n, -1)
+        found = np.flatnonzero(differ >= 0)
+        here[found], before[found] = flat[off[found] + differ[found]], flat[off[found - 1] + differ[found]]
+        lcp, level = reach(differ, here, before, end - at + 1)
         first = np.arange(n) == 0
+        edge = [flat[off[j]:off[j + 1]].tolist() if j in (0, n - 1) else None for j in range(n)]
         return pa.table({"part": np.full(n, part), "i": np.arange(n), "at": at, "end": end,
-                         "prev": pa.array(prev, mask=first), "prev_end": pa.array(prev_end, mask=first),
-                         "lcp": lcp, "level": level, "edge": pa.array(edge, pa.list_(pa.int64()))})
-    order = ranked.withColumn("rank", F.element_at("ranks", -1))
-    sa = in_order(order.select("rank", "at", "end", "ranks"), ["rank", "at"], compared, kind)
+                         "prev": pa.array(np.roll(at, 1), mask=first), "lcp": lcp, "level": level,
+                         "edge": pa.array(edge, pa.list_(pa.int64()))})
+    sa = in_order(ranked.select("rank", "at", "end", "tuples"), ["rank", "at"], compared, kind)
     # Each range's first position meets the last one of the range before: two rows per range.
     ends = sa.filter("edge IS NOT NULL").select("part", "i", "at", "end", "edge").orderBy("part", "i").collect()
     fixed = []
     for a, b in zip(ends, ends[1:]):
         if b["part"] != a["part"]:
-            top = -1
-            for x, y in zip(a["edge"], b["edge"]):
-                if x != y:
-                    break
-                top += 1
-            lcp, level = _reach(np.array([top]), np.array([b["end"] - b["at"] + 1]))
-            fixed.append((b["part"], b["i"], b["at"], b["end"], a["at"], a["end"], int(lcp[0]), int(level[0])))
-    firsts = sa.sparkSession.createDataFrame(fixed, "part long, i long, at long, end long, prev long, prev_end long, "
-                                                    "lcp long, level long")
+            k = next((k for k, (x, y) in enumerate(zip(a["edge"], b["edge"])) if x != y), -1)
+            lcp, level = reach(*(np.array([v]) for v in (k, b["edge"][k], a["edge"][k], b["end"] - b["at"] + 1)))
+            fixed.append((b["part"], b["i"], b["at"], a["at"], int(lcp[0]), int(level[0])))
+    firsts = sa.sparkSession.createDataFrame(fixed, "part long, i long, at long, prev long, lcp long, level long")
     lowest = ends[0]["part"] if ends else -1
-    cols = ["part", "i", "at", "end", "prev", "prev_end", "lcp", "level"]
+    cols = ["part", "i", "at", "prev", "lcp", "level"]
     pairs = sa.filter((F.col("i") > 0) | (F.col("part") == lowest)).select(cols).unionByName(firsts)
     found = pairs.filter("level = 0")
     open_ = materialize(pairs.filter("level > 0"), "open")
-    side = ranked.select("at", "ranks")
+    side = ranked.select("at", "tuples")
     while not open_.isEmpty():
-        more = open_.withColumn("to", F.col("at") + F.col("lcp")).withColumn("prev_to", F.col("prev") + F.col("lcp"))
-        inside = (F.col("to") <= F.col("end")) & (F.col("prev_to") <= F.col("prev_end"))
-        ended = more.filter(~inside).select(cols[:-1])
-        j = (more.filter(inside).join(side.select(F.col("at").alias("to"), F.col("ranks").alias("ra")), "to")
-             .join(side.select(F.col("at").alias("prev_to"), F.col("ranks").alias("rb")), "prev_to"))
-        # Ranks agree up to some level and on none above.
-        agree = F.size(F.filter(F.sequence(F.lit(0).cast("long"), F.col("level") - 1),
-                                lambda k: F.coalesce(F.get("ra", k) == F.get("rb", k), F.lit(False))))
-        left = F.col("end") - F.col("to") + 1
-        top = F.col("agree") - 1
-        size = F.when(top < 0, F.lit(0)).otherwise(F.call_function("shiftleft", F.lit(1).cast("long"), top))
-        j = (j.withColumn("agree", agree).withColumn("size", size)
-             .withColumn("lcp", F.col("lcp") + F.least("size", left))
-             .withColumn("level", F.when((F.col("size") > left) | (top < 1), 0).otherwise(top).cast("long")))
-        j = materialize(j.select(cols).unionByName(ended.withColumn("level", F.lit(0).cast("long"))), "open")
+        j = (open_.withColumn("to", F.col("at") + F.col("lcp")).withColumn("prev_to", F.col("prev") + F.col("lcp"))
+             .join(side.select(F.col("at").alias("to"), F.col("tuples").alias("ta")), "to")
+             .join(side.select(F.col("at").alias("prev_to"), F.col("tuples").alias("tb")), "prev_to"))
+        # They differ within one step of the round ``level``, so in a round before it.
+        upto = F.least(F.size("ta"), F.size("tb"), STEP * F.col("level"))
+        unequal = F.transform(F.sequence(F.lit(0).cast("long"), upto - 1), lambda k: F.get("ta", k) != F.get("tb", k))
+        j = j.withColumn("k", F.array_position(unequal, True) - 1)
+        level = F.floor(F.col("k") / STEP)
+        ended = (F.get("ta", F.col("k")) < 0) | (F.get("tb", F.col("k")) < 0)
+        j = (j.withColumn("ended", ended)
+             .withColumn("lcp", (F.col("lcp") + F.col("k") % STEP * F.pow(F.lit(STEP), level)).cast("long"))
+             .withColumn("level", F.when(F.col("ended"), 0).otherwise(level).cast("long")))
+        j = materialize(j.select(cols), "open")
         found = found.unionByName(j.filter("level = 0"))
         open_ = j.filter("level > 0")
     return found.select("part", "i", "at", "lcp")
 
 
+def reach(differ: np.ndarray, here: np.ndarray, before: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(common lines that are certain, round whose steps hide more) of two
+    positions whose tuples first differ at index ``differ`` (-1: nowhere, so
+    that they are equal for all ``left`` lines), with these ranks there (-1:
+    past the end)."""
+    level, j = np.divmod(np.maximum(differ, 0), STEP)
+    lcp = np.where(differ < 0, left, j * STEP ** level.astype(np.int64))
+    sure = (differ < 0) | (here < 0) | (before < 0)
+    return lcp, np.where(sure, 0, level)
+
+
 # ---------------------------------------------------------------- intervals
 
 def cut(steps: Steps, lcp: int) -> Steps:
@@ -300,8 +313,6 @@ def sweep(at: list[int], lcp: list[int], steps: Steps, found: list[int] | None)
 def longest_earlier(sa: DataFrame) -> DataFrame:
     """(at, lines): the most lines from ``at`` on that an earlier position has too; from part, i, at, lcp."""
     n = shuffle_parts(sa.sparkSession)
-    sa = materialize(sa.repartition(n, "part").sortWithinPartitions("part", "i"), "suffixes")
-
     def ranges(batches):
         got = [b for b in batches if b.num_rows]
         if got:
