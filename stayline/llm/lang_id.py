@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import bisect
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,13 +36,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stayline.llm.common import documents
-from stayline.llm.pieces import _Memory, rounds, spaced
+from stayline.llm.pieces import rounds, spaced
 from stayline.llm.registry import register
 
 UNKNOWN = "und"
 SAMPLE_DOCS = 20_000
 MAX_LANGS = 200
-MAX_GRAMS = 400_000
+MAX_GRAMS = 200_000
 GRAM_SIZES = (2, 3, 4)
 #: Cost of a change of language, and the most by which a token can speak against a language, in nats.
 SWITCH = 12.0
@@ -50,7 +51,7 @@ MOST_AGAINST = 8.0
 SCRIPT_SHARE = 0.05
 #: Letters of a token that are scored; a run without white space beyond that is scored in stretches.
 STRETCH = 64
-CACHE_TOKENS = 400_000
+CACHE_TOKENS = 150_000
 
 #: First code point of each stretch of a script: fixed values.
 SCRIPTS = (
@@ -120,6 +121,29 @@ class Model:
         return out
 
 
+class _Memory:
+    """At most ``size`` remembered values; those of use lately outlive the rest."""
+
+    def __init__(self, size: int):
+        self.size, self.now, self.old = size, {}, {}
+
+    def fill(self, keys: list[str], make: Callable[[list[str]], list[bytes]]) -> dict[str, bytes]:
+        """A dict with a value for each of ``keys``; unknown ones are made together."""
+        if len(self.now) > self.size // 2:
+            self.old, self.now = self.now, {}
+        now, old, new = self.now, self.old, []
+        for k in keys:
+            if k not in now:
+                v = old.get(k)
+                if v is None:
+                    new.append(k)
+                else:
+                    now[k] = v
+        if new:
+            now.update(zip(new, make(new), strict=True))
+        return now
+
+
 def best_path(scores: np.ndarray, switch: float = SWITCH) -> np.ndarray:
     """Labels with the highest sum of scores less ``switch`` per change.
 
