@@ -9,10 +9,11 @@ the same pattern."""
 from __future__ import annotations
 
 import functools
+import itertools
 import re
 import sys
 import unicodedata
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -22,9 +23,9 @@ import pyarrow.compute as pc
 WHITE_SPACE = ("\\t-\\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000")
 CONTRACTIONS = r"'(?:[stmd]|re|ve|ll)"
 
-#: Characters of text that one encoding round holds, and encoded pieces that a worker remembers.
-ROUND_CHARS = 4_000_000
-CACHE_PIECES = 300_000
+#: Characters of text that one encoding round holds, and encoded strings that a worker remembers.
+ROUND_CHARS = 8_000_000
+REMEMBERED = 1_500_000
 
 
 @functools.cache
@@ -91,30 +92,32 @@ def splitter(specials: tuple[str, ...] = ()) -> Callable[[str], list[str]]:
     return cut_around
 
 
-_SPACE_RUN = re.compile(f" [{WHITE_SPACE}]")
+#: For Arrow: white space after a space.
+_SPACE_RUN = " [\\t-\\r\\x20\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
 
 
-class _Memory:
-    """At most ``size`` remembered values; those of use lately outlive the rest."""
+class Memory:
+    """Ids of remembered strings, as two Arrow arrays: a few dozen bytes each.
+    Beyond ``size`` strings only those of the last round are kept."""
 
     def __init__(self, size: int):
-        self.size, self.now, self.old = size, {}, {}
-
-    def fill(self, keys: Iterable[str], make: Callable[[list[str]], list[bytes]]) -> dict[str, bytes]:
-        """A dict with a value for each of ``keys``; unknown ones are made together."""
-        if len(self.now) > self.size // 2:
-            self.old, self.now = self.now, {}
-        now, old, new = self.now, self.old, []
-        for k in keys:
-            if k not in now:
-                v = old.get(k)
-                if v is None:
-                    new.append(k)
-                else:
-                    now[k] = v
-        if new:
-            now.update(zip(new, make(new), strict=True))
-        return now
+        self.size = size
+        self.known = pa.array([], pa.large_string())
+        self.ids = pa.array([], pa.large_list(pa.uint32()))
+
+    def fill(self, wanted: pa.Array, make: Callable[[pa.Array], pa.Array]) -> pa.Array:
+        """The id lists of distinct strings; unknown ones are made together."""
+        at = pc.fill_null(pc.index_in(wanted, value_set=self.known), -1).to_numpy().copy()
+        unknown = np.flatnonzero(at < 0)
+        if len(unknown):
+            new = wanted.take(pa.array(unknown))
+            at[unknown] = len(self.known) + np.arange(len(new))
+            self.known = pa.concat_arrays([self.known, new])
+            self.ids = pa.concat_arrays([self.ids, make(new)])
+        out = self.ids.take(pa.array(at))
+        if len(self.known) > self.size:
+            self.known, self.ids = wanted, out
+        return out
 
 
 class PieceEncoder:
@@ -126,43 +129,47 @@ class PieceEncoder:
     cut into pieces.  ``encode_new`` encodes a list of distinct pieces and is
     asked once for all new pieces of a round."""
 
-    def __init__(self, cut: Callable[[str], list[str]], encode_new: Callable[[list[str]], list], size: int = CACHE_PIECES):
+    def __init__(self, cut: Callable[[str], list[str]], encode_new: Callable[[list[str]], list], size: int = REMEMBERED):
         self.cut, self.encode_new = cut, encode_new
-        self.parts, self.pieces = _Memory(2 * size), _Memory(size)
+        self.parts, self.pieces = Memory(size), Memory(size)
 
-    def _make_pieces(self, pieces: list[str]) -> list[bytes]:
-        return [np.array(x, "<u4").tobytes() for x in self.encode_new(pieces)]
+    def _make_pieces(self, pieces: pa.Array) -> pa.Array:
+        ids = self.encode_new(pieces.to_pylist())
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(size.sum()))
+        return pa.LargeListArray.from_arrays(pa.array(_offsets(size)), pa.array(flat))
 
-    def _literal(self, texts: list[str]) -> list[bytes]:
-        """The ids' bytes of texts as they are."""
+    def _literal(self, texts: list[str]) -> pa.Array:
+        """The ids of texts as they are."""
         cuts = [self.cut(t) for t in texts]
-        known = self.pieces.fill({p for c in cuts for p in c}, self._make_pieces)
-        return [known[c[0]] if len(c) == 1 else b"".join([known[p] for p in c]) for c in cuts]
+        flat = pa.array(itertools.chain.from_iterable(cuts), pa.large_string()).dictionary_encode()
+        lists = self.pieces.fill(flat.dictionary, self._make_pieces).take(flat.indices)
+        last = _offsets(np.fromiter(map(len, cuts), np.int64, len(cuts)))
+        return pa.LargeListArray.from_arrays(pa.array(lists.offsets.to_numpy()[last]), lists.values)
 
-    def _spaced(self, parts: list[str]) -> list[bytes]:
-        return self._literal([" " + p for p in parts])
+    def _spaced(self, parts: pa.Array) -> pa.Array:
+        return self._literal([" " + p for p in parts.to_pylist()])
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(offsets, ids): text i has ids[offsets[i]:offsets[i + 1]]."""
         texts = [t or "" for t in texts]
-        runs = {i for i, t in enumerate(texts) if _SPACE_RUN.search(t)}
+        whole = pa.array(texts, pa.large_string())
+        run = pc.match_substring_regex(whole, _SPACE_RUN)
+        runs = np.flatnonzero(run.to_numpy(zero_copy_only=False))
         # A text with runs takes part as one literal part.
-        words = pc.split_pattern(pa.array(["" if i in runs else t for i, t in enumerate(texts)], pa.large_string()), " ")
+        words = pc.split_pattern(pc.if_else(run, "", whole) if len(runs) else whole, " ")
         first = words.offsets.to_numpy()
-        coded = words.flatten().dictionary_encode()
-        at = coded.indices.to_numpy().copy()
-        parts = coded.dictionary.to_pylist()
-        known = self.parts.fill(parts, self._spaced)
+        coded = words.values.dictionary_encode()
+        at = coded.indices.to_numpy().astype(np.int64)
+        known = self.parts.fill(coded.dictionary, self._spaced)
+        # A text's first part has no space before it.
         heads = np.unique(at[first[:-1]])
-        whole = [*(parts[i] for i in heads), *(texts[i] for i in sorted(runs))]
-        values = [*map(known.__getitem__, parts), *self._literal(whole)]
-        head_at = np.searchsorted(heads, at[first[:-1]]) + len(parts)
-        if runs:
-            head_at[sorted(runs)] = len(parts) + len(heads) + np.arange(len(runs))
+        others = self._literal([*coded.dictionary.take(pa.array(heads)).to_pylist(), *(texts[i] for i in runs)])
+        head_at = np.searchsorted(heads, at[first[:-1]]) + len(known)
+        head_at[runs] = len(known) + len(heads) + np.arange(len(runs))
         at[first[:-1]] = head_at
-        size = np.fromiter(map(len, values), np.int64, len(values)) // 4
-        table = pa.LargeListArray.from_arrays(pa.array(_offsets(size)), pa.array(np.frombuffer(b"".join(values), "<u4")))
-        return _offsets(size[at])[first], table.take(pa.array(at)).flatten().to_numpy()
+        lists = pa.concat_arrays([known, others]).take(pa.array(at))
+        return lists.offsets.to_numpy()[first], lists.values.to_numpy()
 
 
 def _offsets(sizes: np.ndarray) -> np.ndarray:

@@ -37,7 +37,7 @@ from stayline.llm.registry import register
 
 _NEVER = 1 << 62
 #: Remembered pair verdicts of a worker.
-PAIRS = 1_000_000
+PAIRS = 300_000
 
 
 @functools.cache
