@@ -53,7 +53,7 @@ THRESHOLD = 0.8
 BANDS = 30
 ROWS = 5
 #: Cells whose counts bound what two texts share.
-CELLS = 256
+CELLS = 512
 #: Rounds of arrivals between two looks at which texts are done, after the first few.
 LOOK_EVERY = 8
 
@@ -262,10 +262,11 @@ def _across(met: DataFrame, comp: DataFrame, sets: DataFrame, threshold: float)
 
 
 def counted_cells(sets: DataFrame) -> DataFrame:
-    """doc_id, total weight, n (shingles) and how many of them fall into each of ``CELLS`` cells by their hash."""
+    """doc_id, total weight, n (shingles) and how many of them fall into each of
+    ``CELLS`` cells by their hash (null for a count that a short cannot hold)."""
     doc_id = next(f for f in sets.schema.fields if f.name == "doc_id")
     schema = T.StructType([doc_id, T.StructField("total", T.LongType()), T.StructField("n", T.LongType()),
-                           T.StructField("cells", T.ArrayType(T.IntegerType()))])
+                           T.StructField("cells", T.ArrayType(T.ShortType()))])
 
     def run(batches):
         for b in batches:
@@ -276,7 +277,8 @@ def counted_cells(sets: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array([int(np.frombuffer(v, np.uint32).sum()) for v in b.column("weights").to_pylist()]),
                  pa.array(n, pa.int64()), pa.ListArray.from_arrays(
-                     pa.array(np.arange(len(x) + 1, dtype=np.int32) * CELLS), pa.array(cells.astype(np.int32)))],
+                     pa.array(np.arange(len(x) + 1, dtype=np.int32) * CELLS), pa.array(cells.astype(np.int16)),
+                     mask=pa.array(cells.reshape(-1, CELLS).max(axis=1, initial=0) > np.iinfo(np.int16).max))],
                 ["doc_id", "total", "n", "cells"])
     return sets.mapInArrow(run, schema)
 
@@ -290,9 +292,10 @@ def may_be_similar(a: str, b: str, threshold: float) -> Column:
     without repeats this is the bound on the plain Jaccard."""
     def odds(t: str, shared: Column) -> Column:
         own = F.col(f"{t}.n") - shared
-        return own / F.nullif(F.col(f"{t}.total") - own, F.lit(0))
-    return F.aggregate(F.zip_with(f"{a}.cells", f"{b}.cells", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y,
-                       lambda n: F.coalesce(odds(a, n) + odds(b, n) <= 1 / threshold - 1 + 1e-9, F.lit(False)))
+        return F.when(F.col(f"{t}.total") > own, own / (F.col(f"{t}.total") - own)).otherwise(float("inf"))
+    bound = F.aggregate(F.zip_with(f"{a}.cells", f"{b}.cells", lambda x, y: F.least(x, y).cast("int")), F.lit(0),
+                        lambda x, y: x + y, lambda n: odds(a, n) + odds(b, n) <= 1 / threshold - 1 + 1e-9)
+    return F.coalesce(bound, F.lit(True))  # without counts nothing is ruled out
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
