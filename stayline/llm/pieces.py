@@ -13,7 +13,7 @@ import itertools
 import re
 import sys
 import unicodedata
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -21,10 +21,13 @@ import pyarrow.compute as pc
 
 #: Unicode White_Space: fixed values.
 WHITE_SPACE = ("\\t-\\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000")
+#: A single one behind a word is a piece of its own: the ASCII symbols.
+MARKS = frozenset("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
 CONTRACTIONS = r"'(?:[stmd]|re|ve|ll)"
 
-#: Characters of text that one encoding round holds, and encoded strings that a worker remembers.
+#: Characters of text that one round of work holds, bytes that one of encoding does, and encoded strings that a worker remembers.
 ROUND_CHARS = 8_000_000
+ENCODE_BYTES = 12_000_000
 REMEMBERED = 1_500_000
 
 
@@ -75,6 +78,7 @@ def splitter(specials: tuple[str, ...] = ()) -> Callable[[str], list[str]]:
 
     def cut(text: str) -> list[str]:
         return (plain if text.isascii() else wide).findall(text)
+    cut.keeps_words = True
     if not specials:
         return cut
     at = re.compile("|".join(re.escape(s) for s in sorted(specials, key=len, reverse=True)))
@@ -89,6 +93,8 @@ def splitter(specials: tuple[str, ...] = ()) -> Callable[[str], list[str]]:
             out.append(m.group())
             i = m.end()
         return out + cut(text[i:])
+    # Whether a word with at most one mark behind it never holds a special string.
+    cut_around.keeps_words = all(not s[:-1].isalpha() for s in specials)
     return cut_around
 
 
@@ -141,19 +147,31 @@ class PieceEncoder:
 
     def _literal(self, texts: list[str]) -> pa.Array:
         """The ids of texts as they are."""
-        cuts = [self.cut(t) for t in texts]
+        return self._joined([self.cut(t) for t in texts])
+
+    def _joined(self, cuts: list[Sequence[str]]) -> pa.Array:
+        """The ids of texts that are cut into pieces."""
         flat = pa.array(itertools.chain.from_iterable(cuts), pa.large_string()).dictionary_encode()
         lists = self.pieces.fill(flat.dictionary, self._make_pieces).take(flat.indices)
         last = _offsets(np.fromiter(map(len, cuts), np.int64, len(cuts)))
         return pa.LargeListArray.from_arrays(pa.array(lists.offsets.to_numpy()[last]), lists.values)
 
     def _spaced(self, parts: pa.Array) -> pa.Array:
-        return self._literal([" " + p for p in parts.to_pylist()])
-
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """(offsets, ids): text i has ids[offsets[i]:offsets[i + 1]]."""
-        texts = [t or "" for t in texts]
-        whole = pa.array(texts, pa.large_string())
+        """The ids of the parts with a space before each; most are a word, or one and a mark."""
+        cut, words, cuts = self.cut, self.cut.keeps_words, []
+        for p in parts.to_pylist():
+            if words and p.isalpha():
+                cuts.append((" " + p,))
+            elif words and p[-1:] in MARKS and p[:-1].isalpha():
+                cuts.append((" " + p[:-1], p[-1]))
+            else:
+                cuts.append(cut(" " + p))
+        return self._joined(cuts)
+
+    def encode(self, texts: pa.Array | list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """(offsets, ids): text i has ids[offsets[i]:offsets[i + 1]]; null is empty."""
+        texts = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
+        whole = pc.fill_null(texts, "")
         run = pc.match_substring_regex(whole, _SPACE_RUN)
         runs = np.flatnonzero(run.to_numpy(zero_copy_only=False))
         # A text with runs takes part as one literal part.
@@ -164,7 +182,7 @@ class PieceEncoder:
         known = self.parts.fill(coded.dictionary, self._spaced)
         # A text's first part has no space before it.
         heads = np.unique(at[first[:-1]])
-        others = self._literal([*coded.dictionary.take(pa.array(heads)).to_pylist(), *(texts[i] for i in runs)])
+        others = self._literal([*coded.dictionary.take(pa.array(heads)).to_pylist(), *whole.take(pa.array(runs)).to_pylist()])
         head_at = np.searchsorted(heads, at[first[:-1]]) + len(known)
         head_at[runs] = len(known) + len(heads) + np.arange(len(runs))
         at[first[:-1]] = head_at
@@ -186,11 +204,12 @@ def spaced(text: str | None) -> str:
     return text
 
 
-def rounds(texts: list[str | None], chars: int = ROUND_CHARS):
-    """(first, last) slices of a batch with about ``chars`` characters each."""
+def rounds(texts: pa.Array | list[str | None], chars: int = ROUND_CHARS):
+    """(first, last) slices of a batch with about ``chars`` characters (bytes of an Arrow array) each."""
     start, size = 0, 0
-    for i, t in enumerate(texts):
-        n = len(t or "")
+    sizes = [len(t or "") for t in texts] if isinstance(texts, list) else pc.fill_null(
+        pc.binary_length(texts), 0).to_pylist()
+    for i, n in enumerate(sizes):
         if i > start and size + n > chars:
             yield start, i
             start, size = i, 0

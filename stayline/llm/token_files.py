@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from stayline.llm import huffman
 from stayline.llm.common import documents
-from stayline.llm.pieces import PieceEncoder, rounds, splitter
+from stayline.llm.pieces import ENCODE_BYTES, PieceEncoder, rounds, splitter
 from stayline.llm.registry import register
 from stayline.session import ensure_checkpoint_dir
 
@@ -62,8 +62,8 @@ def _encoder(content: str):
             and not pre.get("add_prefix_space"):
         return PieceEncoder(splitter(tuple(a["content"] for a in added)), batch).encode
 
-    def whole(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        ids = batch([x or "" for x in texts])
+    def whole(texts: pa.Array | list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        ids = batch([x or "" for x in (texts if isinstance(texts, list) else texts.to_pylist())])
         return (np.cumsum([0, *map(len, ids)]),
                 np.fromiter(itertools.chain.from_iterable(ids), np.uint32, sum(map(len, ids))))
     return whole
@@ -89,9 +89,9 @@ def tokenize(df: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFr
     def run(batches):
         enc = _encoder(content.value)
         for b in batches:
-            texts = b.column("text").to_pylist()
-            for i, j in rounds(texts):
-                at, found = enc(texts[i:j])
+            texts = b.column("text")
+            for i, j in rounds(texts, ENCODE_BYTES):
+                at, found = enc(texts.slice(i, j - i))
                 ends = at + np.arange(len(at))  # room for one more id in each
                 ids = np.empty(ends[-1], kind)
                 is_end = np.zeros(ends[-1], bool)

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stayline.llm.common import documents
-from stayline.llm.pieces import PieceEncoder, id_lists, rounds, splitter
+from stayline.llm.pieces import ENCODE_BYTES, PieceEncoder, id_lists, rounds, splitter
 from stayline.llm.registry import register
 
 _NEVER = 1 << 62
@@ -173,9 +173,9 @@ def encode(df: DataFrame, tokenizer_path: str, text: str = "text", ids: str = "i
     def run(batches):
         enc = _encoder(content.value)
         for b in batches:
-            texts = b.column(text).to_pylist()
-            for i, j in rounds(texts):
-                lists = id_lists(*enc.encode(texts[i:j]))
+            texts = b.column(text)
+            for i, j in rounds(texts, ENCODE_BYTES):
+                lists = id_lists(*enc.encode(texts.slice(i, j - i)))
                 yield pa.RecordBatch.from_arrays([*b.slice(i, j - i).columns, lists], [*b.schema.names, ids])
     return df.mapInArrow(run, schema)
 
@@ -205,10 +205,10 @@ def encode_decode(df: DataFrame, tokenizer_path: str, text: str = "text") -> Dat
         m, enc = model(content.value), _encoder(content.value)
         for b in batches:
             keep = [k for k, n in enumerate(b.schema.names) if n != text]
-            texts = b.column(text).to_pylist()
-            for i, j in rounds(texts):
+            texts = b.column(text)
+            for i, j in rounds(texts, ENCODE_BYTES):
                 part = b.slice(i, j - i)
-                at, found = enc.encode(texts[i:j])
+                at, found = enc.encode(texts.slice(i, j - i))
                 back = [m.decode(found[s:e].tolist()) for s, e in itertools.pairwise(at)]
                 yield pa.RecordBatch.from_arrays(
                     [*[part.column(k) for k in keep], id_lists(at, found), pa.array(back, pa.string())],
