@@ -38,6 +38,8 @@ from stayline.session import ensure_checkpoint_dir
 END_ID = 2
 BLOCK_IDS = 1 << 16
 FILE_IDS = 8_000_000
+#: Pieces that the library encodes in one call.
+PHRASE = 64
 #: Ids that are decoded together.
 DECODE_IDS = 1 << 20
 
@@ -60,7 +62,7 @@ def _encoder(content: str):
     plain = not any(a["lstrip"] or a["rstrip"] or a["single_word"] or a["normalized"] for a in added)
     if plain and not spec.get("normalizer") and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) \
             and not pre.get("add_prefix_space"):
-        return PieceEncoder(splitter(tuple(a["content"] for a in added)), batch).encode
+        return PieceEncoder(splitter(tuple(a["content"] for a in added)), lambda p: _in_phrases(t, p)).encode
 
     def whole(texts: pa.Array | list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         ids = batch([x or "" for x in (texts if isinstance(texts, list) else texts.to_pylist())])
@@ -69,6 +71,35 @@ def _encoder(content: str):
     return whole
 
 
+def _in_phrases(tokenizer, pieces: list[str]) -> pa.Array:
+    """The ids of each piece.  Pieces that begin with a space and go on with
+    another symbol are given to the library in phrases, which it cuts into the
+    same pieces and numbers by their word ids."""
+    phrased = [i for i, p in enumerate(pieces) if p[0] == " " and len(p) > 1 and not p[1].isspace()]
+    groups = [phrased[k:k + PHRASE] for k in range(0, len(phrased), PHRASE)]
+    sizes = np.zeros(len(pieces), np.int64)
+    done, flat = [], []
+    for k in range(0, len(groups), PHRASE):  # the library's results are large
+        some = groups[k:k + PHRASE]
+        found = tokenizer.encode_batch(["".join([pieces[i] for i in g]) for g in some], add_special_tokens=False)
+        for g, e in zip(some, found, strict=True):
+            n = np.bincount(np.array(e.word_ids, np.int64), minlength=len(g))
+            if len(n) == len(g) and n.all():  # else one by one
+                sizes[g] = n
+                done += g
+                flat.append(np.array(e.ids, np.uint32))
+    known = np.zeros(len(pieces), bool)
+    known[done] = True
+    rest = np.flatnonzero(~known)
+    alone = [e.ids for e in tokenizer.encode_batch_fast([pieces[i] for i in rest], add_special_tokens=False)]
+    sizes[rest] = [len(x) for x in alone]
+    order = np.concatenate([np.array(done, np.int64), rest])
+    flat += [np.array(x, np.uint32) for x in alone]
+    at = np.concatenate([[0], np.cumsum(sizes[order])])
+    lists = pa.LargeListArray.from_arrays(pa.array(at), pa.array(np.concatenate(flat) if flat else np.zeros(0, np.uint32)))
+    return lists.take(pa.array(np.argsort(order)))
+
+
 def _binary(offsets: np.ndarray, data: np.ndarray) -> pa.Array:
     """Arrow binaries of ``data[offsets[i]:offsets[i + 1]]``."""
     at = (offsets * data.itemsize).astype(np.int32)
