@@ -27,7 +27,7 @@ CONTRACTIONS = r"'(?:[stmd]|re|ve|ll)"
 
 #: Characters of text that one round of work holds, bytes that one of encoding does, and encoded strings that a worker remembers.
 ROUND_CHARS = 8_000_000
-ENCODE_BYTES = 12_000_000
+ENCODE_BYTES = 8_000_000
 REMEMBERED = 1_500_000
 
 
@@ -135,15 +135,13 @@ class PieceEncoder:
     cut into pieces.  ``encode_new`` encodes a list of distinct pieces and is
     asked once for all new pieces of a round."""
 
-    def __init__(self, cut: Callable[[str], list[str]], encode_new: Callable[[list[str]], list], size: int = REMEMBERED):
+    def __init__(self, cut: Callable[[str], list[str]], encode_new: Callable[[list[str]], list | pa.Array], size: int = REMEMBERED):
         self.cut, self.encode_new = cut, encode_new
         self.parts, self.pieces = Memory(size), Memory(size)
 
     def _make_pieces(self, pieces: pa.Array) -> pa.Array:
         ids = self.encode_new(pieces.to_pylist())
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(size.sum()))
-        return pa.LargeListArray.from_arrays(pa.array(_offsets(size)), pa.array(flat))
+        return ids if isinstance(ids, pa.Array) else ids_array(ids)
 
     def _literal(self, texts: list[str]) -> pa.Array:
         """The ids of texts as they are."""
@@ -190,6 +188,12 @@ class PieceEncoder:
         return lists.offsets.to_numpy()[first], lists.values.to_numpy()
 
 
+def ids_array(ids: list[Sequence[int]]) -> pa.LargeListArray:
+    size = np.fromiter(map(len, ids), np.int64, len(ids))
+    flat = np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(size.sum()))
+    return pa.LargeListArray.from_arrays(pa.array(_offsets(size)), pa.array(flat))
+
+
 def _offsets(sizes: np.ndarray) -> np.ndarray:
     out = np.zeros(len(sizes) + 1, np.int64)
     np.cumsum(sizes, out=out[1:])
@@ -213,9 +217,11 @@ def rounds(texts: pa.Array | list[str | None], chars: int = ROUND_CHARS):
         if i > start and size + n > chars:
             yield start, i
             start, size = i, 0
+            pa.default_memory_pool().release_unused()  # workers share an executor's memory with its JVM
         size += n
     if len(texts) > start:
         yield start, len(texts)
+    pa.default_memory_pool().release_unused()
 
 
 def id_lists(offsets: np.ndarray, ids: np.ndarray) -> pa.ListArray:

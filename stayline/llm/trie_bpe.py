@@ -32,12 +32,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stayline.llm.common import documents
-from stayline.llm.pieces import ENCODE_BYTES, PieceEncoder, id_lists, rounds, splitter
+from stayline.llm.pieces import PieceEncoder, id_lists, rounds, splitter
 from stayline.llm.registry import register
 
 _NEVER = 1 << 62
 #: Remembered pair verdicts of a worker.
-PAIRS = 300_000
+PAIRS = 200_000
+#: Bytes of text of a round, and pieces that a worker remembers, next to the vocabulary.
+ROUND_BYTES = 4_000_000
+REMEMBERED = 500_000
 
 
 @functools.cache
@@ -149,7 +152,7 @@ def model(content: str) -> Bpe:
 @functools.cache
 def _encoder(content: str) -> PieceEncoder:
     m = model(content)
-    return PieceEncoder(splitter(tuple(m.specials)), m.encode_pieces)
+    return PieceEncoder(splitter(tuple(m.specials)), m.encode_pieces, REMEMBERED)
 
 
 def _file(spark, path: str):
@@ -174,7 +177,7 @@ def encode(df: DataFrame, tokenizer_path: str, text: str = "text", ids: str = "i
         enc = _encoder(content.value)
         for b in batches:
             texts = b.column(text)
-            for i, j in rounds(texts, ENCODE_BYTES):
+            for i, j in rounds(texts, ROUND_BYTES):
                 lists = id_lists(*enc.encode(texts.slice(i, j - i)))
                 yield pa.RecordBatch.from_arrays([*b.slice(i, j - i).columns, lists], [*b.schema.names, ids])
     return df.mapInArrow(run, schema)
@@ -206,7 +209,7 @@ def encode_decode(df: DataFrame, tokenizer_path: str, text: str = "text") -> Dat
         for b in batches:
             keep = [k for k, n in enumerate(b.schema.names) if n != text]
             texts = b.column(text)
-            for i, j in rounds(texts, ENCODE_BYTES):
+            for i, j in rounds(texts, ROUND_BYTES):
                 part = b.slice(i, j - i)
                 at, found = enc.encode(texts.slice(i, j - i))
                 back = [m.decode(found[s:e].tolist()) for s, e in itertools.pairwise(at)]
