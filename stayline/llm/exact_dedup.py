@@ -47,10 +47,10 @@ def directory(hashes: DataFrame, capacity: int = CAPACITY, max_depth: int = MAX_
     and the bucket's first cell.  ``hashes`` has one column ``h``."""
     cells = hashes.distinct().groupBy(_cell(F.col("h"), max_depth).alias("cell")).agg(F.count(F.lit(1)).alias("n"))
     levels = cells.select("cell", "n", F.explode(F.sequence(F.lit(0), F.lit(max_depth))).alias("depth"))
-    prefix = F.expr(f"shiftright(cell, {max_depth} - depth)")
-    summed = levels.withColumn("fits", F.sum("n").over(Window.partitionBy("depth", prefix)) <= capacity)
-    found = summed.groupBy("cell").agg(
-        F.coalesce(F.min(F.when(F.col("fits"), F.col("depth"))), F.lit(max_depth)).alias("depth"))
+    levels = levels.withColumn("prefix", F.expr(f"shiftright(cell, {max_depth} - depth)"))
+    fits = levels.groupBy("depth", "prefix").agg(F.sum("n").alias("entries")).filter(F.col("entries") <= capacity)
+    found = levels.join(fits, ["depth", "prefix"], "left").groupBy("cell").agg(
+        F.coalesce(F.min(F.when(F.col("entries").isNotNull(), F.col("depth"))), F.lit(max_depth)).alias("depth"))
     return found.withColumn("slot", F.expr(
         f"shiftleft(shiftright(cell, {max_depth} - depth), {max_depth} - depth)"))
 

@@ -83,12 +83,13 @@ def confusion(pred: DataFrame, label: str = "label", prediction: str = "predicti
 
 def exact_auroc(scored: DataFrame, score: str, label: str) -> DataFrame:
     """Exact AUROC = P(score_pos > score_neg) + ½ P(tie), from per-score
-    counts and a distributed running count of negatives (no single-task sort)."""
+    counts and a distributed running count of negatives (no single-task sort);
+    NULL if one class is missing."""
     g = scored.groupBy(score).agg(F.sum(F.col(label).cast("long")).alias("__p"),
                                   F.sum((1 - F.col(label)).cast("long")).alias("__n"))
     g = global_cumsum(g, [score], {"__neg_below": "__n"}, inclusive=False)
     contrib = F.col("__p") * (F.col("__neg_below") + 0.5 * F.col("__n"))
-    return g.agg((F.sum(contrib) / (F.sum("__p") * F.sum("__n"))).alias("auroc"),
+    return g.agg(F.try_divide(F.sum(contrib), F.sum("__p") * F.sum("__n")).alias("auroc"),
                  F.sum("__p").alias("n_pos"), F.sum("__n").alias("n_neg"))
 
 
