@@ -37,6 +37,8 @@ MOST = 3
 SHARD_SLOTS = 4096
 CHUNK_DOCS = 2048
 RUN = 4096
+#: Copies are summed in units of 2 to the minus this.
+SHARE_BITS = 20
 #: Known primes above any number of blocks: fixed values.
 PRIMES = (2305843009213693951, 1000000000000000003, 1000000000000000009, 999999999999999989)
 
@@ -123,8 +125,8 @@ def document_blocks(placed: DataFrame) -> DataFrame:
     return d.withColumn("words", words)
 
 
-def mix(docs: DataFrame) -> DataFrame:
-    """doc_id, size, source_size, target, taken (words the mix takes, with repeats) for every row."""
+def mixed(docs: DataFrame) -> DataFrame:
+    """doc_id, source_no, size, source_size, target, taken (words the mix takes, with repeats) for every row."""
     sized = materialize(docs.select("doc_id", "source", F.size(words_of(text_of())).cast("long").alias("size")), "sizes")
     sources = materialize(with_targets(sized), "sources")
     placed = packed(sized, sources)
@@ -133,16 +135,50 @@ def mix(docs: DataFrame) -> DataFrame:
     # Merged, as the optimizer takes the few rows that expand to all slots for a small table.
     got = (document_blocks(placed).join(uses.hint("merge"), ["source_no", "block"], "left")
            .groupBy(*key).agg(F.coalesce(F.sum(F.col("words") * F.col("uses")), F.lit(0)).alias("taken")))
-    out = ["doc_id", "size", "source_size", "target", "taken"]
+    out = ["doc_id", "source_no", "size", "source_size", "target", "taken"]
     none = placed.filter("size = 0").withColumn("taken", F.lit(0).cast("long"))
     return got.select(*out).unionByName(none.select(*out))
 
 
+def mix(docs: DataFrame) -> DataFrame:
+    """doc_id, size, source_size, target, taken (words the mix takes, with repeats) for every row."""
+    return mixed(docs).drop("source_no")
+
+
+def with_copies(taken: DataFrame) -> DataFrame:
+    """doc_id and copies for the rows (doc_id, source_no, size, taken) of ``taken``, one per id and with words.
+
+    Copies are ``taken / size`` rounded down or up.  The remainders run on
+    along each source's documents in the order of length, so that the copies
+    of a source, and of its documents of any length, add up to what the mix
+    takes of them, to about one document."""
+    one = 1 << SHARE_BITS
+    d = taken.withColumn("share", F.round(F.col("taken") * F.lit(one) / F.col("size")).cast("long"))
+    # Classes of about a fifth in length; the places inside come from per-chunk sums.
+    d = d.withColumn("length", F.floor(4 * F.log2("size")).cast("long"))
+    n = d.groupBy("source_no", "length").agg(F.count(F.lit(1)).alias("docs"))
+    d = d.join(n, ["source_no", "length"]).withColumn("chunk", F.pmod(
+        F.xxhash64("doc_id", F.lit(9)), F.ceil(F.col("docs") / CHUNK_DOCS).cast("long")))
+    sums = d.groupBy("source_no", "length", "chunk").agg(F.sum("share").alias("n"))
+    before = Window.partitionBy("source_no").orderBy("length", "chunk").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.pmod(F.xxhash64("source_no", F.lit(11)), F.lit(one))
+    sums = sums.select("source_no", "length", "chunk",
+                       (first + F.coalesce(F.sum("n").over(before), F.lit(0))).alias("chunk_start"))
+    inside = (Window.partitionBy("source_no", "length", "chunk").orderBy(F.xxhash64("doc_id", F.lit(10)), "doc_id")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    start = F.col("chunk_start") + F.coalesce(F.sum("share").over(inside), F.lit(0))
+    d = d.join(sums, ["source_no", "length", "chunk"]).withColumn("start", start)
+    copies = F.shiftright(F.col("start") + F.col("share"), SHARE_BITS) - F.shiftright("start", SHARE_BITS)
+    return d.select("doc_id", copies.cast("int").alias("copies"))
+
+
 def mix_documents(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` as often as the mix takes their words, to the
-    nearest whole number of copies (0 to ``MOST``), columns unchanged."""
-    m = mix(docs).groupBy(F.col("doc_id").alias("__mix_id")).agg(
-        F.round(F.try_divide(F.sum("taken"), F.sum("size"))).cast("int").alias("__copies")).filter("__copies > 0")
+    """The rows of ``docs`` as often as the mix takes their words, in whole
+    copies (0 to ``MOST``) whose words meet those taken, columns unchanged."""
+    taken = mixed(docs).groupBy("doc_id").agg(F.min("source_no").alias("source_no"), F.sum("size").alias("size"),
+                                              F.sum("taken").alias("taken")).filter("size > 0")
+    m = with_copies(materialize(taken, "taken")).select(
+        F.col("doc_id").alias("__mix_id"), F.col("copies").alias("__copies")).filter("__copies > 0")
     d = docs.join(m, docs["doc_id"].eqNullSafe(m["__mix_id"]))
     d = d.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
     return d.select(*[docs[c] for c in docs.columns])

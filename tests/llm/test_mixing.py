@@ -81,6 +81,31 @@ def test_documents_are_repeated_as_taken(odd):
         assert n.get(d, 0) == copies * times.get(d, 1), d
 
 
+def test_copies_meet_the_targets_at_every_length(spark):
+    """A source with a third of all words and weight 1 of 39 is taken at about 0.08: its long documents too."""
+    def length(i):
+        return 20 + i * 7919 % 1900  # from a part of a block to 30 blocks
+    rows = [(i, "w " * length(i), "a") for i in range(600)]
+    rows += [(1000 + 60 * s + i, "w " * length(i), f"b{s:02d}") for s in range(19) for i in range(60)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    info = {r.doc_id: r for r in mixing.mix(d).collect()}
+    words, source = {}, {i: s for i, _, s in rows}
+    copies = {}
+    for r in mixing.mix_documents(d).collect():
+        copies[r.doc_id] = copies.get(r.doc_id, 0) + 1
+        words[r.source] = words.get(r.source, 0) + info[r.doc_id]["size"]
+    assert max(copies.values()) <= mixing.MOST
+    target = {source[i]: r.target for i, r in info.items()}
+    size = {source[i]: r.source_size for i, r in info.items()}
+    assert target["a"] < 0.25 * size["a"]
+    for s in target:  # to about two of the longest documents
+        assert abs(words.get(s, 0) - target[s]) < 4000, s
+    for low, high in ((20, 500), (500, 1000), (1000, 1500), (1500, 2000)):
+        ids = [i for i, r in info.items() if source[i] == "a" and low <= r["size"] < high]
+        taken, got = sum(info[i].taken for i in ids), sum(copies.get(i, 0) * info[i]["size"] for i in ids)
+        assert abs(got - taken) < 2 * high, (low, got, taken)
+
+
 def test_shards_are_full(sample):
     sized = sample.select("doc_id", "source", F.size(F.split("text", r"\s+")).cast("long").alias("size"))
     s = mixing.slots(mixing.with_targets(sized))
