@@ -159,10 +159,12 @@ def fold_letter_digits(text: str) -> list[Edit]:
 
 _VALUES = {w: str(i) for words in SPELLED for i, w in enumerate(words)}
 _WORD = "(?:" + "|".join(sorted(_VALUES, key=lambda w: (-len(w), w))) + r")(?![^\W_])"
-_GAP = rf"(?:[ ,-]{{1,3}}|[ ]+{DOT_WORDS}[ ]+)"
-_RUN = re.compile(rf"{_WORD}(?:{_GAP}(?:{_WORD}|[0-9]+))+")
-_RUN_PART = re.compile(rf"(?P<word>{_WORD})|(?P<digits>[0-9]+)|(?P<dot>{DOT_WORDS})")
-_PLUS = re.compile(r"(?<![^\W_])plus[ ]+$")
+_GAP = rf"(?:[ ,-]{{1,3}}|[ ]+{DOT_WORDS}[ ]+|[ -]?[()][ -]?|\.)"
+_RUN = re.compile(rf"(?:(?<![^\W_]){_WORD}|(?<![0-9])[0-9]++)(?:{_GAP}(?:{_WORD}|[0-9]++))+")
+_RUN_PART = re.compile(rf"(?P<word>{_WORD})|(?P<digits>[0-9]+)|(?P<dot>{DOT_WORDS})|(?P<point>\.)|(?P<mark>[,()])")
+_PLUS = re.compile(r"(?:(?<![^\W_])plus[ ]+|\+)$")
+#: Stands beside a rewritten number, so that it does not run on into its neighbours.
+_GUARD = "\0"
 
 
 def _lower(text: str) -> str:
@@ -170,20 +172,106 @@ def _lower(text: str) -> str:
     return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
 
 
+class _Run:
+    """The digit groups of a run: value, place, whether spelled, and the gap before each."""
+
+    def __init__(self, text: str, start: int):
+        self.value, self.span, self.word, self.gap, gap = [], [], [], [], ""
+        for p in _RUN_PART.finditer(text):
+            if p.lastgroup in ("word", "digits"):
+                self.value.append(_VALUES.get(p.group(), p.group()))
+                self.span.append((start + p.start(), start + p.end()))
+                self.word.append(p.lastgroup == "word")
+                self.gap.append(gap)
+                gap = ""
+            else:
+                gap = p.lastgroup if p.lastgroup != "mark" else p.group()
+
+    def odd(self, i: int, j: int) -> bool:
+        """Whether anything from group ``i`` to before ``j`` is disguised."""
+        return any(self.word[i:j]) or "dot" in self.gap[i + 1:j]
+
+    def phone(self, i: int) -> int:
+        n, best = 0, 0
+        for j in range(i, len(self.value)):
+            n += len(self.value[j])
+            if n > 15:
+                break
+            best = j + 1 if n >= 9 else best
+        return best
+
+    def ip(self, i: int) -> int:
+        j = i
+        for part in range(4):
+            number, spelled = "", j < len(self.value) and self.word[j]
+            while j < len(self.value) and (not number or self.gap[j] in ("", ",")):
+                # The last part ends with its digits; a spelled one goes on as far as it fits.
+                if number and part == 3 and (not spelled or int(number + self.value[j][-12:]) > 255):
+                    break
+                number += self.value[j]
+                if len(number) > 12 or int(number) > 255:
+                    return 0
+                j += 1
+            if not number or part < 3 and (j >= len(self.value) or self.gap[j] not in ("dot", "point")):
+                return 0
+        return j
+
+    def card(self, i: int) -> int:
+        """As far as a card goes that begins and ends where a number may."""
+        if not self.edge(i):
+            return 0
+        digits, best = "", 0
+        for j in range(i, len(self.value)):
+            if j > i and self.gap[j] not in ("", ","):
+                break
+            digits += self.value[j]
+            if len(digits) > 19:
+                break
+            if len(digits) >= 13 and self.edge(j + 1) and luhn(digits):
+                best = j + 1
+                if not self.odd(i, best):
+                    break
+        return best
+
+    def edge(self, i: int) -> bool:
+        return i in (0, len(self.value)) or self.gap[i] != "" or self.word[i] != self.word[i - 1]
+
+    def text(self, i: int, j: int, phone: bool = False) -> str:
+        return "".join(("." * (k > i and not phone and self.gap[k] in ("dot", "point"))) + self.value[k] for k in range(i, j))
+
+
 def fold_spelled(text: str) -> list[Edit]:
     low, out = _lower(text), []
     for m in _RUN.finditer(low):
-        if m.start() and (low[m.start() - 1].isalnum() or low[m.start() - 1] == "_"):
-            continue
-        parts = list(_RUN_PART.finditer(m.group()))
-        if sum(p.lastgroup == "word" for p in parts) < LEAST_SPELLED:
+        r = _Run(m.group(), m.start())
+        n = len(r.value)
+        if not r.odd(0, n):
             continue
-        to = "".join(_VALUES[p.group()] if p.lastgroup == "word" else "." if p.lastgroup == "dot" else p.group()
-                     for p in parts)
         plus = _PLUS.search(low, max(0, m.start() - 12), m.start())
-        start = plus.start() if plus else m.start()
-        if not out or start >= out[-1][1]:
-            out.append((start, m.end(), "+" * bool(plus) + to))
+        i = done = 0
+
+        def rest(a: int, b: int) -> None:
+            """A stretch that no pattern holds over may still be part of one; from its first spelled digit on."""
+            while a < b and not r.word[a]:
+                a += 1
+            if sum(r.word[a:b]) >= LEAST_SPELLED:
+                spoken = plus if a == 0 and plus and plus.group() != "+" else None
+                start = spoken.start() if spoken else r.span[a][0]
+                out.append((start, r.span[b - 1][1], "+" * bool(spoken) + r.text(a, b)))
+        while i < n:
+            phone = r.phone(0) if i == 0 and plus else 0
+            j = phone or r.ip(i) or r.card(i)
+            if not j:
+                i += 1
+                continue
+            said = bool(phone and plus.group() != "+")
+            if said or r.odd(i, j):
+                rest(done, i)
+                start = plus.start() if phone else r.span[i][0]
+                out.append((start, r.span[j - 1][1], _GUARD + "+" * bool(phone) + r.text(i, j, bool(phone)) + _GUARD))
+                done = j
+            i = j
+        rest(done, n)
     return out
 
 

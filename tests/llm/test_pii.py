@@ -51,6 +51,29 @@ def test_disguises_map_back_to_the_source(text, kind, value):
     assert (kind, value) in [(k, text[s:e]) for k, s, e in added]
 
 
+@pytest.mark.parametrize("text,kind,value", [
+    ("at 192 dot 168 dot 0 dot 1 now", "ip", "192 dot 168 dot 0 dot 1"),
+    ("192 dot 168 dot zero dot one", "ip", "192 dot 168 dot zero dot one"),
+    ("192.168 dot 0 dot 1", "ip", "192.168 dot 0 dot 1"),
+    ("call +1 555 five 55 five 1234 ok", "phone", "+1 555 five 55 five 1234"),
+    ("call +1 (555) five 55 five 1234 ok", "phone", "+1 (555) five 55 five 1234"),
+    ("done one nine two dot one six eight dot zero dot one", "ip", "one nine two dot one six eight dot zero dot one"),
+    ("phone plus one five five five one two three four five six seven", "phone",
+     "plus one five five five one two three four five six seven"),
+    ("4041 8949 7460 eight seven nine five", "card", "4041 8949 7460 eight seven nine five"),
+    ("call one two three 192 dot 168 dot 0 dot 1", "ip", "192 dot 168 dot 0 dot 1"),
+    ("+1 (five five five) one two three four five six seven", "phone", "+1 (five five five) one two three four five six seven"),
+])
+def test_numbers_with_few_spelled_digits(text, kind, value):
+    _, added = pii.find(text)
+    assert (kind, value) in [(k, text[s:e]) for k, s, e in added]
+
+
+@pytest.mark.parametrize("text", ["at 192.168.0.1 one can see", "4041 8949 7460 8795 two left", "one dot two, 3 dot 4"])
+def test_words_beside_plain_numbers_add_nothing(text):
+    assert pii.find(text)[1] == []
+
+
 @pytest.mark.parametrize("text", [
     "", "see you at noon. dot dot", "he is at example.com now", "look at the dot com boom", "un deux trois soleil",
     "one two three, then four", "Ich war um acht da", "km² and 5l of water", "a point at the dot", "array[at] (dot)"])
