@@ -150,11 +150,28 @@ def fold_glyphs(text: str) -> list[Edit]:
     return [(m.start(), m.end(), table[m.group()]) for m in pattern.finditer(text)]
 
 
-_LETTER_DIGIT = re.compile(r"(?<=[0-9])[OoIl](?=[. -]?[0-9])|(?<=[0-9][. -])[OoIl](?=[0-9])")
+_LETTER_DIGIT = re.compile(r"(?<=[0-9])[OoIl]+(?=[. -]?[0-9])|(?<=[0-9][. -])[OoIl]+(?=[0-9])")
+# Groups of digits and such letters that are whole words, and their separators.
+_DIGIT_GROUP = r"(?<![^\W_])[0-9OoIl]++(?![^\W_])"
+_DIGIT_GROUPS = re.compile(rf"\+?{_DIGIT_GROUP}(?:[ .()-]{{1,3}}{_DIGIT_GROUP})*+")
+_GROUP = re.compile(r"[0-9OoIl]+")
+_AS_DIGITS = str.maketrans("OoIl", "0011")
 
 
 def fold_letter_digits(text: str) -> list[Edit]:
-    return [(m.start(), m.end(), "0" if m.group() in "Oo" else "1") for m in _LETTER_DIGIT.finditer(text)]
+    """Letters among digits, and those at either end of a group that has digits;
+    a group of letters alone, which may be a word, only where a pattern needs it."""
+    out = {i for m in _LETTER_DIGIT.finditer(text) for i in range(*m.span())}
+    for m in _DIGIT_GROUPS.finditer(text):
+        s = m.group()
+        if not _DIGIT.search(s) or not any(c in s for c in "OoIl"):
+            continue
+        some = _GROUP.sub(lambda g: g.group().translate(_AS_DIGITS) if _DIGIT.search(g.group()) else g.group(), s)
+        to = some if plain(some) else s.translate(_AS_DIGITS)
+        if to != some and not plain(to):
+            to = some
+        out |= {m.start() + k for k in range(len(s)) if s[k] != to[k]}
+    return [(i, i + 1, text[i].translate(_AS_DIGITS)) for i in sorted(out)]
 
 
 _VALUES = {w: str(i) for words in SPELLED for i, w in enumerate(words)}

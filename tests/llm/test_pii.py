@@ -69,6 +69,17 @@ def test_numbers_with_few_spelled_digits(text, kind, value):
     assert (kind, value) in [(k, text[s:e]) for k, s, e in added]
 
 
+@pytest.mark.parametrize("text,kind,value", [
+    ("call +1 8OO 555 1234 ok", "phone", "+1 8OO 555 1234"), ("+1 800 OOO 1234 ok", "phone", "+1 800 OOO 1234"),
+    ("pay 4111 1111 1111 11ll.", "card", "4111 1111 1111 11ll"), ("host 2OO.10.0.1", "ip", "2OO.10.0.1"),
+    ("host 2OO.lO.0.1", "ip", "2OO.lO.0.1"), ("l92.168.0.1", "ip", "l92.168.0.1"), ("192.168.0.l", "ip", "192.168.0.l"),
+    ("I 4O41 8949 746O 8795", "card", "4O41 8949 746O 8795"), ("4041 8949 8795 746O", "card", "4041 8949 8795 746O"),
+])
+def test_letters_for_digits_in_any_place(text, kind, value):
+    _, added = pii.find(text)
+    assert (kind, value) in [(k, text[s:e]) for k, s, e in added]
+
+
 @pytest.mark.parametrize("text", ["at 192.168.0.1 one can see", "4041 8949 7460 8795 two left", "one dot two, 3 dot 4"])
 def test_words_beside_plain_numbers_add_nothing(text):
     assert pii.find(text)[1] == []
