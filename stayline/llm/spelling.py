@@ -89,12 +89,22 @@ def word_counts(docs: DataFrame, least: int = LEAST_COUNT, delete_one_in: int =
     return parts.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
 
 
+def _grams(word: str) -> list[str]:
+    return list(map("".join, zip(word, word[1:])))
+
+
 def gram_counts(words: DataFrame) -> dict[str, int]:
     """Number of words with each bigram.  Words have 90 letters (a-z and the
     64 from U+00C0), so there are at most 8,100 rows."""
-    letters = F.split("word", "")
-    grams = F.array_distinct(F.transform(letters, lambda c, i: F.concat(c, F.get(letters, i + 1))))
-    return {r[0]: r[1] for r in words.select(F.explode(grams).alias("g")).filter("g IS NOT NULL").groupBy("g").count().collect()}
+    def run(batches):
+        counts: Counter = Counter()
+        for b in batches:
+            for w in b.column(0).to_pylist():
+                counts.update(set(_grams(w)))
+        yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())],
+                                         ["gram", "n"])
+    parts = words.select("word").mapInArrow(run, "gram string, n long")
+    return {r[0]: r[1] for r in parts.groupBy("gram").agg(F.sum("n")).collect()}
 
 
 def gram_prefix(word: str, count: dict[str, int]) -> tuple[list[int], list[int]]:
@@ -102,7 +112,7 @@ def gram_prefix(word: str, count: dict[str, int]) -> tuple[list[int], list[int]]
     from them and once as the word is indexed by them: with the place next to
     the last one, if it holds the same bigram (as in "aaa"), to which one edit
     may shift it."""
-    grams = list(map("".join, zip(word, word[1:])))
+    grams = _grams(word)
     first = heapq.nsmallest(GRAM_PREFIX, range(len(grams)), key=lambda i: (count[grams[i]], grams[i], i))
     shifted = first[-1] + 1
     more = [shifted] if shifted < len(grams) and grams[shifted] == grams[first[-1]] else []
