@@ -2,7 +2,7 @@
 
 Method: an exact count by document keeps the terms of each language that
 ``least`` of its documents hold.  The kept terms are dealt by hash to shards of
-about ``SHARD_KEYS``; a task builds each shard's minimal perfect hash: levels
+at most about ``SHARD_KEYS``; a task builds each shard's minimal perfect hash: levels
 of bit arrays, in which a key owns the bit that no other remaining key
 hashes to, its slot being the number of bits before its own.  Shards are
 broadcast with their stored terms, at most about ``ROUND_BYTES`` at a time (so
@@ -41,8 +41,8 @@ TOP_TERMS = 200
 SHARD_KEYS = 16_384
 #: Bytes of shards that are broadcast at once, distinct terms that a task holds, and bytes of its dense counts.
 ROUND_BYTES = 64_000_000
-HELD_TERMS = 300_000
-DENSE_BYTES = 96_000_000
+HELD_TERMS = 500_000
+DENSE_BYTES = 160_000_000
 LEVELS = 32
 _U = np.uint64
 
@@ -65,7 +65,8 @@ def _mixed(h: np.ndarray, level: int) -> np.ndarray:
 
 
 def hashes(keys: list[bytes]) -> np.ndarray:
-    return np.array([xxhash.xxh64_intdigest(k) for k in keys], dtype=_U)
+    """``xxhash64`` of Spark (its seed is 42), which also deals terms to shards."""
+    return np.array([xxhash.xxh64_intdigest(k, 42) for k in keys], dtype=_U)
 
 
 class PerfectHash:
@@ -157,14 +158,15 @@ def kept_terms(docs: DataFrame, least: int = LEAST_DOCS) -> DataFrame:
 
 
 def perfect_hashes(kept: DataFrame, shard_keys: int = SHARD_KEYS) -> DataFrame:
-    """(lang, shard, shards, keys, words): one row for each shard."""
-    per_lang = kept.groupBy("lang").agg(F.ceil(F.count(F.lit(1)) / shard_keys).cast("int").alias("shards"))
-    dealt = kept.join(per_lang, "lang").select(
-        "lang", "term", "shards", F.pmod(F.xxhash64("term"), F.col("shards")).cast("int").alias("shard"))
+    """(lang, shard, shards, keys, words): one row for each shard of a language.
+    All languages have the same number of shards, which the size of the table
+    ``kept`` (read twice) gives."""
+    shards = max(1, -(-kept.count() // shard_keys))
+    dealt = kept.select("lang", "term", F.pmod(F.xxhash64("term"), F.lit(shards)).cast("int").alias("shard"))
 
     def build(t: pa.Table) -> pa.Table:
         ph = PerfectHash.build(t.column("term").to_pylist())
-        return pa.Table.from_pylist([_stored(*(t.column(c)[0].as_py() for c in ("lang", "shard", "shards")), ph)], schema)
+        return pa.Table.from_pylist([_stored(t.column("lang")[0].as_py(), t.column("shard")[0].as_py(), shards, ph)], schema)
     schema = pa.schema([("lang", pa.string()), ("shard", pa.int32()), ("shards", pa.int32()),
                         ("keys", pa.list_(pa.binary())), ("words", pa.list_(pa.binary()))])
     return dealt.groupBy("lang", "shard").applyInArrow(
@@ -173,11 +175,6 @@ def perfect_hashes(kept: DataFrame, shard_keys: int = SHARD_KEYS) -> DataFrame:
 
 
 
-def _spark_hashes(keys: list[bytes]) -> np.ndarray:
-    """``xxhash64`` of Spark, which deals terms to shards (its seed is 42)."""
-    return np.array([xxhash.xxh64_intdigest(k, 42) for k in keys], dtype=_U).view(np.int64)
-
-
 def recount(docs: DataFrame, shards: DataFrame, round_bytes: int = ROUND_BYTES) -> DataFrame:
     """(lang, shard, slot, source, n) of the terms of ``shards`` in (lang, source, text) rows."""
     size = F.aggregate("keys", F.lit(0).cast("long"), lambda a, k: a + 8 + F.octet_length(k))
@@ -190,7 +187,8 @@ def recount(docs: DataFrame, shards: DataFrame, round_bytes: int = ROUND_BYTES)
         d = docs.select("lang", "source", "text").mapInArrow(
             _counter(held), "lang string, shard int, slot int, source string, n long")
         out = d if out is None else out.unionByName(d)
-    return (out.repartition("lang", "shard").groupBy("lang", "shard", "slot", "source").agg(F.sum("n").alias("n")))
+    slot = ["lang", "shard", "slot", "source"]
+    return out.repartition(*slot).groupBy(*slot).agg(F.sum("n").alias("n"))  # tasks have summed their rows already
 
 
 def _counter(held):
@@ -205,8 +203,8 @@ def _counter(held):
                 terms = list(c)
                 if not terms:
                     continue
-                deal, h, n = _spark_hashes(terms), hashes(terms), np.fromiter(c.values(), np.int64, len(c))
-                keys, shard = pa.array(terms, pa.binary()), deal % shards[lang]
+                h, n = hashes(terms), np.fromiter(c.values(), np.int64, len(c))
+                keys, shard = pa.array(terms, pa.binary()), h.view(np.int64) % shards[lang]
                 order = np.argsort(shard, kind="stable")
                 ends = np.flatnonzero(np.diff(shard[order], append=-1)) + 1
                 for part in np.split(order, ends[:-1]):
@@ -219,13 +217,17 @@ def _counter(held):
             counts.clear()
 
         def out():
-            for (lang, source, s), at in dense.items():
+            rows = []
+            while dense:
+                (lang, source, s), at = dense.popitem()
                 slot = np.flatnonzero(at)
                 k = len(slot)
-                yield pa.RecordBatch.from_arrays(
+                rows.append(pa.RecordBatch.from_arrays(
                     [pa.repeat(lang, k), pa.repeat(pa.scalar(s, pa.int32()), k), pa.array(slot, pa.int32()),
-                     pa.repeat(source, k), pa.array(at[slot])], ["lang", "shard", "slot", "source", "n"])
-            dense.clear()
+                     pa.repeat(source, k), pa.array(at[slot])], ["lang", "shard", "slot", "source", "n"]))
+                if sum(r.num_rows for r in rows) >= 50_000 or not dense:
+                    yield from pa.Table.from_batches(rows).combine_chunks().to_batches()
+                    rows = []
         for b in batches:
             for lang, source, text in zip(b.column("lang").to_pylist(), b.column("source").to_pylist(), b.column("text")):
                 if lang in shards:
@@ -281,7 +283,8 @@ def audit(docs: DataFrame, least: int = LEAST_DOCS, top: int = TOP_TERMS, shard_
           round_bytes: int = ROUND_BYTES) -> DataFrame:
     """lang, source, part, item, value, rank for every (lang, source) group of ``docs``."""
     d = docs.select(*[F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source", "text")])
-    shards = materialize(perfect_hashes(kept_terms(d, least), shard_keys), "perfect-hashes")
+    kept = materialize(kept_terms(d, least), "kept-terms")
+    shards = materialize(perfect_hashes(kept, shard_keys), "perfect-hashes")
     counts = materialize(recount(d, shards, round_bytes), "recount")
     totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     groups = (d.select("lang", "source").distinct().join(totals, ["lang", "source"], "left")
