@@ -14,8 +14,6 @@ from pyspark.ml.classification import (GBTClassifier, LogisticRegression, Multil
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import LinearRegression
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -138,20 +136,6 @@ def feature_importance(model, features: list[str]) -> list[tuple[str, float]]:
     return sorted(zip(features, [float(v) for v in vals]), key=lambda t: -abs(t[1]))
 
 
-def lasso_cv(train: DataFrame, features: list[str], label: str = "label", folds: int = 5, seed: int = 0,
-             fold_col: str | None = None):
-    """L1 linear regression with the penalty chosen by k-fold CV."""
-    stages = feature_pipeline(features)
-    lr = LinearRegression(labelCol=label, elasticNetParam=1.0)
-    grid = ParamGridBuilder().addGrid(lr.regParam, [0.001, 0.01, 0.1]).build()
-    from pyspark.ml.evaluation import RegressionEvaluator
-    cv = CrossValidator(estimator=Pipeline(stages=stages + [lr]), estimatorParamMaps=grid,
-                        evaluator=RegressionEvaluator(labelCol=label), numFolds=folds, seed=seed)
-    if fold_col:
-        cv.setFoldCol(fold_col)
-    return cv.fit(train)
-
-
 def random_search(train: DataFrame, dev: DataFrame, features: list[str], kind: str, space: dict,
                   n_iter: int = 4, label: str = "label", seed: int = 0):
     """Sample parameter maps, keep the best dev AUROC, refit on train + dev."""

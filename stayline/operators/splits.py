@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayline.functions.hashing import bucket, uniform
+from stayline.functions.hashing import uniform
 from stayline.operators.ordered import global_cumsum, global_row_number
 
 
@@ -56,8 +56,12 @@ def subject_split(df: DataFrame, key: str, fractions=(("train", 0.7), ("dev", 0.
 
 
 def kfold(df: DataFrame, key: str, k: int = 5, seed: int = 0, name: str = "fold") -> DataFrame:
-    """Subject-grouped folds — every row of a subject gets the same fold."""
-    return df.withColumn(name, bucket(k, seed, key))
+    """Subject-grouped folds: subjects in the order of their hash are dealt
+    round to the folds, so that fold sizes differ by one subject at most; every
+    row of a subject gets the same fold."""
+    r = _ranked(df.select(key).distinct(), key, seed)
+    r = r.select(F.col(key).alias("__key"), F.pmod(F.col("__r") - 1, F.lit(k)).cast("int").alias(name))
+    return df.join(r, df[key].eqNullSafe(r["__key"])).drop("__key")
 
 
 def holdout_within(df: DataFrame, key: str, split_col: str, part: str, frac: float, seed: int = 1,

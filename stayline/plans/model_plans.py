@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stayline.functions.hashing import uniform_sql
+from stayline.operators import gram as G
 from stayline.operators import models as MD
 from stayline.operators import notes as N
 from stayline.operators.impute import simple_impute
@@ -17,6 +18,7 @@ from stayline.operators.splits import kfold, subject_split
 from stayline.operators.windows import flatten_sample, one_hot_label, sample_windows, transition_labels
 from stayline.plans import events_plans as EP
 from stayline.plans.registry import register, round_half_away, rounded
+from stayline.session import cut_lineage
 from stayline.sources.tables import table
 
 # The language categories for the one-hot features.
@@ -62,9 +64,14 @@ def q_doc_split(spark, sf):
     return split_docs(spark, sf).select("doc_id", "label", "split")
 
 
+#: Folds of the documents of ``d``: dealt round in the order of their hash.
+_FOLDS = f"""k AS (SELECT doc_id, CAST((row_number() OVER (ORDER BY {uniform_sql(3, 'doc_id')}, doc_id) - 1) % 5 AS INTEGER) AS fold
+       FROM (SELECT DISTINCT doc_id FROM d))"""
+
+
 @register("doc_folds", f"""
-WITH d AS ({_LABELLED})
-SELECT doc_id, label, CAST(floor({uniform_sql(3, 'doc_id')} * 5) AS INTEGER) AS fold FROM d""")
+WITH d AS ({_LABELLED}), {_FOLDS}
+SELECT doc_id, label, fold FROM d JOIN k USING (doc_id)""")
 def q_doc_folds(spark, sf):
     """Grouped 5-fold assignment."""
     return kfold(doc_features(spark, sf).select("doc_id", "label"), "doc_id", 5, seed=3)
@@ -191,20 +198,82 @@ def q_transition_samples(spark, sf):
                     flatten_sample(["n_events"], ["click_mean_win", "purchase_on_win"]).alias("features"))
 
 
+# The features of the moment queries, two of them with NULLs.
+MOMENT_FEATURES = ["kchars", "en_kchars", "foreign"]
+_MOMENT_ROWS = f"""
+WITH d AS (SELECT doc_id, CAST(quality AS DOUBLE) AS y, n_chars / 1000.0 AS kchars,
+                  CASE WHEN lang = 'en' THEN n_chars / 1000.0 END AS en_kchars,
+                  CASE WHEN lang <> 'en' THEN CAST(lang = 'de' AS DOUBLE) END AS "foreign"
+           FROM documents JOIN labels USING (doc_id)), {_FOLDS},
+r AS (SELECT d.*, CAST(k.fold AS BIGINT) AS fold FROM d JOIN k USING (doc_id))"""
+
+
+def _moment_rows(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id", "lang", (F.col("n_chars") / 1000.0).alias("kchars"))
+    lab = table(spark, sf, "labels").select("doc_id", F.col("quality").cast("double").alias("y"))
+    d = d.join(lab, "doc_id").withColumns({
+        "en_kchars": F.when(F.col("lang") == "en", F.col("kchars")),
+        "foreign": F.when(F.col("lang") != "en", (F.col("lang") == "de").cast("double"))})
+    return kfold(d, "doc_id", 5, seed=3)
+
+
+@register("fold_moments", _MOMENT_ROWS + """,
+v AS (SELECT fold, [1.0, y, coalesce(kchars, 0), coalesce(en_kchars, 0), coalesce("foreign", 0),
+                    CAST(kchars IS NOT NULL AS DOUBLE), CAST(en_kchars IS NOT NULL AS DOUBLE),
+                    CAST("foreign" IS NOT NULL AS DOUBLE)]::DOUBLE[] AS v FROM r)
+SELECT fold, CAST(a.i AS INTEGER) AS i, CAST(b.i AS INTEGER) AS j, round(sum(v[a.i + 1] * v[b.i + 1]), 6) AS value
+FROM v, range(8) a(i), range(8) b(i) GROUP BY fold, a.i, b.i""")
+def q_fold_moments(spark, sf):
+    """Sums of products of (1, label, features, observed) by fold, in one pass."""
+    return rounded(G.fold_moments(_moment_rows(spark, sf), MOMENT_FEATURES, "y", "fold"))
+
+
+@register("fold_statistics", _MOMENT_ROWS + """,
+u AS (SELECT fold, 'kchars' AS feature, kchars AS x FROM r UNION ALL SELECT fold, 'en_kchars', en_kchars FROM r
+      UNION ALL SELECT fold, 'foreign', "foreign" FROM r),
+f AS (SELECT DISTINCT fold FROM r),
+m AS (SELECT f.fold, u.feature, count(*) AS n, avg(u.x) AS mean FROM f JOIN u ON u.fold <> f.fold GROUP BY f.fold, u.feature)
+SELECT m.fold, m.feature, m.n AS n_train, round(m.mean, 6) AS mean,
+       round(sqrt(sum(coalesce((u.x - m.mean) * (u.x - m.mean), 0)) / (m.n - 1)), 6) AS std
+FROM m JOIN u ON u.fold <> m.fold AND u.feature = m.feature GROUP BY m.fold, m.feature, m.n, m.mean""")
+def q_fold_statistics(spark, sf):
+    """For each fold the training means and, after mean
+    imputation, sample deviations of all other folds, by subtraction of moments."""
+    m = G.collect_moments(G.fold_moments(_moment_rows(spark, sf), MOMENT_FEATURES, "y", "fold"), len(MOMENT_FEATURES))
+    total, rows = sum(m.values()), []
+    for fold, own in m.items():
+        st = G.Standardised.of(total - own)
+        rows += [(fold, c, int(st.n), float(st.mean[i]), float(st.std[i])) for i, c in enumerate(MOMENT_FEATURES)]
+    return rounded(spark.createDataFrame(rows, "fold long, feature string, n_train long, mean double, std double"))
+
+
+def _lasso(spark, sf) -> G.LassoPath:
+    # Splits and folds need the ids alone; the features are derived once, where their moments are summed.
+    docs = table(spark, sf, "documents").select("doc_id")
+    ids = docs.join(table(spark, sf, "labels").select("doc_id", F.col("quality").cast("double").alias("label")), "doc_id")
+    split = cut_lineage(subject_split(ids, "doc_id", seed=7, strata="label"))
+    folds = kfold(split.filter(F.col("split") != "test").select("doc_id").distinct(), "doc_id", 5, seed=3)
+    moments = G.fold_moments(doc_features(spark, sf).join(folds, "doc_id"), FEATURES, "label", "fold")
+    return G.lasso_path(G.collect_moments(moments, len(FEATURES)))
+
+
 @register("model_lasso")
 def q_model_lasso(spark, sf):
-    """M13 (M04 folds): L1 regression with the penalty picked by 5-fold CV."""
-    d = _persisted_split(spark, sf)
-    try:
-        # Folds by hashed document, as in doc_folds.
-        folded = kfold(d.filter(F.col("split") != "test"), "doc_id", 5, seed=3)
-        cv = MD.lasso_cv(folded, FEATURES, "label", folds=5, seed=5, fold_col="fold")
-        best = cv.bestModel.stages[-1]
-        nz = int(sum(1 for v in best.coefficients.toArray() if abs(v) > 0))
-        return spark.createDataFrame([(float(best.getRegParam()), float(min(cv.avgMetrics)), nz)],
-                                     "reg_param double, cv_rmse double, n_nonzero int")
-    finally:
-        d.unpersist()
+    """M13 (M04 folds): L1 regression with the penalty of a path of 100 picked by 5-fold CV."""
+    path = _lasso(spark, sf)
+    k = path.best
+    nz = int((path.coefficients[k] != 0).sum())
+    return spark.createDataFrame([(float(path.penalties[k]), float(path.cv_rmse[k]), nz)],
+                                 "reg_param double, cv_rmse double, n_nonzero int")
+
+
+@register("lasso_path")
+def q_lasso_path(spark, sf):
+    """The whole path: held-out error and each feature's coefficient at each penalty."""
+    path = _lasso(spark, sf)
+    rows = [(k, float(path.penalties[k]), float(path.cv_rmse[k]), c, float(path.coefficients[k][i]))
+            for k in range(len(path.penalties)) for i, c in enumerate(FEATURES)]
+    return spark.createDataFrame(rows, "step int, penalty double, cv_rmse double, feature string, coefficient double")
 
 
 @register("model_search")
