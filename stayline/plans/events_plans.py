@@ -15,9 +15,10 @@ from stayline.functions.ranges import cleaning_report
 from stayline.functions.timefns import add_hours, floor_hours
 from stayline.operators import hourly as H
 from stayline.operators.asof import asof_backward, value_at_hour
-from stayline.operators.dims import local_dim, salted_join
+from stayline.operators.dims import local_dim
 from stayline.operators.features import label_features
 from stayline.operators.impute import global_means_from_long, simple_impute
+from stayline.operators.interval_join import events_in_windows
 from stayline.operators.intervals import bolus_intervals, hourly_indicators_from, interval_hours, next_start_end
 from stayline.operators.sessions import flag_any, gap_sessions
 from stayline.operators import stats as S
@@ -373,8 +374,9 @@ def q_first_last_features(spark, sf):
     window intime - 6 h .. intime + 24 h."""
     ev = events(spark, sf)
     s = stays(ev).select(STAY, "intime")
-    d = salted_join(ev, s, STAY, ["event_id"]).filter(F.col("ts").between(add_hours("intime", -FEATURE_LOOKBACK_H),
-                                                     add_hours("intime", FEATURE_DURATION_H)))
+    w = s.select(STAY, add_hours("intime", -FEATURE_LOOKBACK_H).alias("from"),
+                 add_hours("intime", FEATURE_DURATION_H).alias("to"))
+    d = events_in_windows(ev.select(STAY, "event_id", "event_type", "ts", "value"), w, STAY, "ts", "from", "to")
     found = label_features(d, [STAY], "event_type", VARIABLES, "value", "ts", _FEAT_STATS)
     return rounded(s.select(STAY).join(found, STAY, "left"))  # stays without a value in the window are kept
 

@@ -11,9 +11,9 @@ from stayline.functions.numbers import round_numeric
 from stayline.functions.timefns import add_hours, interval_day_part, interval_hour_part
 from stayline.operators.asof import asof_backward
 from stayline.operators.cohort import stay_ordinals
-from stayline.operators.dims import salted_join
 from stayline.operators.features import full_outer_coalesce, label_features
 from stayline.operators.impute import simple_impute
+from stayline.operators.interval_join import events_in_windows
 from stayline.operators.ordered import dense_rank_within, lag_within
 from stayline.operators.sessions import gap_sessions
 from stayline.plans import events_plans as EP
@@ -419,8 +419,8 @@ def q_duration_sweep(spark, sf):
     widest window is joined once and each duration is a conditional aggregate."""
     ev = EP.events(spark, sf)
     s = EP.stays(ev).select("user_id", "intime")
-    d = salted_join(ev, s, "user_id", ["event_id"]).filter(
-        F.col("ts").between(add_hours("intime", -6), add_hours("intime", max(SWEEP_HOURS))))
+    w = s.withColumns({"from": add_hours("intime", -6), "to": add_hours("intime", max(SWEEP_HOURS))})
+    d = events_in_windows(ev.select("user_id", "event_id", "ts", "value"), w, "user_id", "ts", "from", "to")
     aggs = []
     for h in SWEEP_HOURS:
         v = F.when(F.col("ts") <= add_hours("intime", h), F.col("value"))
