@@ -146,11 +146,11 @@ def q_model_forest(spark, sf):
 def _boosted(spark, sf):
     """(test rows, model): boosting on features that are NULL where a document
     has nothing to measure (no letters, no language), without imputation."""
-    d = _persisted_split(spark, sf)
+    d = cut_lineage(split_docs(spark, sf))
     nothing = {"upper_share": F.col("upper_share") == 0, "digit_share": F.col("n_words") < 2,
                **{f"lang_{x}": sum(F.col(f"lang_{y}") for y in LANGS) == 0 for x in LANGS}}
     d = d.withColumns({c: F.when(~when, F.col(c)) for c, when in nothing.items()})
-    return d.filter(F.col("split") == "test"), B.fit(d.filter(F.col("split") != "test"), FEATURES, rounds=40)
+    return d.filter(F.col("split") == "test"), B.fit(d.filter(F.col("split") != "test"), FEATURES, rounds=20, eta=0.2)
 
 
 @register("model_gbt")
