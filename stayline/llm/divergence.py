@@ -24,6 +24,7 @@ an empty result; extra columns are not read."""
 from __future__ import annotations
 
 from collections import Counter, defaultdict
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,7 @@ TOP_TERMS = 200
 SHARD_KEYS = 16_384
 #: Bytes of shards that are broadcast at once, distinct terms that a task holds, and bytes of its dense counts.
 ROUND_BYTES = 64_000_000
-HELD_TERMS = 500_000
+HELD_TERMS = 400_000
 DENSE_BYTES = 160_000_000
 LEVELS = 32
 _U = np.uint64
@@ -191,6 +192,12 @@ def recount(docs: DataFrame, shards: DataFrame, round_bytes: int = ROUND_BYTES)
     return out.repartition(*slot).groupBy(*slot).agg(F.sum("n").alias("n"))  # tasks have summed their rows already
 
 
+def _parts(labels: np.ndarray) -> list[np.ndarray]:
+    """The places of each distinct label."""
+    order = np.argsort(labels, kind="stable")
+    return np.split(order, np.flatnonzero(np.diff(labels[order])) + 1) if len(order) else []
+
+
 def _counter(held):
     def run(batches):
         hashed = {(x["lang"], x["shard"]): _loaded(x) for x in held.value}
@@ -198,22 +205,33 @@ def _counter(held):
         counts: dict[tuple[str, str], Counter] = defaultdict(Counter)
         dense: dict[tuple[str, str, int], np.ndarray] = {}
 
+        def located(lang, terms):
+            """(shard, slot) of each term, slot -1 where it is not held."""
+            h, keys = hashes(terms), pa.array(terms, pa.binary())
+            shard, slot = h.view(np.int64) % shards[lang], np.full(len(terms), -1)
+            for part in _parts(shard):
+                ph = hashed.get((lang, int(shard[part[0]])))
+                if ph is not None:  # else of another round
+                    slot[part] = ph.slots(keys.take(pa.array(part)), h[part])
+            return shard, slot
+
         def add():
+            langs: dict[str, list] = defaultdict(list)
             for (lang, source), c in counts.items():
-                terms = list(c)
-                if not terms:
-                    continue
-                h, n = hashes(terms), np.fromiter(c.values(), np.int64, len(c))
-                keys, shard = pa.array(terms, pa.binary()), h.view(np.int64) % shards[lang]
-                order = np.argsort(shard, kind="stable")
-                ends = np.flatnonzero(np.diff(shard[order], append=-1)) + 1
-                for part in np.split(order, ends[:-1]):
-                    s = int(shard[part[0]])
-                    if (lang, s) not in hashed:  # of another round
-                        continue
-                    slot = hashed[lang, s].slots(keys.take(pa.array(part)), h[part])
-                    at = dense.setdefault((lang, source, s), np.zeros(len(hashed[lang, s].keys), np.int64))
-                    at[slot[slot >= 0]] += n[part][slot >= 0]
+                langs[lang].append((source, c))
+            for lang, groups in langs.items():  # the sources of a language share most terms
+                terms = list(dict.fromkeys(chain.from_iterable(c for _, c in groups)))
+                place = dict(zip(terms, range(len(terms))))
+                shard, slot = located(lang, terms)
+                for source, c in groups:
+                    at = np.fromiter(map(place.__getitem__, c), np.int64, len(c))
+                    n = np.fromiter(c.values(), np.int64, len(c))
+                    n, at = n[slot[at] >= 0], at[slot[at] >= 0]
+                    for part in _parts(shard[at]):
+                        s, own = int(shard[at[part[0]]]), slot[at[part]]
+                        if (lang, source, s) not in dense:
+                            dense[lang, source, s] = np.zeros(len(hashed[lang, s].keys), np.int64)
+                        dense[lang, source, s][own] += n[part]
             counts.clear()
 
         def out():

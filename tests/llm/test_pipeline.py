@@ -1,6 +1,8 @@
+import math
 import os
 import sys
 import uuid
+from collections import Counter
 
 import public_tokenizers
 from tokenizers import Tokenizer
@@ -34,8 +36,15 @@ def test_stages_apply_the_operators(spark, sample):
     before, after = seen["near"]
     assert ids(after) == ids(prob_minhash.near_duplicates(before).filter("kept"))
     before, after = seen["mix"]
-    copies = {r.doc_id: int(r.taken / r["size"] + 0.5) for r in mixing.mix(before).collect()}
-    assert ids(after) == sorted(d for d, n in copies.items() for _ in range(n))
+    # Whole copies, taken / size rounded down or up, with remainders carried along each source.
+    copies = Counter(ids(after))
+    rows = mixing.mixed(before).collect()
+    for r in rows:
+        share = r.taken / r["size"]
+        assert math.floor(share - 1e-4) <= copies[r.doc_id] <= math.ceil(share + 1e-4)
+    for s in {r.source_no for r in rows}:
+        own = [r for r in rows if r.source_no == s]
+        assert abs(sum(copies[r.doc_id] - r.taken / r["size"] for r in own)) < 1.01
     before, after = seen["tokens"]
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     texts = {r.doc_id: r.text for r in before.collect()}
