@@ -75,19 +75,44 @@ def binary_labels(grid: DataFrame, stay: str, flag: str, slice_size: int = 6, ga
 
 
 def rolling_lookback(grid: DataFrame, stay: str, cols: list[str], hours: int = 4, first: bool = False) -> DataFrame:
-    """Features over hours ``t-hours .. t`` at every hour (W11): last non-NULL
-    (with ``first`` the first one too), min, max and sum of each column, via a
-    RANGE frame on ``hours_in``."""
-    w = Window.partitionBy(stay).orderBy("hours_in").rangeBetween(-hours, 0)
-    out = grid
+    """Features over hours ``t-hours .. t`` at every row of ``grid`` (W11, J17):
+    last non-NULL (with ``first`` the first one too), min, max and sum of each
+    column.  ``grid`` has one row for a stay and hour, hours without a row
+    being hours without values.
+
+    The hours are cut into blocks of the window's length.  A window is the end
+    of one block and the beginning of the next: running aggregates forwards
+    give every beginning, running ones backwards every end, so the work does
+    not grow with the length, as that of a sliding frame does."""
+    size, other = hours + 1, [c for c in grid.columns if c not in (stay, "hours_in")]
+    start = F.col("hours_in") - hours
+    # A row as itself and, unless its window is a whole block, as a question at its window's start.
+    ask = F.when(F.pmod(start, F.lit(size)) != 0, F.struct(F.lit(1).alias("ask"), start.alias("at")))
+    own = F.struct(F.lit(0).alias("ask"), F.col("hours_in").alias("at"))
+    d = grid.select(stay, "hours_in", *other, F.explode(F.filter(F.array(own, ask), lambda x: x.isNotNull())).alias("__r"))
+    d = d.select("*", F.col("__r.ask").alias("__ask"), F.col("__r.at").alias("__at"),
+                 F.floor(F.col("__r.at") / size).alias("__block")).drop("__r")
+    d = d.repartition(stay)  # serves the windows and the grouping; a stay has a row an hour at most
+    to_here = (Window.unboundedPreceding, 0)
+    fore = Window.partitionBy(stay, "__block").orderBy("__at", "__ask").rowsBetween(*to_here)
+    back = Window.partitionBy(stay, "__block").orderBy(F.desc("__at"), "__ask").rowsBetween(*to_here)
+    kinds = [*(["first"] if first else []), "last", "min", "max", "sum"]
+    made, aggs = {}, []
     for c in cols:
-        if first:
-            out = out.withColumn(f"{c}_first", F.first(c, ignorenulls=True).over(w))
-        out = (out.withColumn(f"{c}_last", F.last(c, ignorenulls=True).over(w))
-               .withColumn(f"{c}_min", F.min(c).over(w))
-               .withColumn(f"{c}_max", F.max(c).over(w))
-               .withColumn(f"{c}_sum", F.coalesce(F.sum(c).over(w), F.lit(0.0))))
-    return out
+        v = F.when(F.col("__ask") == 0, F.col(c))
+        begin = {"first": F.first(v, ignorenulls=True), "last": F.last(v, ignorenulls=True)}
+        end = {"first": begin["last"], "last": begin["first"]}  # running backwards
+        both = {"min": F.min(v), "max": F.max(v), "sum": F.sum(v)}
+        for k in kinds:
+            made[f"__{c}_{k}"] = F.when(F.col("__ask") == 0, (begin | both)[k].over(fore)).otherwise((end | both)[k].over(back))
+            b, e = (F.max(F.when(F.col("__ask") == x, F.col(f"__{c}_{k}"))) for x in (0, 1))
+            joined = {"first": F.coalesce(e, b), "last": F.coalesce(b, e), "min": F.least(b, e), "max": F.greatest(b, e),
+                      "sum": F.coalesce(b, F.lit(0.0)) + F.coalesce(e, F.lit(0.0))}[k]
+            aggs.append(joined.alias(f"{c}_{k}"))
+    d = d.withColumns(made).groupBy(stay, "hours_in").agg(
+        F.max_by(F.struct(*other), -F.col("__ask")).alias("__row"), *aggs)
+    return d.select(stay, "hours_in", *[F.col("__row").getField(c).alias(c) for c in other],
+                    *[f"{c}_{k}" for c in cols for k in kinds])
 
 
 def to_sequence(grid: DataFrame, stay: str, cols: list[str], max_len: int | None = None,
