@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 # AMERICAN INDIAN in front.
 ETHNICITY_ORDER = ("ASIAN", "WHITE", "HISPANIC", "BLACK")
 ETHNICITY_ORDER_WITH_NATIVE = ("AMERICAN INDIAN", "ASIAN", "WHITE", "HISPANIC", "BLACK")
-# Age buckets (lower, upper] and the strict bands (lower, upper).
-AGE_BUCKETS = ((10, 30), (30, 50), (50, 70))
+ETHNICITY_LABELS = {"HISPANIC": "HISPANIC/LATINO"}
+# Age buckets (lower, upper] with their labels and the strict bands (lower, upper).
+AGE_BUCKETS = ((10, 30, "<31"), (30, 50, "31-50"), (50, 70, "51-70"))
 AGE_BANDS_STRICT = ((0, 45), (45, 65), (65, 90), (90, 500))
 
 
@@ -34,16 +35,15 @@ def first_match(col, needles, other: str = "OTHER", labels=None) -> Column:
 
 def categorize_ethnicity(col, with_native: bool = False) -> Column:
     order = ETHNICITY_ORDER_WITH_NATIVE if with_native else ETHNICITY_ORDER
-    return first_match(col, order)
+    return first_match(col, order, labels=[ETHNICITY_LABELS.get(n, n) for n in order])
 
 
 def categorize_age(col) -> Column:
-    """(10,30], (30,50], (50,70], else >70 — ages ≤ 10 fall in the last bucket."""
+    """(10,30] is <31, (30,50] 31-50, (50,70] 51-70, else >70 — ages ≤ 10 fall in the last bucket."""
     c = _c(col)
     out = None
-    for lo, hi in AGE_BUCKETS:
-        cond = (c > lo) & (c <= hi)
-        lab = F.lit(f"{lo}-{hi}")
+    for lo, hi, name in AGE_BUCKETS:
+        cond, lab = (c > lo) & (c <= hi), F.lit(name)
         out = F.when(cond, lab) if out is None else out.when(cond, lab)
     return out.otherwise(F.lit(">70"))
 

@@ -235,9 +235,9 @@ SELECT c_custkey,
        WHEN coalesce(contains(n_name, 'NATION_1'), false) THEN 'NATION_1'
        WHEN coalesce(contains(n_name, '_3'), false) THEN '_3'
        WHEN coalesce(contains(n_name, '_4'), false) THEN '_4' ELSE 'OTHER' END AS region_group,
-  CASE WHEN c_acctbal / 100 > 10 AND c_acctbal / 100 <= 30 THEN '10-30'
-       WHEN c_acctbal / 100 > 30 AND c_acctbal / 100 <= 50 THEN '30-50'
-       WHEN c_acctbal / 100 > 50 AND c_acctbal / 100 <= 70 THEN '50-70' ELSE '>70' END AS age_group,
+  CASE WHEN c_acctbal / 100 > 10 AND c_acctbal / 100 <= 30 THEN '<31'
+       WHEN c_acctbal / 100 > 30 AND c_acctbal / 100 <= 50 THEN '31-50'
+       WHEN c_acctbal / 100 > 50 AND c_acctbal / 100 <= 70 THEN '51-70' ELSE '>70' END AS age_group,
   CASE WHEN c_acctbal / 100 > 0 AND c_acctbal / 100 < 45 THEN '0-45'
        WHEN c_acctbal / 100 > 45 AND c_acctbal / 100 < 65 THEN '45-65'
        WHEN c_acctbal / 100 > 65 AND c_acctbal / 100 < 90 THEN '65-90'

@@ -144,6 +144,13 @@ def test_number_coercion(spark):
 
 def test_categorisers(spark):
     df = spark.createDataFrame([("WHITE - ASIAN",), (None,), ("HISPANIC",)], "e string")
-    assert [r[0] for r in df.select(categorize_ethnicity("e")).collect()] == ["ASIAN", "OTHER", "HISPANIC"]
+    assert [r[0] for r in df.select(categorize_ethnicity("e")).collect()] == ["ASIAN", "OTHER", "HISPANIC/LATINO"]
     ages = spark.createDataFrame([(45.0,), (65.0,), (90.0,), (50.0,)], "a double")
     assert [r[0] for r in ages.select(age_band_strict("a")).collect()] == [None, None, None, "45-65"]
+
+
+def test_age_buckets(spark):
+    from stayline.functions.categorize import categorize_age
+    df = spark.createDataFrame([(a,) for a in (5.0, 10.0, 10.5, 30.0, 30.5, 50.0, 51.0, 70.0, 70.5)], "a double")
+    assert [r[0] for r in df.coalesce(1).select(categorize_age("a")).collect()] == [
+        ">70", ">70", "<31", "<31", "31-50", "31-50", "51-70", "51-70", ">70"]
