@@ -1,13 +1,16 @@
 """Quality rules with adaptive thresholds.
 
 Per document a handful of text measures are computed with built-in functions;
-per (language, source) the measures go into mergeable KLL quantile sketches.
-A group's thresholds are a far-out fence read from its sketch (upper quartile
-plus ``spread`` times the inter-quartile range, which has a floor), so they
-follow what is usual for that language and source.  Groups with fewer than
-``min_group`` documents use the merged sketch of their language, and beneath
-that the one merged over everything.  Thresholds are then joined to the
-documents and decide them.
+per (language, source) the measures of the documents that pass the base rule,
+and the words and lines they are shares of, go into mergeable KLL quantile
+sketches.  A group's thresholds are far-out fences read from its sketches: the
+upper quantile plus ``spread`` times the range between the quantiles.  Where
+hardly any document of a group has symbols or repeated lines that range is 0;
+the group's step then takes its place, one item in a document of the group's
+own lesser length (``Fence.short``), also read from a sketch.  No cutoff is a
+constant.  Groups with fewer than ``min_group`` such documents use the merged
+sketches of their language, and beneath that those merged over everything.
+Thresholds are then joined to the documents and decide them.
 
 Defined results: a null text is an empty one (no words, so the base rule
 rejects it); null languages and sources form groups of their own; repeated
@@ -33,18 +36,23 @@ MIN_GROUP = 50
 
 @dataclass(frozen=True)
 class Fence:
-    """Limits for one measure: quartiles -/+ ``spread`` x max(IQR, ``floor``)."""
+    """Limits for one measure: its ``tail`` and 1 - ``tail`` quantiles -/+ ``spread``
+    times their distance, or times 1 / the ``short`` quantile of ``per`` if that is more."""
     name: str
+    tail: float
     spread: float
-    floor: float
+    per: str
+    short: float
     lower: bool = False
 
 
 FENCES = (
-    Fence("symbol_share", 4.0, 0.05),
-    Fence("word_length", 4.0, 1.0, lower=True),
-    Fence("dup_line_share", 4.0, 0.1),
+    Fence("symbol_share", 0.25, 4.0, "n_words", 0.1),
+    Fence("word_length", 0.1, 4.0, "n_words", 0.1, lower=True),
+    Fence("dup_line_share", 0.25, 2.0, "n_lines", 0.5),
 )
+#: Measures with a sketch.
+SKETCHED = ("symbol_share", "word_length", "dup_line_share", "n_words", "n_lines")
 
 
 def _measures(df: DataFrame, text: Column, p: str) -> DataFrame:
@@ -105,12 +113,14 @@ def shares(prefix: str = "") -> dict[str, Column]:
 
 
 def sketches(measured: DataFrame, k: int = SKETCH_K) -> DataFrame:
-    """One row per (lang, source): document count and a KLL sketch per measure.
-    Sketches are built map-side and merged, whatever the group's size."""
-    cols = shares()
+    """One row per (lang, source): the count and a KLL sketch per measure of its
+    documents that pass the base rule.  Sketches are built map-side and merged,
+    whatever the group's size."""
+    # Not a filter: moved below the measures, it would repeat them.
+    cols = shares() | {c: F.col(c).cast("double") for c in ("n_words", "n_lines")}
     return measured.groupBy("lang", "source").agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.kll_sketch_agg_double(cols[f.name], k).alias(f.name) for f in FENCES])
+        F.count_if(~base_failed()).alias("n"),
+        *[F.kll_sketch_agg_double(F.when(~base_failed(), cols[c]), k).alias(c) for c in SKETCHED])
 
 
 def thresholds(sketched: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
@@ -119,18 +129,19 @@ def thresholds(sketched: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     def merged(by: list[str], tag: str) -> DataFrame:
         return sketched.groupBy(*[F.col(c).alias(f"{tag}_{c}") for c in by]).agg(
             F.sum("n").alias(f"{tag}_n"),
-            *[F.kll_merge_agg_double(f.name).alias(f"{tag}_{f.name}") for f in FENCES])
+            *[F.kll_merge_agg_double(c).alias(f"{tag}_{c}") for c in SKETCHED])
     by_lang, overall = merged(["lang"], "l"), merged([], "a")
     t = (sketched.join(by_lang, F.col("lang").eqNullSafe(F.col("l_lang")), "left")
          .join(F.broadcast(overall), F.lit(True), "left"))  # one row
+
+    def quantile(name: str, at: float) -> Column:
+        sk = (F.when(F.col("n") >= min_group, F.col(name))
+              .when(F.col("l_n") >= min_group, F.col(f"l_{name}")).otherwise(F.col(f"a_{name}")))
+        return F.when(F.kll_sketch_get_n_double(sk) > 0, F.kll_sketch_get_quantile_double(sk, F.lit(at)))
     out = [F.col("lang"), F.col("source")]
     for f in FENCES:
-        sk = (F.when(F.col("n") >= min_group, F.col(f.name))
-              .when(F.col("l_n") >= min_group, F.col(f"l_{f.name}")).otherwise(F.col(f"a_{f.name}")))
-        has = F.kll_sketch_get_n_double(sk) > 0
-        q = F.when(has, F.kll_sketch_get_quantile_double(sk, F.array(F.lit(0.25), F.lit(0.75))))
-        lo, hi = F.get(q, F.lit(0)), F.get(q, F.lit(1))
-        room = f.spread * F.greatest(hi - lo, F.lit(f.floor))
+        lo, hi = quantile(f.name, f.tail), quantile(f.name, 1 - f.tail)
+        room = f.spread * F.greatest(hi - lo, 1 / quantile(f.per, f.short))
         out.append((hi + room).alias(f"{f.name}_hi"))
         if f.lower:
             out.append((lo - room).alias(f"{f.name}_lo"))
