@@ -24,10 +24,13 @@ Bands: 30 of 5 components find a pair of similarity 0.8 with probability
 1 - (1 - 0.8 ** 5) ** 30 = 0.999993.
 
 Defined results: a text of one to four words has one shingle, itself; a null
-text or one without words has none and is a class of its own; rows with the
-same words are compared once; rows that share an id are one document; a row
-without an id has no class (null) and is kept; an empty table gives an empty
-result; extra columns are not read and, in ``dedup``, pass through unchanged."""
+text or one without words has none and is a class of its own, named by its id;
+texts with the same weighted shingles are compared once, very long ones whole;
+rows that share an id are one document: its different texts are compared each
+with all others and stand in one class; classes do not depend on the order of
+the rows; a row without an id has no class (null) and is kept; an empty table
+gives an empty result; extra columns are not read and, in ``dedup``, pass
+through unchanged."""
 
 from __future__ import annotations
 
@@ -144,8 +147,7 @@ def sign(df: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
                 for k in range(rows):
                     key = mixed(key ^ sig[:, :, k])
                 at = np.searchsorted(doc, np.arange(n + 1))
-                names = [hashlib.blake2b(value[s:e].tobytes() + weight[s:e].tobytes(), digest_size=16).digest()
-                         if e > s else None for s, e in itertools.pairwise(at)]
+                names = names_of(value, weight, at)
                 flat = pa.array(key.reshape(-1).view(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id").slice(i, n), pa.array(names, pa.binary()),
@@ -154,24 +156,33 @@ def sign(df: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     return df.select("doc_id", "text").mapInArrow(run, schema)
 
 
+def names_of(value: np.ndarray, weight: np.ndarray, at: np.ndarray) -> list[bytes | None]:
+    """The name of each text's weighted shingles, which stand from one offset of ``at`` to the next."""
+    return [hashlib.blake2b(value[s:e].tobytes() + weight[s:e].tobytes(), digest_size=16).digest()
+            if e > s else None for s, e in itertools.pairwise(at)]
+
+
 def weighted_shingles(df: DataFrame) -> DataFrame:
-    """doc_id, shingles (64-bit) and weights (32-bit) as binaries, sorted by shingle."""
-    doc_id = next(f for f in df.schema.fields if f.name == "doc_id")
-    schema = T.StructType([doc_id, T.StructField("shingles", T.BinaryType()), T.StructField("weights", T.BinaryType())])
+    """words (the name that ``sign`` gives them), shingles (64-bit) and weights
+    (32-bit) as binaries, sorted by shingle, and the other columns of ``df``."""
+    rest = [f for f in df.schema.fields if f.name != "text"]
+    schema = T.StructType([*rest, T.StructField("words", T.BinaryType()), T.StructField("shingles", T.BinaryType()),
+                           T.StructField("weights", T.BinaryType())])
 
     def run(batches):
         for b in batches:
             texts = b.column("text").to_pylist()
             for i, j in rounds(texts):
                 doc, value, weight = shingles(texts[i:j])
-                weight = weight.astype(np.uint32)
                 at = np.searchsorted(doc, np.arange(j - i + 1))
+                names = names_of(value, weight, at)
+                weight = weight.astype(np.uint32)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id").slice(i, j - i),
+                    [*(b.column(f.name).slice(i, j - i) for f in rest), pa.array(names, pa.binary()),
                      pa.array([value[s:e].tobytes() for s, e in itertools.pairwise(at)], pa.binary()),
                      pa.array([weight[s:e].tobytes() for s, e in itertools.pairwise(at)], pa.binary())],
-                    ["doc_id", "shingles", "weights"])
-    return df.select("doc_id", "text").mapInArrow(run, schema)
+                    schema.names)
+    return df.select(*[f.name for f in rest], "text").mapInArrow(run, schema)
 
 
 def probability_jaccard(xa: np.ndarray, wa: np.ndarray, xb: np.ndarray, wb: np.ndarray) -> float:
@@ -194,7 +205,7 @@ def probability_jaccard(xa: np.ndarray, wa: np.ndarray, xb: np.ndarray, wb: np.n
 def verify(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """The ``pairs`` (a, b) with exact similarity of ``threshold`` or more."""
     def side(tag):
-        return sets.select(F.col("doc_id").alias(tag), F.col("shingles").alias(f"x{tag}"), F.col("weights").alias(f"w{tag}"))
+        return sets.select(F.col("id").alias(tag), F.col("shingles").alias(f"x{tag}"), F.col("weights").alias(f"w{tag}"))
 
     def run(batches):
         for b in batches:
@@ -211,9 +222,10 @@ def verify(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id and class_id (the least id of the class) for every row of ``docs`` (doc_id, text)."""
     signed = materialize(sign(docs, bands, rows), "signed")
-    # Rows with the same words become one node, named by its least id.
+    # Rows with the same words become one node, with a number of its own and its least document.
     nodes = materialize(signed.filter("words IS NOT NULL AND doc_id IS NOT NULL").groupBy("words").agg(
-        F.min("doc_id").alias("id"), F.min_by("buckets", "doc_id").alias("buckets")), "nodes")
+        F.min("doc_id").alias("first"), F.min_by("buckets", "doc_id").alias("buckets")).withColumn(
+        "id", F.monotonically_increasing_id()), "nodes")
     members = nodes.select("id", F.explode("buckets").alias("bucket"))
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     # A bucket's hub is its text that meets most others in all its buckets: of a family of copies, the source.
@@ -222,22 +234,43 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, r
     hubs = met.groupBy("bucket").agg(F.max("met").alias("met"), F.max_by("id", F.struct("met", "id")).alias("hub"))
     pairs = materialize(met.join(hubs.select("bucket", "hub"), "bucket").filter("id <> hub").select(
         F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct(), "pairs")
-    # Only texts that share a bucket with another one are read again.
-    wanted = met.select(F.col("id").alias("doc_id")).distinct()
-    sets = materialize(weighted_shingles(docs.select("doc_id", "text").join(wanted.hint("merge"), "doc_id", "left_semi")
-                                         .dropDuplicates(["doc_id"])), "sets")
+    # Only texts that share a bucket with another one are read again; a document's other texts are not theirs.
+    # Rows of a document whose texts differ in white space alone may give a node twice, which adds no links.
+    wanted = nodes.join(met.select("id").distinct(), "id", "left_semi").select(
+        F.col("first").alias("doc_id"), F.col("words").alias("name"), "id")
+    sets = materialize(weighted_shingles(docs.select("doc_id", "text").join(wanted.hint("merge"), "doc_id")
+                                         .dropDuplicates(["doc_id", "text", "id"])).filter("words = name")
+                       .select("id", "shingles", "weights"), "sets")
     links = materialize(verify(pairs, sets, threshold), "links")
+    own = _same_document(signed, nodes)
+    if own is not None:
+        links = materialize(links.unionByName(own), "links")
     comp = components(links)
     more = _across(met, comp, sets, threshold)
     if more is not None:
         found = materialize(verify(more.join(pairs, ["a", "b"], "left_anti"), sets, threshold), "links")
         if not found.isEmpty():
             comp = components(links.unionByName(found))
-    named = nodes.select("words", "id").join(comp, "id", "left").select("words", F.coalesce("comp", "id").alias("class_id"))
+    named = nodes.select("words", "id", "first").join(comp, "id", "left")
+    least = named.filter("comp IS NOT NULL").groupBy("comp").agg(F.min("first").alias("class_id"))
+    named = named.join(least, "comp", "left").select("words", F.coalesce("class_id", "first").alias("class_id"))
     d = signed.select("doc_id", "words").join(named, "words", "left")
     return d.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id"))
 
 
+def _same_document(signed: DataFrame, nodes: DataFrame) -> DataFrame | None:
+    """Links (a, b) between the texts of each document that has several."""
+    d = signed.filter("words IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "words")
+    h = F.xxhash64("words")
+    several = materialize(d.groupBy("doc_id").agg(F.min(h).alias("lo"), F.max(h).alias("hi")).filter("lo <> hi")
+                          .select("doc_id"), "several")
+    if several.isEmpty():
+        return None
+    d = d.join(several, "doc_id", "left_semi").join(nodes.select("words", "id"), "words").select("doc_id", "id")
+    star = d.groupBy("doc_id").agg(F.min("id").alias("a"))
+    return d.join(star, "doc_id").filter("a <> id").select("a", F.col("id").alias("b")).distinct()
+
+
 def _across(met: DataFrame, comp: DataFrame, sets: DataFrame, threshold: float) -> DataFrame | None:
     """Pairs (a, b) of one bucket that stand in different components and can
     still be similar: texts outside a bucket's largest component against the
@@ -249,7 +282,7 @@ def _across(met: DataFrame, comp: DataFrame, sets: DataFrame, threshold: float)
     d = materialize(d.join(several, "bucket"), "across")
     if d.isEmpty():
         return None
-    d = materialize(d.join(counted_cells(sets).withColumnRenamed("doc_id", "id"), "id"), "across")
+    d = materialize(d.join(counted_cells(sets), "id"), "across")
     major = (d.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("k"))
              .groupBy("bucket").agg(F.max_by("comp", F.struct("k", "comp")).alias("major")))
     text = F.struct("total", "n", "cells")
@@ -262,10 +295,9 @@ def _across(met: DataFrame, comp: DataFrame, sets: DataFrame, threshold: float)
 
 
 def counted_cells(sets: DataFrame) -> DataFrame:
-    """doc_id, total weight, n (shingles) and how many of them fall into each of
+    """id, total weight, n (shingles) and how many of them fall into each of
     ``CELLS`` cells by their hash (null for a count that a short cannot hold)."""
-    doc_id = next(f for f in sets.schema.fields if f.name == "doc_id")
-    schema = T.StructType([doc_id, T.StructField("total", T.LongType()), T.StructField("n", T.LongType()),
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("total", T.LongType()), T.StructField("n", T.LongType()),
                            T.StructField("cells", T.ArrayType(T.ShortType()))])
 
     def run(batches):
@@ -275,7 +307,7 @@ def counted_cells(sets: DataFrame) -> DataFrame:
             cell = (mixed(np.concatenate(x)) % np.uint64(CELLS)).astype(np.int64)
             cells = np.bincount(np.repeat(np.arange(len(x)), n) * CELLS + cell, minlength=len(x) * CELLS)
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([int(np.frombuffer(v, np.uint32).sum()) for v in b.column("weights").to_pylist()]),
+                [b.column("id"), pa.array([int(np.frombuffer(v, np.uint32).sum()) for v in b.column("weights").to_pylist()]),
                  pa.array(n, pa.int64()), pa.ListArray.from_arrays(
                      pa.array(np.arange(len(x) + 1, dtype=np.int32) * CELLS), pa.array(cells.astype(np.int16)),
                      mask=pa.array(cells.reshape(-1, CELLS).max(axis=1, initial=0) > np.iinfo(np.int16).max))],

@@ -88,6 +88,23 @@ def test_odd_documents(spark, odd):
     assert 5 in left and 6 not in left and 7 not in left and None in left
 
 
+def test_rows_that_share_an_id_are_one_document(spark):
+    """Its texts are compared each, whatever the order and the partitions of the rows."""
+    rng = np.random.default_rng(4)
+    a, b, c = (" ".join(f"{k}{rng.integers(0, 900)}" for _ in range(100)) for k in "abc")
+    near = {t: t.rsplit(" ", 2)[0] + " changed words" for t in (a, b, c)}
+    rows = [(5, a), (5, b), (5, a), (2, near[a]), (3, near[b]), (7, c), (8, near[c]), (8, None), (9, b), (10, "alone it is")]
+    want = {2: 2, 3: 2, 5: 2, 9: 2, 7: 7, 10: 10}
+    for parts in (1, 3, 7):
+        rng.shuffle(rows)
+        d = spark.createDataFrame([(int(i), t) for i, t in rows], "doc_id long, text string").repartition(parts)
+        got = M.near_duplicates(d).collect()
+        assert len(got) == len(rows)
+        assert {(r.doc_id, r.class_id) for r in got if r.doc_id != 8} == set(want.items())
+        assert sorted(r.class_id for r in got if r.doc_id == 8) == [7, 8]  # a row without words has its own id
+        assert {r.doc_id for r in M.dedup(d).collect()} == {2, 7, 10}
+
+
 def test_empty(empty):
     assert M.classes(empty).count() == 0
     assert M.dedup(empty).count() == 0
