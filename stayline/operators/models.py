@@ -91,6 +91,35 @@ def exact_auroc(scored: DataFrame, score: str, label: str) -> DataFrame:
                  F.sum("__p").alias("n_pos"), F.sum("__n").alias("n_neg"))
 
 
+def _running_counts(scored: DataFrame, score: str, label: str) -> DataFrame:
+    """Per distinct score: __p and __n (positives and negatives of that score)
+    and __tp and __fp (of that score or a higher one)."""
+    g = scored.groupBy(score).agg(F.sum(F.col(label).cast("long")).alias("__p"),
+                                  F.sum((1 - F.col(label)).cast("long")).alias("__n"))
+    g = g.withColumn("__key", -F.col(score).cast("double"))
+    return global_cumsum(g, ["__key"], {"__tp": "__p", "__fp": "__n"}, inclusive=True)
+
+
+def exact_average_precision(scored: DataFrame, score: str, label: str) -> DataFrame:
+    """Exact average precision, the sum over distinct scores of
+    (recall gained) x precision, rows of one score entering together; from
+    distributed running counts.  NULL without a positive."""
+    g = _running_counts(scored, score, label)
+    step = F.col("__p") * F.col("__tp") / (F.col("__tp") + F.col("__fp"))
+    return g.agg(F.try_divide(F.sum(step), F.sum("__p")).alias("average_precision"),
+                 F.sum("__p").alias("n_pos"), F.sum("__n").alias("n_neg"))
+
+
+def roc_points(scored: DataFrame, score: str, label: str) -> DataFrame:
+    """The ROC curve, one row per distinct score as threshold: threshold,
+    tp, fp, tpr, fpr (a rate without its class is NULL)."""
+    g = _running_counts(scored, score, label)
+    n = scored.agg(F.sum(F.col(label).cast("long")).alias("__pos"), F.sum((1 - F.col(label)).cast("long")).alias("__neg"))
+    g = g.join(F.broadcast(n), F.lit(True))  # one row
+    return g.select(F.col(score).alias("threshold"), F.col("__tp").alias("tp"), F.col("__fp").alias("fp"),
+                    F.try_divide("__tp", "__pos").alias("tpr"), F.try_divide("__fp", "__neg").alias("fpr"))
+
+
 def class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
     """Balanced weight n / (k · n_c) per class, joined onto the rows."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("__nc"))

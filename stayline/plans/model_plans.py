@@ -101,6 +101,33 @@ def q_auroc_exact(spark, sf):
     return rounded(MD.exact_auroc(d.join(lab, "doc_id"), "score", "y"))
 
 
+_CURVE_SQL = """
+WITH s AS (SELECT d.n_chars AS score, l.quality AS y FROM documents d JOIN labels l USING (doc_id)),
+g AS (SELECT score, sum(y) AS p, sum(1 - y) AS n FROM s GROUP BY score),
+c AS (SELECT *, sum(p) OVER (ORDER BY score DESC) AS tp, sum(n) OVER (ORDER BY score DESC) AS fp FROM g)"""
+
+
+def _scored(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id", F.col("n_chars").alias("score"))
+    return d.join(table(spark, sf, "labels").select("doc_id", F.col("quality").alias("y")), "doc_id")
+
+
+@register("average_precision", _CURVE_SQL + """
+SELECT round(sum(p * tp / (tp + fp)) / sum(p), 6) AS average_precision, CAST(sum(p) AS BIGINT) AS n_pos,
+       CAST(sum(n) AS BIGINT) AS n_neg FROM c""")
+def q_average_precision(spark, sf):
+    """Exact average precision of document length as a quality score, ties included."""
+    return rounded(MD.exact_average_precision(_scored(spark, sf), "score", "y"))
+
+
+@register("roc_points", _CURVE_SQL + """
+SELECT score AS threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp,
+       round(tp / (SELECT sum(p) FROM g), 6) AS tpr, round(fp / (SELECT sum(n) FROM g), 6) AS fpr FROM c""")
+def q_roc_points(spark, sf):
+    """The ROC curve of document length as a quality score."""
+    return rounded(MD.roc_points(_scored(spark, sf), "score", "y"))
+
+
 def _persisted_split(spark, sf):
     """Iterative learners read their input many times: keep the (derived,
     labelled, split) table in memory/disk for the duration of one fit."""
