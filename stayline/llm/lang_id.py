@@ -78,7 +78,10 @@ def script(c: str) -> str:
 
 def runs(token: str) -> list[str]:
     """Runs of letters of a token in lower case, long ones in stretches."""
-    return [w[i:i + STRETCH] for w in _LETTERS.findall(token.lower()) for i in range(0, len(w), STRETCH)]
+    found = _LETTERS.findall(token.lower())
+    if not all(map(str.isalpha, found)):  # numerals like superscripts and fractions are no letters
+        found = "".join(c if c.isalpha() else " " for w in found for c in (*w, " ")).split()
+    return [w[i:i + STRETCH] for w in found for i in range(0, len(w), STRETCH)]
 
 
 def grams(word: str) -> list[str]:

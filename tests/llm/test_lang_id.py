@@ -48,6 +48,11 @@ def test_best_path_equals_brute_force():
         assert worth(got) == pytest.approx(max(worth(p) for p in itertools.product(range(3), repeat=len(s))), abs=1e-4)
 
 
+def test_numerals_are_no_letters():
+    assert [lang_id.runs(t) for t in ("²", "½", "①", "x²y", "Wörter12ab", "2nd")] == [
+        [], [], [], ["x", "y"], ["wörter", "ab"], ["nd"]]
+
+
 def test_scripts_narrow_the_candidates(spark):
     rows = [(i, "это русский текст про дом и сад", "ru") for i in range(20)] + [
         (50 + i, "this is an english text about house and garden", "en") for i in range(20)]
