@@ -99,7 +99,7 @@ def splitter(specials: tuple[str, ...] = ()) -> Callable[[str], list[str]]:
 
 
 #: For Arrow: white space after a space.
-_SPACE_RUN = " [\\t-\\r\\x20\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
+SPACE_RUN = " [\\t-\\r\\x20\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
 
 
 class Memory:
@@ -151,7 +151,7 @@ class PieceEncoder:
         """The ids of texts that are cut into pieces."""
         flat = pa.array(itertools.chain.from_iterable(cuts), pa.large_string()).dictionary_encode()
         lists = self.pieces.fill(flat.dictionary, self._make_pieces).take(flat.indices)
-        last = _offsets(np.fromiter(map(len, cuts), np.int64, len(cuts)))
+        last = offsets_of(np.fromiter(map(len, cuts), np.int64, len(cuts)))
         return pa.LargeListArray.from_arrays(pa.array(lists.offsets.to_numpy()[last]), lists.values)
 
     def _spaced(self, parts: pa.Array) -> pa.Array:
@@ -170,7 +170,7 @@ class PieceEncoder:
         """(offsets, ids): text i has ids[offsets[i]:offsets[i + 1]]; null is empty."""
         texts = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
         whole = pc.fill_null(texts, "")
-        run = pc.match_substring_regex(whole, _SPACE_RUN)
+        run = pc.match_substring_regex(whole, SPACE_RUN)
         runs = np.flatnonzero(run.to_numpy(zero_copy_only=False))
         # A text with runs takes part as one literal part.
         words = pc.split_pattern(pc.if_else(run, "", whole) if len(runs) else whole, " ")
@@ -191,10 +191,10 @@ class PieceEncoder:
 def ids_array(ids: list[Sequence[int]]) -> pa.LargeListArray:
     size = np.fromiter(map(len, ids), np.int64, len(ids))
     flat = np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(size.sum()))
-    return pa.LargeListArray.from_arrays(pa.array(_offsets(size)), pa.array(flat))
+    return pa.LargeListArray.from_arrays(pa.array(offsets_of(size)), pa.array(flat))
 
 
-def _offsets(sizes: np.ndarray) -> np.ndarray:
+def offsets_of(sizes: np.ndarray) -> np.ndarray:
     out = np.zeros(len(sizes) + 1, np.int64)
     np.cumsum(sizes, out=out[1:])
     return out

@@ -20,10 +20,12 @@ import functools
 import itertools
 import json
 import os
+import re
 import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -31,15 +33,18 @@ from pyspark.sql import types as T
 
 from stayline.llm import huffman
 from stayline.llm.common import documents
-from stayline.llm.pieces import ENCODE_BYTES, PieceEncoder, rounds, splitter
+from stayline.llm.pieces import MARKS, SPACE_RUN, WHITE_SPACE, Memory, offsets_of, rounds, splitter
 from stayline.llm.registry import register
 from stayline.session import ensure_checkpoint_dir
 
 END_ID = 2
 BLOCK_IDS = 1 << 16
 FILE_IDS = 8_000_000
-#: Pieces that the library encodes in one call.
+#: Pieces that the library encodes in one call, and that a worker remembers.
 PHRASE = 64
+REMEMBERED = 200_000
+#: Bytes of text that one round of encoding holds.
+ENCODE_BYTES = 16_000_000
 #: Ids that are decoded together.
 DECODE_IDS = 1 << 20
 
@@ -62,7 +67,7 @@ def _encoder(content: str):
     plain = not any(a["lstrip"] or a["rstrip"] or a["single_word"] or a["normalized"] for a in added)
     if plain and not spec.get("normalizer") and pre.get("type") == "ByteLevel" and pre.get("use_regex", True) \
             and not pre.get("add_prefix_space"):
-        return PieceEncoder(splitter(tuple(a["content"] for a in added)), lambda p: _in_phrases(t, p)).encode
+        return PhraseEncoder(t, tuple(a["content"] for a in added)).encode
 
     def whole(texts: pa.Array | list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         ids = batch([x or "" for x in (texts if isinstance(texts, list) else texts.to_pylist())])
@@ -71,33 +76,116 @@ def _encoder(content: str):
     return whole
 
 
-def _in_phrases(tokenizer, pieces: list[str]) -> pa.Array:
-    """The ids of each piece.  Pieces that begin with a space and go on with
-    another symbol are given to the library in phrases, which it cuts into the
-    same pieces and numbers by their word ids."""
-    phrased = [i for i, p in enumerate(pieces) if p[0] == " " and len(p) > 1 and not p[1].isspace()]
-    groups = [phrased[k:k + PHRASE] for k in range(0, len(phrased), PHRASE)]
-    sizes = np.zeros(len(pieces), np.int64)
-    done, flat = [], []
-    for k in range(0, len(groups), PHRASE):  # the library's results are large
-        some = groups[k:k + PHRASE]
-        found = tokenizer.encode_batch(["".join([pieces[i] for i in g]) for g in some], add_special_tokens=False)
-        for g, e in zip(some, found, strict=True):
-            n = np.bincount(np.array(e.word_ids, np.int64), minlength=len(g))
-            if len(n) == len(g) and n.all():  # else one by one
-                sizes[g] = n
-                done += g
-                flat.append(np.array(e.ids, np.uint32))
-    known = np.zeros(len(pieces), bool)
-    known[done] = True
-    rest = np.flatnonzero(~known)
-    alone = [e.ids for e in tokenizer.encode_batch_fast([pieces[i] for i in rest], add_special_tokens=False)]
-    sizes[rest] = [len(x) for x in alone]
-    order = np.concatenate([np.array(done, np.int64), rest])
-    flat += [np.array(x, np.uint32) for x in alone]
-    at = np.concatenate([[0], np.cumsum(sizes[order])])
-    lists = pa.LargeListArray.from_arrays(pa.array(at), pa.array(np.concatenate(flat) if flat else np.zeros(0, np.uint32)))
-    return lists.take(pa.array(np.argsort(order)))
+#: For Arrow: a word of Latin letters, or one and a mark; a piece of a space and another symbol.
+_MARK = f"[{''.join(map(re.escape, sorted(MARKS)))}]"
+_PLAIN = rf"^[A-Za-z\x{{c0}}-\x{{d6}}\x{{d8}}-\x{{f6}}\x{{f8}}-\x{{ff}}]+{_MARK}?$"
+_SPACED = "^ [^" + re.sub(r"\\u(....)", r"\\x{\1}", WHITE_SPACE) + "]"
+
+
+def _strings(offsets: np.ndarray, data: pa.Buffer | None) -> pa.LargeStringArray:
+    return pa.LargeStringArray.from_buffers(len(offsets) - 1, pa.py_buffer(np.ascontiguousarray(offsets, np.int64)), data)
+
+
+class PhraseEncoder:
+    """Texts to ids with the tokenizers library, which is asked for distinct pieces only.
+
+    A space before another symbol always begins a piece, so a text in which
+    white space follows no space is first cut at its spaces.  Arrow finds the
+    distinct parts of a round and cuts those of a word, or of one and a mark;
+    the rest is cut by ``splitter``.  The ids of pieces are remembered."""
+
+    def __init__(self, tokenizer, specials: tuple[str, ...], size: int = REMEMBERED):
+        self.tokenizer, self.cut, self.memory = tokenizer, splitter(specials), Memory(size)
+        vocab = tokenizer.get_vocab(with_added_tokens=True)
+        self.bytes = np.zeros(max(vocab.values(), default=0) + 1, np.int64)  # of the text of an id
+        for token, i in vocab.items():  # a byte is one symbol in the vocabulary, but not in added tokens
+            self.bytes[i] = len(token.encode()) if token in specials else len(token)
+
+    def _new(self, pieces: pa.LargeStringArray) -> pa.LargeListArray:
+        """The ids of each piece.  Those of a space and another symbol are given
+        to the library in phrases.  It cuts these into the same pieces, so each
+        piece ends where an id's text does; a phrase where one does not, and
+        other pieces, are encoded one by one."""
+        phrased = pc.match_substring_regex(pieces, _SPACED).to_numpy(zero_copy_only=False)
+        whole = pieces.filter(pa.array(phrased))
+        size = np.zeros(len(pieces), np.int64)
+        at = np.flatnonzero(phrased)
+        ends = (np.frombuffer(whole.buffers()[1], np.int64)[whole.offset:] if len(whole) else np.zeros(1, np.int64))
+        flat, done = [], []
+        for k in range(0, len(whole), PHRASE * PHRASE):  # the library's results are large
+            last = min(k + PHRASE * PHRASE, len(whole))
+            starts = np.append(np.arange(k, last, PHRASE), last)
+            found = self.tokenizer.encode_batch_fast(_strings(ends[starts], whole.buffers()[2]).to_pylist(),
+                                                     add_special_tokens=False)
+            for i, j, e in zip(starts[:-1], starts[1:], found, strict=True):
+                ids = np.array(e.ids, np.uint32)
+                reached = np.cumsum(self.bytes[ids])
+                stop = np.searchsorted(reached, ends[i + 1:j + 1] - ends[i])
+                if stop[-1] == len(ids) - 1 and (reached[stop] == ends[i + 1:j + 1] - ends[i]).all():
+                    size[at[i:j]] = np.diff(stop, prepend=-1)
+                    flat.append(ids)
+                    done.append(at[i:j])
+        known = np.zeros(len(pieces), bool)
+        for i in done:
+            known[i] = True
+        rest = np.flatnonzero(~known)
+        alone = [e.ids for e in self.tokenizer.encode_batch_fast(pieces.take(pa.array(rest)).to_pylist(),
+                                                                 add_special_tokens=False)]
+        size[rest] = [len(x) for x in alone]
+        order = np.concatenate([*done, rest]).astype(np.int64)
+        flat += [np.array(x, np.uint32) for x in alone]
+        lists = pa.LargeListArray.from_arrays(pa.array(offsets_of(size[order])),
+                                              pa.array(np.concatenate(flat) if flat else np.zeros(0, np.uint32)))
+        return lists.take(pa.array(np.argsort(order)))
+
+    def _lists(self, parts: pa.LargeStringArray, literal: list[str]) -> pa.LargeListArray:
+        """The ids of the parts with a space before each, then of texts as they are."""
+        if self.cut.keeps_words:
+            plain = pc.match_substring_regex(parts, _PLAIN)
+        else:
+            plain = pa.array(np.zeros(len(parts), bool))
+        words = parts.filter(plain)
+        marked = pc.match_substring_regex(words, _MARK + "$")
+        marks = pc.utf8_slice_codeunits(words.filter(marked), -1)
+        words = pc.if_else(marked, pc.utf8_slice_codeunits(words, 0, -1), words)
+        words = pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), words, pa.scalar("", pa.large_string()))
+        plain, marked = plain.to_numpy(zero_copy_only=False), marked.to_numpy(zero_copy_only=False)
+        cuts = [*[self.cut(" " + p) for p in parts.filter(pa.array(~plain)).to_pylist()], *map(self.cut, literal)]
+        coded = pa.concat_arrays([words, marks, pa.array(itertools.chain.from_iterable(cuts), pa.large_string())]).dictionary_encode()
+
+        others = np.concatenate([np.flatnonzero(~plain), len(parts) + np.arange(len(literal))]).astype(np.int64)
+        count = np.ones(len(parts) + len(literal), np.int64)
+        simple = np.flatnonzero(plain)
+        count[simple[marked]] = 2
+        count[others] = n = np.fromiter(map(len, cuts), np.int64, len(cuts))
+        at = offsets_of(count)
+        place = np.empty(at[-1], np.int64)  # of each piece among the three kinds
+        place[at[simple]] = np.arange(len(words))
+        place[at[simple[marked]] + 1] = len(words) + np.arange(len(marks))
+        before = offsets_of(n)
+        place[np.repeat(at[others] - before[:-1], n) + np.arange(before[-1])] = len(words) + len(marks) + np.arange(before[-1])
+        lists = self.memory.fill(coded.dictionary, self._new).take(coded.indices.take(pa.array(place)))
+        return pa.LargeListArray.from_arrays(pa.array(lists.offsets.to_numpy()[at]), lists.values)
+
+    def encode(self, texts: pa.Array | list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """(offsets, ids): text i has ids[offsets[i]:offsets[i + 1]]; null is empty."""
+        texts = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
+        whole = pc.fill_null(texts, "")
+        run = pc.match_substring_regex(whole, SPACE_RUN)
+        runs = np.flatnonzero(run.to_numpy(zero_copy_only=False))
+        # A text with runs takes part as one literal part.
+        words = pc.split_pattern(pc.if_else(run, "", whole) if len(runs) else whole, " ")
+        first = words.offsets.to_numpy() - words.offsets[0].as_py()
+        coded = words.flatten().dictionary_encode()
+        at = coded.indices.to_numpy().astype(np.int64)
+        # A text's first part has no space before it.
+        heads, head_of = np.unique(at[first[:-1]], return_inverse=True)
+        n = len(coded.dictionary)
+        at[first[:-1]] = n + head_of
+        at[first[runs]] = n + len(heads) + np.arange(len(runs))
+        literal = [*coded.dictionary.take(pa.array(heads)).to_pylist(), *whole.take(pa.array(runs)).to_pylist()]
+        lists = self._lists(coded.dictionary, literal).take(pa.array(at))
+        return lists.offsets.to_numpy()[first], lists.values.to_numpy()
 
 
 def _binary(offsets: np.ndarray, data: np.ndarray) -> pa.Array:

@@ -101,3 +101,21 @@ def test_whole_text_path(spark):
     t = Tokenizer.from_str(content)
     assert [ids[s:e].tolist() for s, e in zip(at[:-1], at[1:])] == [
         t.encode(x or "", add_special_tokens=False).ids for x in texts]
+
+
+def test_phrases_give_the_librarys_ids():
+    """Special strings, runs of white space, marks, letters of all kinds and rounds beyond what is remembered."""
+    library = Tokenizer.from_file(PATH)
+    rng = random.Random(11)
+    atoms = ["word", "Éte", "naïve", "x", "İ", "日本", "क़न", "12", "a1", "it's", "we'LL", "'", "''", "...", "!?", "<|endoftext|>",
+             "<|endof", "×", "é", "e\u0301", "\u00a0", "\n", "\t", "\r\n", " ", "  ", "\u2003", "$$$", "ok.", "ok.\nthen", "👩‍👩‍👧"]
+    texts = [None, "", " ", "\n"] + ["".join(rng.choice(atoms) + rng.choice(["", " ", " "]) for _ in range(rng.randrange(1, 40)))
+                                    for _ in range(600)]
+    with open(PATH, encoding="utf-8") as f:
+        content = f.read()
+    for size in (3, 10_000):
+        encoder = token_files.PhraseEncoder(Tokenizer.from_str(content), ("<|endoftext|>",), size)
+        for k in range(0, len(texts), 97):
+            at, ids = encoder.encode(texts[k:k + 97])
+            for i, text in enumerate(texts[k:k + 97]):
+                assert ids[at[i]:at[i + 1]].tolist() == library.encode(text or "", add_special_tokens=False).ids, text
