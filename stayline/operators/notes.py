@@ -8,7 +8,7 @@ decided on the array of pieces with higher-order functions.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Patterns of the rules.
@@ -138,6 +138,63 @@ def note_sentences(segments: DataFrame, keys: list[str], text: str = "segment")
     return explode_indexed(segments, keys, sentences(F.col(text)), "sent_idx", "sentence")
 
 
+# ------------------------------------------------------------ abbreviations
+# White space, and a word (in opening marks) with or without a period behind it.
+BLANKS = r"[ \t\n\r\f]+"
+WORD = r"^[(\[\"']*(\p{L}+(?:\.\p{L}+)*)\.?$"
+#: How often an abbreviation has its period, and the score from which a word is one (Kiss and Strunk 2006).
+WITH_PERIOD = 0.99
+ABBREVIATION_SCORE = 0.3
+
+
+def last_word(text: Column) -> Column:
+    """The last word of a text, in lower case, without its period; empty if there is none."""
+    return F.lower(F.regexp_extract(F.element_at(F.split(text, BLANKS), -1), WORD, 1))
+
+
+def abbreviations(notes: DataFrame, text: str = "text") -> DataFrame:
+    """(word, n, n_period, n_before_lower, score, abbreviation) of every word
+    that stands before a period.
+
+    The score is the log-likelihood ratio of "the word has its period almost
+    always" to "as often as any word", lessened by the word's length and by
+    each occurrence without a period, and raised by periods within the word and
+    by each period before a lower-case word, which ends no sentence.  A NULL
+    text has no words; ties and repeated notes count as they stand."""
+    parts = F.split(F.col(text), BLANKS)
+    after = F.concat(F.slice(parts, 2, F.size(parts)), F.array(F.lit("")))
+    d = notes.select(F.explode(F.arrays_zip(parts.alias("part"), after.alias("after"))).alias("x"))
+    d = d.select(F.lower(F.regexp_extract("x.part", WORD, 1)).alias("word"), F.col("x.part").endswith(".").alias("period"),
+                 F.col("x.after").rlike(r"^\p{Ll}").alias("lower")).filter("word <> ''")
+    per = d.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.count_if("period").alias("n_period"),
+                                F.count_if(F.col("period") & F.col("lower")).alias("n_before_lower"))
+    base = per.agg(F.least(F.greatest(F.sum("n_period") / F.sum("n"), F.lit(1e-9)), F.lit(WITH_PERIOD)).alias("base"))
+    per = per.filter("n_period > 0").crossJoin(F.broadcast(base))  # one row
+    with_, without = F.col("n_period"), F.col("n") - F.col("n_period")
+    ratio = 2 * (with_ * F.log(F.lit(WITH_PERIOD) / F.col("base"))
+                 + without * F.log(F.lit(1 - WITH_PERIOD) / (1 - F.col("base"))))
+    letters = F.length(F.replace("word", F.lit("."), F.lit("")))
+    score = (ratio * F.exp(-letters) * (F.length("word") - letters + 1) * F.pow(letters, -without)
+             * (1 + F.col("n_before_lower")))
+    return per.select("word", "n", "n_period", "n_before_lower", F.round(score, 4).alias("score"),
+                      (F.round(score, 4) >= ABBREVIATION_SCORE).alias("abbreviation"))
+
+
+def learned_sentences(notes: DataFrame, keys: list[str], known: DataFrame, text: str = "text") -> DataFrame:
+    """N07 with the abbreviations of ``known`` (word): (keys, sent_idx,
+    sentence), where no sentence ends with one of them and its period.
+    ``keys`` identify a note."""
+    d = explode_indexed(notes, keys, sentences(F.col(text)), "__at", "__part")
+    d = d.withColumn("__word", F.when(F.col("__part").endswith("."), last_word(F.col("__part"))))
+    d = d.join(known.select(F.col("word").alias("__word"), F.lit(1).alias("__open")).distinct(), "__word", "left")
+    order = Window.partitionBy(*keys).orderBy("__at")
+    # Sentences before this one that end at a true period.
+    d = d.withColumn("sent_idx", F.count(F.when(F.col("__open").isNull(), 1)).over(
+        order.rowsBetween(Window.unboundedPreceding, -1)).cast("int"))
+    parts = F.array_sort(F.collect_list(F.struct("__at", "__part")))
+    return d.groupBy(*keys, "sent_idx").agg(F.array_join(F.transform(parts, lambda x: x["__part"]), " ").alias("sentence"))
+
+
 def notes_in_stays(notes: DataFrame, stays: DataFrame, join_key: str = "hadm_id") -> DataFrame:
     """J23 + P08: notes joined to their stays, kept when the note's date OR its
     time is not after the stay's end (a NULL in one side is tolerated); notes

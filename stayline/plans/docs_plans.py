@@ -46,6 +46,44 @@ def q_note_flat(spark, sf):
     return d.select("doc_id", N.flattened_note(F.col("text")).alias("text"))
 
 
+_BLANKS = "'[ \\t\\n\\r\\f]+'"
+_WORD = "'^[(\\[\"'']*(\\p{L}+(?:\\.\\p{L}+)*)\\.?$'"
+_ABBREVIATIONS = f"""
+part AS (SELECT unnest(l) AS p, unnest(list_append(l[2:], '')) AS after
+  FROM (SELECT string_split_regex(text, {_BLANKS}) AS l FROM documents WHERE text IS NOT NULL)),
+word AS (SELECT lower(regexp_extract(p, {_WORD}, 1)) AS word, p LIKE '%.' AS period, regexp_matches(after, '^\\p{{Ll}}') AS low
+  FROM part WHERE regexp_extract(p, {_WORD}, 1) <> ''),
+per AS (SELECT word, count(*) AS n, count(*) FILTER (period) AS n_period, count(*) FILTER (period AND low) AS n_before_lower
+  FROM word GROUP BY word),
+base AS (SELECT least(greatest(sum(n_period) / CAST(sum(n) AS DOUBLE), 1e-9), 0.99) AS base FROM per),
+score AS (SELECT *, n - n_period AS without, length(replace(word, '.', '')) AS letters FROM per, base WHERE n_period > 0),
+abbr AS (SELECT word, n, n_period, n_before_lower, round(2 * (n_period * ln(CAST(0.99 AS DOUBLE) / base)
+    + without * ln((1 - CAST(0.99 AS DOUBLE)) / (1 - base))) * exp(-letters) * (length(word) - letters + 1)
+    * pow(CAST(letters AS DOUBLE), -without) * (1 + n_before_lower), 4) AS score FROM score)"""
+
+
+@register("note_abbreviations", f"""
+WITH {_ABBREVIATIONS}
+SELECT word, n, n_period, n_before_lower, score, score >= 0.3 AS abbreviation FROM abbr""")
+def q_note_abbreviations(spark, sf):
+    """Words before a period, counted and scored as abbreviations."""
+    return N.abbreviations(docs(spark, sf))
+
+
+@register("learned_sentences", f"""
+WITH {_ABBREVIATIONS},
+sent AS (SELECT doc_id, generate_subscripts(l, 1) AS k, unnest(l) AS s FROM (SELECT doc_id, {_SENTS} AS l FROM documents)),
+open AS (SELECT doc_id, k, s, s LIKE '%.' AND lower(regexp_extract(string_split_regex(s, {_BLANKS})[-1], {_WORD}, 1)) IN (
+  SELECT word FROM abbr WHERE score >= 0.3) AS is_open FROM sent),
+numbered AS (SELECT *, CAST(count(*) FILTER (NOT is_open) OVER (
+  PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS INTEGER) AS sent_idx FROM open)
+SELECT doc_id, sent_idx, string_agg(s, ' ' ORDER BY k) AS sentence FROM numbered GROUP BY doc_id, sent_idx""")
+def q_learned_sentences(spark, sf):
+    """Sentences that do not end at the corpus's own abbreviations."""
+    d = docs(spark, sf)
+    return N.learned_sentences(d, ["doc_id"], N.abbreviations(d).filter("abbreviation"))
+
+
 @register("note_deid", """
 SELECT doc_id, CAST(len(regexp_extract_all(text, '(?i)\\[\\*\\*.{0,15}.*?\\*\\*\\]')) AS INTEGER) AS n_deid FROM documents""")
 def q_note_deid(spark, sf):

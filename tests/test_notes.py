@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from stayline.operators.notes import is_title, segment_notes, sentences
+from stayline.operators.notes import abbreviations, is_title, learned_sentences, segment_notes, sentences
 
 
 def segments(spark, text):
@@ -66,3 +66,28 @@ def test_notes_in_stays_time_bound(spark):
         "hadm_id long, chartdate timestamp_ntz, charttime timestamp_ntz, iserror int, text string")
     stays = spark.createDataFrame([(1, 10, datetime(2100, 1, 5))], "hadm_id long, icustay_id long, outtime timestamp_ntz")
     assert sorted(r.text for r in notes_in_stays(notes, stays).collect()) == ["a", "b"]
+
+
+def test_planted_abbreviations_do_not_split(spark):
+    rows = [(i, f"Seen by Dr. Smith today. The patient took 5 mg. of aspirin at home. Call Dr. Jones about the e.g. Lasix dose. "
+                f"The patient is at home. Aspirin today helped Smith. The dose at home helped patient {i}.") for i in range(40)]
+    rows += [(100, None), (101, ""), (102, " \n "), (103, "Dr. Alone")]
+    notes = spark.createDataFrame(rows, "doc_id long, text string")
+    table = {r.word: r for r in abbreviations(notes).collect()}
+    assert {w for w, r in table.items() if r.abbreviation} == {"dr", "mg", "e.g"}
+    assert (table["dr"].n, table["dr"].n_period, table["dr"].n_before_lower) == (81, 81, 0)
+    assert table["mg"].n_before_lower == 40
+    assert (table["home"].n, table["home"].n_period) == (120, 80) and not table["home"].abbreviation
+    assert (table["smith"].n, table["smith"].n_period) == (80, 40)
+    got = {}
+    for r in learned_sentences(notes, ["doc_id"], abbreviations(notes).filter("abbreviation")).orderBy("doc_id", "sent_idx").collect():
+        got.setdefault(r.doc_id, []).append((r.sent_idx, r.sentence))
+    assert got[7] == list(enumerate([
+        "Seen by Dr. Smith today.", "The patient took 5 mg. of aspirin at home.", "Call Dr. Jones about the e.g. Lasix dose.",
+        "The patient is at home.", "Aspirin today helped Smith.", "The dose at home helped patient 7."]))
+    assert got[103] == [(0, "Dr. Alone")] and 100 not in got and 102 not in got
+
+
+def test_no_notes_have_no_abbreviations(spark):
+    none = spark.createDataFrame([], "doc_id long, text string")
+    assert abbreviations(none).count() == 0 and learned_sentences(none, ["doc_id"], abbreviations(none)).count() == 0
