@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -31,21 +34,96 @@ def save_bucketed(df: DataFrame, table_name: str, key: list[str], buckets: int,
     df.write.mode(mode).bucketBy(buckets, *key).sortBy(*key).saveAsTable(table_name)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(conf).exists(p)
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def reuse_or_compute(spark: SparkSession, path: str, compute: Callable[[], DataFrame], mode: int = 1) -> DataFrame:
-    """S17 extraction modes: 0 = only reload, 1 = reload if present else compute
-    and save, 2 = always recompute and overwrite."""
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _file_system(spark, path)
+    return fs.exists(p)
+
+
+#: What a table was made of; Spark does not read files that begin with ``_``.
+MANIFEST = "_manifest.json"
+
+
+def _files(spark: SparkSession, path: str, times: bool) -> list[list]:
+    """[name, length(, time)] of the files at ``path``, sorted; those that begin with ``_`` or ``.`` are left out."""
+    fs, root = _file_system(spark, path)
+    root = fs.makeQualified(root)
+    found, out = fs.listFiles(root, True), []
+    while found.hasNext():
+        f = found.next()
+        if f.getPath().getName()[:1] not in ("_", "."):
+            name = f.getPath().toString()[len(root.toString()):]
+            out.append([name, f.getLen(), *([f.getModificationTime()] if times else [])])
+    return sorted(out)
+
+
+def fingerprint(spark: SparkSession, inputs: Sequence[str], params: object = None) -> str:
+    """A hash of the input paths with their files' names, lengths and times, and
+    of the parameters (what JSON can state).  A missing input is an error."""
+    state = {"inputs": [[p, _files(spark, p, times=True)] for p in inputs], "params": params}
+    return hashlib.sha256(json.dumps(state, sort_keys=True).encode()).hexdigest()
+
+
+def _read_manifest(spark: SparkSession, path: str) -> dict | None:
+    fs, p = _file_system(spark, f"{path.rstrip('/')}/{MANIFEST}")
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    except Py4JJavaError as e:
+        if e.java_exception.getClass().getSimpleName() != "ChecksumException":
+            raise
+        return None  # damaged
+    finally:
+        stream.close()
+    try:
+        return json.loads(text)
+    except ValueError:
+        return None
+
+
+def _write_manifest(spark: SparkSession, path: str, manifest: dict) -> None:
+    fs, p = _file_system(spark, f"{path.rstrip('/')}/{MANIFEST}")
+    _, work = _file_system(spark, f"{path.rstrip('/')}/{MANIFEST}.work")
+    stream = fs.create(work, True)
+    try:
+        stream.write(bytearray(json.dumps(manifest, sort_keys=True).encode()))
+    finally:
+        stream.close()
+    if not fs.rename(work, p):
+        raise OSError(f"cannot publish {p}")
+
+
+def is_current(spark: SparkSession, path: str, wanted: str) -> bool:
+    """Whether ``path`` holds a table that was written whole, from what ``wanted``
+    says, and has all its files still."""
+    manifest = _read_manifest(spark, path)
+    return (manifest is not None and manifest.get("fingerprint") == wanted
+            and manifest.get("files") == _files(spark, path, times=False))
+
+
+def reuse_or_compute(spark: SparkSession, path: str, compute: Callable[[], DataFrame], mode: int = 1,
+                     inputs: Sequence[str] = (), params: object = None) -> DataFrame:
+    """S17 extraction modes: 0 = only reload, 1 = reload if current else compute
+    and save, 2 = always recompute and overwrite.
+
+    The table is current if its manifest, which is written last and published
+    by a rename, states the fingerprint of ``inputs`` (paths) and ``params`` and
+    the files that are there.  So a changed input or parameter, a write that was
+    ended, or a lost file recomputes.  The fingerprint is taken before
+    ``compute`` is asked; an input that changes meanwhile is noticed next time.
+    ``compute`` must not read ``path``.  Mode 0 reads what is there unchecked."""
     if mode == 0:
         return spark.read.parquet(path)
-    if mode == 1 and path_exists(spark, path):
-        return spark.read.parquet(path)
-    compute().write.mode("overwrite").parquet(path)
+    wanted = fingerprint(spark, inputs, params)
+    if mode == 2 or not is_current(spark, path, wanted):
+        compute().write.mode("overwrite").parquet(path)  # takes the former manifest away first
+        _write_manifest(spark, path, {"fingerprint": wanted, "files": _files(spark, path, times=False)})
     return spark.read.parquet(path)
 
 

@@ -61,6 +61,40 @@ def test_spec_file_and_keyed_store(spark, scratch):
     assert [r.name for r in FS.column_listing(spark, df).collect()] == ["k", "v"]
 
 
+def test_reuse_notices_changes_and_broken_writes(spark, scratch):
+    source, path = os.path.join(scratch, "in"), os.path.join(scratch, "out")
+    calls = []
+
+    def ask(mode=1, params=None, fail=False):
+        def compute():
+            calls.append(1)
+            d = spark.read.parquet(source).repartition(2)
+            return d.withColumn("v", F.raise_error(F.lit("ended"))) if fail else d
+        return FS.reuse_or_compute(spark, path, compute, mode, [source], params)
+
+    spark.range(5).write.parquet(source)
+    assert ask().count() == 5 and ask().count() == 5 and len(calls) == 1
+    spark.range(7).write.mode("append").parquet(source)              # a changed input
+    assert ask().count() == 12 and len(calls) == 2
+    assert ask(params={"min": 1}).count() == 12 and len(calls) == 3  # a changed parameter
+    ask(params={"min": 1})
+    assert len(calls) == 3 and ask(0).count() == 12
+    with pytest.raises(Exception):
+        ask(params={"min": 2}, fail=True)                            # an ended write leaves nothing that counts
+    assert ask(params={"min": 2}).count() == 12 and len(calls) == 5
+    part = next(f for f in sorted(os.listdir(path)) if f.startswith("part-"))
+    os.truncate(os.path.join(path, part), 10)                        # a damaged file
+    assert ask(params={"min": 2}).count() == 12 and len(calls) == 6
+    with open(os.path.join(path, FS.MANIFEST), "w") as fh:
+        fh.write("{half")
+    ask(params={"min": 2})
+    assert len(calls) == 7
+    spark.range(1).write.mode("overwrite").parquet(path)             # a table of other make
+    assert ask(params={"min": 2}).count() == 12 and len(calls) == 8
+    with pytest.raises(Exception):
+        FS.reuse_or_compute(spark, path, lambda: None, 1, [os.path.join(scratch, "nowhere")])
+
+
 def test_mapping_and_range_csv(spark, scratch):
     vm = os.path.join(scratch, "map.csv")
     with open(vm, "w") as fh:
