@@ -16,6 +16,14 @@ ETHNICITY_LABELS = {"HISPANIC": "HISPANIC/LATINO"}
 # Age buckets (lower, upper] with their labels and the strict bands (lower, upper).
 AGE_BUCKETS = ((10, 30, "<31"), (30, 50, "31-50"), (50, 70, "51-70"))
 AGE_BANDS_STRICT = ((0, 45), (45, 65), (65, 90), (90, 500))
+# What a text contains and its group, in match order; anything else, NULL too, is OTHER.
+ALONE = "SINGLE/SEPARATED/DIVORCED/WIDOW"
+MARITAL_RULES = (("DIVORCED", ALONE), ("SEPARATED", ALONE), ("SINGLE", ALONE), ("WIDOWED", ALONE),
+                 ("LIFE PARTNER", "MARRIED"), ("MARRIED", "MARRIED"))
+INSURANCE_RULES = (("Government", "GOVERNMENT"), ("Private", "PRIVATE"), ("Self Pay", "SELF PAY"),
+                   ("Medicare", "MEDICARE/MEDICAID"), ("Medicaid", "MEDICARE/MEDICAID"))
+ADMISSION_LOCATION_RULES = (("REFERRAL", "REFERRAL"), ("EMERGENCY", "EMERGENCY"), ("TRANSFER", "TRANSFER"), ("TRSF", "TRANSFER"))
+DIAGNOSIS_RULES = (("SEPSIS", "SEPSIS"),)
 
 
 def _c(x) -> Column:
@@ -38,6 +46,11 @@ def categorize_ethnicity(col, with_native: bool = False) -> Column:
     return first_match(col, order, labels=[ETHNICITY_LABELS.get(n, n) for n in order])
 
 
+def by_rules(col, rules, other: str = "OTHER") -> Column:
+    """group of the first rule (needle, group) that fits."""
+    return first_match(col, [n for n, _ in rules], other, [g for _, g in rules])
+
+
 def categorize_age(col) -> Column:
     """(10,30] is <31, (30,50] 31-50, (50,70] 51-70, else >70 — ages ≤ 10 fall in the last bucket."""
     c = _c(col)

@@ -282,16 +282,27 @@ def q_design_matrix(spark, sf):
 
 
 def random_times(stays, stay: str, end_hours: str, death_hours: str | None = None, t_before: float | None = None,
-                 seed: int = 111, name: str = "t"):
+                 seed: int = 111, name: str = "t", censor_hours: str | None = None, t_to_death: float | None = None):
     """Window end drawn uniformly in [0, end - T) per stay (floor,
-    negatives → 0), end = discharge or earlier death; the draw is a hash of
-    (stay, seed) so it never depends on partitioning."""
+    negatives → 0), end = discharge or earlier death or, with
+    ``censor_hours``, the still earlier time of censoring; the draw is a hash of
+    (stay, seed) so it never depends on partitioning.
+
+    ``t_to_death`` fixes the time of those who die at most that many hours after
+    discharge: that many hours before their death, whatever was drawn (a
+    fraction of an hour, negative for an early death); ``name`` is a double then."""
     end = F.col(end_hours)
     if death_hours is not None:
         end = F.when(F.col(death_hours).isNotNull() & (F.col(death_hours) < end), F.col(death_hours)).otherwise(end)
+    if censor_hours is not None:
+        end = F.when(F.col(censor_hours) < end, F.col(censor_hours)).otherwise(end)  # NULL: not censored
     span = end - F.lit(t_before) if t_before is not None else end
-    t = F.floor(uniform(seed, stay) * span)
-    return stays.withColumn(name, F.greatest(t, F.lit(0)).cast("bigint"))
+    t = F.greatest(F.floor(uniform(seed, stay) * span), F.lit(0)).cast("bigint")
+    if t_to_death is not None:
+        if death_hours is None:
+            raise ValueError("t_to_death needs death_hours")
+        t = F.when(F.col(death_hours) - F.col(end_hours) <= t_to_death, F.col(death_hours) - t_to_death).otherwise(t.cast("double"))
+    return stays.withColumn(name, t)
 
 
 @register("random_design_matrix", _dm_sql(f"""
@@ -312,6 +323,30 @@ def q_random_design_matrix(spark, sf):
     return rounded(design_matrix(w, tg, "user_id", DM_VARS).join(tg, "user_id"))
 
 
+@register("death_design_matrix", _dm_sql(f"""
+  SELECT user_id, CASE WHEN d.h - s.max_hours <= 6 THEN round(d.h - 6, 6) ELSE greatest(floor({uniform_sql(111, 's.user_id')} * (
+    least(CASE WHEN d.h < s.max_hours THEN d.h ELSE CAST(s.max_hours AS DOUBLE) END, coalesce(c.h, 1e18)))), 0) END AS t
+  FROM s LEFT JOIN (SELECT e.user_id, max(date_diff('microsecond', s.intime, e.ts)) / CAST(3600000000 AS DOUBLE) AS h
+                    FROM events e JOIN s USING (user_id) WHERE e.event_type = 'error' GROUP BY e.user_id) d USING (user_id)
+  LEFT JOIN (SELECT e.user_id, min(date_diff('microsecond', s.intime, e.ts)) / CAST(3600000000 AS DOUBLE) AS h
+             FROM events e JOIN s USING (user_id) WHERE e.event_type = 'signup' GROUP BY e.user_id) c USING (user_id)""", ", t"))
+def q_death_design_matrix(spark, sf):
+    """D23 (M08): design matrix 6 hours before the death of those who die, at a
+    random hour of the others (death = last error event, censored at the first signup)."""
+    w, s = EP.wide_grid(spark, sf)
+    at = EP.events(spark, sf).filter(F.col("event_type").isin("error", "signup")).groupBy("user_id").agg(
+        F.max(F.when(F.col("event_type") == "error", F.col("ts"))).alias("__d"),
+        F.min(F.when(F.col("event_type") == "signup", F.col("ts"))).alias("__c"))
+
+    def hours(ts):
+        return F.timestamp_diff("MICROSECOND", F.col("intime"), F.col(ts)) / HOUR_US
+    st = s.join(at, "user_id", "left").select("user_id", F.col("max_hours").cast("double").alias("end_h"),
+                                              hours("__d").alias("death_h"), hours("__c").alias("censor_h"))
+    tg = random_times(st, "user_id", "end_h", "death_h", censor_hours="censor_h", t_to_death=6.0)
+    tg = tg.select("user_id", F.round("t", 6).alias("t"))
+    return rounded(design_matrix(w, tg, "user_id", DM_VARS).join(tg, "user_id"))
+
+
 # ------------------------------------------------------------- D29 task table
 TASK_WINDOW, TASK_GAP = 24, 6
 

@@ -13,7 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayline.functions.categorize import age_band_strict, categorize_age, first_match, flag
+from stayline.functions.categorize import (ADMISSION_LOCATION_RULES, DIAGNOSIS_RULES, INSURANCE_RULES, MARITAL_RULES,
+                                          age_band_strict, by_rules, categorize_age, first_match, flag)
 from stayline.functions.timefns import add_seconds, calendar_age, diff_us
 from stayline.operators import stats as S
 from stayline.operators.codes import ordered_codes
@@ -255,6 +256,45 @@ def q_categories(spark, sf):
                     flag(F.col("c_mktsegment") == "BUILDING").alias("is_building"))
 
 
+# How columns of the given tables stand for the recorded texts.
+MARITAL_TEXTS = {0: "SINGLE", 1: "MARRIED", 2: "WIDOWED", 3: "DIVORCED", 4: "LIFE PARTNER", 5: "SEPARATED", 6: "UNKNOWN (DEFAULT)"}
+INSURANCE_TEXTS = {"AUTOMOBILE": "Private", "BUILDING": "Medicare", "FURNITURE": "Self Pay", "HOUSEHOLD": "Medicaid",
+                   "MACHINERY": "Government"}
+LOCATION_TEXTS = {"1-URGENT": "EMERGENCY ROOM ADMIT", "2-HIGH": "CLINIC REFERRAL/PREMATURE",
+                  "3-MEDIUM": "TRANSFER FROM HOSP/EXTRAM", "4-NOT SPECIFIED": None, "5-LOW": "TRSF WITHIN THIS FACILITY"}
+DIAGNOSIS_TEXTS = {"F": "URINARY TRACT INFECTION;SEPSIS", "O": "CHEST PAIN", "P": None}
+
+
+def _text_of(key, texts: dict):
+    """The text that ``texts`` states for a value."""
+    out = F.lit(None).cast("string")
+    for value, text in texts.items():
+        out = F.when(key == F.lit(value), F.lit(text).cast("string")).otherwise(out)
+    return out
+
+
+@register("admission_groups", """
+SELECT o_orderkey,
+  CASE WHEN c_nationkey % 7 IN (0, 2, 3, 5) THEN 'SINGLE/SEPARATED/DIVORCED/WIDOW'
+       WHEN c_nationkey % 7 IN (1, 4) THEN 'MARRIED' ELSE 'OTHER' END AS marital_group,
+  CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'PRIVATE' WHEN 'BUILDING' THEN 'MEDICARE/MEDICAID' WHEN 'FURNITURE' THEN 'SELF PAY'
+       WHEN 'HOUSEHOLD' THEN 'MEDICARE/MEDICAID' WHEN 'MACHINERY' THEN 'GOVERNMENT' ELSE 'OTHER' END AS insurance_group,
+  CASE o_orderpriority WHEN '1-URGENT' THEN 'EMERGENCY' WHEN '2-HIGH' THEN 'REFERRAL' WHEN '3-MEDIUM' THEN 'TRANSFER'
+       WHEN '5-LOW' THEN 'TRANSFER' ELSE 'OTHER' END AS location_group,
+  CASE o_orderstatus WHEN 'F' THEN 'SEPSIS' ELSE 'OTHER' END AS diagnosis_group
+FROM orders LEFT JOIN customer ON o_custkey = c_custkey""")
+def q_admission_groups(spark, sf):
+    """marital status, insurance, admission location and diagnosis of each admission, grouped."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus")
+    c = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey", "c_mktsegment")
+    d = o.join(c, "o_custkey", "left")
+    return d.select("o_orderkey",
+                    by_rules(_text_of(F.col("c_nationkey") % 7, MARITAL_TEXTS), MARITAL_RULES).alias("marital_group"),
+                    by_rules(_text_of(F.col("c_mktsegment"), INSURANCE_TEXTS), INSURANCE_RULES).alias("insurance_group"),
+                    by_rules(_text_of(F.col("o_orderpriority"), LOCATION_TEXTS), ADMISSION_LOCATION_RULES).alias("location_group"),
+                    by_rules(_text_of(F.col("o_orderstatus"), DIAGNOSIS_TEXTS), DIAGNOSIS_RULES).alias("diagnosis_group"))
+
+
 @register("died_within", "WITH " + SQL_STAYS + f"""
 SELECT icustay_id, CAST(CASE WHEN deathtime < intime + INTERVAL {DIED_WITHIN_SECONDS} SECOND THEN 1 ELSE 0 END AS INTEGER) AS died_within
 FROM st""")

@@ -154,3 +154,35 @@ def test_age_buckets(spark):
     df = spark.createDataFrame([(a,) for a in (5.0, 10.0, 10.5, 30.0, 30.5, 50.0, 51.0, 70.0, 70.5)], "a double")
     assert [r[0] for r in df.coalesce(1).select(categorize_age("a")).collect()] == [
         ">70", ">70", "<31", "<31", "31-50", "31-50", "51-70", "51-70", ">70"]
+
+
+def test_group_rules_in_match_order(spark):
+    from stayline.functions import categorize as C
+    cases = [(C.MARITAL_RULES, {"SINGLE": C.ALONE, "WIDOWED": C.ALONE, "DIVORCED": C.ALONE, "SEPARATED": C.ALONE,
+                                "LIFE PARTNER": "MARRIED", "MARRIED": "MARRIED", "": "OTHER", None: "OTHER", "single": "OTHER"}),
+             (C.INSURANCE_RULES, {"Government": "GOVERNMENT", "Private": "PRIVATE", "Self Pay": "SELF PAY",
+                                  "Medicare": "MEDICARE/MEDICAID", "Medicaid": "MEDICARE/MEDICAID", None: "OTHER"}),
+             (C.ADMISSION_LOCATION_RULES, {"PHYS REFERRAL/NORMAL DELI": "REFERRAL", "EMERGENCY ROOM ADMIT": "EMERGENCY",
+                                           "TRANSFER FROM SKILLED NUR": "TRANSFER", "TRSF WITHIN THIS FACILITY": "TRANSFER",
+                                           "EMERGENCY REFERRAL": "REFERRAL", "** INFO NOT AVAILABLE **": "OTHER"}),
+             (C.DIAGNOSIS_RULES, {"UROSEPSIS;FEVER": "SEPSIS", "FEVER": "OTHER", None: "OTHER"})]
+    for rules, want in cases:
+        d = spark.createDataFrame([(k,) for k in want], "t string")
+        assert {r.t: r.g for r in d.select("t", C.by_rules("t", rules).alias("g")).collect()} == want
+
+
+def test_window_ends_before_death_and_censoring(spark):
+    from stayline.functions.hashing import uniform
+    from stayline.plans.features_plans import random_times
+    rows = [(1, 40.0, None, None), (2, 40.0, 30.5, None), (3, 40.0, 46.0, 10.0), (4, 40.0, 46.5, 10.0), (5, 40.0, 4.0, None),
+            (6, 40.0, None, 12.0), (7, 40.0, None, 50.0), (8, 3.0, None, None)]
+    st = spark.createDataFrame(rows, "s long, end double, death double, censor double")
+    u = {r.s: r.u for r in st.select("s", uniform(111, "s").alias("u")).collect()}
+    got = {r.s: r.t for r in random_times(st, "s", "end", "death", censor_hours="censor", t_to_death=6.0).collect()}
+    assert (got[2], got[3], got[5]) == (24.5, 40.0, -2.0)     # six hours before death, also of deaths up to 6 h after the end
+    assert got[4] == int(u[4] * 10) and got[6] == int(u[6] * 12)  # later deaths and others: drawn, up to censoring
+    assert got[1] == int(u[1] * 40) and got[7] == int(u[7] * 40)
+    plain = {r.s: r.t for r in random_times(st, "s", "end", "death", t_before=6.0).collect()}
+    assert plain[8] == 0 and plain[2] == int(u[2] * 24.5)
+    with pytest.raises(ValueError):
+        random_times(st, "s", "end", t_to_death=6.0)
