@@ -122,3 +122,34 @@ def test_querier_and_cohort_restriction(spark):
 def test_mean_only_projection(spark):
     w = spark.createDataFrame([(1, 0, 1.0, 0.5, 2)], "s long, hours_in long, hr_mean double, hr_std double, hr_count long")
     assert mean_only(w).columns == ["s", "hours_in", "hr_mean"]
+
+
+def test_report_and_sorted_sinks(spark, scratch):
+    """S15, O02, P20."""
+    from stayline.operators.hourly import lower_columns
+    rows = [(2, 1, 5.0, "x"), (1, 2, None, "y"), (1, 1, 7.0, "z")]
+    d = spark.createDataFrame(rows, "Stay long, HOUR int, b double, A string")
+    low = lower_columns(d)
+    assert low.columns == ["stay", "hour", "b", "a"]
+    out = FS.sorted_output(low, ["stay", "hour"])
+    assert out.columns == ["stay", "hour", "a", "b"]
+    assert [tuple(r) for r in out.collect()] == [(1, 1, "z", 7.0), (1, 2, "y", None), (2, 1, "x", 5.0)]
+    path = os.path.join(scratch, "summary")
+    FS.write_summary_csv(low, path)
+    assert len([f for f in os.listdir(path) if f.endswith(".csv")]) == 1
+    back = spark.read.option("header", True).schema(low.schema).csv(path)
+    assert sorted(map(str, back.collect())) == sorted(map(str, low.collect()))
+    FS.write_summary_csv(low.limit(0), path)
+    assert spark.read.option("header", True).csv(path).count() == 0
+
+
+def test_holdout_within_one_part(spark):
+    """Only subjects of the part, about the share, whole subjects, alike in any partitioning."""
+    from stayline.operators.splits import holdout_within
+    d = spark.range(4000).select((F.col("id") % 2000).alias("s"), F.when(F.col("id") % 2000 < 1500, "train").otherwise("test").alias("part"))
+    out = holdout_within(d, "s", "part", "train", 0.2)
+    held = {r.s for r in out.filter("early_stop").collect()}
+    assert max(held) < 1500 and 0.16 < len(held) / 1500 < 0.24
+    assert out.filter("early_stop").count() == 2 * len(held)
+    again = holdout_within(d.repartition(7), "s", "part", "train", 0.2)
+    assert held == {r.s for r in again.filter("early_stop").collect()}
