@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayline.functions.timefns import add_hours, floor_hours
+from stayline.operators.hourly import fill_hours, spread_by_stay
 from stayline.operators.ordered import lag_within
 
 
@@ -23,9 +24,9 @@ def bolus_intervals(df: DataFrame, time_col: str = "charttime") -> DataFrame:
     return df.withColumn("starttime", F.col(time_col)).withColumn("endtime", F.col(time_col))
 
 
-def interval_hours(intervals: DataFrame, stays: DataFrame, stay: str, name: str | None,
+def interval_spans(intervals: DataFrame, stays: DataFrame, stay: str, name: str | None,
                    start: str = "starttime", end: str = "endtime", name_col: str | None = None) -> DataFrame:
-    """(stay, hours_in, name) for every hour an interval touches.
+    """(stay, __from, __to, __iv): the first and last hour an interval touches.
 
     Only intervals that start and end inside the stay are used (P07), hours
     run floor((start-intime)/1h) .. floor((end-intime)/1h) inclusive."""
@@ -35,17 +36,28 @@ def interval_hours(intervals: DataFrame, stays: DataFrame, stay: str, name: str
     d = d.filter(F.col(start).between(F.col("__in"), F.col("__out"))
                  & F.col(end).between(F.col("__in"), F.col("__out")))
     sh, eh = floor_hours("__in", start), floor_hours("__in", end)
-    d = d.filter(eh >= sh)
-    return d.select(stay, F.explode(F.sequence(sh, eh)).alias("hours_in"), "__iv")
+    return d.filter(eh >= sh).select(stay, sh.alias("__from"), eh.alias("__to"), "__iv")
 
 
-def hourly_indicators_from(grid: DataFrame, stay: str, expanded: DataFrame, names: list[str]) -> DataFrame:
-    """Like ``hourly_indicators`` for one expanded table whose ``__iv``
-    column names the intervention (one join to the stays for all of them)."""
-    g = grid.select(stay, "hours_in", F.lit(None).cast("string").alias("__iv"))
-    u = g.unionByName(expanded.select(stay, "hours_in", "__iv"))
+def interval_hours(intervals: DataFrame, stays: DataFrame, stay: str, name: str | None,
+                   start: str = "starttime", end: str = "endtime", name_col: str | None = None) -> DataFrame:
+    """(stay, hours_in, name) for every hour an interval touches."""
+    d = interval_spans(intervals, stays, stay, name, start, end, name_col)
+    return d.select(stay, F.explode(F.sequence("__from", "__to")).alias("hours_in"), "__iv")
+
+
+def hourly_indicators_from(stays: DataFrame, stay: str, spans: DataFrame, names: list[str]) -> DataFrame:
+    """Like ``hourly_indicators`` on the whole grid of ``stays`` (with max_hours)
+    for one table of ``interval_spans`` whose ``__iv`` names the intervention (one
+    join to the stays for all of them).  Spans of the same hours count once, so
+    a stay with many events an hour is no heavier than its hours; spans
+    become hours only where their stay's task holds them."""
+    d = spread_by_stay(spans.select(stay, "__from", "__to", "__iv").distinct(), stays, [stay])
+    hours = F.when(F.col("__last").isNull(), F.sequence("__from", "__to"))
+    d = d.select(stay, "__iv", "__last", F.explode_outer(hours).alias("hours_in"))
     aggs = [F.max(F.when(F.col("__iv") == nm, 1).otherwise(0)).cast("int").alias(nm) for nm in names]
-    return u.groupBy(stay, "hours_in").agg(*aggs)
+    d = fill_hours(d.groupBy(stay, "hours_in", "__last").agg(*aggs), [stay])
+    return d.select(stay, "hours_in", *[F.coalesce(F.col(nm), F.lit(0)).alias(nm) for nm in names])
 
 
 def hourly_indicators(grid: DataFrame, stay: str, parts: dict[str, DataFrame]) -> DataFrame:

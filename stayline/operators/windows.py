@@ -74,7 +74,8 @@ def binary_labels(grid: DataFrame, stay: str, flag: str, slice_size: int = 6, ga
     return d.select(stay, F.col("hours_in").alias("start_hour"), F.col("__pmax").alias("label"))
 
 
-def rolling_lookback(grid: DataFrame, stay: str, cols: list[str], hours: int = 4, first: bool = False) -> DataFrame:
+def rolling_lookback(grid: DataFrame, stay: str, cols: list[str], hours: int = 4, first: bool = False,
+                     parted: bool = False) -> DataFrame:
     """Features over hours ``t-hours .. t`` at every row of ``grid`` (W11, J17):
     last non-NULL (with ``first`` the first one too), min, max and sum of each
     column.  ``grid`` has one row for a stay and hour, hours without a row
@@ -83,7 +84,8 @@ def rolling_lookback(grid: DataFrame, stay: str, cols: list[str], hours: int = 4
     The hours are cut into blocks of the window's length.  A window is the end
     of one block and the beginning of the next: running aggregates forwards
     give every beginning, running ones backwards every end, so the work does
-    not grow with the length, as that of a sliding frame does."""
+    not grow with the length, as that of a sliding frame does.  A ``grid`` that
+    is partitioned by stay, as the hourly one is, is not shuffled again with ``parted``."""
     size, other = hours + 1, [c for c in grid.columns if c not in (stay, "hours_in")]
     start = F.col("hours_in") - hours
     # A row as itself and, unless its window is a whole block, as a question at its window's start.
@@ -92,7 +94,7 @@ def rolling_lookback(grid: DataFrame, stay: str, cols: list[str], hours: int = 4
     d = grid.select(stay, "hours_in", *other, F.explode(F.filter(F.array(own, ask), lambda x: x.isNotNull())).alias("__r"))
     d = d.select("*", F.col("__r.ask").alias("__ask"), F.col("__r.at").alias("__at"),
                  F.floor(F.col("__r.at") / size).alias("__block")).drop("__r")
-    d = d.repartition(stay)  # serves the windows and the grouping; a stay has a row an hour at most
+    d = d if parted else d.repartition(stay)  # serves the windows and the grouping; a stay has a row an hour at most
     to_here = (Window.unboundedPreceding, 0)
     fore = Window.partitionBy(stay, "__block").orderBy("__at", "__ask").rowsBetween(*to_here)
     back = Window.partitionBy(stay, "__block").orderBy(F.desc("__at"), "__ask").rowsBetween(*to_here)

@@ -19,7 +19,7 @@ from stayline.operators.dims import local_dim
 from stayline.operators.features import label_features
 from stayline.operators.impute import global_means_from_long, simple_impute
 from stayline.operators.interval_join import events_in_windows
-from stayline.operators.intervals import bolus_intervals, hourly_indicators_from, interval_hours, next_start_end
+from stayline.operators.intervals import bolus_intervals, hourly_indicators_from, interval_spans, next_start_end
 from stayline.operators.sessions import flag_any, gap_sessions
 from stayline.operators import stats as S
 from stayline.operators.windows import binary_labels, rolling_lookback, to_sequence, transition_labels
@@ -90,7 +90,7 @@ def long_stats(spark, sf) -> DataFrame:
 
 def wide_grid(spark, sf) -> tuple[DataFrame, DataFrame]:
     M, s = measurements(spark, sf)
-    return H.hourly_wide(M, H.hour_grid(s, ID), VARIABLES, True, ID), s
+    return H.hourly_wide(M, s, VARIABLES, True, ID), s
 
 
 def long_and_wide(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -98,12 +98,12 @@ def long_and_wide(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
     plan using both shares (reuses) the long aggregation's shuffle."""
     M, s = measurements(spark, sf)
     long = H.hourly_long(M, True, ID)
-    return long, H.long_to_wide(long, H.hour_grid(s, ID), VARIABLES, ID), s
+    return long, H.long_to_wide(long, s, VARIABLES, ID), s
 
 
 def indicator_grid(spark, sf) -> DataFrame:
-    """All interventions expanded in one pass: the typed intervals and the
-    boluses are unioned first, so the stays are joined and exploded once."""
+    """All interventions placed in one pass: the typed intervals and the
+    boluses are unioned first, so the stays are joined once."""
     ev = events(spark, sf)
     s = stays(ev)
     nx = next_start_end(ev.select(STAY, "event_id", "event_type", "ts"), [STAY], "ts",
@@ -112,9 +112,9 @@ def indicator_grid(spark, sf) -> DataFrame:
         STAY, "starttime", "endtime", F.concat(F.col("event_type"), F.lit("_on")).alias("name"))
     bol = bolus_intervals(ev.filter(F.col("event_type") == BOLUS_TYPE).select(STAY, "ts"), "ts").select(
         STAY, "starttime", "endtime", F.lit(f"{BOLUS_TYPE}_bolus").alias("name"))
-    expanded = interval_hours(iv.unionByName(bol), s, STAY, None, name_col="name")
+    spans = interval_spans(iv.unionByName(bol), s, STAY, None, name_col="name")
     names = [f"{t}_on" for t in INTERVAL_TYPES] + [f"{BOLUS_TYPE}_bolus"]
-    return hourly_indicators_from(H.hour_grid(s, ID), STAY, expanded, names)
+    return hourly_indicators_from(s, STAY, spans, names)
 
 
 # ---------------------------------------------------------------- oracle SQL
@@ -410,7 +410,7 @@ FROM w WINDOW r AS (PARTITION BY user_id ORDER BY hours_in RANGE BETWEEN 4 PRECE
 def q_rolling_lookback(spark, sf):
     """Look-back features over hours t-4..t at every hour of the stay."""
     w, _ = wide_grid(spark, sf)
-    return rounded(rolling_lookback(w.select(STAY, "hours_in", "click_mean"), STAY, ["click_mean"], 4))
+    return rounded(rolling_lookback(w.select(STAY, "hours_in", "click_mean"), STAY, ["click_mean"], 4, parted=True))
 
 
 @register("value_at_hour", SQL_LONG + """,

@@ -151,9 +151,9 @@ def q_early_lookback(spark, sf):
     """First and last values over the look-back window and over the longer early one."""
     w, _ = EP.wide_grid(spark, sf)
     d = w.select(EP.STAY, "hours_in", "click_mean")
-    late = rolling_lookback(d, EP.STAY, ["click_mean"], 4, first=True)
+    late = rolling_lookback(d, EP.STAY, ["click_mean"], 4, first=True, parted=True)
     both = rolling_lookback(late.withColumnsRenamed({"click_mean_first": "f", "click_mean_last": "l"}),
-                            EP.STAY, ["click_mean"], 4 + EARLY, first=True)
+                            EP.STAY, ["click_mean"], 4 + EARLY, first=True, parted=True)
     return rounded(both.select(EP.STAY, "hours_in", F.col("f").alias("click_mean_first"), F.col("l").alias("click_mean_last"),
                                F.col("click_mean_first").alias("click_mean_first_early"),
                                F.col("click_mean_last").alias("click_mean_last_early")))
