@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import random
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier,
                                        RandomForestClassifier)
@@ -167,16 +168,27 @@ def feature_importance(model, features: list[str]) -> list[tuple[str, float]]:
 
 def random_search(train: DataFrame, dev: DataFrame, features: list[str], kind: str, space: dict,
                   n_iter: int = 4, label: str = "label", seed: int = 0):
-    """Sample parameter maps, keep the best dev AUROC, refit on train + dev."""
+    """Sample parameter maps, keep the best dev AUROC, refit on train + dev.
+
+    The trials share one fit of the features and their assembled rows.  A map
+    that is drawn again would give the same model from the same seed, so its
+    first trial stands for it; all ``n_iter`` draws are made and compared."""
     rng = random.Random(seed)
-    best = None
+    best, tried = None, {}
     ev = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
-    for _ in range(n_iter):
-        params = {k: rng.choice(v) for k, v in space.items()}
-        model = fit_classifier(train, features, kind, label, seed=seed, **params)
-        auc = ev.evaluate(model.transform(dev))
-        if best is None or auc > best[0]:
-            best = (auc, params)
+    prepared = Pipeline(stages=feature_pipeline(features)).fit(train)
+    tr, dv = (prepared.transform(x).select(label, "features").persist(StorageLevel.MEMORY_AND_DISK) for x in (train, dev))
+    try:
+        for _ in range(n_iter):
+            params = {k: rng.choice(v) for k, v in space.items()}
+            if (key := tuple(params.items())) not in tried:
+                model = make_classifier(kind, label, None, len(features), seed, **params).fit(tr)
+                tried[key] = ev.evaluate(model.transform(dv))
+            if best is None or tried[key] > best[0]:
+                best = (tried[key], params)
+    finally:
+        tr.unpersist()
+        dv.unpersist()
     final = fit_classifier(train.unionByName(dev), features, kind, label, seed=seed, **best[1])
     return final, best
 
