@@ -92,6 +92,21 @@ def exact_auroc(scored: DataFrame, score: str, label: str) -> DataFrame:
                  F.sum("__p").alias("n_pos"), F.sum("__n").alias("n_neg"))
 
 
+def one_against_rest_aurocs(scored: DataFrame, scores: str, label: str, classes: list[int]) -> dict[int, float | None]:
+    """``exact_auroc`` of every class against the rest in one running count:
+    ``scores`` holds a row's score for each class.  A score's rows are counted
+    for each class apart, so all classes share the order of the scores."""
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.get(scores, F.lit(c)).alias("s")) for c in classes]))
+    d = scored.select((F.col(label)).alias("__y"), each.alias("__e")).select("__y", "__e.c", "__e.s")
+    mine = {c: F.col("c") == c for c in classes}
+    g = d.groupBy("s").agg(*[F.count_if(mine[c] & (F.col("__y") == c)).alias(f"__p{c}") for c in classes],
+                           *[F.count_if(mine[c] & (F.col("__y") != c)).alias(f"__n{c}") for c in classes])
+    g = global_cumsum(g, ["s"], {f"__b{c}": f"__n{c}" for c in classes}, inclusive=False)
+    row = g.agg(*[F.try_divide(F.sum(F.col(f"__p{c}") * (F.col(f"__b{c}") + 0.5 * F.col(f"__n{c}"))),
+                               F.sum(f"__p{c}") * F.sum(f"__n{c}")).alias(f"auroc{c}") for c in classes]).first()
+    return {c: row[f"auroc{c}"] for c in classes}
+
+
 def _running_counts(scored: DataFrame, score: str, label: str) -> DataFrame:
     """Per distinct score: __p and __n (positives and negatives of that score)
     and __tp and __fp (of that score or a higher one)."""
@@ -142,14 +157,15 @@ def class_report(pred: DataFrame, label: str = "label") -> DataFrame:
     one-against-rest AUROC.  One row per class: the class ids are the labels."""
     p = pred.select(F.col(label).cast("int").alias("y"), F.col("prediction").cast("int").alias("z"),
                     vector_to_array("probability").alias("p"))
-    classes = sorted(r[0] for r in p.select("y").distinct().collect())  # the classes of the model
+    cells = [(r["y"], r["z"], r["count"]) for r in p.groupBy("y", "z").count().collect()]  # classes by classes
+    classes = sorted({y for y, _, _ in cells})  # the classes of the model
+    aurocs = one_against_rest_aurocs(p, "p", "y", classes) if classes else {}
     rows = []
     for c in classes:
-        y, z = F.col("y") == c, F.col("z") == c
-        n = p.agg(F.count_if(y).alias("n"), F.count_if(z).alias("m"), F.count_if(y & z).alias("hit")).first()
-        auroc = exact_auroc(p.select(F.get("p", F.lit(c)).alias("s"), y.cast("int").alias("y")), "s", "y").first()["auroc"]
-        prec, rec = n["hit"] / n["m"] if n["m"] else 0.0, n["hit"] / n["n"]
-        rows.append((c, n["n"], prec, rec, 2 * prec * rec / (prec + rec) if prec + rec else 0.0, auroc))
+        n, m = (sum(k for *yz, k in cells if yz[i] == c) for i in (0, 1))
+        hit = sum(k for y, z, k in cells if y == z == c)
+        prec, rec = hit / m if m else 0.0, hit / n
+        rows.append((c, n, prec, rec, 2 * prec * rec / (prec + rec) if prec + rec else 0.0, aurocs[c]))
     if rows:
         mean = [sum(r[i] for r in rows if r[i] is not None) / len(rows) for i in (2, 3, 4, 5)]
         rows.append((None, sum(r[1] for r in rows), *mean))
