@@ -1,7 +1,7 @@
 """Dimension-table helpers.
 
-No join is forced to broadcast: a parameter table made from local rows has a
-known size, so the optimizer broadcasts it by itself; larger or derived tables
+No join is forced to broadcast: a parameter table is made of literals, whose
+size the optimizer knows and broadcasts by itself; larger or derived tables
 are left to its size estimates and to adaptive execution.
 """
 
@@ -9,14 +9,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Parts that every key's rows are spread over by ``salted_join``.
 SALTS = 16
 
 
 def local_dim(spark, rows: list, schema: str) -> DataFrame:
-    """A parameter table from local rows; its size is known exactly."""
-    return spark.createDataFrame(rows, schema)
+    """A parameter table of a few local rows, as literals of the plan.
+
+    ``createDataFrame`` would make an RDD, whose size the optimizer takes to be
+    endless: a join to it shuffles both sides by the few values of its key."""
+    fields = StructType.fromDDL(schema).fields
+    if not rows:
+        return spark.createDataFrame(rows, schema)
+    made = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, fields, strict=True)]) for r in rows]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*made)))
 
 
 def salted_join(rows: DataFrame, dim: DataFrame, key: str, spread: list[str], how: str = "inner",

@@ -74,6 +74,22 @@ def fill_hours(rows: DataFrame, id_cols=ID_COLS) -> DataFrame:
     return d.select(*id_cols, F.col("__hour").alias("hours_in"), *[F.when(here, F.col(f"`{c}`")).alias(c) for c in values])
 
 
+def join_hours(left: DataFrame, right: DataFrame, id_cols=ID_COLS) -> DataFrame:
+    """Inner join on stay and hour of two grids, each with one row for a stay
+    and hour and columns of its own.
+
+    A join would shuffle both by (stay, hour), into ``spark.sql.shuffle.partitions``
+    parts however many hours there are, and windows would shuffle the result back
+    by stay.  The rows are put under each other and grouped instead: grids that
+    ``spread_by_stay`` laid out alike stay in their parts."""
+    keys = [*id_cols, "hours_in"]
+    u = left.withColumn("__side", F.lit(1)).unionByName(right.withColumn("__side", F.lit(2)), allowMissingColumns=True)
+    cols = [c for c in (*left.columns, *right.columns) if c not in keys]
+    g = u.groupBy(*keys).agg(F.min("__side").alias("__l"), F.max("__side").alias("__r"),
+                             *[F.max(F.col(f"`{c}`")).alias(c) for c in cols])
+    return g.filter("__l < __r").dropna(subset=keys).select(*keys, *[f"`{c}`" for c in cols])
+
+
 def prepare_measurements(X: DataFrame, stays: DataFrame, var_map: DataFrame | None = None,
                          items: DataFrame | None = None, var_ranges: DataFrame | None = None,
                          apply_units: bool = True, apply_var_limit: bool = True,

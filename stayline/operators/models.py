@@ -20,6 +20,9 @@ from pyspark.sql import functions as F
 
 from stayline.operators.ordered import global_cumsum
 
+#: Scores that one range of a running count holds; the number of ranges grows with the rows.
+SCORE_ROWS = 500_000
+
 
 def feature_pipeline(features: list[str], scale: bool = True, impute: bool = True):
     """M05 mean imputation + assembly + M07 standard scaling."""
@@ -92,16 +95,22 @@ def exact_auroc(scored: DataFrame, score: str, label: str) -> DataFrame:
                  F.sum("__p").alias("n_pos"), F.sum("__n").alias("n_neg"))
 
 
-def one_against_rest_aurocs(scored: DataFrame, scores: str, label: str, classes: list[int]) -> dict[int, float | None]:
+def one_against_rest_aurocs(scored: DataFrame, scores: str, label: str, classes: list[int], count: str | None = None,
+                            num_partitions: int | None = None) -> dict[int, float | None]:
     """``exact_auroc`` of every class against the rest in one running count:
     ``scores`` holds a row's score for each class.  A score's rows are counted
-    for each class apart, so all classes share the order of the scores."""
+    for each class apart, so all classes share the order of the scores.  A row
+    stands for ``count`` equal ones."""
     each = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.get(scores, F.lit(c)).alias("s")) for c in classes]))
-    d = scored.select((F.col(label)).alias("__y"), each.alias("__e")).select("__y", "__e.c", "__e.s")
+    d = scored.select(F.col(label).alias("__y"), _times(count).alias("__k"), each.alias("__e"))
+    d = d.select("__y", "__k", "__e.c", "__e.s")
     mine = {c: F.col("c") == c for c in classes}
-    g = d.groupBy("s").agg(*[F.count_if(mine[c] & (F.col("__y") == c)).alias(f"__p{c}") for c in classes],
-                           *[F.count_if(mine[c] & (F.col("__y") != c)).alias(f"__n{c}") for c in classes])
-    g = global_cumsum(g, ["s"], {f"__b{c}": f"__n{c}" for c in classes}, inclusive=False)
+
+    def rows(when):
+        return F.sum(F.when(when, F.col("__k")).otherwise(0))
+    g = d.groupBy("s").agg(*[rows(mine[c] & (F.col("__y") == c)).alias(f"__p{c}") for c in classes],
+                           *[rows(mine[c] & (F.col("__y") != c)).alias(f"__n{c}") for c in classes])
+    g = global_cumsum(g, ["s"], {f"__b{c}": f"__n{c}" for c in classes}, num_partitions, inclusive=False)
     row = g.agg(*[F.try_divide(F.sum(F.col(f"__p{c}") * (F.col(f"__b{c}") + 0.5 * F.col(f"__n{c}"))),
                                F.sum(f"__p{c}") * F.sum(f"__n{c}")).alias(f"auroc{c}") for c in classes]).first()
     return {c: row[f"auroc{c}"] for c in classes}
@@ -136,9 +145,21 @@ def roc_points(scored: DataFrame, score: str, label: str) -> DataFrame:
                     F.try_divide("__tp", "__pos").alias("tpr"), F.try_divide("__fp", "__neg").alias("fpr"))
 
 
-def class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
-    """Balanced weight n / (k · n_c) per class, joined onto the rows."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("__nc"))
+def _times(count: str | None):
+    """How many equal rows a row stands for."""
+    return F.lit(1).cast("long") if count is None else F.col(count)
+
+
+def each_time(df: DataFrame, count: str) -> DataFrame:
+    """Every row ``count`` times, without that column."""
+    cols = [c for c in df.columns if c != count]
+    return df.select(*cols, F.explode(F.sequence(F.lit(1).cast("long"), count)).alias("__i")).select(*cols)
+
+
+def class_weights(df: DataFrame, label: str, name: str = "weight", count: str | None = None) -> DataFrame:
+    """Balanced weight n / (k · n_c) per class, joined onto the rows, of
+    which each stands for ``count`` equal ones."""
+    counts = df.groupBy(label).agg(F.sum(_times(count)).alias("__nc"))
     tot = counts.agg(F.sum("__nc").alias("__n"), F.count(F.lit(1)).alias("__k"))
     w = counts.crossJoin(F.broadcast(tot)).select(label, (F.col("__n") / (F.col("__k") * F.col("__nc"))).alias(name))
     return df.join(F.broadcast(w), label, "left")  # one row per class
@@ -152,14 +173,18 @@ def fit_multiclass(train: DataFrame, label: str = "label", weight: str | None =
     return Pipeline(stages=[StandardScaler(inputCol="features", outputCol="__scaled", withMean=True), lr]).fit(train)
 
 
-def class_report(pred: DataFrame, label: str = "label") -> DataFrame:
+def class_report(pred: DataFrame, label: str = "label", count: str | None = None) -> DataFrame:
     """Class (null: macro mean), n, precision, recall, f1 and exact
-    one-against-rest AUROC.  One row per class: the class ids are the labels."""
+    one-against-rest AUROC.  One row per class: the class ids are the labels.
+    A row of ``pred`` stands for ``count`` equal ones."""
     p = pred.select(F.col(label).cast("int").alias("y"), F.col("prediction").cast("int").alias("z"),
-                    vector_to_array("probability").alias("p"))
-    cells = [(r["y"], r["z"], r["count"]) for r in p.groupBy("y", "z").count().collect()]  # classes by classes
+                    vector_to_array("probability").alias("p"), _times(count).alias("k"))
+    found = p.groupBy("y", "z").agg(F.sum("k").alias("n"), F.count(F.lit(1)).alias("rows")).collect()  # classes by classes
+    cells = [(r["y"], r["z"], r["n"]) for r in found]
     classes = sorted({y for y, _, _ in cells})  # the classes of the model
-    aurocs = one_against_rest_aurocs(p, "p", "y", classes) if classes else {}
+    parts = max(int(p.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")),
+                -(-len(classes) * sum(r["rows"] for r in found) // SCORE_ROWS))
+    aurocs = one_against_rest_aurocs(p, "p", "y", classes, "k", parts) if classes else {}
     rows = []
     for c in classes:
         n, m = (sum(k for *yz, k in cells if yz[i] == c) for i in (0, 1))

@@ -26,16 +26,18 @@ def _cut(d: DataFrame, max_len: int | None) -> DataFrame:
 
 
 def transition_labels(grid: DataFrame, stay: str, flag: str, slice_size: int = 6, gap: int = 6,
-                      pred: int = 4, max_len: int | None = None, keep_window: bool = True) -> DataFrame:
+                      pred: int = 4, max_len: int | None = None, keep_window: bool = True,
+                      keep: tuple[str, ...] = ()) -> DataFrame:
     """Sliding samples with the ONSET / CONTROL / ON / WEAN label.
 
     Sample start t runs over ``range(length - slice - gap - pred)`` with
     ``length`` the stay's full hour count.  With ``max_len`` hours from there
     on are cut, so windows near the cut are truncated.  Rules in order: any change in the
     gap window drops the sample; a constant prediction window is CONTROL (0s)
-    or ON (1s); a rise is ONSET; a fall is WEAN."""
+    or ON (1s); a rise is ONSET; a fall is WEAN.  ``keep`` names columns of the
+    start hour's row that come along."""
     w_all = Window.partitionBy(stay)
-    d = grid.select(stay, "hours_in", F.col(flag).cast("int").alias("__y"))
+    d = grid.select(stay, "hours_in", F.col(flag).cast("int").alias("__y"), *keep)
     d = _cut(d.withColumn("__len", F.count(F.lit(1)).over(w_all)), max_len)
     w = Window.partitionBy(stay).orderBy("hours_in")
     x = F.collect_list("__y").over(w.rowsBetween(0, slice_size - 1))
@@ -57,7 +59,7 @@ def transition_labels(grid: DataFrame, stay: str, flag: str, slice_size: int = 6
     cols = [stay, F.col("hours_in").alias("start_hour"), "label"]
     if keep_window:
         cols.append(F.col("__x").alias("window"))
-    return d.select(*cols)
+    return d.select(*cols, *keep)
 
 
 def binary_labels(grid: DataFrame, stay: str, flag: str, slice_size: int = 6, gap: int = 6,

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from stayline.functions.hashing import uniform, uniform_sql
@@ -211,6 +212,10 @@ def q_task_samples(spark, sf):
 
 
 # ------------------------------------------------------------- D30, D33 models
+#: Samples in one part of the transition model's table: the learner runs a task a part in each of its passes.
+SAMPLES = 500_000
+
+
 @register("transition_model")
 def q_transition_model(spark, sf):
     """D30 (M10, M16, M20): the four-class transition model with balanced
@@ -218,13 +223,20 @@ def q_transition_model(spark, sf):
     held-out stays, and their macro means."""
     from pyspark.ml.functions import array_to_vector
     d = MP.q_transition_samples(spark, sf).select("user_id", F.col("label").cast("double").alias("label"), "features")
-    d = d.withColumn("features", array_to_vector(F.transform("features", lambda x: F.coalesce(x, F.lit(0.0)))))
-    d = d.withColumn("test", uniform(31, "user_id") < 0.3).persist()
+    d = d.withColumn("features", F.transform("features", lambda x: F.coalesce(x, F.lit(0.0))))
+    # Samples of hours with the same values around them are equal: a stay's are kept once, with their number,
+    # where the stay's hours are.  They are kept on disk: the learner holds its own copy of each in memory.
+    d = d.groupBy("user_id", "label", "features").agg(F.count(F.lit(1)).alias("n"))
+    d = d.select("label", "n", array_to_vector("features").alias("features"), (uniform(31, "user_id") < 0.3).alias("test"))
+    kept = d.persist(StorageLevel.DISK_ONLY)
     try:
-        model = MD.fit_multiclass(MD.class_weights(d.filter("NOT test"), "label"), "label", "weight")
-        return MP._local(MD.class_report(model.transform(d.filter("test")), "label"))
+        samples = kept.agg(F.sum("n")).first()[0] or 0
+        d = kept.coalesce(max(spark.sparkContext.defaultParallelism, -(-samples // SAMPLES)))
+        train = MD.each_time(MD.class_weights(d.filter("NOT test"), "label", count="n"), "n")
+        model = MD.fit_multiclass(train, "label", "weight")
+        return MP._local(MD.class_report(model.transform(d.filter("test")), "label", count="n"))
     finally:
-        d.unpersist()
+        kept.unpersist()
 
 
 @register("model_kfold")
