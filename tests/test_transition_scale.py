@@ -118,7 +118,7 @@ def test_transition_model_of_single_samples(spark, sf, monkeypatch):
     monkeypatch.setattr(type(s), "persist", lambda self, *a, **k: levels.append(a[0] if a else None) or keep(self, *a, **k))
     monkeypatch.setattr(MD, "class_weights", lambda d, *a, **k: seen.append(d) or weighted(d, *a, **k))
     monkeypatch.setattr(RP.MP, "_local", lambda df: seen.append(seen[0].agg(F.count("n"), F.sum("n")).first()) or df)
-    monkeypatch.setattr(RP, "SAMPLES", 100)
+    monkeypatch.setattr(RP, "SAMPLES", 400)
     got = RP.q_transition_model(spark, sf).collect()
     assert levels == [StorageLevel.DISK_ONLY]
     assert [r["class"] for r in got] == [r["class"] for r in want] and [r["n"] for r in got] == [r["n"] for r in want]
